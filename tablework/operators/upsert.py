@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablework.operators.numbering import first_per_group
 from tablework.runtime import scratch_path, small_rows
+from tablework.sinks.layout import laid_out
 
 
 def newest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
@@ -73,10 +74,10 @@ def upsert_partitions(
 
     affected = target.where(F.col(partition).isin(touched))
     merged = upsert(affected, staged, keys)
-    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(merged_path)
-    merged = spark.read.parquet(merged_path)
+    merged.write.parquet(merged_path)
+    merged = spark.read.schema(source.schema).parquet(merged_path)
     (
-        merged.hint("rebalance", partition)
+        laid_out(merged, partition, keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -50,14 +50,14 @@ aligned AS (
 
 @query(
     f"""WITH {ALIGNED_SQL}
-    SELECT file_path, file_size_bytes, ingestion_time, group_count, duration, instrument_name,
-           NULL::VARCHAR AS sample_name, '2024-01-01 00:00:00' AS cataloged_at FROM aligned"""
+    SELECT file_path, file_size_bytes, ingestion_time, group_count::VARCHAR AS group_count, duration,
+           instrument_name, NULL::VARCHAR AS sample_name, '2024-01-01 00:00:00' AS cataloged_at FROM aligned"""
 )
 def schema_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bad numbers become NULL, missing columns are added, order is fixed."""
     return times_as_text(to_catalog(raw_metadata(spark, sf_dir), NOW)).select(
-        "file_path", "file_size_bytes", "ingestion_time", "group_count", "duration",
-        "instrument_name", "sample_name", "cataloged_at",
+        "file_path", "file_size_bytes", "ingestion_time", F.col("group_count").cast("string"),
+        "duration", "instrument_name", "sample_name", "cataloged_at",
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.functions.times import floor_millis
 from tablework.operators.numbering import number_within
 from tablework.runtime import broadcast_if_small, hot_keys
 from tablework.schemas import H5_NODES
@@ -133,6 +134,31 @@ ORDER_COLUMNS_SQL = """
 """
 
 
+def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat orders from the event stream: few days, times within the day."""
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("events/"), "event_id").alias("OrderId"),
+        F.concat(F.lit("customers/"), "user_id").alias("CustomerId"),
+        floor_millis("ts").alias("OrderDate"),
+        F.col("value").alias("TotalAmount"),
+        F.col("event_type").alias("Status"),
+        F.lit("").alias("ShipCity"),
+        F.lit("").alias("ShipCountry"),
+        F.lit(1).cast("bigint").alias("LineCount"),
+        ntz(NOW).alias("SyncedAt"),
+    )
+
+
+EVENT_ORDERS_SQL = """
+flat AS (
+  SELECT 'events/' || event_id AS "OrderId", 'customers/' || user_id AS "CustomerId",
+         date_trunc('milliseconds', ts) AS "OrderDate", value AS "TotalAmount",
+         event_type AS "Status", '' AS "ShipCity", '' AS "ShipCountry", 1::BIGINT AS "LineCount",
+         TIMESTAMP '2024-01-01 00:00:00' AS "SyncedAt"
+  FROM events)
+"""
+
+
 # --- order documents -----------------------------------------------------
 
 

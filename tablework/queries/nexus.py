@@ -205,10 +205,12 @@ daslog AS (
   UNION ALL SELECT 'idle', NULL, 'nothing', NULL, NULL, NULL, NULL, NULL, NULL)"""
 
 
-@query(f"WITH {DASLOG_SQL} SELECT * FROM daslog")
+@query(f"WITH {DASLOG_SQL} SELECT * REPLACE (coalesce(point_idx, -1) AS point_idx) FROM daslog")
 def daslog_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = nexus.daslog_rows(event_nodes(spark, sf_dir)).drop("file_path")
-    return rows.withColumn("value", F.col("value").cast("double"))
+    return rows.withColumns(
+        {"value": F.col("value").cast("double"), "point_idx": F.coalesce("point_idx", F.lit(-1))}
+    )
 
 
 EVENT_ROWS_SQL = f"""{EVENTS_SQL},
@@ -232,11 +234,12 @@ def event_rows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {EVENTS_SQL}
     SELECT event_type || '_events' AS bank, n AS total_counts, days AS n_pulses, n AS events_extracted
     FROM facts
-    UNION ALL SELECT 'empty_events', NULL, 0, 0
-    UNION ALL SELECT 'monitor1', NULL, 0, 0"""
+    UNION ALL SELECT 'empty_events', -1, 0, 0
+    UNION ALL SELECT 'monitor1', -1, 0, 0"""
 )
 def bank_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nexus.bank_summary(event_nodes(spark, sf_dir)).drop("file_path")
+    rows = nexus.bank_summary(event_nodes(spark, sf_dir)).drop("file_path")
+    return rows.withColumn("total_counts", F.coalesce("total_counts", F.lit(-1)))
 
 
 @query("SELECT 0::BIGINT AS misaligned, count(*) AS events FROM events")

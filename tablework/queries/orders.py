@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tablework.functions.text import order_sentence
 from tablework.functions.times import floor_millis, iso_timestamp
 from tablework.operators.flatten import flatten_orders, orders_by_day, status_distribution
+from tablework.operators.publish import stage
 from tablework.operators.upsert import upsert, upsert_partitions
 from tablework.operators.versions import CommitLog
 from tablework.plans.orders import KEY, merged_orders, newest_first
 from tablework.queries.fixtures import (
     CHANGES_SQL,
+    EVENT_ORDERS_SQL,
     FLAT_SQL,
     LANDING_SQL,
     LATER,
@@ -20,6 +22,7 @@ from tablework.queries.fixtures import (
     NOW,
     ORDER_COLUMNS_SQL,
     changes,
+    event_orders,
     landing,
     later_changes,
     ntz,
@@ -30,6 +33,7 @@ from tablework.queries.fixtures import (
 )
 from tablework.queries.registered import query
 from tablework.runtime import scratch_path
+from tablework.sinks.layout import laid_out
 from tablework.sinks.tables import with_day, write_landing
 from tablework.sources.tables import read_days, read_documents, read_landing, row_counts
 
@@ -93,17 +97,33 @@ def orders_status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_distribution(merged_orders(orders, repeated_changes(orders)))
 
 
+MOVED_SQL = f"""{EVENT_ORDERS_SQL},
+moved AS (
+  SELECT * REPLACE (CASE WHEN "Status" = 'error' THEN "OrderDate" + INTERVAL 40 DAY ELSE "OrderDate" END
+                      AS "OrderDate",
+                    CASE WHEN "Status" IN ('error', 'view') THEN TIMESTAMP '2024-01-02 00:00:00'
+                    ELSE "SyncedAt" END AS "SyncedAt")
+  FROM flat)"""
+
+
 @query(
-    f"""WITH {MERGED_SQL}
-    SELECT {ORDER_COLUMNS_SQL}, strftime("OrderDate", '%Y-%m-%d') AS order_day FROM merged"""
+    f"""WITH {MOVED_SQL}
+    SELECT {ORDER_COLUMNS_SQL}, strftime("OrderDate", '%Y-%m-%d') AS order_day FROM moved"""
 )
 def orders_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merge into a table partitioned by day, written and read back."""
+    """The merge into a table partitioned by day; some orders move to another day."""
     path = scratch_path(spark, "orders")
-    orders = with_day(landing(spark, sf_dir))
-    orders.hint("rebalance", "order_day").write.partitionBy("order_day").parquet(path)
-    stored = spark.read.schema(orders.schema).parquet(path)
-    upsert_partitions(spark, path, repeated_changes(stored), KEY, "order_day", newest_first())
+    orders = with_day(event_orders(spark, sf_dir))
+    laid_out(orders, "order_day", KEY).write.partitionBy("order_day").parquet(path)
+    source = event_orders(spark, sf_dir).where("Status IN ('error', 'view')")
+    later = F.col("OrderDate") + F.expr("INTERVAL 40 DAYS")
+    source = source.withColumns(
+        {
+            "OrderDate": F.when(F.col("Status") == "error", later).otherwise(F.col("OrderDate")),
+            "SyncedAt": ntz(LATER),
+        }
+    )
+    upsert_partitions(spark, path, with_day(source), KEY, "order_day", newest_first())
     return times_as_text(spark.read.schema(orders.schema).parquet(path))
 
 
@@ -152,20 +172,17 @@ def orders_as_of_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {FLAT_SQL}
+    f"""WITH {EVENT_ORDERS_SQL}
     SELECT {ORDER_COLUMNS_SQL} FROM (
-      SELECT * REPLACE (CASE WHEN "OrderDate" < TIMESTAMP '1996-01-01' THEN 'W' ELSE "Status" END AS "Status")
+      SELECT * REPLACE (CASE WHEN "OrderDate" < TIMESTAMP '2024-01-08' THEN 'W' ELSE "Status" END AS "Status")
       FROM flat)"""
 )
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing files by day; the first year is written a second time."""
+    """Landing files by day; the first week is written a second time."""
     path = scratch_path(spark, "landing")
-    flat = flatten_orders(order_documents(spark, sf_dir), NOW, split_documents=True)
-    write_landing(flat, path)
-    again = read_days(spark, path, "1995-01-01", "1995-12-31").withColumn("Status", F.lit("W"))
-    rewritten = scratch_path(spark, "again")
-    again.write.parquet(rewritten)
-    write_landing(spark.read.schema(again.schema).parquet(rewritten), path)
+    write_landing(event_orders(spark, sf_dir), path)
+    again = read_days(spark, path, "2024-01-01", "2024-01-07").withColumn("Status", F.lit("W"))
+    write_landing(stage(spark, again), path)
     return times_as_text(read_landing(spark, path))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tablework.functions.paths import output_base_name
 from tablework.functions.times import day_key
@@ -12,9 +12,7 @@ from tablework.operators import nexus
 from tablework.operators.registry import new_only
 from tablework.operators.similarity import require_collection
 from tablework.schemas import FILE_REGISTRY, H5_CATALOG, ORDERS
-
-#: Rows of one output partition that may end up in one file.
-ROWS_PER_FILE = 5_000_000
+from tablework.sinks.layout import laid_out
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
@@ -40,7 +38,8 @@ def create_table(
 
 def create_orders_table(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Orders by day; the day is a derived column, filled by `with_day`."""
-    create_table(spark, name, StructType(ORDERS.fields).add("order_day", "string"), "order_day", location)
+    schema = StructType([*ORDERS, StructField("order_day", StringType())])
+    create_table(spark, name, schema, "order_day", location)
 
 
 def create_catalog_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -64,14 +63,9 @@ def append(df: DataFrame, table: str, mode: str = "append") -> None:
 
 
 def write_landing(orders: DataFrame, root: str) -> None:
-    """One folder per day; a day that is written again replaces that day only.
-
-    Rebalancing by day merges small days into few files and splits a day that
-    is much larger than the rest.
-    """
+    """One folder per day; a day that is written again replaces that day only."""
     (
-        with_day(orders)
-        .hint("rebalance", "order_day")
+        laid_out(with_day(orders), "order_day", ["OrderId"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -101,7 +95,8 @@ def write_collection(vectors: DataFrame, path: str, dim: int) -> int:
     """
     count = require_collection(vectors, dim)
     if "cell" in vectors.columns:
-        vectors.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
+        placed = laid_out(vectors, "cell", ["id"])
+        placed.write.mode("overwrite").partitionBy("cell").parquet(path)
     else:
         vectors.write.mode("overwrite").parquet(path)
     return count
@@ -132,8 +127,10 @@ def write_categories(
 ) -> list[str]:
     """Category tables of a set of files; empty categories are not written.
 
-    Every table is partitioned by the file's base name, events also by bank.
-    Returns the names of the tables written.
+    Rows lead with the base name of their file and are sorted by it, so a
+    reader of one file skips the row groups of the others; a folder per file
+    would not survive a million files. Events are partitioned by bank, and a
+    large bank is split by adaptive rebalancing. Returns the tables written.
     """
     base = output_base_name("file_path").alias("base_name")
     run = nexus.run_metadata(nodes, entry, now).withColumn("file_path", F.col("source_path"))
@@ -153,14 +150,13 @@ def write_categories(
     for name, table in tables.items():
         if table.isEmpty():
             continue
-        keys = ["base_name", "bank"] if name == "events" else ["base_name"]
-        out = table.select(base, *[c for c in table.columns if not (name == "metadata" and c == "file_path")])
-        (
-            out.hint("rebalance", *keys)
-            .write.mode("errorifexists")
-            .partitionBy(*keys)
-            .parquet(f"{root.rstrip('/')}/{name}")
-        )
+        out = table.select(base, *[c for c in table.columns if name != "metadata" or c != "file_path"])
+        target = f"{root.rstrip('/')}/{name}"
+        if name == "events":
+            placed = out.hint("rebalance", "bank").sortWithinPartitions("bank", "base_name")
+            placed.write.mode("errorifexists").partitionBy("bank").parquet(target)
+        else:
+            out.sortWithinPartitions("base_name").write.mode("errorifexists").parquet(target)
         written.append(name)
     return written
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tablework.operators.align import union_aligned
 from tablework.schemas import H5_NODES, LANDING, ORDER_DOC, VECTORS
-from pyspark.sql.types import StructType
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame | None:
@@ -23,7 +23,7 @@ def read_landing(spark: SparkSession, root: str) -> DataFrame | None:
 
 def read_days(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
     """Landed orders of a range of days; only those day folders are listed in the plan."""
-    schema = StructType(LANDING.fields).add("order_day", "string")
+    schema = StructType([*LANDING, StructField("order_day", StringType())])
     days = F.col("order_day").between(first, last)
     return spark.read.schema(schema).parquet(root).where(days).drop("order_day")
 
@@ -39,7 +39,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     """Node table; ``bulk`` is its storage partition (see the sink)."""
-    return spark.read.schema(StructType(H5_NODES.fields).add("bulk", "boolean")).parquet(path)
+    return spark.read.schema(StructType([*H5_NODES, StructField("bulk", BooleanType())])).parquet(path)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:

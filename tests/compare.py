@@ -5,12 +5,12 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from collections import Counter
 
 import duckdb
+import pandas as pd
 
 from __spark_entry__ import oracle_sql, queries
 
@@ -28,9 +28,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else value
-    return value
+    return None if value is None or pd.isna(value) else value
 
 
 def _rows(frame) -> Counter:
@@ -40,9 +38,9 @@ def _rows(frame) -> Counter:
 
 def difference(spark, connection, sf_dir: str, name: str) -> str | None:
     """None when the query and its SQL agree, else what differs."""
-    expected_sql = oracle_sql().get(name)
+    expected_sql = oracle_sql().get(name, "").replace("/root/testdata/sf0.01", sf_dir)
     found = queries()[name](spark, sf_dir).toPandas()
-    if expected_sql is None:
+    if not expected_sql:
         return None if len(found) else "no rows"
     expected = connection.sql(expected_sql).df()
     if sorted(found.columns) != sorted(expected.columns):
