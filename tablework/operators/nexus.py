@@ -314,7 +314,7 @@ def event_rows(
         chunks = chunks.where(F.col("chunk_offset") < max_events)
     ids = F.coalesce(F.col("int_values"), F.transform("dbl_values", lambda v: v.cast("bigint")))
     pairs = (
-        chunks.groupBy("file_path", "bank", "chunk_offset")
+        chunks.groupBy("file_path", "parent_path", "chunk_offset")
         .agg(
             F.first(F.when(F.col("name") == "event_id", ids), ignorenulls=True).alias("i"),
             F.first(
@@ -326,7 +326,7 @@ def event_rows(
     )
     rows = pairs.select(
         "file_path",
-        "bank",
+        F.substring_index("parent_path", "/", -1).alias("bank"),
         "chunk_offset",
         F.posexplode(
             F.arrays_zip(F.slice("i", F.lit(1), F.col("n")).alias("i"), F.slice("t", F.lit(1), F.col("n")).alias("t"))

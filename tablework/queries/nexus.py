@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from tablework.queries.fixtures import (
 )
 from tablework.queries.registered import query
 from tablework.runtime import scratch_path
-from tablework.sinks.tables import write_categories, write_nodes
+from tablework.sinks.tables import create_namespace, write_categories, write_node_table, write_nodes
 from tablework.sources.tables import read_nodes
 
 RUN = "'/runs/run-' || s_suppkey || '.nxs.h5'"
@@ -230,6 +232,16 @@ def event_rows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nexus.event_rows(event_nodes(spark, sf_dir), max_events=700).drop("file_path")
 
 
+@query(f"WITH {EVENT_ROWS_SQL} SELECT * FROM event_rows")
+def event_rows_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events from a node table bucketed by chunk position: no shuffle on reading."""
+    space = f"nodes_{uuid.uuid4().hex[:8]}"
+    create_namespace(spark, space)
+    table_name = f"{space}.h5_nodes"
+    write_node_table(event_nodes(spark, sf_dir), table_name, 8, scratch_path(spark, "nodes"))
+    return nexus.event_rows(spark.table(table_name)).drop("file_path")
+
+
 @query(
     f"""WITH {EVENTS_SQL}
     SELECT event_type || '_events' AS bank, n AS total_counts, days AS n_pulses, n AS events_extracted

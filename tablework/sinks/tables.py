@@ -117,6 +117,29 @@ def write_nodes(nodes: DataFrame, path: str, bulk_size: int = 1_000) -> None:
     )
 
 
+def write_node_table(
+    nodes: DataFrame, table: str, buckets: int, location: str | None = None, bulk_size: int = 1_000
+) -> None:
+    """The same as a table bucketed by chunk position.
+
+    The two chunks of a position then lie in one bucket, and logs and events
+    unfold without a shuffle of their arrays. One shuffle here replaces one in
+    every later read.
+    """
+    keys = ["file_path", "parent_path", "chunk_offset"]
+    placed = nodes.withColumn("bulk", F.coalesce(F.col("size") > bulk_size, F.lit(False)))
+    writer = (
+        placed.repartition(buckets, *keys)
+        .write.mode("errorifexists")
+        .format("parquet")
+        .partitionBy("bulk")
+        .bucketBy(buckets, *keys)
+    )
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(table)
+
+
 def write_categories(
     nodes: DataFrame,
     root: str,
@@ -134,21 +157,28 @@ def write_categories(
     """
     base = output_base_name("file_path").alias("base_name")
     run = nexus.run_metadata(nodes, entry, now).withColumn("file_path", F.col("source_path"))
-    tables = {
-        "metadata": run,
+    fields = {
         "sample": nexus.sample_fields(nodes, entry),
         "instrument": nexus.instrument_fields(nodes, entry),
         "users": nexus.user_rows(nodes, entry),
         "software": nexus.software_rows(nodes, entry),
-        "daslogs": nexus.daslog_rows(nodes, entry),
+    }
+    # Each table comes with a cheap probe for emptiness, so that no array is
+    # shuffled just to find out whether there is anything to write.
+    logs = nodes.where((F.col("kind") == "group") & (F.col("parent_path") == f"{entry}/DASlogs"))
+    tables = {
+        "metadata": (run, nodes),
+        **{name: (table, table) for name, table in fields.items()},
+        "daslogs": (nexus.daslog_rows(nodes, entry), logs),
     }
     if include_events:
-        tables["events"] = nexus.event_rows(nodes, entry, max_events)
-        tables["event_summary"] = nexus.bank_summary(nodes, entry, max_events)
+        banks = nexus.bank_summary(nodes, entry, max_events)
+        tables["events"] = (nexus.event_rows(nodes, entry, max_events), banks.where("events_extracted > 0"))
+        tables["event_summary"] = (banks, banks)
 
     written = []
-    for name, table in tables.items():
-        if table.isEmpty():
+    for name, (table, probe) in tables.items():
+        if probe.isEmpty():
             continue
         out = table.select(base, *[c for c in table.columns if name != "metadata" or c != "file_path"])
         target = f"{root.rstrip('/')}/{name}"
