@@ -5,15 +5,24 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
-
-from tablework.operators.numbering import WINDOW_GROUP_ROWS, dense_ids
+from pyspark.sql.types import (
+    ArrayType,
+    DoubleType,
+    FloatType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+from tablework.operators.numbering import SINGLE_TASK_ROWS, dense_ids
 
 # Embedding width and encoder batch.
 EMBEDDING_DIM = 384
@@ -26,6 +35,11 @@ class Encoder(Protocol):
     def encode(self, texts: list[str]) -> np.ndarray: ...
 
 
+@lru_cache(maxsize=100_000)
+def _word_hash(word: str) -> int:
+    return int(hashlib.md5(word.encode()).hexdigest()[:8], 16)
+
+
 class HashedWords:
     """Default encoder: unit-length word counts over hashed buckets.
 
@@ -40,8 +54,8 @@ class HashedWords:
     def encode(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim))
         for row, text in enumerate(texts):
-            words = [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
-            buckets = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % self.dim for w in words]
+            words = re.findall(r"[a-z0-9]+", text.lower())
+            buckets = [_word_hash(w) % self.dim for w in words]
             if buckets:
                 out[row] = np.bincount(buckets, minlength=self.dim)
         norms = np.linalg.norm(out, axis=1, keepdims=True)
@@ -50,38 +64,83 @@ class HashedWords:
 
 def embed(
     df: DataFrame,
-    key: str,
+    keys: str | list[str],
     text: str,
     encoder: Callable[[], Encoder] = HashedWords,
     batch_size: int = BATCH_SIZE,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """`(key, embedding, text)` for every row; one encoder per task, no shuffle.
+    """`(keys…, embedding, text)` for every row; one encoder per task.
 
     ``encoder`` is a picklable factory, called once in each Python worker task.
+    Encoding costs far more than moving its texts: ``tasks`` spreads them by key
+    when the input has too few partitions to keep the cluster busy.
+    Vectors return as one Arrow buffer per batch, without an object per row.
     """
+    keys = [keys] if isinstance(keys, str) else keys
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder()
-        for frame in frames:
-            texts = frame[text].fillna("").tolist()
-            vectors: list[np.ndarray] = []
-            for start in range(0, len(texts), batch_size):
-                vectors.extend(np.asarray(model.encode(texts[start : start + batch_size]), np.float32))
-            yield pd.DataFrame({key: frame[key], "embedding": vectors, "text": frame[text]})
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            parts = [
+                np.asarray(model.encode(texts[start : start + batch_size]), np.float32)
+                for start in range(0, len(texts), batch_size)
+            ]
+            matrix = np.concatenate(parts) if parts else np.empty((0, 0), np.float32)
+            offsets = np.arange(len(texts) + 1, dtype=np.int32) * matrix.shape[1]
+            vectors = pa.ListArray.from_arrays(offsets, matrix.ravel())
+            columns = [batch.column(k) for k in keys] + [vectors, batch.column(text)]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "embedding", "text"])
 
     schema = StructType(
-        [
-            StructField(key, df.schema[key].dataType),
-            StructField("embedding", ArrayType(FloatType())),
-            StructField("text", StringType()),
-        ]
+        [StructField(k, df.schema[k].dataType) for k in keys]
+        + [StructField("embedding", ArrayType(FloatType())), StructField("text", StringType())]
     )
-    return df.select(key, text).mapInPandas(encode, schema)
+    rows = df.select(*keys, text)
+    if tasks:
+        rows = rows.repartition(tasks, *keys)
+    return rows.mapInArrow(encode, schema)
 
 
 def vector_rows(
-    embedded: DataFrame, key: str = "order_id", max_group: int = WINDOW_GROUP_ROWS
+    texts: DataFrame,
+    key: str,
+    text: str,
+    encoder: Callable[[], Encoder] = HashedWords,
+    max_group: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Vector table: dense ids in key order, the key, and the vector."""
-    keyed = embedded.select(F.col(key).alias("order_id"), F.col("embedding").alias("vector"))
-    return dense_ids(keyed, ["order_id"], "id", max_group).select("id", "order_id", "vector")
+    """Vector table: dense ids in key order, the key, and the vector of the text.
+
+    Ids are given to the texts, before the much wider vectors exist.
+    """
+    keyed = texts.select(F.col(key).alias("order_id"), F.col(text).alias("text"))
+    numbered = dense_ids(keyed, ["order_id"], "id", max_group)
+    return embed(numbered, ["id", "order_id"], "text", encoder).select(
+        "id", "order_id", F.col("embedding").alias("vector")
+    )
+
+
+def sparse_entries(embedded: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
+    """Non-zero entries as `(key, bucket, weight)` rows, found per Arrow batch."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(vector)
+            flat = np.asarray(column.flatten(), dtype=np.float64)
+            ends = np.asarray(column.offsets) - column.offsets[0].as_py()
+            places = np.flatnonzero(flat)
+            rows = np.searchsorted(ends, places, side="right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(pa.array(rows)), pa.array(places - ends[rows]), pa.array(flat[places])],
+                [key, "bucket", "weight"],
+            )
+
+    schema = StructType(
+        [
+            StructField(key, embedded.schema[key].dataType),
+            StructField("bucket", LongType()),
+            StructField("weight", DoubleType()),
+        ]
+    )
+    return embedded.select(key, vector).mapInArrow(entries, schema)

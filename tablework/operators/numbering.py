@@ -9,6 +9,8 @@ from tablework.runtime import cut_lineage, hot_keys, small_rows
 
 #: Largest group that a single window task may sort.
 WINDOW_GROUP_ROWS = 1_000_000
+#: Largest table that is numbered in a single task.
+SINGLE_TASK_ROWS = 20_000
 
 
 def number_within(
@@ -26,7 +28,7 @@ def number_within(
     the whole table is one group.
     """
     if not keys:
-        single = df.limit(max_group + 1).count() <= max_group
+        single = df.count() <= max_group
         return _windowed(df, [], order, name) if single else _spread(df, [], order, name)
 
     hot, _ = hot_keys(df, keys, max_group)
@@ -39,7 +41,7 @@ def number_within(
 
 
 def dense_ids(
-    df: DataFrame, order: list[str], name: str = "id", max_group: int = WINDOW_GROUP_ROWS
+    df: DataFrame, order: list[str], name: str = "id", max_group: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
     """Gap-free 0-based ids in the order of a unique business key."""
     return number_within(df, [], order, name, max_group)

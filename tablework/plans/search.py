@@ -1,4 +1,7 @@
-"""Orders to vectors, and text queries to orders."""
+"""Orders to vectors, and text queries to orders.
+
+Searches read vectors more than once, so store them first (see the vector sinks).
+"""
 
 from __future__ import annotations
 
@@ -25,7 +28,7 @@ def order_vectors(
 ) -> DataFrame:
     """Vector table of flat orders: `(id, order_id, vector)`."""
     texts = orders.select(F.col("OrderId").alias("order_id"), order_sentence().alias("sentence"))
-    return vector_rows(embed(texts, "order_id", "sentence", encoder))
+    return vector_rows(texts, "order_id", "sentence", encoder)
 
 
 def text_queries(

@@ -171,45 +171,52 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity"
     )
-    part = F.lit(0).cast("bigint")
-    hot, _ = hot_keys(lineitem, ["l_orderkey"], LINES_PER_DOCUMENT)
-    if hot is not None:
-        hot = hot.withColumn("hot", F.lit(True))
-        lineitem = lineitem.join(F.broadcast(hot), "l_orderkey", "left")
-        spread = F.floor(F.monotonically_increasing_id() / LINES_PER_DOCUMENT)
-        part = F.when(F.col("hot"), spread).otherwise(part)
     line = F.struct(
         F.col("l_partkey").cast("string").alias("ProductName"),
         F.col("l_extendedprice").alias("Price"),
         F.col("l_quantity").cast("int").alias("Quantity"),
     )
-    lines = (
-        lineitem.withColumn("part", part)
-        .groupBy("l_orderkey", "part")
-        .agg(F.array_sort(F.collect_list(line)).alias("Lines"))
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        lines = F.array_sort(F.collect_list(line)).alias("Lines")
+        return rows.groupBy("l_orderkey", "part").agg(lines)
+
+    headers = table(spark, sf_dir, "orders").join(
+        ship_to(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")
     )
+    same = F.col("o_orderkey") == F.col("l_orderkey")
+    hot, _ = hot_keys(lineitem, ["l_orderkey"], LINES_PER_DOCUMENT)
+    if hot is None:
+        nested = headers.join(gathered(lineitem.withColumn("part", F.lit(0))), same, "left")
+    else:
+        # Few orders are large, so their headers go to the lines, not the lines to them.
+        spread = F.floor(F.monotonically_increasing_id() / LINES_PER_DOCUMENT)
+        parts = lineitem.withColumn("part", spread)
+        large = gathered(parts.join(hot, "l_orderkey", "left_semi"))
+        rest = gathered(parts.join(hot, "l_orderkey", "left_anti").withColumn("part", F.lit(0)))
+        own = F.broadcast(headers.join(hot, same, "left_semi"))
+        nested = (
+            headers.join(hot, same, "left_anti")
+            .join(rest, same, "left")
+            .unionByName(large.join(own, same), allowMissingColumns=True)
+        )
     priority = F.col("o_orderpriority")
     iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
-    return (
-        table(spark, sf_dir, "orders")
-        .join(ship_to(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            F.concat(F.lit("orders/"), "o_orderkey").alias("id"),
-            F.concat(F.lit("customers/"), "o_custkey").alias("CustomerId"),
-            F.when(priority == "3-MEDIUM", iso).otherwise(F.concat(iso, F.lit("Z"))).alias("OrderDate"),
-            F.lit(None).cast("string").alias("RequiredDate"),
-            F.lit(None).cast("string").alias("ShippedDate"),
-            F.col("o_orderstatus").alias("Status"),
-            "Lines",
-            F.when(priority == "1-URGENT", F.lit(None))
-            .when(priority == "2-HIGH", F.lit(0.0))
-            .otherwise(F.col("o_totalprice"))
-            .cast("double")
-            .alias("TotalAmount"),
-            F.struct(F.col("ShipCity").alias("City"), F.col("ShipCountry").alias("Country")).alias("ShipTo"),
-            priority.alias("Notes"),
-        )
+    return nested.select(
+        F.concat(F.lit("orders/"), "o_orderkey").alias("id"),
+        F.concat(F.lit("customers/"), "o_custkey").alias("CustomerId"),
+        F.when(priority == "3-MEDIUM", iso).otherwise(F.concat(iso, F.lit("Z"))).alias("OrderDate"),
+        F.lit(None).cast("string").alias("RequiredDate"),
+        F.lit(None).cast("string").alias("ShippedDate"),
+        F.col("o_orderstatus").alias("Status"),
+        "Lines",
+        F.when(priority == "1-URGENT", F.lit(None))
+        .when(priority == "2-HIGH", F.lit(0.0))
+        .otherwise(F.col("o_totalprice"))
+        .cast("double")
+        .alias("TotalAmount"),
+        F.struct(F.col("ShipCity").alias("City"), F.col("ShipCountry").alias("Country")).alias("ShipTo"),
+        priority.alias("Notes"),
     )
 
 

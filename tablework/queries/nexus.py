@@ -30,6 +30,13 @@ from tablework.runtime import scratch_path
 from tablework.sinks.tables import create_namespace, write_categories, write_node_table, write_nodes
 from tablework.sources.tables import read_nodes
 
+def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event file as a stored node table, scalars apart from large arrays."""
+    path = scratch_path(spark, "nodes")
+    write_nodes(event_nodes(spark, sf_dir), path)
+    return read_nodes(spark, path)
+
+
 RUN = "'/runs/run-' || s_suppkey || '.nxs.h5'"
 
 
@@ -209,7 +216,7 @@ daslog AS (
 
 @query(f"WITH {DASLOG_SQL} SELECT * REPLACE (coalesce(point_idx, -1) AS point_idx) FROM daslog")
 def daslog_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = nexus.daslog_rows(event_nodes(spark, sf_dir)).drop("file_path")
+    rows = nexus.daslog_rows(_stored_events(spark, sf_dir)).drop("file_path")
     return rows.withColumns(
         {"value": F.col("value").cast("double"), "point_idx": F.coalesce("point_idx", F.lit(-1))}
     )
@@ -223,13 +230,13 @@ event_rows AS (
 
 @query(f"WITH {EVENT_ROWS_SQL} SELECT * FROM event_rows")
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nexus.event_rows(event_nodes(spark, sf_dir)).drop("file_path")
+    return nexus.event_rows(_stored_events(spark, sf_dir)).drop("file_path")
 
 
 @query(f"WITH {EVENT_ROWS_SQL} SELECT * FROM event_rows WHERE event_idx < 700")
 def event_rows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first events of each bank, when a reader asks for that many only."""
-    return nexus.event_rows(event_nodes(spark, sf_dir), max_events=700).drop("file_path")
+    return nexus.event_rows(_stored_events(spark, sf_dir), max_events=700).drop("file_path")
 
 
 @query(f"WITH {EVENT_ROWS_SQL} SELECT * FROM event_rows")
@@ -250,17 +257,20 @@ def event_rows_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'monitor1', -1, 0, 0"""
 )
 def bank_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = nexus.bank_summary(event_nodes(spark, sf_dir)).drop("file_path")
+    rows = nexus.bank_summary(_stored_events(spark, sf_dir)).drop("file_path")
     return rows.withColumn("total_counts", F.coalesce("total_counts", F.lit(-1)))
 
 
 @query("SELECT 0::BIGINT AS misaligned, count(*) AS events FROM events")
 def chunk_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parallel datasets meet in every chunk."""
-    nodes = event_nodes(spark, sf_dir)
-    bad = nexus.misaligned_chunks(nodes).agg(F.count(F.lit(1)).alias("misaligned"))
-    total = nexus.bank_summary(nodes).agg(F.sum("events_extracted").alias("events"))
-    return bad.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one").drop("one")
+    nodes = _stored_events(spark, sf_dir)
+    none = F.lit(0).cast("bigint")
+    bad = nexus.misaligned_chunks(nodes).select(F.lit(1).cast("bigint").alias("misaligned"), none.alias("events"))
+    good = nexus.bank_summary(nodes).select(none.alias("misaligned"), F.col("events_extracted").alias("events"))
+    return bad.unionByName(good).agg(
+        F.sum("misaligned").alias("misaligned"), F.sum("events").alias("events")
+    )
 
 
 @query(

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.functions.text import order_sentence
-from tablework.operators.embedding import embed
+from tablework.operators.embedding import embed, sparse_entries
 from tablework.operators.numbering import dense_ids
+from tablework.operators.publish import stage
 from tablework.operators.similarity import (
     Queries,
     assign_cells,
@@ -166,17 +167,18 @@ def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_vectors(_stored(spark, sf_dir), first, second)
     stored = read_vectors(spark, first)
     entities = write_collection(assign_cells(stored, _centres(spark, sf_dir)), collection, dim=64)
-    return (
-        stored.agg(F.count(F.lit(1)).alias("n_first"))
-        .withColumn("one", F.lit(1))
-        .join(read_vectors(spark, second).agg(F.count(F.lit(1)).alias("n_second")).withColumn("one", F.lit(1)), "one")
-        .join(
-            spark.read.parquet(collection)
-            .agg(F.count_distinct("cell").alias("n_cells"))
-            .withColumn("one", F.lit(1)),
-            "one",
-        )
-        .select("n_first", "n_second", F.lit(entities).cast("bigint").alias("n_entities"), "n_cells")
+    parts = {
+        "n_first": stored.agg(F.count(F.lit(1)).alias("n")),
+        "n_second": read_vectors(spark, second).agg(F.count(F.lit(1)).alias("n")),
+        "n_cells": spark.read.parquet(collection).agg(F.count_distinct("cell").alias("n")),
+    }
+    facts = None
+    for name, part in parts.items():
+        row = part.select(F.lit(name).alias("fact"), "n")
+        facts = row if facts is None else facts.unionByName(row)
+    return facts.agg(
+        *[F.max(F.when(F.col("fact") == name, F.col("n"))).alias(name) for name in parts],
+        F.lit(entities).cast("bigint").alias("n_entities"),
     )
 
 
@@ -206,14 +208,9 @@ def embed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = landing(spark, sf_dir).select(
         F.col("OrderId").alias("order_id"), order_sentence().alias("sentence")
     )
-    entries = embed(texts, "order_id", "sentence").select(
-        "order_id", F.posexplode("embedding").alias("bucket", "value")
-    )
-    return entries.where("value <> 0").select(
-        "order_id",
-        F.col("bucket").cast("bigint").alias("bucket"),
-        F.round(F.col("value").cast("double"), 6).alias("weight"),
-    )
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entries = sparse_entries(embed(texts, "order_id", "sentence", tasks=tasks), "order_id")
+    return entries.withColumn("weight", F.round("weight", 6))
 
 
 SEARCH_SQL = f"""{ORDER_WEIGHTS_SQL},
@@ -247,7 +244,7 @@ def _questions(spark: SparkSession, sf_dir: str) -> Queries:
 
 @query(f"WITH {SEARCH_SQL} SELECT query_id, rank, id, order_id, score FROM hits")
 def semantic_search_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = order_vectors(landing(spark, sf_dir))
+    vectors = stage(spark, order_vectors(landing(spark, sf_dir)))
     return semantic_search(vectors, _questions(spark, sf_dir))
 
 
@@ -260,4 +257,5 @@ def semantic_search_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def search_then_fetch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = landing(spark, sf_dir)
-    return times_as_text(search_then_fetch(order_vectors(orders), orders, _questions(spark, sf_dir)))
+    vectors = stage(spark, order_vectors(orders))
+    return times_as_text(search_then_fetch(vectors, orders, _questions(spark, sf_dir)))

@@ -165,7 +165,7 @@ def test_hashed_words():
 
 def test_vector_rows_are_dense(spark):
     df = spark.createDataFrame([(f"k{i}", "t") for i in range(9)], "k string, t string")
-    rows = vector_rows(embed(df, "k", "t", Counting), "k", max_group=3).orderBy("id").collect()
+    rows = vector_rows(df, "k", "t", Counting, max_group=3).orderBy("id").collect()
     assert [(r["id"], r["order_id"]) for r in rows] == [(i, f"k{i}") for i in range(9)]
 
 
