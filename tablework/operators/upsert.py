@@ -88,6 +88,8 @@ def upsert_partitions(
     for value in touched:
         if str(value) not in filled:
             _delete(spark, f"{path.rstrip('/')}/{partition}={value}")
+    _delete(spark, staged_path)
+    _delete(spark, merged_path)
     return sorted(str(v) for v in touched)
 
 

@@ -83,7 +83,11 @@ def test_hot_order_is_split_and_counted_whole(spark, monkeypatch):
     docs = fixtures.order_documents(spark, sf_dir)
     assert docs.count() > 1_500
     whole = fixtures.landing(spark, sf_dir).agg(F.sum("LineCount")).first()[0]
-    assert flatten_orders(docs, NOW, split_documents=True).agg(F.sum("LineCount")).first()[0] == whole
+    split = flatten_orders(docs, NOW, split_documents=True)
+    assert split.agg(F.sum("LineCount")).first()[0] == whole
+    monkeypatch.setattr(fixtures, "LINES_PER_DOCUMENT", 1_000)
+    plain = flatten_orders(fixtures.order_documents(spark, sf_dir), NOW, split_documents=True)
+    assert split.exceptAll(plain).isEmpty() and plain.count() == split.count()
 
 
 def orders(spark, rows):
