@@ -52,7 +52,7 @@ def file_node_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {RUN_NODES_SQL}
-    SELECT file_path, path, size FROM (
+    SELECT file_path, path, size::BIGINT AS size FROM (
       SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY visit_order) AS rn
       FROM nodes WHERE kind = 'dataset' AND size > 100)
     WHERE rn <= 20"""

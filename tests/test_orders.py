@@ -68,6 +68,28 @@ def test_defaults_and_dates(spark):
     assert blank["SyncedAt"] == now
 
 
+def test_zoned_dates_do_not_depend_on_the_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = flatten(
+            spark,
+            [
+                doc("z", date="2024-01-02T03:04:05Z"),
+                doc("offset", date="2024-01-02T03:04:05+02:00"),
+                doc("naive", date="2024-01-02T03:04:05"),
+                doc("day", date="2024-01-02"),
+            ],
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {k: r["OrderDate"] for k, r in found.items()} == {
+        "z": dt.datetime(2024, 1, 2, 3, 4, 5),
+        "offset": dt.datetime(2024, 1, 2, 1, 4, 5),
+        "naive": dt.datetime(2024, 1, 2, 3, 4, 5),
+        "day": dt.datetime(2024, 1, 2),
+    }
+
+
 def test_split_document_is_put_together(spark):
     rows = [doc("o", [("a", 1.5, 2)], None), doc("o", [("b", 2.0, 1)], None), doc("p", [("a", 1.0, 1)], 9.0)]
     found = flatten(spark, rows, split_documents=True)

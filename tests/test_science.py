@@ -38,6 +38,7 @@ from tablework.sinks.tables import (
     create_orders_table,
     create_registry_table,
     write_manifest,
+    write_node_table,
     write_nodes,
     write_snapshot,
 )
@@ -348,6 +349,14 @@ def test_summary_reads_no_event_arrays(spark, plan):
     assert "values" not in first_scan
 
 
+def test_bucketed_nodes_unfold_without_a_shuffle(spark, plan):
+    create_namespace(spark, "nodes_test")
+    write_node_table(bank_nodes(spark), "nodes_test.h5_nodes", 4, scratch_path(spark, "nodes"))
+    rows = nexus.event_rows(spark.table("nodes_test.h5_nodes"))
+    assert rows.count() == 10
+    assert "Exchange" not in plan(rows, "simple")
+
+
 def test_misaligned_chunks_are_reported(spark):
     assert nexus.misaligned_chunks(bank_nodes(spark)).isEmpty()
     shifted = nodes(
