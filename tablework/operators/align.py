@@ -14,7 +14,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tablework.functions.times import NTZ
+from tablework.functions.times import naive_utc
 
 
 def align(df: DataFrame, schema: StructType, stamps: dict[str, Column] | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def _converted(value: Column, source: DataType, target: DataType) -> Column:
     if isinstance(target, StringType):
         return value.cast(target)
     if isinstance(target, TimestampNTZType) and isinstance(source, StringType):
-        return value.try_cast("timestamp").cast(NTZ)
+        return naive_utc(value)
     if isinstance(target, (TimestampType, TimestampNTZType)) and isinstance(
         source, (TimestampType, TimestampNTZType)
     ):
