@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.llm import words as W
+from tablework.llm.columns import reserve
 
 #: Bytes of text in one pair index.
 INDEX_BYTES = 24 << 20
@@ -284,15 +285,9 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _free(df: DataFrame, names: list[str]) -> None:
-    clash = {c.lower() for c in df.columns} & set(names)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are names of results; rename them first")
-
-
 def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """Add ``ids`` (array of int) and ``decoded`` (string) to every row."""
-    _free(df, ["ids", "decoded"])
+    reserve(df, ["ids", "decoded"])
     path = path or vocabulary_path()
     schema = T.StructType(
         [*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())]
@@ -316,7 +311,7 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFr
 
 def decode(df: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
     """Add ``decoded`` to rows of ids; null ids decode to the empty text."""
-    _free(df, ["decoded"])
+    reserve(df, ["decoded"])
     path = path or vocabulary_path()
     schema = T.StructType([*df.schema.fields, T.StructField("decoded", T.StringType())])
 

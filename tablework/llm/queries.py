@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
 
-from tablework.llm import bpe
+from tablework.llm import bpe, chat, exact_dedup, packing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +30,103 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; no SQL can do it, see the library comparison in the tests."""
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), plain AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
+        FROM turns
+    ), coded AS (
+        SELECT *, replace(replace(replace(text, '\', '\b'), '###', '\h##'), '</turn>', '\t/turn>') AS code,
+               replace(replace(replace(replace(replace(role, '\', '\b'), '###', '\h##'), '</turn>', '\t/turn>'),
+                       ':', '\c'), chr(10), '\n') AS name
+        FROM plain
+    ), said AS (
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+               coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '') AS loss,
+               sum(length('### ' || name || ': ' || code || ' </turn>' || chr(10))) AS formatted_chars
+        FROM coded GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+           CAST(formatted_chars AS BIGINT) AS formatted_chars
+    FROM said
+    """
+)
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings, rendered and read back."""
+    odd = "\\### Assistant: </turn> ok"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    messages = chat.fold_events(chat.turns_as_events(turns))
+    return chat.digests(chat.render(messages))
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query(
+    r"""
+    WITH rules(host, path, verdict) AS (VALUES
+        ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+    ), rest AS (
+        SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ), parsed AS (
+        SELECT page_id,
+               translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM rest
+    ), ranked AS (
+        SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+               row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS nth
+        FROM parsed p LEFT JOIN rules r
+          ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM ranked WHERE nth = 1
+    """
+)
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; the tests check it against the library and a plain packer."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH plain AS (
+        SELECT doc_id, length(coalesce(text, '')) AS chars,
+               regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+        FROM documents
+    ), placed AS (
+        SELECT doc_id, content,
+               first_value(doc_id) OVER (PARTITION BY content ORDER BY chars DESC, doc_id) AS keep_id,
+               count(*) OVER (PARTITION BY content) AS group_size
+        FROM plain
+    )
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM placed
+    """
+)
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
