@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, exact_dedup, packing, url_filter
+from tablework.llm import bpe, chat, exact_dedup, labelled, packing, quality, spotsigs, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edited texts; the tests check a plain version."""
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; the tests check held-out accuracy."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (labelled.fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; the tests check neighbours and held-out accuracy."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (labelled.fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted", "evidence"
+    )
+
+
 @query()
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; no SQL can do it, see the library comparison in the tests."""

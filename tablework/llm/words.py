@@ -73,9 +73,9 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return offsets, codes, words
 
 
-def hashes(words: list[str]) -> np.ndarray:
+def hashes(words) -> np.ndarray:
     """64-bit hashes of words, the same in every process."""
-    if not words:
+    if not len(words):
         return np.empty(0, np.uint64)
     return pd.util.hash_array(np.array(words, dtype=object), categorize=False)
 
