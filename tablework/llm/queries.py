@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, exact_dedup, labelled, packing, quality, spotsigs, toxicity, url_filter
+from tablework.llm import bpe, chat, exact_dedup, labelled, ngram_join, packing, quality, spotsigs, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,6 +95,30 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(messages))
 
 
+@query(
+    r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, list_filter(
+            regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+        FROM split
+    ), exploded AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y FROM exploded a JOIN exploded b USING (shingle) WHERE a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+    SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.least_id, s.doc_id)) AS component_id
+    FROM sets s LEFT JOIN (SELECT x, min(y) AS least_id FROM reach GROUP BY x) m ON m.x = s.doc_id
+    """
+)
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), 4, 85, 100)
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
