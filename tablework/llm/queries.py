@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, exact_dedup, labelled, ngram_join, packing, quality, spotsigs, toxicity, url_filter
+from tablework.llm import bpe, chat, exact_dedup, labelled, lm, ngram_join, packing, quality, spotsigs, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,44 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, list_filter(
+            regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+        FROM documents
+    ), counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM split) GROUP BY word),
+    kept AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) + 1 AS id FROM counts ORDER BY n DESC, word LIMIT 65534),
+    totals AS (SELECT (SELECT sum(n) FROM counts) AS words, (SELECT sum(n) FROM kept) AS known, (SELECT count(*) FROM documents) AS texts),
+    single AS (
+        SELECT id, n FROM kept UNION ALL SELECT 0, texts FROM totals UNION ALL SELECT 1, words - known FROM totals
+    ), placed AS (
+        SELECT doc_id, i, coalesce(k.id, 1) AS id
+        FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split) LEFT JOIN kept k USING (word)
+        UNION ALL SELECT doc_id, 0, 0 FROM split UNION ALL SELECT doc_id, len(words) + 1, 0 FROM split
+    ), moves AS (
+        SELECT doc_id, h, w FROM (
+            SELECT doc_id, i, lag(id) OVER (PARTITION BY doc_id ORDER BY i) AS h, id AS w FROM placed
+        ) WHERE i > 0
+    ), pairs AS (SELECT h, w, count(*) AS n FROM moves GROUP BY h, w),
+    logs AS (
+        SELECT h, w, p.n >= 2 AS seen, CAST(CASE WHEN p.n >= 2
+            THEN floor(ln(p.n) * 1e6 + 0.5) - floor(ln(a.n) * 1e6 + 0.5)
+            ELSE floor(ln(b.n) * 1e6 + 0.5) - floor(ln(t.words + t.texts) * 1e6 + 0.5) + floor(ln(0.4) * 1e6 + 0.5) END AS BIGINT) AS log
+        FROM pairs p JOIN single a ON a.id = p.h JOIN single b ON b.id = p.w, totals t
+    ), sums AS (
+        SELECT doc_id, count(*) AS n_transitions, count(*) FILTER (seen) AS n_seen, CAST(sum(log) AS BIGINT) AS score
+        FROM moves JOIN logs USING (h, w) GROUP BY doc_id
+    )
+    SELECT doc_id, n_transitions, n_seen, score / 1e6::DOUBLE AS log_score, score / 1e6::DOUBLE / n_transitions AS mean_log_score
+    FROM sums
+    """
+)
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; no SQL can do it, see the library comparison in the tests."""
