@@ -73,6 +73,7 @@ def fold_events(
     turns = log.groupBy("conv_id", "turn").agg(
         F.max(F.when(F.col("kind") != "delta", at)).alias("start"),
         F.max(F.when(F.col("opens") == 1, at)).alias("revised"),
+        F.max_by("role", F.when(F.col("role").isNotNull(), at)).alias("role"),
     )
     earlier = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("dropped", F.max("revised").over(earlier))
@@ -90,7 +91,7 @@ def fold_events(
         .groupBy(F.col("l.conv_id").alias("conv_id"), F.col("l.turn").alias("turn"))
         .agg(
             F.array_sort(F.collect_list(part)).alias("parts"),
-            F.max_by("l.role", F.when(F.col("l.role").isNotNull(), here)).alias("role"),
+            F.first("t.role").alias("role"),
         )
     )
     # Of several messages or edits at one place the last text stands; deltas follow it.

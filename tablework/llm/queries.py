@@ -124,10 +124,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are control strings, rendered and read back."""
-    odd = "\\### Assistant: </turn> ok"
-    planted = spark.createDataFrame(
-        [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"
-    )
+    odd = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, odd.alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     messages = chat.fold_events(chat.turns_as_events(turns))
     return chat.digests(chat.render(messages))
@@ -189,7 +188,8 @@ URL_RULES = [
     """
 )
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
