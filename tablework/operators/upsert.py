@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablework.operators.numbering import first_per_group
-from tablework.runtime import scratch_path, small_rows
-from tablework.sinks.layout import laid_out
+from tablework.runtime import cut_lineage, scratch_path
 
 
 def newest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
@@ -37,6 +37,19 @@ def upsert(
     return source.unionByName(kept)
 
 
+def partition_key(column: str) -> Column:
+    """A partition value as text that needs no escaping in a path and is never NULL.
+
+    Plain values stay readable (``v_...``), others are hex (``x_...``, also the
+    empty text) and NULL is ``null``. A table partitioned by this key keeps NULL
+    and the empty text apart; the column itself stays in the files.
+    """
+    text = F.col(column).cast("string")
+    plain = F.concat(F.lit("v_"), text)
+    coded = F.concat(F.lit("x_"), F.hex(text))
+    return F.when(text.isNull(), "null").when(text.rlike("^[A-Za-z0-9.-]+$"), plain).otherwise(coded)
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -44,53 +57,54 @@ def upsert_partitions(
     keys: list[str],
     partition: str,
     newest_first: list[Column] | None = None,
-    max_partitions: int = 100_000,
 ) -> list[str]:
     """Upsert into a partitioned Parquet table, rewriting only touched partitions.
 
     Touched are the partitions present in the source and those where matched
-    keys live now, since a key may move. The source and the merged rows are
-    written to shared scratch first, so the table is never read and overwritten
-    by one plan; a run that stops half-way can simply be repeated. Returns the
-    touched partition values.
+    keys live now, since a key may move. They stay a DataFrame and meet the
+    table in a null-safe semi-join, so their number is not limited. The merged
+    rows are written once: a dynamic overwrite puts partitions in place after
+    all its tasks have read, and a run that stops half-way can be repeated.
+
+    A Parquet partition can't tell the empty text from NULL; it is stored as
+    NULL. Partition by :func:`partition_key` where the difference matters.
+    Returns the touched partition values.
     """
-    staged_path, merged_path = scratch_path(spark, "source"), scratch_path(spark, "merged")
+    staged_path = scratch_path(spark, "source")
     if newest_first:
         source = newest_per_key(source, keys, newest_first)
-    source.write.parquet(staged_path)
+    stored = F.nullif(F.col(partition), F.lit("")) if source.schema[partition].dataType == T.StringType() else F.col(partition)
+    source.withColumn(partition, stored).write.parquet(staged_path)
     staged = spark.read.schema(source.schema).parquet(staged_path)
-    target = spark.read.parquet(path)
-    target = target.select(
-        *[F.col(c).cast(source.schema[c].dataType).alias(c) for c in source.columns]
-    )
+    target = spark.read.schema(source.schema).parquet(path).select(*source.columns)
 
     moved = target.join(staged.select(*keys), keys, "left_semi")
-    touched_rows = small_rows(
-        staged.select(partition).union(moved.select(partition)).distinct(), max_partitions
-    )
-    if touched_rows is None:
-        raise ValueError(f"more than {max_partitions} partitions touched; partition more coarsely")
-    touched = [row[0] for row in touched_rows]
-
-    affected = target.where(F.col(partition).isin(touched))
-    merged = upsert(affected, staged, keys)
-    merged.write.parquet(merged_path)
-    merged = spark.read.schema(source.schema).parquet(merged_path)
+    touched = cut_lineage(staged.select(partition).union(moved.select(partition)).distinct())
+    affected = _in(target, touched, partition, "left_semi")
+    kept = affected.join(staged.select(*keys), keys, "left_anti").select(partition)
+    # A dynamic overwrite leaves partitions alone that receive no row.
+    emptied = _in(touched, kept.union(staged.select(partition)).distinct(), partition, "left_anti").collect()
     (
-        laid_out(merged, partition, keys)
+        upsert(affected, staged, keys)
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    # A dynamic overwrite leaves partitions alone that received no row.
-    filled = {str(r[0]) for r in merged.select(partition).distinct().collect()}
-    for value in touched:
-        if str(value) not in filled:
-            _delete(spark, f"{path.rstrip('/')}/{partition}={value}")
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in emptied:
+        value = None if row[0] is None else str(row[0])
+        _delete(spark, f"{path.rstrip('/')}/{names.getPartitionPathString(partition, value)}")
+    values = sorted(str(row[0]) for row in touched.collect())
     _delete(spark, staged_path)
-    _delete(spark, merged_path)
-    return sorted(str(v) for v in touched)
+    return values
+
+
+def _in(rows: DataFrame, values: DataFrame, column: str, how: str) -> DataFrame:
+    """Rows whose value is (not) among ``values``; NULL equals NULL."""
+    listed = values.select(F.col(column).alias("__listed"))
+    return rows.join(listed, F.col(column).eqNullSafe(F.col("__listed")), how)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

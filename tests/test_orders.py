@@ -155,6 +155,31 @@ def test_partition_upsert_moves_rows_and_clears_emptied_days(spark):
     assert "2024-01-03" not in touched and "2024-01-09" in touched
 
 
+@pytest.mark.parametrize("encoded", [False, True])
+def test_partition_upsert_keeps_null_empty_and_escaped_partitions(spark, encoded):
+    from tablework.operators.upsert import partition_key
+
+    odd = ["x:1", "a/b", "c=d", "e f", "100%", "é"]
+    rows = [("a", "x"), ("b", None), ("c", None), ("d", "")] + [(f"k{i}", v) for i, v in enumerate(odd)]
+
+    def table(rows):
+        df = spark.createDataFrame(rows, "id string, p string")
+        return df.withColumn("key", partition_key("p")) if encoded else df
+
+    name = "key" if encoded else "p"
+    path = scratch_path(spark, "table")
+    table(rows).write.partitionBy(name).parquet(path)
+    changes = [("e", None)] + [(f"k{i}", "y" if i % 2 else "e f") for i in range(len(odd))]
+    expected = {**dict(rows), **dict(changes)}
+    if not encoded:
+        expected["d"] = None
+    for _ in range(2):
+        upsert_partitions(spark, path, table(changes), ["id"], name)
+        found = spark.read.schema(table(rows).schema).parquet(path)
+        assert found.count() == len(expected)
+        assert {r["id"]: r["p"] for r in found.collect()} == expected
+
+
 def test_commit_log(spark):
     log = CommitLog(spark, scratch_path(spark, "log"), ["OrderId"])
     assert log.commit(orders(spark, [("a", "v1", 1, 1), ("b", "v1", 1, 1)]), "2024-01-01 00:00:00") == 1
