@@ -220,6 +220,37 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def discounted_documents(spark: SparkSession, sf_dir: str, whole: bool = True) -> DataFrame:
+    """Documents without an amount whose prices carry up to four decimals.
+
+    One row per order, or one numbered part per line. An order has few lines.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.struct(
+            F.col("l_partkey").cast("string").alias("ProductName"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("Price"),
+            F.col("l_quantity").cast("int").alias("Quantity"),
+        ).alias("line"),
+    )
+    if whole:
+        parts = lines.groupBy("l_orderkey").agg(F.lit(0).alias("Part"), F.collect_list("line").alias("Lines"))
+    else:
+        parts = lines.select("l_orderkey", F.col("l_linenumber").alias("Part"), F.array("line").alias("Lines"))
+    orders = table(spark, sf_dir, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return orders.select(
+        F.concat(F.lit("orders/"), "o_orderkey").alias("id"),
+        F.concat(F.lit("customers/"), "o_custkey").alias("CustomerId"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("OrderDate"),
+        F.col("o_orderstatus").alias("Status"),
+        "Lines",
+        F.lit(None).cast("double").alias("TotalAmount"),
+        F.struct(F.lit("").alias("City"), F.lit("").alias("Country")).alias("ShipTo"),
+        "Part",
+    )
+
+
 FLAT_SQL = """
 lines AS (
   SELECT l_orderkey, count(*) AS n,

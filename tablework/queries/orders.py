@@ -22,6 +22,7 @@ from tablework.queries.fixtures import (
     NOW,
     ORDER_COLUMNS_SQL,
     changes,
+    discounted_documents,
     event_orders,
     landing,
     later_changes,
@@ -60,6 +61,32 @@ def landing_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_by_day(flat)
 
 
+@query(
+    """SELECT 'orders/' || o_orderkey AS "OrderId", coalesce(round(sum((l_extendedprice * (1 - l_discount))::DECIMAL(24,8)
+             * l_quantity::DECIMAL(10,0)), 2), 0)::DOUBLE AS "TotalAmount", count(l_orderkey) AS "LineCount"
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
+)
+def orders_in_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents flattened in their row; discounted prices carry more than two decimals."""
+    documents = discounted_documents(spark, sf_dir)
+    return flatten_orders(documents, NOW).select("OrderId", "TotalAmount", "LineCount")
+
+
+@query(
+    """WITH parts AS (
+      SELECT l_orderkey, max((l_extendedprice * (1 - l_discount))::DECIMAL(24,8) * l_quantity::DECIMAL(10,0)) AS total
+      FROM lineitem GROUP BY l_orderkey, l_linenumber)
+    SELECT 'orders/' || o_orderkey AS "OrderId", coalesce(round(sum(total), 2), 0)::DOUBLE AS "TotalAmount",
+           count(l_orderkey) AS "LineCount"
+    FROM orders LEFT JOIN parts ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
+)
+def orders_parts_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as numbered parts, each delivered twice; of rows with one number the larger counts."""
+    documents = discounted_documents(spark, sf_dir, whole=False)
+    twice = documents.unionByName(documents)
+    return flatten_orders(twice, NOW, split_documents=True).select("OrderId", "TotalAmount", "LineCount")
+
+
 MERGED_SQL = f"""{LANDING_SQL}, {CHANGES_SQL},
 merged AS (SELECT * FROM changes UNION ALL
            SELECT * FROM landing t WHERE NOT EXISTS
