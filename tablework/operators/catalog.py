@@ -17,6 +17,7 @@ from tablework.functions.times import run_time
 from tablework.functions.values import attribute_or, joined_text, megabytes, number_text
 from tablework.operators.align import align
 from tablework.operators.keys import unique_keys
+from tablework.operators.nexus import whole
 from tablework.operators.numbering import first_per_group
 from tablework.schemas import FILE_METADATA, H5_CATALOG
 
@@ -85,8 +86,14 @@ def entry_metadata(nodes: DataFrame) -> DataFrame:
     level = [F.get(path, F.lit(i)) for i in range(4)]
     dataset, group = F.col("kind") == "dataset", F.col("kind") == "group"
     relevant = F.lower("g2").contains("instrument") | F.col("g2").isin("sample", "user")
+    second = F.get(F.split("node_path", "/"), F.lit(1))
+    wanted = nodes.where(F.col("depth").between(1, 4) & F.col("kind").isin("group", "dataset")).where(
+        (F.col("depth") == 1)
+        | second.isin(*ENTRY_FIELDS, "sample", "user")
+        | F.lower(second).contains("instrument")
+    )
     rows = (
-        nodes.where((F.col("chunk_offset") == 0) & F.col("depth").between(1, 4))
+        whole(wanted)
         .select(
             "file_path",
             "depth",

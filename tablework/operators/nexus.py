@@ -28,6 +28,8 @@ RUN_FIELDS = (
     "total_uncounted_counts",
 )
 
+#: Elements of a cell, in which parallel arrays meet whatever their chunks are.
+CELL = 10_000
 #: Points of one log that share a copy of the log's facts.
 POINTS_PER_SLICE = 1_000_000
 
@@ -45,6 +47,28 @@ def element_doubles() -> Column:
     )
 
 
+def whole(rows: DataFrame) -> DataFrame:
+    """One row per node: the elements of all its chunks in order, other columns of its first chunk.
+
+    For named fields, whose elements fit a row; logs and events stay in chunks.
+    """
+    values = ("str_values", "int_values", "dbl_values")
+    keys = ("file_path", "node_path")
+    others = [c for c in rows.columns if c not in (*values, *keys, "chunk_offset")]
+
+    def all_of(name: str) -> Column:
+        chunks = F.collect_list(F.when(F.col(name).isNotNull(), F.struct("chunk_offset", F.col(name).alias("v"))))
+        return F.when(F.count(name) > 0, F.flatten(F.transform(F.array_sort(chunks), lambda c: c["v"])))
+
+    first = F.min_by(F.struct(*others), F.col("chunk_offset"))
+    gathered = rows.groupBy(*keys).agg(
+        first.alias("__first"), F.min("chunk_offset").alias("chunk_offset"), *[all_of(v).alias(v) for v in values]
+    )
+    return gathered.select(
+        *[F.col(f"__first.{c}").alias(c) if c in others else F.col(c) for c in rows.columns]
+    )
+
+
 def field_text() -> Column:
     """NULL when empty, the value when single, list text when several."""
     return unwrapped_text(element_texts())
@@ -55,8 +79,8 @@ def _datasets(nodes: DataFrame) -> DataFrame:
 
 
 def _field_rows(datasets: DataFrame, group: Column, field: Column) -> DataFrame:
-    """One row per field, or per chunk of a field too large for one row."""
-    return datasets.select(
+    """One row per field with its whole value, however it is stored."""
+    return whole(datasets).select(
         "file_path",
         group.alias("group"),
         field.alias("field"),
@@ -104,14 +128,7 @@ def _child_fields(nodes: DataFrame, root: str, wanted) -> DataFrame:
 def wide_fields(rows: DataFrame, fields: list[str]) -> DataFrame:
     """Chosen fields as columns, one row per group; the list keeps this one pass."""
     return rows.groupBy("file_path", "group").agg(
-        *[F.max(F.when(F.col("field") == f, _single_chunk())).alias(f) for f in fields]
-    )
-
-
-def _single_chunk() -> Column:
-    """Refuse a field that spans several rows instead of showing its first part."""
-    return F.when(F.col("chunk_offset") == 0, F.col("value")).otherwise(
-        F.raise_error(F.concat(F.lit("field spans several chunks: "), F.col("field")))
+        *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields]
     )
 
 
@@ -119,18 +136,13 @@ def run_metadata(
     nodes: DataFrame, entry: str = "entry", now: Column | str | None = None
 ) -> DataFrame:
     """Run-level fields plus file and entry attributes, one row per file."""
-    here = F.col("chunk_offset") == 0
     field = (F.col("kind") == "dataset") & (F.col("parent_path") == entry)
     root, is_entry = F.col("kind") == "file", (F.col("node_path") == entry) & (F.col("kind") == "group")
-    rows = nodes.where(here & (root | is_entry | (field & F.col("name").isin(*RUN_FIELDS))))
-    whole = F.when(
-        F.size(element_texts()) < F.col("size"),
-        F.raise_error(F.concat(F.lit("field spans several chunks: "), F.col("node_path"))),
-    ).otherwise(field_text())
+    rows = whole(nodes.where(root | is_entry | (field & F.col("name").isin(*RUN_FIELDS))))
     found = F.max(is_entry.cast("int")) == 1
     values = rows.groupBy("file_path").agg(
         found.alias("has_entry"),
-        *[F.max(F.when(field & (F.col("name") == f), whole)).alias(f) for f in RUN_FIELDS],
+        *[F.max(F.when(field & (F.col("name") == f), field_text())).alias(f) for f in RUN_FIELDS],
         F.first(F.when(root, F.col("attrs")), ignorenulls=True).alias("file_attrs"),
         F.first(F.when(is_entry, F.col("attrs")), ignorenulls=True).alias("entry_attrs"),
     )
@@ -157,13 +169,57 @@ def attribute_rows(nodes: DataFrame) -> DataFrame:
     )
 
 
+def in_cells(chunks: DataFrame, cell: int = CELL) -> DataFrame:
+    """Chunks cut at multiples of ``cell``: adds ``cell`` and ``start``, the place of the first element.
+
+    Parallel datasets may be chunked at different positions; cut at common
+    ones, their pieces can be grouped and lined up. A chunk inside one cell is
+    passed on as it is.
+    """
+    values = ("str_values", "int_values", "dbl_values")
+    length = F.coalesce(*[F.when(F.col(v).isNotNull(), F.size(v)) for v in values])
+    size = F.lit(cell).cast("bigint")
+    low, high = F.floor(F.col("chunk_offset") / size), F.floor((F.col("chunk_offset") + F.col("__length") - 1) / size)
+    cut = (
+        chunks.withColumn("__length", length)
+        .where(F.col("__length") > 0)
+        .withColumn("cell", F.explode(F.sequence(low, high)))
+        .withColumn("__from", F.greatest(F.col("cell") * size - F.col("chunk_offset"), F.lit(0)).cast("int"))
+        .withColumn("__to", F.least((F.col("cell") + 1) * size - F.col("chunk_offset"), F.col("__length")).cast("int"))
+    )
+    inside = (F.col("__from") == 0) & (F.col("__to") == F.col("__length"))
+    pieces = {
+        v: F.when(inside, F.col(v)).otherwise(F.slice(v, F.col("__from") + 1, F.col("__to") - F.col("__from"))) for v in values
+    }
+    return cut.withColumns({**pieces, "start": F.col("chunk_offset") + F.col("__from")}).drop("__length", "__from", "__to")
+
+
+def _lined_up(name: str, column: str) -> Column:
+    """The pieces of one dataset in a cell as one array, NULL without any; typed, as stored."""
+    mine = (F.col("name") == name) & F.col(column).isNotNull()
+    pieces = F.collect_list(F.when(mine, F.struct("start", F.col(column).alias("v"))))
+    return F.when(F.count_if(mine) > 0, F.flatten(F.transform(F.array_sort(pieces), lambda p: p["v"])))
+
+
+def _doubles(prefix: str) -> Column:
+    return F.coalesce(
+        F.col(f"{prefix}_dbl"),
+        F.transform(f"{prefix}_int", lambda v: v.cast("double")),
+        F.transform(f"{prefix}_str", lambda v: v.try_cast("double")),
+    )
+
+
+def _arrays(name: str, prefix: str) -> list[Column]:
+    return [_lined_up(name, f"{kind}_values").alias(f"{prefix}_{kind}") for kind in ("str", "int", "dbl")]
+
+
 def daslog_rows(
     nodes: DataFrame, entry: str = "entry", points_per_slice: int = POINTS_PER_SLICE
 ) -> DataFrame:
     """One row per point of every log; a log without a series keeps one row.
 
-    Time and value chunks of a log meet in one grouping on the chunk position,
-    whose groups hold two rows. The facts of a log are copied once per
+    Time and value chunks of a log are cut at common positions and meet in one
+    grouping per cell, as typed arrays; they become text after that. The facts of a log are copied once per
     ``points_per_slice`` points, so a log with a third of all points is joined
     in many equal slices.
     """
@@ -185,7 +241,7 @@ def daslog_rows(
     sizes = data.where((F.col("chunk_offset") == 0) & F.col("name").isin(*series)).select(
         "file_path", "log_path", "name", "size", F.lit(None).cast("string").alias("text")
     )
-    scalars = data.where((F.col("chunk_offset") == 0) & F.col("name").isin(*facts)).select(
+    scalars = whole(data.where(F.col("name").isin(*facts))).select(
         "file_path", "log_path", "name", F.lit(None).cast("bigint").alias("size"), field_text().alias("text")
     )
     named = groups.select(
@@ -232,18 +288,18 @@ def daslog_rows(
         "file_path", "log_path", "pulses", *columns,
         F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("slice"),
     )
-    texts = F.when(F.col("name") == "value", element_texts())
-    pulse = F.when(F.col("dbl_values").isNotNull(), F.lit("1.0")).otherwise(F.lit("1"))
     chunks = (
-        data.where(F.col("name").isin(*series))
-        .groupBy("file_path", "log_path", "chunk_offset")
-        .agg(
-            F.first(F.when(F.col("name") == "time", element_doubles()), ignorenulls=True).alias("t"),
-            F.first(texts, ignorenulls=True).alias("v"),
-            F.first(
-                F.when(F.col("name") == "veto_pulse_time", element_doubles()), ignorenulls=True
-            ).alias("pulse_t"),
-            F.max(F.when(F.col("name") == "veto_pulse_time", pulse)).alias("pulse_v"),
+        in_cells(data.where(F.col("name").isin(*series)))
+        .groupBy("file_path", "log_path", "cell")
+        .agg(*_arrays("time", "time"), *_arrays("value", "value"), *_arrays("veto_pulse_time", "pulse"))
+        .select(
+            "file_path",
+            "log_path",
+            (F.col("cell") * CELL).alias("chunk_offset"),
+            _doubles("time").alias("t"),
+            F.coalesce(F.col("value_str"), as_texts("value_int"), as_texts("value_dbl")).alias("v"),
+            _doubles("pulse").alias("pulse_t"),
+            F.when(F.col("pulse_dbl").isNotNull(), F.lit("1.0")).otherwise(F.lit("1")).alias("pulse_v"),
         )
         .withColumn("slice", F.floor(F.col("chunk_offset") / points_per_slice))
     )
@@ -305,22 +361,25 @@ def event_rows(
 ) -> DataFrame:
     """Detector events of every bank that has ids and time offsets.
 
-    Work is split by chunk, never by bank: the two chunks of a position meet in
-    one small group and unfold in place. ``max_events`` (None or 0 for all)
-    keeps the first events of each bank and skips whole chunks beyond it.
+    Work is split by chunk, never by bank: chunks are cut at common positions
+    and the pieces of a cell unfold in place. Node tables that were stored
+    aligned skip the cutting and keep their bucketing. ``max_events`` (None or 0
+    for all) keeps the first events of each bank and skips chunks beyond it.
     """
     chunks = _banks(nodes, entry).where(F.col("name").isin("event_id", "event_time_offset"))
     if max_events:
         chunks = chunks.where(F.col("chunk_offset") < max_events)
-    ids = F.coalesce(F.col("int_values"), F.transform("dbl_values", lambda v: v.cast("bigint")))
+    if "aligned" in nodes.columns:
+        chunks = chunks.withColumn("start", F.col("chunk_offset"))
+        keys, at = ["file_path", "parent_path", "chunk_offset"], F.col("chunk_offset")
+    else:
+        chunks = in_cells(chunks)
+        keys, at = ["file_path", "parent_path", "cell"], F.col("cell") * CELL
+    ids = F.coalesce(F.col("ids_int"), F.transform("ids_dbl", lambda v: v.cast("bigint")))
     pairs = (
-        chunks.groupBy("file_path", "parent_path", "chunk_offset")
-        .agg(
-            F.first(F.when(F.col("name") == "event_id", ids), ignorenulls=True).alias("i"),
-            F.first(
-                F.when(F.col("name") == "event_time_offset", element_doubles()), ignorenulls=True
-            ).alias("t"),
-        )
+        chunks.groupBy(*keys)
+        .agg(*_arrays("event_id", "ids"), *_arrays("event_time_offset", "offsets"))
+        .select("file_path", "parent_path", at.alias("chunk_offset"), ids.alias("i"), _doubles("offsets").alias("t"))
         .withColumn("n", F.least(F.size("i"), F.size("t")))
         .where(F.col("i").isNotNull() & F.col("t").isNotNull() & (F.col("n") > 0))
     )
@@ -345,7 +404,8 @@ def bank_summary(
     nodes: DataFrame, entry: str = "entry", max_events: int | None = None
 ) -> DataFrame:
     """Counts of every bank with ids or offsets, read from dataset sizes alone."""
-    rows = _banks(nodes, entry).where(F.col("chunk_offset") == 0)
+    banks = _banks(nodes, entry)
+    rows = banks.where(F.col("chunk_offset") == 0)
 
     def size_of(name: str) -> Column:
         return F.max(F.when(F.col("name") == name, F.col("size")))
@@ -353,7 +413,7 @@ def bank_summary(
     sizes = rows.where(
         F.col("name").isin("event_id", "event_time_offset", "event_index")
     ).select("file_path", "bank", "name", "size", F.lit(None).cast("bigint").alias("total"))
-    totals = rows.where(F.col("name") == "total_counts").select(
+    totals = whole(banks.where(F.col("name") == "total_counts")).select(
         "file_path",
         "bank",
         "name",
@@ -380,10 +440,37 @@ def bank_summary(
     )
 
 
+#: Datasets that are read in parallel.
+PARALLEL = ("event_id", "event_time_offset", "time", "value", "veto_pulse_time")
+
+
+def aligned(nodes: DataFrame, cell: int = CELL) -> DataFrame:
+    """The node table with parallel datasets chunked at common positions, marked ``aligned``."""
+    parallel = F.coalesce((F.col("kind") == "dataset") & F.col("name").isin(*PARALLEL) & (F.col("size") > 0), F.lit(False))
+    cut = in_cells(nodes.where(parallel), cell)
+    keys = ["file_path", "node_path", "cell"]
+    values = ("str_values", "int_values", "dbl_values")
+    others = [c for c in nodes.columns if c not in (*values, *keys, "chunk_offset")]
+    together = cut.groupBy(*keys).agg(
+        F.min_by(F.struct(*others), F.col("start")).alias("__first"),
+        *[
+            F.when(F.count(v) > 0, F.flatten(F.transform(
+                F.array_sort(F.collect_list(F.when(F.col(v).isNotNull(), F.struct("start", F.col(v).alias("v"))))),
+                lambda p: p["v"],
+            ))).alias(v)
+            for v in values
+        ],
+    )
+    placed = together.withColumn("chunk_offset", (F.col("cell") * cell).cast(nodes.schema["chunk_offset"].dataType)).select(
+        *[F.col(f"__first.{c}").alias(c) if c in others else F.col(c) for c in nodes.columns]
+    )
+    return nodes.where(~parallel).unionByName(placed).withColumn("aligned", F.lit(True))
+
+
 def misaligned_chunks(nodes: DataFrame) -> DataFrame:
     """Chunk positions where parallel datasets of a group do not meet.
 
-    Empty for a sound node table. Ids and offsets, or times and values, must
+    Empty for a table that :func:`aligned` has stored. Ids and offsets, or times and values, must
     share their positions up to the end of the shorter dataset.
     """
     pairs = {"event_id": "events", "event_time_offset": "events", "time": "log", "value": "log"}

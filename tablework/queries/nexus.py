@@ -233,6 +233,28 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nexus.event_rows(_stored_events(spark, sf_dir)).drop("file_path")
 
 
+def _uneven_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event file with offsets and log values chunked elsewhere than ids and times."""
+    nodes = event_nodes(spark, sf_dir)
+    other = F.col("name").isin("event_time_offset", "value") & (F.col("size") > 0)
+    cut = nexus.in_cells(nodes.where(other), 370).withColumn("chunk_offset", F.col("start").cast(nodes.schema["chunk_offset"].dataType))
+    return nodes.where(~other).unionByName(cut.select(*nodes.columns))
+
+
+@query(f"WITH {EVENT_ROWS_SQL} SELECT * FROM event_rows")
+def event_rows_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events when parallel datasets have different chunk lengths."""
+    return nexus.event_rows(_uneven_nodes(spark, sf_dir)).drop("file_path")
+
+
+@query(f"WITH {DASLOG_SQL} SELECT * REPLACE (coalesce(point_idx, -1) AS point_idx) FROM daslog")
+def daslog_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = nexus.daslog_rows(_uneven_nodes(spark, sf_dir)).drop("file_path")
+    return rows.withColumns(
+        {"value": F.col("value").cast("double"), "point_idx": F.coalesce("point_idx", F.lit(-1))}
+    )
+
+
 @query(f"WITH {EVENT_ROWS_SQL} SELECT * FROM event_rows WHERE event_idx < 700")
 def event_rows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first events of each bank, when a reader asks for that many only."""

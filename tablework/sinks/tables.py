@@ -120,14 +120,14 @@ def write_nodes(nodes: DataFrame, path: str, bulk_size: int = 1_000) -> None:
 def write_node_table(
     nodes: DataFrame, table: str, buckets: int, location: str | None = None, bulk_size: int = 1_000
 ) -> None:
-    """The same as a table bucketed by chunk position.
+    """The same as a table bucketed by chunk position, with parallel datasets aligned.
 
     The two chunks of a position then lie in one bucket, and logs and events
     unfold without a shuffle of their arrays. One shuffle here replaces one in
     every later read.
     """
     keys = ["file_path", "parent_path", "chunk_offset"]
-    placed = nodes.withColumn("bulk", F.coalesce(F.col("size") > bulk_size, F.lit(False)))
+    placed = nexus.aligned(nodes).withColumn("bulk", F.coalesce(F.col("size") > bulk_size, F.lit(False)))
     writer = (
         placed.repartition(buckets, *keys)
         .write.mode("errorifexists")

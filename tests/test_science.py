@@ -390,15 +390,49 @@ def test_run_metadata(spark):
     assert found["g.h5"]["file_attrs"] is None and found["g.h5"]["title"] is None
 
 
-def test_chunked_field_is_never_shown_in_part(spark):
-    table = nodes(spark, [g("entry"), d("entry/notes", [1, 2], 4, 0), d("entry/notes", [3, 4], 4, 2)])
-    with pytest.raises(Exception, match="several chunks"):
-        nexus.run_metadata(table).collect()
-    sample = nodes(spark, [d("entry/sample/x", [1], 2, 0), d("entry/sample/x", [2], 2, 1)])
+def test_chunked_field_is_shown_whole(spark):
+    table = nodes(spark, [g("entry"), d("entry/notes", [3, 4], 4, 2), d("entry/notes", [1, 2], 4, 0)])
+    assert nexus.run_metadata(table).first()["notes"] == "[1, 2, 3, 4]"
+    sample = nodes(spark, [d("entry/sample/x", [2], 2, 1), d("entry/sample/x", [1], 2, 0)])
     rows = nexus.sample_fields(sample)
-    assert sorted((r["chunk_offset"], r["value"]) for r in rows.collect()) == [(0, "1"), (1, "2")]
-    with pytest.raises(Exception, match="several chunks"):
-        nexus.wide_fields(rows, ["x"]).collect()
+    assert [(r["chunk_offset"], r["value"]) for r in rows.collect()] == [(0, "[1, 2]")]
+    assert nexus.wide_fields(rows, ["x"]).first()["x"] == "[1, 2]"
+
+
+def test_chunked_texts_are_shown_whole(spark):
+    table = nodes(
+        spark,
+        [
+            g("entry", "NXentry"),
+            d("entry/title", ["a", "b"], 4, 0),
+            d("entry/title", ["c", "d"], 4, 2),
+            g("entry/DASlogs", "NXcollection"),
+            g("entry/DASlogs/temp", "NXlog"),
+            d("entry/DASlogs/temp/device_name", ["a", "b"], 4, 0),
+            d("entry/DASlogs/temp/device_name", ["c", "d"], 4, 2),
+        ],
+    )
+    assert entry_metadata(table).first()["title"] == "a, b, c, d"
+    assert nexus.daslog_rows(table).first()["device_name"] == "[a, b, c, d]"
+
+
+@pytest.mark.parametrize("store", [False, True])
+def test_parallel_datasets_meet_under_any_chunking(spark, store):
+    rows = [g("entry"), g("entry/DASlogs"), g("entry/DASlogs/temp")]
+    rows += [d("entry/b_events/event_id", [1, 2, 3, 4], 4, 0)]
+    rows += [d("entry/b_events/event_time_offset", [1.0], 4, 0), d("entry/b_events/event_time_offset", [2.0, 3.0, 4.0], 4, 1)]
+    rows += [d("entry/DASlogs/temp/time", [0.0, 1.0, 2.0], 5, 0), d("entry/DASlogs/temp/time", [3.0, 4.0], 5, 3)]
+    rows += [d("entry/DASlogs/temp/value", [5, 6], 4, 0), d("entry/DASlogs/temp/value", [7, 8], 4, 2)]
+    table = nodes(spark, rows)
+    if store:
+        table = nexus.aligned(table, 2)
+        assert nexus.misaligned_chunks(table).isEmpty()
+    found = nexus.event_rows(table).orderBy("event_idx").collect()
+    assert [(r["event_idx"], r["event_id"], r["time_offset"]) for r in found] == [(i, i + 1, i + 1.0) for i in range(4)]
+    (bank,) = nexus.bank_summary(table).collect()
+    assert bank["events_extracted"] == 4
+    points = nexus.daslog_rows(table).orderBy("point_idx").collect()
+    assert [(r["point_idx"], r["time"], r["value"]) for r in points] == [(i, float(i), str(i + 5)) for i in range(4)]
 
 
 def test_manifest_file(spark):
