@@ -44,8 +44,8 @@ COUNTERS_LOG2 = 20
 SLICE_ROWS = 16
 #: Min-hash keys that propose leaders.
 KEYS = 3
-#: Longest prefix extension, and the estimated candidates from which each step is taken.
-LEVELS, COST_STEPS = 4, (16, 128, 1024)
+#: Most shared prefix tokens asked for; one more for each doubling of the estimated cost from this on.
+LEVELS, COST_UNIT = 8, 16
 #: Up to this many ids (16 MB as a hash relation) travel as a broadcast; beyond, they are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -203,7 +203,7 @@ def compare(pairs: DataFrame, docs: DataFrame, k: int, text: str = "text") -> Da
 
 
 def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """doc_id, n, star, distance to its leader and whether the star has several members."""
+    """doc_id, n, star, distance to its leader, whether the star has several members, and their sizes (lo, hi)."""
     sets = classes.where("n > 0")
     keyed = sets.select("doc_id", "n", F.posexplode("keys").alias("j", "key"))
     leaders = keyed.groupBy("j", "key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -226,11 +226,17 @@ def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, te
         .agg(F.min(F.struct("b", "distance")).alias("to"))
         .select("doc_id", F.col("to.b").alias("star"), F.col("to.distance").alias("distance"))
     )
-    several = direct.select("star").distinct().withColumn("several", F.lit(True))
+    heads = sets.select(F.col("doc_id").alias("star"), F.col("n").alias("head_n"))
+    members = direct.join(sets.select("doc_id", "n"), "doc_id").groupBy("star").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    several = members.join(heads, "star").select(
+        "star", F.least("lo", "head_n").alias("lo"), F.greatest("hi", "head_n").alias("hi"), F.lit(True).alias("several")
+    )
     placed = sets.select("doc_id", "n").join(direct, "doc_id", "left").select(
         "doc_id", "n", F.coalesce("star", "doc_id").alias("star"), F.coalesce("distance", F.lit(0.0)).alias("distance")
     )
-    placed = placed.join(several, "star", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+    placed = placed.join(several, "star", "left").withColumns(
+        {"several": F.coalesce("several", F.lit(False)), "lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")}
+    )
     return cut_lineage(placed), links.select("a", "b")
 
 
@@ -256,8 +262,9 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, num: int, den: int, te
             tokens, often = tokens[order], often[order].astype(np.int64)
             plain = sizes - least(sizes, num, den) + 1
             place = np.arange(len(tokens)) - bounds[owner]
-            cost = np.bincount(owner, np.where(place < plain[owner], np.maximum(often - usual, 0), 0), len(sizes))
-            wanted = 1 + np.searchsorted(np.array(COST_STEPS), cost, "right")
+            # Counts bound the documents that a prefix token meets from above.
+            cost = np.bincount(owner, np.where(place < plain[owner], often, 0), len(sizes))
+            wanted = 1 + np.log2(1 + cost / COST_UNIT).astype(np.int64)
             wanted = np.minimum(np.minimum(wanted, LEVELS), np.maximum(least(sizes, num, den), 1))
             keep = place < (plain + LEVELS - 1)[owner]
             cut = np.concatenate([[0], np.cumsum(keep)])[bounds].astype(np.int32)
@@ -300,9 +307,10 @@ def token_rows(prefixed: DataFrame) -> DataFrame:
 def candidate_stars(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
     """Pairs (a, b) of star leaders whose stars share enough prefix tokens."""
     prefixed = prefixes(docs, frequencies(docs, k, text), k, num, den, text)
-    placed = prefixed.join(stars.select("doc_id", "star", "several"), "doc_id")
-    # A star of several asks for one match, which holds for all its members.
-    wanted = F.when(F.col("several"), F.lit(1).cast("long")).otherwise(F.col("wanted"))
+    placed = prefixed.join(stars.select("doc_id", "star", "several", "lo"), "doc_id")
+    # A star of several asks for what its smallest member allows: the members need one number.
+    allowed = F.ceil(F.col("lo") * num / den).cast("long")
+    wanted = F.when(F.col("several"), F.least(allowed, F.lit(LEVELS).cast("long"))).otherwise(F.col("wanted"))
     rows = token_rows(placed.select("star", "tokens", "plain", wanted.alias("wanted")))
     # One shuffle by token serves the grouping, the count of stars and the filter.
     tokens = rows.repartition("token").groupBy("token", "star").agg(F.min("level").alias("level"), F.min("wanted").alias("wanted"))
@@ -316,12 +324,20 @@ def candidate_stars(docs: DataFrame, stars: DataFrame, k: int, num: int, den: in
         & (F.col("p.level") <= F.col("p.wanted"))
         & (F.col("i.level") <= F.col("p.wanted")),
     )
-    return (
+    found = (
         pairs.groupBy(F.col("p.star").alias("a"), F.col("i.star").alias("b"))
         .agg(F.count(F.lit(1)).alias("met"), F.min("p.wanted").alias("wanted"))
         .where("met >= wanted")
         .select("a", "b")
     )
+    # Sets whose sizes are too far apart can't be similar.
+    sizes = stars.where("doc_id = star").select("star", "lo", "hi")
+    return (
+        found.join(sizes.toDF("a", "alo", "ahi"), "a")
+        .join(sizes.toDF("b", "blo", "bhi"), "b")
+        .where((F.col("ahi") * den >= F.col("blo") * num) & (F.col("bhi") * den >= F.col("alo") * num))
+        .select("a", "b")
+    )
 
 
 # links and components
