@@ -30,12 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm import words as W
+from tablework.runtime import scratch_path
 
 VOCABULARY = 65_534
 LEAST_COUNT = 2
 BACKOFF = 0.4
 #: Bigram rows in a hash partition, about, and the most partitions of one map slice.
-PART_ROWS, MOST_PARTS = 2_000_000, 20_000
+PART_ROWS, MOST_PARTS = 1_000_000, 20_000
+#: Documents whose partial sums meet in one group, about.
+GROUP_DOCS = 8_000
 #: Stands for a null id inside the packed rows.
 NULL_ID = -(1 << 63)
 
@@ -74,14 +77,26 @@ def unigrams(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY)
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([texts])], names=["word", "n"])
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
-    table = counted.groupBy("word").agg(F.sum("n").alias("n")).persist()
-    try:
-        totals = table.agg(
-            F.sum(F.when(F.col("word").isNotNull(), F.col("n"))).alias("words"), F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("texts")
-        ).first()
-        top = table.where("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(vocabulary).collect()
-    finally:
-        table.unpersist()
+    path = scratch_path(docs.sparkSession, "words")
+    counted.groupBy("word").agg(F.sum("n").alias("n")).write.parquet(path)
+    table = docs.sparkSession.read.schema("word string, n long").parquet(path)
+    totals = table.agg(
+        F.sum(F.when(F.col("word").isNotNull(), F.col("n"))).alias("words"),
+        F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("texts"),
+    ).first()
+    # The count from which all words fit tells what to collect; of its ties the first by name fill up.
+    words = table.where("word IS NOT NULL")
+    sizes = sorted(((r["n"], r["words"]) for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    left, cut = vocabulary, 0
+    for n, many in sizes:
+        if many > left:
+            cut = n
+            break
+        left -= many
+    top = words.where(F.col("n") > cut).collect()
+    if cut:
+        top += words.where(F.col("n") == cut).orderBy("word").limit(left).collect()
+    top.sort(key=lambda r: (-r["n"], r["word"]))
     return Unigrams([r["word"] for r in top], [r["n"] for r in top], totals["words"] or 0, totals["texts"] or 0)
 
 
@@ -167,7 +182,8 @@ def joined(rows: DataFrame, table: Unigrams, sums: int) -> DataFrame:
         hits = np.bincount(at_doc, count * seen[at], len(names)).astype(np.int64)
         to = (W.scramble(names.view(_U) * W.MIX) >> _U(32)).astype(np.int64) % sums
         order = np.argsort(to, kind="stable")
-        packed = _pack(to[order], sums, [v[order].astype("<i8") for v in (names, score, moves, hits)])
+        kinds = {"<i8": (names, score), "<u4": (moves, hits)}
+        packed = _pack(to[order], sums, [v[order].astype(kind) for kind, group in kinds.items() for v in group])
         return pd.DataFrame(dict(zip(("to", "docs", "score", "moves", "hits"), [np.unique(to), *packed], strict=True)))
 
     return rows.groupBy("part").applyInPandas(run, "to long, docs binary, score binary, moves binary, hits binary")
@@ -181,7 +197,7 @@ def summed(partial: DataFrame) -> DataFrame:
         names, at = np.unique(doc, return_inverse=True)
         total = {c: np.zeros(len(names), np.int64) for c in ("score", "moves", "hits")}
         for c, held in total.items():
-            np.add.at(held, at, np.concatenate(_arrays(frame, c, "<i8")))
+            np.add.at(held, at, np.concatenate(_arrays(frame, c, "<i8" if c == "score" else "<u4")).astype(np.int64))
         return pd.DataFrame({"doc_id": names, **total})
 
     whole = partial.groupBy("to").applyInPandas(run, "doc_id long, score long, moves long, hits long")
@@ -204,5 +220,5 @@ def score(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY, par
         raise ValueError(f"the vocabulary holds 1 to {VOCABULARY} words")
     table = unigrams(docs, text, vocabulary)
     parts = min(MOST_PARTS, max(8, -(-table.all // part_rows)))
-    sums = max(4, -(-int(table.counts[BOUNDARY]) // 50_000))
+    sums = max(4, -(-int(table.counts[BOUNDARY]) // GROUP_DOCS))
     return summed(joined(exploded(docs, table, parts, text), table, sums))
