@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.runtime import cut_lineage, hot_keys, small_rows
+from tablework.runtime import broadcast_if_small, cut_lineage, hot_keys
 
 #: Largest group that a single window task may sort.
 WINDOW_GROUP_ROWS = 1_000_000
@@ -31,7 +31,7 @@ def number_within(
         single = df.count() <= max_group
         return _windowed(df, [], order, name) if single else _spread(df, [], order, name)
 
-    hot, _ = hot_keys(df, keys, max_group)
+    hot = hot_keys(df, keys, max_group)
     if hot is None:
         return _windowed(df, keys, order, name)
     match = _same_keys("r", "h", keys)
@@ -75,7 +75,8 @@ def _windowed(df: DataFrame, keys: list[str], order: list[str], name: str) -> Da
 
 def _spread(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Range partitions in (keys, order), then position = offset of the partition + local position."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Range partitions grow with the rows; each is sorted by one task.
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // WINDOW_GROUP_ROWS + 1)
     columns = [F.col(c) for c in keys + order]
     # The positions depend on partition ids, so they are frozen before use.
     ranged = cut_lineage(
@@ -95,10 +96,7 @@ def _spread(df: DataFrame, keys: list[str], order: list[str], name: str) -> Data
         "__part",
         (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
     )
-    rows = small_rows(offsets, max_rows=1_000_000)
-    side = offsets if rows is None else F.broadcast(
-        df.sparkSession.createDataFrame(rows, offsets.schema)
-    )
+    side = broadcast_if_small(offsets)
     match = _same_keys("r", "o", keys + ["__part"])
     return (
         ranged.alias("r")

@@ -30,8 +30,6 @@ METRICS = ("cosine", "l2", "ip")
 SMALL_FLOATS = 8_000_000
 #: Vectors and queries that meet in one task when the batch is larger.
 BLOCK_ROWS = 20_000
-#: Centroids are fitted on at most about this many rows; every row is assigned.
-TRAINING_ROWS = 1_000_000
 
 _HIT = "query_id bigint, id bigint, score double"
 
@@ -86,8 +84,10 @@ class Queries:
         rows = frame.limit(max_rows + 1).toArrow().combine_chunks()
         if rows.num_rows > max_rows:
             return cls(frame, None, None)
+        if not rows.num_rows:
+            return cls(frame, np.empty(0, np.int64), np.empty((0, 0)))
         vectors = rows.column("vector").combine_chunks()
-        width = len(vectors[0]) if rows.num_rows else 1
+        width = len(vectors[0]) if vectors[0].is_valid else -1
         ids = np.asarray(rows.column("query_id"), dtype=np.int64)
         matrix = _matrix(vectors, width)
         return cls(frame, ids, matrix)
@@ -116,47 +116,54 @@ def search(
 
 
 def train_centroids(
-    vectors: DataFrame,
-    nlist: int = NLIST,
-    vector_col: str = "vector",
-    id_col: str = "id",
-    seed: int = 42,
-    training_rows: int = TRAINING_ROWS,
+    vectors: DataFrame, nlist: int = NLIST, vector_col: str = "vector", seed: int = 42
 ) -> np.ndarray:
-    """Cell centres by distributed k-means under cosine distance.
-
-    Above ``training_rows`` the centres are fitted on a hash-chosen part of the
-    rows; that moves cell borders only, since every row is assigned to a cell.
-    """
+    """Cell centres by distributed k-means under cosine distance over all rows with a vector."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    total = vectors.count()
-    rows = vectors
-    if total > training_rows:
-        share = int(training_rows / total * 1_000_000)
-        rows = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share)
+    rows = vectors.where(F.col(vector_col).isNotNull())
     features = rows.select(
         array_to_vector(F.col(vector_col).cast("array<double>")).alias("features")
     )
-    model = KMeans(k=max(1, min(nlist, total)), distanceMeasure="cosine", seed=seed).fit(features)
+    model = KMeans(k=max(1, min(nlist, rows.count())), distanceMeasure="cosine", seed=seed).fit(features)
     return np.array(model.clusterCenters())
 
 
 def assign_cells(
-    vectors: DataFrame, centroids: np.ndarray, vector_col: str = "vector", decimals: int = 6
+    vectors: DataFrame,
+    centroids: np.ndarray,
+    vector_col: str = "vector",
+    decimals: int = 6,
+    floats_at_once: int = SMALL_FLOATS,
 ) -> DataFrame:
-    """Add ``cell``: the centre with the highest cosine, the first one on a tie."""
+    """Add ``cell``: the centre with the highest cosine, the first one on a tie.
+
+    Centres are shipped in blocks of ``floats_at_once`` numbers; with several
+    blocks the best of each is compared. A missing vector has no cell.
+    """
     centres = _unit(np.asarray(centroids, dtype=np.float64))
-    if centres.size > SMALL_FLOATS:
-        raise ValueError("too many centroid values to ship with every task")
+    step = max(1, floats_at_once // max(1, centres.shape[1]))
+    best = [_nearest_centre(centres[at : at + step], at, decimals)(vector_col) for at in range(0, len(centres), step)]
+    if len(best) == 1:
+        return vectors.withColumn("cell", best[0]["cell"])
+    # The larger score wins, then the smaller number: negated, one maximum decides.
+    return vectors.withColumn("cell", (-F.greatest(*best)["order"]).cast("int"))
 
-    @F.pandas_udf("int")
-    def nearest(batch: pd.Series) -> pd.Series:
-        matrix = np.stack(batch.to_numpy()).astype(np.float64) if len(batch) else np.empty((0, centres.shape[1]))
-        return pd.Series(np.argmax(np.round(_unit(matrix) @ centres.T, decimals), axis=1))
 
-    return vectors.withColumn("cell", nearest(vector_col))
+def _nearest_centre(centres: np.ndarray, first: int, decimals: int):
+    @F.pandas_udf("struct<score: double, order: int, cell: int>")
+    def nearest(batch: pd.Series) -> pd.DataFrame:
+        there = batch.notna().to_numpy()
+        score, cell = np.full(len(batch), np.nan), np.zeros(len(batch), np.int64)
+        if there.any():
+            scores = np.round(_unit(np.stack(batch[there].to_numpy()).astype(np.float64)) @ centres.T, decimals)
+            cell[there] = np.argmax(scores, axis=1)
+            score[there] = scores[np.arange(len(scores)), cell[there]]
+        cells = pd.Series(cell + first, dtype="Int32").where(there)
+        return pd.DataFrame({"score": pd.Series(score).where(there), "order": -cells, "cell": cells})
+
+    return nearest
 
 
 def search_cells(
@@ -180,6 +187,8 @@ def search_cells(
     rows = indexed.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"), "cell"
     )
+    if queries.small and not len(queries.ids):
+        return _best(rows, queries, None, None, k, metric, decimals)
     if queries.small:
         probed = _probed(queries.matrix, centres, nprobe, decimals)
         cells = [int(c) for c in np.flatnonzero(probed.any(axis=1))]
@@ -292,7 +301,9 @@ def _best(
 ) -> DataFrame:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    if queries.small:
+    if queries.small and not len(queries.ids):
+        partial = rows.sparkSession.createDataFrame([], _HIT)
+    elif queries.small:
         partial = _scan(rows, queries, probed, k, metric, decimals)
     else:
         partial = _blocks(rows, probes, k, metric, decimals)

@@ -185,7 +185,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_to(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")
     )
     same = F.col("o_orderkey") == F.col("l_orderkey")
-    hot, _ = hot_keys(lineitem, ["l_orderkey"], LINES_PER_DOCUMENT)
+    hot = hot_keys(lineitem, ["l_orderkey"], LINES_PER_DOCUMENT)
     if hot is None:
         nested = headers.join(gathered(lineitem.withColumn("part", F.lit(0))), same, "left")
     else:

@@ -75,22 +75,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
 
 def hot_keys(
     df: DataFrame, keys: list[str], max_group: int, max_keys: int = SMALL_ROWS
-) -> tuple[DataFrame | None, int]:
-    """Keys with more than ``max_group`` rows, as a checked broadcast side.
+) -> DataFrame | None:
+    """Keys with more than ``max_group`` rows, or None without any.
 
-    Counting is a pre-aggregated shuffle of the key columns only. Should more
-    than ``max_keys`` keys qualify, the group bound is raised until they fit:
-    at most ``rows / bound`` keys can exceed any bound. Returns the keys (or
-    ``None``) and the bound that was used.
+    Counting is a pre-aggregated shuffle of the key columns only. Up to
+    ``max_keys`` keys are a checked broadcast side; more are joined by shuffle.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    bound = max_group
-    while True:
-        rows = small_rows(counts.where(F.col("__rows") > bound).select(*keys), max_keys)
-        if rows is not None:
-            break
-        bound *= 10
+    hot = cut_lineage(counts.where(F.col("__rows") > max_group).select(*keys))
+    rows = small_rows(hot, max_keys)
+    if rows is None:
+        return hot
     if not rows:
-        return None, bound
-    schema = df.select(*keys).schema
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema)), bound
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*keys).schema))

@@ -40,9 +40,20 @@ def test_dense_ids_have_no_gaps(spark, max_group):
     assert [(r["v"], r["id"]) for r in found] == sorted((r["v"], r["id"]) for r in found)
 
 
-def test_hot_key_bound_rises_until_keys_fit(spark):
-    hot, bound = hot_keys(skewed(spark), ["key"], 1, max_keys=3)
-    assert bound > 1 and hot.count() <= 3
+def test_many_hot_keys_keep_the_bound(spark):
+    few, many = (hot_keys(skewed(spark), ["key"], 1, max_keys=n) for n in (10_000, 3))
+    assert few.count() == many.count() > 3
+    assert hot_keys(skewed(spark), ["key"], 10_000) is None
+
+
+def test_numbering_with_more_hot_keys_than_a_broadcast_takes(spark, monkeypatch):
+    from tablework import runtime
+    from tablework.operators import numbering
+
+    monkeypatch.setattr(numbering, "hot_keys", lambda df, keys, bound: runtime.hot_keys(df, keys, bound, max_keys=3))
+    df = skewed(spark)
+    found = number_within(df, ["key"], ["v", "id"], "pos", 1).collect()
+    assert {(r["key"], r["id"]): r["pos"] for r in found} == expected_positions(df.collect())
 
 
 def test_first_per_group_limits_before_the_shuffle(spark, plan):

@@ -94,11 +94,26 @@ def test_cell_search(data, monkeypatch, route, nprobe):
         assert found == brute(matrix, asked, "cosine")
 
 
-def test_training_part_assigns_every_row(data):
+def test_training_reads_and_assigns_every_row(data):
     _, _, vectors, _ = data
-    centres = train_centroids(vectors, nlist=5, training_rows=200)
+    centres = train_centroids(vectors, nlist=5)
     assert centres.shape[1] == DIM and len(centres) <= 5
-    assert assign_cells(vectors, centres).where("cell IS NOT NULL").count() == N
+    whole = {r["id"]: r["cell"] for r in assign_cells(vectors, centres).collect()}
+    assert len(whole) == N and None not in whole.values()
+    blocks = assign_cells(vectors, centres, floats_at_once=2 * DIM)
+    assert {r["id"]: r["cell"] for r in blocks.collect()} == whole
+
+
+def test_missing_vectors_and_empty_batches(spark, data):
+    matrix, _, vectors, queries = data
+    row = vectors.limit(1).withColumn("vector", F.lit(None).cast("array<float>"))
+    cells = [r["cell"] for r in assign_cells(row, matrix[:3]).collect()]
+    assert cells == [None]
+    assert [r["cell"] for r in assign_cells(row, matrix[:3], floats_at_once=DIM).collect()] == [None]
+    none = Queries.of(queries.limit(0), "q", "v")
+    assert search(vectors, none, K).count() == 0
+    indexed = assign_cells(vectors, matrix[:3])
+    assert search_cells(indexed, none, matrix[:3], K, 2).count() == 0
 
 
 def test_search_never_shuffles_vectors(data, plan):
