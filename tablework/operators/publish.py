@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.operators.versions import CommitLog
+from tablework.operators.versions import append_batch
 from tablework.runtime import scratch_path
 
 
@@ -31,9 +31,11 @@ class AuditFailed(ValueError):
     """Raised instead of publishing rows that break a rule."""
 
 
-def publish(log: CommitLog, staged: DataFrame, rules: dict[str, Column], committed_at=None) -> int:
-    """Commit the staged rows when no rule fails."""
+def publish(
+    staged: DataFrame, rules: dict[str, Column], path: str, commit_id: int, committed_at: Column | str | None = None
+) -> None:
+    """Append the staged rows as a batch when no rule fails."""
     failed = audit(staged, rules).where("failures > 0").collect()
     if failed:
         raise AuditFailed(", ".join(f"{r['rule']}: {r['failures']}" for r in failed))
-    return log.commit(staged, committed_at)
+    append_batch(staged, path, commit_id, committed_at)

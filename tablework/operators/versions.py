@@ -1,94 +1,79 @@
-"""Commit log: batches of upserts with history and as-of reads."""
+"""Change batches that carry a commit number and time: history and as-of reads.
+
+Batches are appended to an ordinary table; a row's ``commit_id`` and
+``committed_at`` say when it came. The table at a version is the newest row of
+every key up to it, so any table that holds such rows can be read as of a
+version. Reads are declared by a schema: a column added by a later batch is NULL
+in earlier rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablework.functions.times import run_time
 from tablework.operators.upsert import newest_per_key
 
+STAMPS = [T.StructField("committed_at", T.TimestampNTZType()), T.StructField("commit_id", T.LongType())]
 
-class CommitLog:
-    """Upsert batches below ``path``, one directory per commit.
 
-    ``data/commit_id=N`` holds the rows, ``commits/commit_id=N`` one row of
-    facts. A commit exists once its facts directory is complete, so readers
-    never see a half-written batch.
-    """
+def stamped(batch: DataFrame, commit_id: int, committed_at: Column | str | None = None) -> DataFrame:
+    """A batch (one row per key) with its commit number and time."""
+    return batch.withColumns(
+        {
+            "committed_at": run_time(committed_at).cast("timestamp_ntz"),
+            "commit_id": F.lit(commit_id).cast("long"),
+        }
+    )
+
+
+def append_batch(
+    batch: DataFrame, path: str, commit_id: int, committed_at: Column | str | None = None
+) -> None:
+    """Write a batch beside the others; writing the same number again replaces it."""
+    (
+        stamped(batch, commit_id, committed_at)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("commit_id")
+        .parquet(path)
+    )
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = keys
-
-    def commit(self, batch: DataFrame, committed_at: Column | str | None = None) -> int:
-        """Append a batch (one row per key) and return its commit id."""
-        attempts = self._commit_ids("data", complete=False)
-        commit_id = max(attempts, default=0) + 1
-        data = f"{self.path}/data/commit_id={commit_id}"
-        batch.write.mode("errorifexists").parquet(data)
-
-        written = self.spark.read.schema(batch.schema).parquet(data)
-        operation = "append"
-        if self.visible():
-            known = self._rows(None).select(*self.keys)
-            if not written.select(*self.keys).join(known, self.keys, "left_semi").isEmpty():
-                operation = "overwrite"
-        facts = written.agg(F.count(F.lit(1)).alias("row_count")).select(
-            run_time(committed_at).alias("committed_at"), F.lit(operation).alias("operation"), "row_count"
-        )
-        facts.coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.path}/commits/commit_id={commit_id}"
-        )
-        return commit_id
 
-    def visible(self) -> list[int]:
-        return self._commit_ids("commits", complete=True)
+def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All batches under the declared columns."""
+    return spark.read.schema(T.StructType([*schema.fields, *STAMPS])).parquet(path)
 
-    def history(self, last: int | None = None) -> DataFrame:
-        """Commits, newest first; reads only the facts, never the rows."""
-        facts = self._read("commits", self.visible()).select(
-            "commit_id", "committed_at", "operation", "row_count"
+
+def history(changes: DataFrame, keys: list[str], last: int | None = None) -> DataFrame:
+    """Commits, newest first; one that touches known keys is an overwrite. Reads keys and stamps only."""
+    first = F.min("commit_id").over(Window.partitionBy(*keys))
+    commits = (
+        changes.select(*keys, "commit_id", "committed_at")
+        .withColumn("known", F.col("commit_id") > first)
+        .groupBy("commit_id", "committed_at")
+        .agg(
+            F.when(F.bool_or("known"), "overwrite").otherwise("append").alias("operation"),
+            F.count(F.lit(1)).alias("row_count"),
         )
-        ordered = facts.orderBy(F.desc("committed_at"), F.desc("commit_id"))
-        return ordered.limit(last) if last else ordered
-
-    def as_of(self, version: int | None = None, at: Column | str | None = None) -> DataFrame:
-        """The table as it was at a commit or at a time; the latest by default."""
-        if at is not None:
-            facts = self._read("commits", self.visible())
-            row = facts.where(F.col("committed_at") <= run_time(at)).agg(F.max("commit_id")).first()
-            if row[0] is None:
-                raise ValueError("no commit at or before the given time")
-            version = row[0] if version is None else min(version, row[0])
-        rows = self._rows(version)
-        return newest_per_key(rows, self.keys, [F.desc("commit_id")]).drop("commit_id")
-
-    def _rows(self, version: int | None) -> DataFrame:
-        ids = [i for i in self.visible() if version is None or i <= version]
-        if not ids:
-            raise ValueError("no such commit")
-        return self._read("data", ids)
-
-    def _read(self, part: str, ids: list[int]) -> DataFrame:
-        base = f"{self.path}/{part}"
-        frames = [f"{base}/commit_id={i}" for i in ids]
-        return self.spark.read.option("basePath", base).parquet(*frames)
-
-    def _commit_ids(self, part: str, complete: bool) -> list[int]:
-        """Ids of the commit directories; a listing of names, one per commit."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        base = hadoop.Path(f"{self.path}/{part}")
-        fs = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(base):
-            return []
-        ids = []
-        for status in fs.listStatus(base):
-            name = status.getPath().getName()
-            if not name.startswith("commit_id="):
-                continue
-            if complete and not fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-                continue
-            ids.append(int(name.split("=", 1)[1]))
-        return sorted(ids)
+    )
+    ordered = commits.orderBy(F.desc("committed_at"), F.desc("commit_id"))
+    return ordered.limit(last) if last else ordered
+
+
+def as_of(
+    changes: DataFrame, keys: list[str], version: int | None = None, at: Column | str | None = None
+) -> DataFrame:
+    """The table as it was at a commit, at a time, or at both; the latest by default.
+
+    Without any commit up to there the result is empty. Commit numbers prune
+    partitions of a table written by :func:`append_batch`.
+    """
+    rows = changes
+    if version is not None:
+        rows = rows.where(F.col("commit_id") <= version)
+    if at is not None:
+        rows = rows.where(F.col("committed_at") <= run_time(at).cast("timestamp_ntz"))
+    return newest_per_key(rows, keys, [F.desc("commit_id")]).drop("commit_id", "committed_at")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tablework.operators.publish import publish, stage
 from tablework.operators.registry import registry_by_extension, registry_rows, registry_totals
-from tablework.operators.versions import CommitLog
 from tablework.sinks.tables import append
 from tablework.sources.files import list_files
 
@@ -33,13 +32,14 @@ def register(
 
 
 def publish_listing(
-    spark: SparkSession, root: str, log: CommitLog, now: str | None = None
-) -> int | None:
+    spark: SparkSession, root: str, path: str, commit_id: int, now: str | None = None
+) -> bool:
     """The same through staging and an audit."""
     listing = list_files(spark, root)
     if listing is None:
-        return None
-    return publish(log, stage(spark, registry_rows(listing, now)), registry_rules(), now)
+        return False
+    publish(stage(spark, registry_rows(listing, now)), registry_rules(), path, commit_id, now)
+    return True
 
 
 def stats(registry: DataFrame) -> dict[str, DataFrame]:

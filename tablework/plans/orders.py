@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablework.operators.align import align
 from tablework.operators.flatten import flatten_orders, status_distribution
 from tablework.operators.upsert import newest_per_key, upsert, upsert_partitions
-from tablework.operators.versions import CommitLog
+from tablework.operators.versions import append_batch, history
 from tablework.schemas import ORDERS
 from tablework.sinks.tables import with_day, write_landing
 from tablework.sources.tables import read_documents, read_landing
@@ -40,21 +40,22 @@ def merge_landing(spark: SparkSession, landing: str, table_path: str) -> list[st
 
 
 def commit_landing(
-    spark: SparkSession, landing: str, log: CommitLog, committed_at: str | None = None
-) -> int | None:
-    """The same merge as a commit, which keeps history and as-of reads."""
+    spark: SparkSession, landing: str, path: str, commit_id: int, committed_at: str | None = None
+) -> bool:
+    """The same merge as a batch of changes, which keeps history and as-of reads."""
     landed = read_landing(spark, landing)
     if landed is None:
-        return None
-    return log.commit(newest_per_key(align(landed, ORDERS), KEY, newest_first()), committed_at)
+        return False
+    append_batch(newest_per_key(align(landed, ORDERS), KEY, newest_first()), path, commit_id, committed_at)
+    return True
 
 
-def table_stats(orders: DataFrame, log: CommitLog | None = None) -> dict[str, DataFrame]:
+def table_stats(orders: DataFrame, changes: DataFrame | None = None) -> dict[str, DataFrame]:
     """Row count, status distribution and the five newest commits."""
     stats = {
         "rows": orders.agg(F.count(F.lit(1)).alias("cnt")),
         "status": status_distribution(orders),
     }
-    if log is not None:
-        stats["snapshots"] = log.history(last=5)
+    if changes is not None:
+        stats["snapshots"] = history(changes, KEY, last=5)
     return stats

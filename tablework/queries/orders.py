@@ -10,7 +10,7 @@ from tablework.functions.times import floor_millis, iso_timestamp
 from tablework.operators.flatten import flatten_orders, orders_by_day, status_distribution
 from tablework.operators.publish import stage
 from tablework.operators.upsert import upsert, upsert_partitions
-from tablework.operators.versions import CommitLog
+from tablework.operators.versions import append_batch, as_of, history, read_changes
 from tablework.plans.orders import KEY, merged_orders, newest_first
 from tablework.queries.fixtures import (
     CHANGES_SQL,
@@ -154,14 +154,14 @@ def orders_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return times_as_text(spark.read.schema(orders.schema).parquet(path))
 
 
-def _history(spark: SparkSession, sf_dir: str) -> CommitLog:
-    """Three commits: all orders, the changes, and the later changes."""
-    log = CommitLog(spark, scratch_path(spark, "log"), KEY)
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all orders, the changes, and the later changes."""
+    path = scratch_path(spark, "changes")
     orders = landing(spark, sf_dir)
-    log.commit(orders, NOW)
-    log.commit(changes(orders), LATER)
-    log.commit(later_changes(orders), LATEST)
-    return log
+    append_batch(orders, path, 1, NOW)
+    append_batch(changes(orders), path, 2, LATER)
+    append_batch(later_changes(orders), path, 3, LATEST)
+    return read_changes(spark, path, orders.schema)
 
 
 @query(
@@ -173,7 +173,7 @@ def _history(spark: SparkSession, sf_dir: str) -> CommitLog:
            (SELECT count(*) FROM landing WHERE "Status" = 'F')"""
 )
 def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return times_as_text(_history(spark, sf_dir).history(last=5))
+    return times_as_text(history(_changes(spark, sf_dir), KEY, last=5))
 
 
 @query(
@@ -181,8 +181,7 @@ def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def orders_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table after the second commit, with a third one in place."""
-    log = _history(spark, sf_dir)
-    return times_as_text(log.as_of(version=2).select(*landing(spark, sf_dir).columns))
+    return times_as_text(as_of(_changes(spark, sf_dir), KEY, version=2))
 
 
 @query(
@@ -194,8 +193,26 @@ def orders_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM merged)"""
 )
 def orders_as_of_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _history(spark, sf_dir)
-    return times_as_text(log.as_of(at="2024-01-09 00:00:00").select(*landing(spark, sf_dir).columns))
+    return times_as_text(as_of(_changes(spark, sf_dir), KEY, at="2024-01-09 00:00:00"))
+
+
+@query(
+    f"""WITH {MERGED_SQL}, late AS (SELECT "OrderId", 'late ' || "Status" AS "Note" FROM landing WHERE "Status" = 'F')
+    SELECT {ORDER_COLUMNS_SQL}, "Note" FROM (
+      SELECT m.* REPLACE (CASE WHEN l."Note" IS NULL THEN m."Status" ELSE 'Y' END AS "Status",
+                          CASE WHEN l."Note" IS NULL THEN m."SyncedAt" ELSE TIMESTAMP '2024-01-03 00:00:00' END AS "SyncedAt"),
+             l."Note"
+      FROM merged m LEFT JOIN late l USING ("OrderId"))"""
+)
+def orders_as_of_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest table when the last batch brings a column that earlier ones lack."""
+    path = scratch_path(spark, "changes")
+    orders = landing(spark, sf_dir)
+    append_batch(orders, path, 1, NOW)
+    append_batch(changes(orders), path, 2, LATER)
+    late = later_changes(orders).withColumn("Note", F.lit("late F"))
+    append_batch(late, path, 3, LATEST)
+    return times_as_text(as_of(read_changes(spark, path, late.schema), KEY))
 
 
 @query(

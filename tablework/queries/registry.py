@@ -14,11 +14,12 @@ from tablework.operators.registry import (
     registry_rows,
     registry_totals,
 )
-from tablework.operators.versions import CommitLog
+from tablework.operators.versions import as_of, read_changes
 from tablework.plans.inventory import registry_rules
 from tablework.queries.fixtures import LATER, NOW, table
 from tablework.queries.registered import query
 from tablework.runtime import scratch_path
+from tablework.schemas import FILE_REGISTRY
 from tablework.sinks.tables import append, create_namespace, create_registry_table
 from tablework.sources.files import list_files, list_prefix
 
@@ -108,9 +109,10 @@ def staged_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published rows of a batch that passes its audit; addresses may lack a name."""
     rules = {name: bad for name, bad in registry_rules().items() if name != "missing_name"}
-    log = CommitLog(spark, scratch_path(spark, "registry"), ["file_path"])
-    publish(log, stage(spark, registry_rows(_listing(spark, sf_dir), NOW)), rules, NOW)
-    return log.as_of().select("file_path", "file_name", "size_bytes")
+    path = scratch_path(spark, "registry")
+    publish(stage(spark, registry_rows(_listing(spark, sf_dir), NOW)), rules, path, 1, NOW)
+    published = as_of(read_changes(spark, path, FILE_REGISTRY), ["file_path"])
+    return published.select("file_path", "file_name", "size_bytes")
 
 
 @query(

@@ -9,7 +9,7 @@ from tablework.functions.text import order_sentence
 from tablework.operators.flatten import flatten_orders
 from tablework.operators.publish import AuditFailed, audit, publish, stage
 from tablework.operators.upsert import newest_per_key, upsert, upsert_partitions
-from tablework.operators.versions import CommitLog
+from tablework.operators.versions import append_batch, as_of, history, read_changes, stamped
 from tablework.plans.inventory import registry_rules
 from tablework.plans.orders import commit_landing, merge_landing, sync_documents, table_stats
 from tablework.runtime import scratch_path
@@ -180,37 +180,37 @@ def test_partition_upsert_keeps_null_empty_and_escaped_partitions(spark, encoded
         assert {r["id"]: r["p"] for r in found.collect()} == expected
 
 
-def test_commit_log(spark):
-    log = CommitLog(spark, scratch_path(spark, "log"), ["OrderId"])
-    assert log.commit(orders(spark, [("a", "v1", 1, 1), ("b", "v1", 1, 1)]), "2024-01-01 00:00:00") == 1
-    assert log.commit(orders(spark, [("c", "v2", 1, 1)]), "2024-01-02 00:00:00") == 2
-    assert log.commit(orders(spark, [("a", "v3", 1, 1)]), "2024-01-03 00:00:00") == 3
-    assert [(r["commit_id"], r["operation"]) for r in log.history().collect()] == [
-        (3, "overwrite"), (2, "append"), (1, "append"),
+def test_changes_as_of_versions_and_times(spark):
+    path = scratch_path(spark, "changes")
+    append_batch(orders(spark, [("a", "v1", 1, 1), ("b", "v1", 1, 1)]), path, 1, "2024-01-01 00:00:00")
+    append_batch(orders(spark, [("c", "v2", 1, 1)]), path, 2, "2024-01-02 00:00:00")
+    for _ in range(2):  # a repeated write replaces its own batch
+        append_batch(orders(spark, [("a", "v3", 1, 1)]), path, 3, "2024-01-03 00:00:00")
+    changes = read_changes(spark, path, ORDERS)
+    assert [(r["commit_id"], r["operation"], r["row_count"]) for r in history(changes, ["OrderId"]).collect()] == [
+        (3, "overwrite", 1), (2, "append", 1), (1, "append", 2),
     ]
-    assert statuses(log.as_of()) == {"a": "v3", "b": "v1", "c": "v2"}
-    assert statuses(log.as_of(version=1)) == {"a": "v1", "b": "v1"}
-    assert statuses(log.as_of(at="2024-01-02 12:00:00")) == {"a": "v1", "b": "v1", "c": "v2"}
-    with pytest.raises(ValueError):
-        log.as_of(at="2023-01-01 00:00:00")
+    assert statuses(as_of(changes, ["OrderId"])) == {"a": "v3", "b": "v1", "c": "v2"}
+    assert statuses(as_of(changes, ["OrderId"], version=1)) == {"a": "v1", "b": "v1"}
+    assert statuses(as_of(changes, ["OrderId"], at="2024-01-02 12:00:00")) == {"a": "v1", "b": "v1", "c": "v2"}
+    assert as_of(changes, ["OrderId"], at="2023-01-01 00:00:00").count() == 0
+    assert as_of(changes, ["OrderId"]).columns == [f.name for f in ORDERS]
 
 
-def test_unfinished_commit_is_invisible_and_its_id_is_not_reused(spark):
-    log = CommitLog(spark, scratch_path(spark, "log"), ["OrderId"])
-    log.commit(orders(spark, [("a", "v1", 1, 1)]))
-    orders(spark, [("a", "lost", 1, 1)]).write.parquet(f"{log.path}/data/commit_id=2")
-    assert statuses(log.as_of()) == {"a": "v1"}
-    assert log.commit(orders(spark, [("a", "v2", 1, 1)])) == 3
-    assert statuses(log.as_of()) == {"a": "v2"}
+def test_as_of_keeps_a_column_that_came_later(spark):
+    path = scratch_path(spark, "changes")
+    append_batch(orders(spark, [("a", "1", 1, 1), ("b", "1", 1, 1)]), path, 1)
+    late = orders(spark, [("b", "2", 1, 1)]).withColumn("Note", F.lit("n"))
+    append_batch(late, path, 2)
+    found = as_of(read_changes(spark, path, late.schema), ["OrderId"]).collect()
+    assert {r["OrderId"]: r["Note"] for r in found} == {"a": None, "b": "n"}
 
 
 def test_as_of_latest_equals_upsert(spark):
-    log = CommitLog(spark, scratch_path(spark, "log"), ["OrderId"])
     first = orders(spark, [("a", "1", 1, 1), ("b", "1", 1, 1)])
     second = orders(spark, [("b", "2", 1, 1), ("c", "2", 1, 1)])
-    log.commit(first)
-    log.commit(second)
-    assert statuses(log.as_of()) == statuses(upsert(first, second, ["OrderId"]))
+    changes = stamped(first, 1).unionByName(stamped(second, 2))
+    assert statuses(as_of(changes, ["OrderId"])) == statuses(upsert(first, second, ["OrderId"]))
 
 
 def registry(spark, rows):
@@ -219,15 +219,15 @@ def registry(spark, rows):
 
 
 def test_publish_audits_before_commit(spark):
-    log = CommitLog(spark, scratch_path(spark, "log"), ["file_path"])
+    path = scratch_path(spark, "registry")
     bad = stage(spark, registry(spark, [("/a", "a", 1), ("/b", "", 1), (None, "c", -1)]))
     counts = {r["rule"]: r["failures"] for r in audit(bad, registry_rules()).collect()}
     assert counts == {"missing_path": 1, "missing_name": 1, "negative_size": 1}
     with pytest.raises(AuditFailed, match="missing_name: 1"):
-        publish(log, bad, registry_rules())
-    assert log.visible() == []
+        publish(bad, registry_rules(), path, 1)
     good = stage(spark, registry(spark, [("/a", "a", 1)]))
-    assert publish(log, good, registry_rules()) == 1
+    publish(good, registry_rules(), path, 2)
+    assert [r["commit_id"] for r in read_changes(spark, path, FILE_REGISTRY).collect()] == [2]
 
 
 def test_order_sentence(spark):
@@ -251,9 +251,10 @@ def test_whole_flow_from_documents(spark):
     merge_landing(spark, landing, table)
     assert statuses(spark.read.parquet(table)) == {"a": "Shipped", "b": "Shipped", "z": "old"}
 
-    log = CommitLog(spark, scratch_path(spark, "log"), ["OrderId"])
-    commit_landing(spark, landing, log, NOW)
-    stats = table_stats(log.as_of(), log)
+    path = scratch_path(spark, "changes")
+    assert commit_landing(spark, landing, path, 1, NOW)
+    changes = read_changes(spark, path, ORDERS)
+    stats = table_stats(as_of(changes, ["OrderId"]), changes)
     assert stats["rows"].first()["cnt"] == 2
     assert stats["snapshots"].first()["operation"] == "append"
 
