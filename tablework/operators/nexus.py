@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.paths import file_name
@@ -89,6 +89,13 @@ def _field_rows(datasets: DataFrame, group: Column, field: Column) -> DataFrame:
     )
 
 
+def group_names(nodes: DataFrame, parent: str) -> DataFrame:
+    """The groups below ``parent`` of each file in the order of their names, from 0."""
+    ordered = Window.partitionBy("file_path").orderBy("name")
+    groups = nodes.where((F.col("kind") == "group") & (F.col("parent_path") == parent))
+    return groups.select("file_path", "name", (F.row_number().over(ordered) - 1).alias("position"))
+
+
 def sample_fields(nodes: DataFrame, entry: str = "entry") -> DataFrame:
     parent = f"{entry}/sample"
     rows = _datasets(nodes).where(F.col("parent_path") == parent)

@@ -23,7 +23,8 @@ from tablework.operators.catalog import (
     to_catalog,
 )
 from tablework.operators.align import align
-from tablework.plans.science import merged_catalog
+from tablework.operators.upsert import partition_key, upsert_partitions
+from tablework.plans.science import KEY, merged_catalog, newest_first
 from tablework.queries.fixtures import (
     LATER,
     METADATA_SQL,
@@ -34,10 +35,10 @@ from tablework.queries.fixtures import (
     table,
     times_as_text,
 )
-from tablework.queries.registered import query
+from tablework.queries.registered import ORACLES, query
 from tablework.runtime import scratch_path
 from tablework.schemas import FILE_METADATA
-from tablework.sinks.tables import write_snapshot
+from tablework.sinks.tables import write_manifest, write_snapshot
 from tablework.sources.tables import read_drifting
 
 ALIGNED_SQL = f"""{METADATA_SQL},
@@ -263,3 +264,66 @@ def array_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def path_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("url", file_name("url").alias("name"))
+
+
+#: Columns that neither vintage of the fixture fills.
+FILLED = (
+    "file_path file_name file_size_bytes ingestion_time group_count title start_time duration instrument_name "
+    "tiled_uri extraction_error cataloged_at instrument_key"
+).split()
+
+
+def _stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog as a table by instrument, after merging the second vintage into it.
+
+    Some instruments are missing and some empty; merged files move to another one.
+    """
+    path = scratch_path(spark, "catalog")
+    first = to_catalog(raw_metadata(spark, sf_dir), NOW).withColumn("instrument_key", partition_key("instrument_name"))
+    first.write.partitionBy("instrument_key").parquet(path)
+    source = to_catalog(second_vintage(spark, sf_dir), LATER)
+    source = source.withColumn("instrument_key", partition_key("instrument_name"))
+    upsert_partitions(spark, path, source, KEY, "instrument_key", newest_first())
+    return spark.read.schema(first.schema).parquet(path)
+
+
+@query(
+    f"""WITH {CATALOG_SQL}
+    SELECT file_path, file_size_bytes, ingestion_time, title, duration, instrument_name, cataloged_at, start_time,
+           0 AS others FROM catalog"""
+)
+def catalog_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the merged table; ``others`` counts values where none belong."""
+    stored = times_as_text(_stored_catalog(spark, sf_dir))
+    others = [F.col(c).isNotNull().cast("int") for c in stored.columns if c not in FILLED]
+    return stored.select(
+        "file_path", "file_size_bytes", "ingestion_time", "title", "duration", "instrument_name", "cataloged_at",
+        "start_time", sum(others, F.lit(0)).alias("others"),
+    )
+
+
+@query(
+    f"""WITH {CATALOG_SQL}
+    SELECT file_path, title, start_time FROM catalog WHERE instrument_name = 'de'"""
+)
+def catalog_stored_instrument(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One instrument of the stored table; the key prunes its partitions."""
+    stored = _stored_catalog(spark, sf_dir).where(F.col("instrument_key") == "v_de")
+    return files_of_instrument(stored, "de").select("file_path", "title", "start_time")
+
+
+@query(ORACLES["serving_catalog_entries"])
+def serving_catalog_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving entries from metadata that was stored as Parquet."""
+    path = scratch_path(spark, "metadata")
+    align(raw_metadata(spark, sf_dir), FILE_METADATA).write.parquet(path)
+    return serving_catalog(spark.read.schema(FILE_METADATA).parquet(path))
+
+
+@query(ORACLES["serving_manifest_entries"])
+def manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest written as JSON and read again."""
+    path = scratch_path(spark, "manifest")
+    entries = serving_manifest(align(raw_metadata(spark, sf_dir), FILE_METADATA))
+    write_manifest(entries, path)
+    return spark.read.schema(entries.schema).json(path).select("path", "tree", "args.filepath", "metadata.*")

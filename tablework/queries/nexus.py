@@ -222,6 +222,14 @@ def daslog_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT name, (row_number() OVER (ORDER BY name) - 1)::INTEGER AS position
+    FROM (SELECT DISTINCT event_type AS name FROM events UNION ALL SELECT 'idle')"""
+)
+def ordered_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nexus.group_names(event_nodes(spark, sf_dir), "entry/DASlogs").select("name", "position")
+
+
 EVENT_ROWS_SQL = f"""{EVENTS_SQL},
 event_rows AS (
   SELECT event_type || '_events' AS bank, idx AS event_idx, user_id AS event_id, value AS time_offset

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ from tablework.queries.fixtures import (
 from tablework.queries.registered import query
 from tablework.runtime import scratch_path
 from tablework.sinks.layout import laid_out
-from tablework.sinks.tables import with_day, write_landing
+from tablework.sinks.tables import append, create_namespace, create_orders_table, with_day, write_landing
 from tablework.sources.tables import read_days, read_documents, read_landing, row_counts
 
 TABLES = (
@@ -154,6 +156,22 @@ def orders_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return times_as_text(spark.read.schema(orders.schema).parquet(path))
 
 
+@query(
+    f"""WITH {EVENT_ORDERS_SQL}
+    SELECT {ORDER_COLUMNS_SQL}, strftime("OrderDate", '%Y-%m-%d') AS order_day FROM flat"""
+)
+def orders_table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The managed orders table: created, filled and read back by its location."""
+    space, path = f"orders_{uuid.uuid4().hex[:8]}", scratch_path(spark, "orders")
+    create_namespace(spark, space)
+    create_orders_table(spark, f"{space}.orders", path)
+    append(with_day(event_orders(spark, sf_dir)), f"{space}.orders")
+    rows = spark.read.schema(spark.table(f"{space}.orders").schema).parquet(path)
+    # The files stay at their location; the names are only needed for the write.
+    spark.sql(f"DROP NAMESPACE {space} CASCADE")
+    return times_as_text(rows)
+
+
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches: all orders, the changes, and the later changes."""
     path = scratch_path(spark, "changes")

@@ -21,7 +21,8 @@ from tablework.queries.registered import query
 from tablework.runtime import scratch_path
 from tablework.schemas import FILE_REGISTRY
 from tablework.sinks.tables import append, create_namespace, create_registry_table
-from tablework.sources.files import list_files, list_prefix
+from tablework.sources.files import list_files, list_prefix, list_science_files
+from tablework.sources.tables import read_head
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,15 +39,45 @@ reg AS (SELECT url AS file_path, regexp_extract(url, '[^/]+$', 0) AS file_name,
 """
 
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
 @query(
-    r"""SELECT regexp_extract(filename, '[^/]+$', 0) AS file_name,
-              regexp_extract(filename, '\.([^.]+)$', 1) AS file_extension, size AS size_bytes
-    FROM read_blob('/root/testdata/sf0.01/*')"""
+    " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name, 'parquet' AS file_extension, count(*) AS row_count FROM {t}" for t in TABLES
+    )
 )
 def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing of the table files themselves; contents are not read."""
-    rows = registry_rows(list_files(spark, sf_dir), NOW)
-    return rows.select("file_name", "file_extension", "size_bytes")
+    """The listed table files with the rows that each one holds."""
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    listed = registry_rows(list_files(spark, sf_dir), NOW).select(plain("file_path").alias("path"), "file_name", "file_extension")
+    counts = None
+    for name in TABLES:
+        rows = table(spark, sf_dir, name).select(plain("_metadata.file_path").alias("path"))
+        rows = rows.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return listed.join(counts, "path").select("file_name", "file_extension", "row_count")
+
+
+@query("SELECT r_regionkey, r_name FROM region")
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of one file; this one has five rows."""
+    return read_head(spark, f"{sf_dir}/region.parquet", 5).select("r_regionkey", "r_name")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name FROM (SELECT count(*) FROM {t})" for t in TABLES if t in ("nation", "region")
+    )
+)
+def listing_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of chosen extensions below several roots, a missing one among them."""
+    found = list_science_files(spark, [sf_dir, f"{sf_dir}/nowhere"], ("parquet",))
+    name = F.regexp_extract("path", "[^/]+$", 0)
+    return found.select(name.alias("file_name")).where(name.isin("nation.parquet", "region.parquet"))
 
 
 @query(f"WITH {REGISTRY_SQL} SELECT * FROM reg")
