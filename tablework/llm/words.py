@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task works on at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
