@@ -33,9 +33,9 @@ from tablework.llm import words as W
 from tablework.llm.columns import reserve
 
 #: Bytes of text in one pair index.
-INDEX_BYTES = 24 << 20
+INDEX_BYTES = 12 << 20
 #: Words that a worker remembers; beyond it, it starts anew.
-KNOWN_WORDS = 1_500_000
+KNOWN_WORDS = 600_000
 
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
