@@ -140,6 +140,68 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def length_part(size: int, threshold: float) -> int:
+    """Partition of a set length: similar sets lie in one partition or in neighbouring ones."""
+    return int(math.log(size) / -math.log(threshold) + 1e-9) if size else -1
+
+
+def sets_with_prefixes(docs: DataFrame, threshold: float, text: str = "text") -> DataFrame:
+    """doc_id, the signatures as bytes, their length partition, and the prefix that similar sets share a member of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.slices(batches):
+            bounds, found = signatures(W.texts_of(piece))
+            sets = [found[s:e] for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+            prefix = [s[: len(s) - math.ceil(threshold * len(s) - 1e-9) + 1].astype(np.int64) if len(s) else s for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("doc_id"),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([length_part(len(s), threshold) for s in sets], pa.int32()),
+                    pa.array(prefix, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "signatures", "part", "prefix"],
+            )
+
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(
+        run, "doc_id long, signatures binary, part int, prefix array<long>"
+    )
+
+
+def search(queries: DataFrame, docs: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
+    """query_id, doc_id and likeness of all documents at least ``threshold`` like a query.
+
+    Sets meet by length partition and signature: a query looks into its own
+    partition and the two beside it, and only for the signatures of its prefix.
+    Candidates are compared by pruned Jaccard, so the result is exact. Empty
+    fingerprints match nothing; rows that share an id are searched on their own.
+    """
+    asked = sets_with_prefixes(queries, threshold, text).withColumnRenamed("doc_id", "query_id")
+    held = sets_with_prefixes(docs, threshold, text)
+    probes = asked.select(
+        "query_id", F.explode("prefix").alias("signature"), F.array(*[F.col("part") + d for d in (-1, 0, 1)]).alias("parts")
+    ).select("query_id", "signature", F.explode("parts").alias("part"))
+    index = held.select("doc_id", "part", F.explode("prefix").alias("signature"))
+    candidates = probes.join(index, ["part", "signature"]).select("query_id", "doc_id").distinct()
+    both = candidates.join(asked.select("query_id", F.col("signatures").alias("one")), "query_id").join(
+        held.select("doc_id", F.col("signatures").alias("two")), "doc_id"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            likeness = [
+                jaccard(np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32), threshold)
+                for a, b in zip(batch.column("one"), batch.column("two"), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("query_id"), batch.column("doc_id"), pa.array(likeness, pa.float64())],
+                names=["query_id", "doc_id", "likeness"],
+            )
+
+    found = both.select("query_id", "doc_id", "one", "two").mapInArrow(run, "query_id long, doc_id long, likeness double")
+    return found.where(F.col("likeness") >= threshold)
+
+
 def in_id_order(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Rows in range buckets of ``doc_id``, sorted, each bucket with the first row of the next one.
 

@@ -80,3 +80,32 @@ def test_texts_stand_alone():
     bounds, found = spotsigs.signatures(pa.array(texts))
     for i, text in enumerate(texts):
         assert found[bounds[i] : bounds[i + 1]].tolist() == spotsigs.signatures(pa.array([text]))[1].tolist()
+
+
+def test_search_finds_what_brute_force_finds(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rng = np.random.default_rng(4)
+    near = []
+    for row in docs.where("doc_id % 9 = 0").collect():
+        words = row.text.split(" ")
+        for at in rng.integers(0, len(words), max(1, len(words) // 60)):
+            words[at] = "changed"
+        near.append((10_000 + row.doc_id, " ".join(words)))
+    held = docs.unionByName(spark.createDataFrame(near + [(20_000, ""), (20_001, None)], docs.schema))
+    queries = held.where("doc_id % 10 = 0")
+    sets = {r.doc_id: plain_sets(r.text or "") for r in held.collect()}
+    asked = [r.doc_id for r in queries.collect()]
+    for threshold in (0.8, 0.5):
+        expected = {
+            (q, d) for q in asked for d in sets
+            if sets[q] and len(sets[q] & sets[d]) >= threshold * len(sets[q] | sets[d])
+        }
+        found = spotsigs.search(queries, held, threshold).collect()
+        assert {(r.query_id, r.doc_id) for r in found} == expected and len(found) == len(expected)
+    assert spotsigs.search(queries.limit(0), held).count() == 0
+
+
+def test_similar_lengths_are_neighbours():
+    for size in range(1, 400):
+        for other in range(size, int(size / 0.8) + 1):
+            assert abs(spotsigs.length_part(size, 0.8) - spotsigs.length_part(other, 0.8)) <= 1
