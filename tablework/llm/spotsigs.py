@@ -36,8 +36,8 @@ from tablework.llm import words as W
 
 CHAIN = 3
 GAP = 8
-#: Rows that one range bucket of ids holds, about.
-BUCKET_ROWS = 4_000
+#: Rows that one range bucket of ids holds, about, and buckets per task.
+BUCKET_ROWS, TASK_BUCKETS = 1_000, 4
 
 # Common words of English, French, German and Spanish.
 ANCHORS = frozenset(
@@ -241,7 +241,7 @@ def in_id_order(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     own = placed.select(F.col("__bucket").alias("bucket"), F.lit(False).alias("guest"), "doc_id", "text")
     return (
         own.unionByName(visiting)
-        .repartition(len(heads), "bucket")
+        .repartition(-(-len(heads) // TASK_BUCKETS), "bucket")
         .sortWithinPartitions("bucket", "guest", F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
     )
 
