@@ -231,10 +231,10 @@ hits AS (SELECT * FROM (
   FROM scored) WHERE rank <= 5)"""
 
 
-def _questions(spark: SparkSession, sf_dir: str) -> Queries:
+def _questions(orders: DataFrame) -> Queries:
     """One question per status and country that occurs."""
     asked = dense_ids(
-        landing(spark, sf_dir).select("Status", "ShipCountry").distinct(),
+        orders.select("Status", "ShipCountry").distinct(),
         ["Status", "ShipCountry"],
         "query_id",
     )
@@ -244,8 +244,8 @@ def _questions(spark: SparkSession, sf_dir: str) -> Queries:
 
 @query(f"WITH {SEARCH_SQL} SELECT query_id, rank, id, order_id, score FROM hits")
 def semantic_search_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = stage(spark, order_vectors(landing(spark, sf_dir)))
-    return semantic_search(vectors, _questions(spark, sf_dir))
+    orders = stage(spark, landing(spark, sf_dir))
+    return semantic_search(stage(spark, order_vectors(orders)), _questions(orders))
 
 
 @query(
@@ -256,6 +256,6 @@ def semantic_search_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM hits JOIN landing ON order_id = "OrderId" """
 )
 def search_then_fetch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = landing(spark, sf_dir)
+    orders = stage(spark, landing(spark, sf_dir))
     vectors = stage(spark, order_vectors(orders))
-    return times_as_text(search_then_fetch(vectors, orders, _questions(spark, sf_dir)))
+    return times_as_text(search_then_fetch(vectors, orders, _questions(orders)))

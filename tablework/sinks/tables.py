@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tablework.functions.paths import output_base_name
 from tablework.functions.times import day_key
 from tablework.operators import nexus
+from tablework.operators.publish import stage
 from tablework.operators.registry import new_only
 from tablework.operators.similarity import require_collection
 from tablework.schemas import FILE_REGISTRY, H5_CATALOG, ORDERS
@@ -92,7 +93,9 @@ def write_collection(vectors: DataFrame, path: str, dim: int) -> int:
     """Replace a collection after checking its rows; returns the entity count.
 
     Rows with a ``cell`` are stored by cell, so a search reads probed cells only.
+    The rows are staged first: checks, layout and write don't compute them anew.
     """
+    vectors = stage(vectors.sparkSession, vectors)
     count = require_collection(vectors, dim)
     if "cell" in vectors.columns:
         placed = laid_out(vectors, "cell", ["id"])
