@@ -315,20 +315,22 @@ def candidate_stars(docs: DataFrame, stars: DataFrame, k: int, num: int, den: in
     # One shuffle by token serves the grouping, the count of stars and the filter.
     tokens = rows.repartition("token").groupBy("token", "star").agg(F.min("level").alias("level"), F.min("wanted").alias("wanted"))
     met = tokens.withColumn("stars", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("stars > 1")
-    met = cut_lineage(met.select("token", "star", "level", "wanted"))
-    left, right = met.alias("p"), met.alias("i")
-    pairs = left.join(
-        right,
-        (F.col("p.token") == F.col("i.token"))
-        & (F.col("p.star") < F.col("i.star"))
-        & (F.col("p.level") <= F.col("p.wanted"))
-        & (F.col("i.level") <= F.col("p.wanted")),
+    met = cut_lineage(met.select("token", "star", "level", "wanted", "stars"))
+    # Similar stars share ``wanted`` tokens of the probe's prefix, so without its ``wanted - 1``
+    # tokens that most stars have they still share one: hot tokens needn't be joined at all.
+    hottest = Window.partitionBy("star").orderBy(F.desc("stars"), "token")
+    probes = (
+        met.where("level <= wanted")
+        .withColumn("place", F.row_number().over(hottest))
+        .where("place >= wanted")
+        .select("token", "star", "wanted")
     )
+    index = met.select("token", F.col("star").alias("other"), "level")
     found = (
-        pairs.groupBy(F.col("p.star").alias("a"), F.col("i.star").alias("b"))
-        .agg(F.count(F.lit(1)).alias("met"), F.min("p.wanted").alias("wanted"))
-        .where("met >= wanted")
-        .select("a", "b")
+        probes.join(index, "token")
+        .where((F.col("star") < F.col("other")) & (F.col("level") <= F.col("wanted")))
+        .select(F.col("star").alias("a"), F.col("other").alias("b"))
+        .distinct()
     )
     # Sets whose sizes are too far apart can't be similar.
     sizes = stars.where("doc_id = star").select("star", "lo", "hi")
@@ -373,6 +375,18 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def between_stars(links: DataFrame, stars: DataFrame) -> DataFrame:
+    """Links of documents as links of their stars; those inside a star fall away."""
+    at = stars.select("doc_id", "star")
+    return (
+        links.join(at.toDF("a", "sa"), "a")
+        .join(at.toDF("b", "sb"), "b")
+        .where("sa <> sb")
+        .select(F.col("sa").alias("a"), F.col("sb").alias("b"))
+        .distinct()
+    )
+
+
 def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
     return compared.where(F.col("shared") * den >= F.col("union") * num)
 
@@ -404,8 +418,7 @@ def star_links(docs: DataFrame, stars: DataFrame, candidates: DataFrame, k: int,
     links.append(cut_lineage(_linked(compare(cut_lineage(near.distinct()), docs, k, text), num, den).select("a", "b")))
 
     # Members with members, where the stars aren't connected by now.
-    within = stars.where("doc_id <> star").select(F.col("doc_id").alias("a"), F.col("star").alias("b"))
-    joined = components(reduce(DataFrame.unionByName, [*links, within]))
+    joined = components(between_stars(reduce(DataFrame.unionByName, links), stars))
     label = lambda c, name: joined.select(F.col("doc_id").alias(c), F.col("label").alias(name))
     apart = (
         open_pairs.join(label("a", "la"), "a", "left")
@@ -439,8 +452,13 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
     classes = groups.groupBy(F.col("rep").alias("doc_id")).agg(F.max_by("n", "one").alias("n"), F.max_by("keys", "one").alias("keys"))
     stars, proposed = stars_of(classes, docs, k, num, den, text)
     links = star_links(docs, stars, candidate_stars(docs, stars, k, num, den, text), k, num, den, text)
-    within = stars.where("doc_id <> star").select(F.col("doc_id").alias("a"), F.col("star").alias("b"))
-    labels = components(reduce(DataFrame.unionByName, [*links, within, proposed]))
+    # A star's leader has its smallest id, so components of stars give the smallest id reachable.
+    merged = components(between_stars(reduce(DataFrame.unionByName, [*links, proposed]), stars))
+    labels = (
+        stars.join(merged.select(F.col("doc_id").alias("star"), "label"), "star", "left")
+        .select("doc_id", F.coalesce("label", "star").alias("label"))
+        .where("doc_id <> label")
+    )
     # Only words that several rows have, or that are linked, need a partner here.
     final = (
         groups.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left")
