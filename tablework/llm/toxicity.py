@@ -1,8 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 The index holds a bounded, documented sample of labelled documents. Its terms
-are lower-case words without punctuation at the ends, neither rare in the index
-nor common in the corpus; document frequencies are counted over all documents.
+are all their words, in lower case and without punctuation at the ends, at every
+size; only idf weighs frequent ones down. Document frequencies are counted over
+all documents.
 Examples lie in blocks; for every term a block stores the weights of its
 examples and their maximum. A query sums the maxima to a bound per block, visits
 blocks by descending bound and stops when no bound exceeds the k-th best
@@ -12,7 +13,7 @@ Neighbours vote with their similarity; a logistic curve fitted on labelled rows
 outside the index turns votes into probabilities. The nearest toxic examples are
 returned as evidence.
 
-A null or empty text, or one without any indexed term, has no neighbours and
+A null or empty text, or one without any word of the examples, has no neighbours and
 gets the share of toxic rows among the labels. Equal texts get equal scores.
 Without labels every score is 0. Input columns are kept; a clash with a result
 name is an error.
@@ -40,8 +41,8 @@ EXAMPLE_ROWS = 1_000
 CURVE_ROWS = 1_000
 #: Share of the labelled rows kept for the curve, out of 100.
 CURVE_SHARE = 20
-#: A term occurs in this share of the examples at least, and of the corpus at most.
-LEAST_SHARE, MOST_SHARE = 0.01, 0.05
+#: A term of fewer examples can't tie examples together and isn't indexed, at any size.
+LEAST_EXAMPLES = 2
 #: Weight of a term: (1 + log count) times idf to this power. The square sets
 #: telling terms apart from the chance matches of long texts.
 IDF_POWER = 2
@@ -73,6 +74,9 @@ class BlockIndex:
 
     def __init__(self, terms: list[str], idf: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, ids: np.ndarray):
         self.terms, self.idf, self.toxic, self.ids = Terms(terms), idf.astype(np.float32), toxic, ids
+        self.offsets = np.cumsum([0, *(len(t) for t, _ in vectors)])
+        flat = [np.concatenate([v[i] for v in vectors]) if vectors else np.empty(0) for i in (0, 1)]
+        self.flat = [v.astype(np.int32) for v in flat]
         blocks = -(-len(vectors) // BLOCK)
         self.most = np.zeros((len(terms), blocks), np.float32)
         self.rows = np.full((blocks, len(terms)), -1, np.int32)
@@ -88,6 +92,10 @@ class BlockIndex:
             if len(here):
                 self.most[here, b] = dense.max(1)
 
+    def __reduce__(self):
+        # Sparse on the way: the blocks are many times larger and are built again in each worker.
+        return _rebuilt, (list(self.terms.number), self.idf, self.offsets, self.flat, self.toxic, self.ids)
+
     def weigh(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
         w = (1 + np.log(count)).astype(np.float32) * self.idf[term]
         norm = np.sqrt((w.astype(np.float64) ** 2).sum())
@@ -126,6 +134,11 @@ class BlockIndex:
         return float(sims @ self.toxic[near] / sims.sum()) if len(near) else -1.0
 
 
+def _rebuilt(terms: list[str], idf: np.ndarray, offsets: np.ndarray, flat: list[np.ndarray], toxic: np.ndarray, ids: np.ndarray) -> BlockIndex:
+    term, count = (np.split(v, offsets[1:-1]) for v in flat)
+    return BlockIndex(terms, idf, list(zip(term, count, strict=True))[: len(offsets) - 1], toxic, ids)
+
+
 def _documents(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -174,16 +187,12 @@ def build_index(docs: DataFrame, labels: DataFrame, text: str = "text", rows: in
     """
     chosen = labelled.sample(labels, rows, salt=3)
     examples = cut_lineage(_documents(docs, text).join(F.broadcast(chosen), "doc_id"))
-    number = examples.count()
-    if not number:
+    if not examples.limit(1).count():
         return None
-    least = max(2, int(LEAST_SHARE * number))
-    found = _distinct_words(examples).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    found = _distinct_words(examples).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_EXAMPLES)
     terms = sorted(r["word"] for r in found.select("word").collect())
     counts, total = corpus_counts(docs, terms, text)
-    fits = counts <= max(MOST_SHARE * total, least)
-    terms = [t for t, fit in zip(terms, fits, strict=True) if fit]
-    idf = np.log(1 + total / np.maximum(counts[fits], 1)) ** IDF_POWER
+    idf = np.log(1 + total / np.maximum(counts, 1)) ** IDF_POWER
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,4 @@
+import pickle
 import zlib
 from collections import Counter
 
@@ -112,3 +113,24 @@ def test_corpus_counts_cover_all_rows(spark):
     for row in docs.collect():
         plain.update({W.bare(w) for w in (row["text"] or "").split()})
     assert counts.tolist() == [plain["idiot"], plain["the"], 0] and total == 1000
+
+
+def test_index_holds_every_shared_term_at_any_size(spark):
+    # A term of two examples stays however many examples there are, and so does one of all documents.
+    for n in (20, 600):
+        rows = [(i, "the " + ("Pair! " if i < 2 else "once " if i == 2 else "") + f"w{i // 2}") for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, label int")
+        index = toxicity.build_index(docs, labels)
+        assert set(index.terms.number) == {"the", "pair", *(f"w{i}" for i in range(n // 2))}
+        assert index.idf[index.terms.number["the"]] == index.idf.min()
+
+
+def test_index_travels_sparse():
+    rng = np.random.default_rng(2)
+    vectors = [(np.sort(rng.choice(5_000, 40, replace=False)), rng.integers(1, 5, 40)) for _ in range(100)]
+    index = toxicity.BlockIndex([f"t{i}" for i in range(5_000)], rng.uniform(0.5, 3, 5_000), vectors, np.zeros(100, np.float32), np.arange(100))
+    sent = pickle.dumps(index)
+    assert len(sent) < index.most.nbytes + index.rows.nbytes
+    for a, b in zip(index.nearest(*vectors[5], 10), pickle.loads(sent).nearest(*vectors[5], 10), strict=True):
+        assert a.tolist() == b.tolist()
