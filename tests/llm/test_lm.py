@@ -2,6 +2,8 @@ import math
 from collections import Counter
 
 from tablework.llm import lm
+from tablework.llm.queries import ORACLES, QUERIES
+from tests.compare import connect
 
 ROWS = [(1, "The cat sat. the cat ran"), (2, "the cat SAT."), (3, None), (4, ""), (4, "again a row"), (None, "no id"), (5, "x " * 30_000), (6, "the dog"), (6, "the dog")]
 
@@ -32,3 +34,19 @@ def test_against_plain_counts(spark):
 
 def test_no_rows(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_every_word_counts(spark):
+    # More words than are broadcast, against the query's SQL without its limit.
+    sf = "/root/testdata/sf0.01"
+    expected = connect(sf).sql(ORACLES["op4_lm_score"].replace("LIMIT 65534", "")).fetchall()
+    assert "LIMIT 65534" in ORACLES["op4_lm_score"] and len(expected) == 1000
+    found = QUERIES["op4_lm_score"](spark, sf).collect()
+    assert sorted(tuple(r)[:4] for r in found) == sorted(r[:4] for r in expected)
+
+
+def test_salt_until_codes_differ(spark):
+    words = [f"w{i}" for i in range(6)]
+    salt = lm.free_salt(spark.createDataFrame([(w,) for w in words], "word string"), bits=5)
+    same = [len(set(lm.codes_of(words, s, 5).tolist())) < 6 for s in range(salt + 1)]
+    assert same == [True] * salt + [False]
