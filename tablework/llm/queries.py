@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, exact_dedup, labelled, lm, ngram_join, packing, quality, spotsigs, toxicity, url_filter
+from tablework.llm import bpe, chat, exact_dedup, labelled, lm, ngram_join, packing, quality, runs, spotsigs, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -217,3 +217,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all texts; SQL would compare all periods, the tests do so on a small table."""
+    return runs.digests(table(spark, sf_dir, "documents"))
