@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, chat, exact_dedup, labelled, lm, ngram_join, packing, quality, runs, spotsigs, toxicity, url_filter
+from tablework.llm import alignment, bpe, chat, exact_dedup, labelled, language, lm, ngram_join, packing, quality, runs, spotsigs, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -219,7 +219,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all texts; the tests check the network's gradient, a plain reader and held-out accuracy."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(labelled.fold("doc_id", 4) != 2))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (labelled.fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of all texts; SQL would compare all periods, the tests do so on a small table."""
     return runs.digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in all texts; the tests align whole texts token by token."""
+    return alignment.digests(table(spark, sf_dir, "documents"))
