@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,15 +51,20 @@ from tablework.llm.columns import reserve
 from tablework.runtime import scratch_path
 
 #: Chunks that a worker remembers; beyond it, it starts anew.
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 400_000
 #: Chunks handed to the tokenizers at once.
 TOGETHER = 4_000
 #: A pair of ids as one number: A's id times this plus B's.
 PAIR = 1 << 24
 
-_SAFE = regex.compile(r"[!-~\p{L}]")
+_SAFE = regex.compile(r"^[!-~\p{L}]")
+#: Signs that both libraries for A's vocabulary class alike.
+_LATIN = regex.compile(r"[\x00-\x7f\xa0-\u024f]*")
 _MARK = "▁"
 
+# Fixed value: how byte-level vocabularies of this family cut a text into words.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 
 def tokenizer_paths() -> tuple[str, str]:
     """The two vocabulary files that are used when none are given."""
@@ -95,6 +101,8 @@ class Aligner:
 
         with open(a_path, encoding="utf-8") as file:
             spec = json.load(file)
+        # One thread per task; the cluster spreads the work.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(a_path)
         self.a.no_truncation()
         self.a.no_padding()
@@ -118,6 +126,8 @@ class Aligner:
                 of_bytes.setdefault(piece, i)
         self.same_id = np.array([of_bytes.get(t, -1) for t in self.a_bytes])
         self.cuts = self._may_cut(spec)
+        self.ranks = self._by_rank(spec)
+        self.spelling = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.store = Store()
 
     def _may_cut(self, spec: dict) -> bool:
@@ -129,6 +139,19 @@ class Aligner:
             " a "
         ) + self.b.encode("b")
 
+    def _by_rank(self, spec: dict):
+        """A's vocabulary for the faster library, if its ids are the ranks of its merges; used for Latin texts only."""
+        import tiktoken
+
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        ids = [spec["model"]["vocab"].get("".join(m), -1) for m in merges]
+        special = {t["id"] for t in spec.get("added_tokens") or []}
+        letters = len(ids) and min(ids) == 256 and ids == list(range(256, 256 + len(ids)))
+        if not (self.cuts and letters):
+            return None
+        ranks = {raw: i for i, raw in enumerate(self.a_bytes) if i not in special}
+        return tiktoken.Encoding("ranks", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
     def chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Offsets per text, the code of each chunk, and the chunk of each code; no empty text has any."""
         if not self.cuts:
@@ -141,7 +164,8 @@ class Aligner:
         flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
         codes, named = flat.indices.to_numpy().astype(np.int64), flat.dictionary.to_pylist()
-        safe = np.array([_SAFE.match(p) is not None for p in named], bool)[codes] if len(codes) else np.zeros(0, bool)
+        starts_safe = pc.match_substring_regex(flat.dictionary, _SAFE.pattern).to_numpy(zero_copy_only=False)
+        safe = starts_safe[codes] if len(codes) else np.zeros(0, bool)
         unsafe = np.concatenate([[0], np.cumsum(~safe)])
         odd = np.flatnonzero(unsafe[offsets[1:]] > unsafe[offsets[:-1]])
         if not len(odd):
@@ -150,10 +174,11 @@ class Aligner:
         number = {p: i for i, p in enumerate(named)}
         lists_of = np.split(codes, offsets[1:-1]) if len(offsets) > 1 else []
         for i in odd.tolist():
-            parts = [named[c] for c in lists_of[i].tolist()]
+            own = lists_of[i].tolist()
+            fine = safe[offsets[i] : offsets[i + 1]].tolist()
             joined: list[str] = []
-            for at, part in enumerate(parts):
-                if at == 0 or (parts[at - 1] and _SAFE.match(part)):
+            for at, part in enumerate(named[c] for c in own):
+                if at == 0 or (fine[at] and named[own[at - 1]]):
                     joined.append(part)
                 else:
                     joined[-1] += " " + part
@@ -170,12 +195,33 @@ class Aligner:
         if len(store.rows) > KNOWN_CHUNKS:
             store = self.store = Store()
         new = [c for c in chunks if c not in store.rows]
-        for at in range(0, len(new), TOGETHER):
-            self._add(new[at : at + TOGETHER])
+        # Chunks that may stand behind each other are tokenized as one text.
+        joined = [c for c in new if self.cuts and _SAFE.match(c) and not c.endswith(" ")]
+        plain = [c for c in joined if _LATIN.fullmatch(c)]
+        others = set(new) - set(plain) if len(plain) < len(new) else set()
+        wide, alone = [c for c in joined if c in others], sorted(others - set(joined))
+        for part, together in ((plain, self._together), (wide, self._together), (alone, self._alone)):
+            for at in range(0, len(part), TOGETHER):
+                some = part[at : at + TOGETHER]
+                self._add(some, *(together(some, part is plain) or self._alone(some)))
         return np.array([store.rows[c] for c in chunks], np.int64)
 
-    def _add(self, chunks: list[str]) -> None:
-        store = self.store
+    def _together(self, chunks: list[str], plain: bool) -> tuple | None:
+        """Tokens of all chunks from one text, and their bytes; None if they don't spell it."""
+        text = " ".join(chunks)
+        if plain and self.ranks is not None:
+            a = self.ranks.encode_ordinary(" " + text)
+        else:
+            a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        raw = (" " + text).encode()
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        sizes = np.array([len(c.encode()) + 1 for c in chunks])
+        return np.array(a, np.int64), np.array(b, np.int64), sizes, [True] * len(chunks)
+
+    def _alone(self, chunks: list[str], plain: bool = False) -> tuple:
+        """The same chunk by chunk; one whose tokens don't spell it has none."""
         a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
         fine = []
@@ -184,28 +230,31 @@ class Aligner:
             fine.append(
                 b"".join([self.b_bytes[i] for i in y]) == raw and b"".join([self.a_bytes[i] for i in x]) == raw
             )
-        a = [x if good else [] for x, good in zip(a, fine, strict=True)]
-        b = [y if good else [] for y, good in zip(b, fine, strict=True)]
-        a_ends = np.cumsum([0, *map(len, a)])
-        b_ends = np.cumsum([0, *map(len, b)])
-        a_id = np.array([i for x in a for i in x], np.int64)
-        b_id = np.array([i for y in b for i in y], np.int64)
+        a_id = np.array([i for x, good in zip(a, fine, strict=True) if good for i in x], np.int64)
+        b_id = np.array([i for y, good in zip(b, fine, strict=True) if good for i in y], np.int64)
+        sizes = np.array([len(c.encode()) + 1 if good else 0 for c, good in zip(chunks, fine, strict=True)])
+        return a_id, b_id, sizes, fine
+
+    def _add(self, chunks: list[str], a_id: np.ndarray, b_id: np.ndarray, sizes: np.ndarray, fine: list[bool]) -> None:
+        store = self.store
         a_at, b_at = np.cumsum(self.a_length[a_id]), np.cumsum(self.b_length[b_id])
-        both = np.intersect1d(a_at, b_at, assume_unique=True)
-        every = np.union1d(a_at, b_at)
+        bytes_at = np.concatenate([[0], np.cumsum(sizes)])
+        a_ends, b_ends = np.searchsorted(a_at, bytes_at, "right"), np.searchsorted(b_at, bytes_at, "right")
+        every = np.sort(np.concatenate([a_at, b_at]), kind="stable")
+        twice = np.concatenate([every[1:] == every[:-1], [False]])[: len(every)]
+        both, every = every[twice], every[~twice]
         # Every stretch between neighbouring ends is one link.
         link_a, link_b = a_id[np.searchsorted(a_at, every)], b_id[np.searchsorted(b_at, every)]
         group_a, group_b = np.searchsorted(a_at, both, "right"), np.searchsorted(b_at, both, "right")
-        first_a, first_b = np.concatenate([[0], group_a[:-1]]), np.concatenate([[0], group_b[:-1]])
+        first_a, first_b = np.concatenate([[0], group_a])[:-1], np.concatenate([[0], group_b])[:-1]
         single = (group_a - first_a == 1) & (group_b - first_b == 1)
         single[single] = self.same_id[a_id[first_a[single]]] == b_id[first_b[single]]
         same = single[np.searchsorted(both, every)]
         # Where the chunks end among links and groups.
-        bytes_at = np.concatenate([[0], a_at])[a_ends]
         link_ends = np.searchsorted(every, bytes_at, "right")
         group_ends = np.searchsorted(both, bytes_at, "right")
         numbers = np.stack([np.diff(a_ends), np.diff(b_ends), np.diff(group_ends), np.diff(link_ends)], 1)
-        a_text, b_text = list(map(str, a_id.tolist())), list(map(str, b_id.tolist()))
+        a_text, b_text = [self.spelling[i] for i in a_id.tolist()], [self.spelling[i] for i in b_id.tolist()]
         groups = [
             f"{a_text[s]}|{b_text[t]}" if e - s == 1 and f - t == 1 else f"{','.join(a_text[s:e])}|{','.join(b_text[t:f])}"
             for s, e, t, f in zip(first_a.tolist(), group_a.tolist(), first_b.tolist(), group_b.tolist(), strict=True)

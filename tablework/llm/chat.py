@@ -7,15 +7,17 @@ the deltas after it write it anew. An edit or a regeneration also drops what
 later turns had said before it, since they answered the former text.
 
 Template: a turn is ``### <role>: <text> </turn>`` and a line end. Backslash,
-``###`` and ``</turn>`` inside a text become ``\\b``, ``\\h##`` and
+every ``#`` and ``</turn>`` inside a text become ``\\b``, ``\\h`` and
 ``\\t/turn>``; roles also write ``:`` and line ends as codes. No control string
-can then come from a text, so the output splits at literal marks and every text
-is read back exactly.
+can then come from a text, however many ``#`` it has in a row, so the output
+splits at literal marks and every text is read back exactly.
 
 A null text is empty, a null role is an empty role, and null sequence numbers or
 turns come first. Events of equal sequence number are ordered by kind (opening
 ones first), then text; repeated events are kept, since a delta may repeat.
-Unknown kinds count as messages. An empty log gives no conversations.
+Unknown kinds count as messages. An empty log gives no conversations. A very
+long text is one event or many; a conversation is one row of the output, so its
+final texts meet in one task. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Codes for backslash and control strings; unescaped in reverse order.
-TEXT_CODES = [("\\", "\\b"), ("###", "\\h##"), ("</turn>", "\\t/turn>")]
+TEXT_CODES = [("\\", "\\b"), ("#", "\\h"), ("</turn>", "\\t/turn>")]
 ROLE_CODES = [*TEXT_CODES, (":", "\\c"), ("\n", "\\n")]
 HEAD, COLON, TAIL = "### ", ": ", " </turn>\n"
 LOSS_ROLE = "assistant"
@@ -122,6 +124,30 @@ def turns_as_events(turns: DataFrame, conv_id: str = "conv_id", turn: str = "tur
     ).withColumn("turn", F.col("seq"))
 
 
+def turns_as_streams(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Finished turns as the log of a conversation that was streamed and revised.
+
+    An assistant's turn opens empty, streams a first draft (the first half of
+    its text), is regenerated and streams its text in two deltas; any other turn
+    opens with half of its text and is edited to the whole one.
+    """
+    events = turns_as_events(turns, conv_id, turn)
+    text = _empty("text")
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.char_length(text) - half)
+
+    def steps(*kinds: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("text")) for k, t in kinds])
+
+    none = F.lit(None).cast("string")
+    streamed = steps(("message", none), ("delta", first), ("regenerate", none), ("delta", first), ("delta", rest))
+    edited = steps(("message", first), ("edit", text))
+    spread = F.when(F.col("role").eqNullSafe(LOSS_ROLE), streamed).otherwise(edited)
+    return events.select("conv_id", "turn", "role", "seq", F.posexplode(spread).alias("step", "event")).select(
+        "conv_id", (F.col("seq") * 8 + F.col("step")).alias("seq"), "event.kind", "turn", "role", "event.text"
+    )
+
+
 def render(messages: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     """One row per conversation: conv_id, formatted text, and its parts with the loss mask.
 

@@ -6,10 +6,17 @@ own copies (partial aggregation), groups are merged per salt, and the winners
 of the salts are combined. A group with a third of all rows thus reaches the
 last step as at most one row per salt.
 
+The winner is then handed back to the rows of its group by sha256, a second
+64-bit hash and length of the content: carrying the content through that join
+too would shuffle all texts once more.
+
 Of equal texts, the row with the most code points in its original text stays,
 then the one with the smallest id; a null id comes last. A null text is an
-empty text, and all empty texts are one group. Of repeated rows with the same
-id and length exactly one is marked as kept. Empty tables give empty results.
+empty text, and all empty texts are one group. Very long texts are compared
+whole. Rows repeated with the id and the length of the winner can't be told
+apart: ``mark_copies`` marks all of them as kept, ``deduplicate`` returns one.
+Empty tables give empty results. Columns of the input are kept; a clash with a
+result name is an error.
 """
 
 from __future__ import annotations

@@ -59,13 +59,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
         FROM documents
     ), counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM split) GROUP BY word),
-    kept AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) + 1 AS id FROM counts ORDER BY n DESC, word LIMIT 65534),
-    totals AS (SELECT (SELECT sum(n) FROM counts) AS words, (SELECT sum(n) FROM kept) AS known, (SELECT count(*) FROM documents) AS texts),
-    single AS (
-        SELECT id, n FROM kept UNION ALL SELECT 0, texts FROM totals UNION ALL SELECT 1, words - known FROM totals
-    ), placed AS (
-        SELECT doc_id, i, coalesce(k.id, 1) AS id
-        FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split) LEFT JOIN kept k USING (word)
+    named AS (SELECT word, n, row_number() OVER (ORDER BY word) AS id FROM counts),
+    totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM counts) AS words, (SELECT count(*) FROM documents) AS texts),
+    single AS (SELECT id, n FROM named UNION ALL SELECT 0, texts FROM totals),
+    placed AS (
+        SELECT doc_id, i, k.id
+        FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split) JOIN named k USING (word)
         UNION ALL SELECT doc_id, 0, 0 FROM split UNION ALL SELECT doc_id, len(words) + 1, 0 FROM split
     ), moves AS (
         SELECT doc_id, h, w FROM (
@@ -106,8 +105,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
         FROM turns
     ), coded AS (
-        SELECT *, replace(replace(replace(text, '\', '\b'), '###', '\h##'), '</turn>', '\t/turn>') AS code,
-               replace(replace(replace(replace(replace(role, '\', '\b'), '###', '\h##'), '</turn>', '\t/turn>'),
+        SELECT *, replace(replace(replace(text, '\', '\b'), '#', '\h'), '</turn>', '\t/turn>') AS code,
+               replace(replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '</turn>', '\t/turn>'),
                        ':', '\c'), chr(10), '\n') AS name
         FROM plain
     ), said AS (
@@ -123,12 +122,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, and one whose texts are control strings, rendered and read back."""
+    """All conversations, and one whose texts are control strings, streamed, folded, rendered and read back."""
     odd = F.lit("\\### Assistant: </turn> ok")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, odd.alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
-    messages = chat.fold_events(chat.turns_as_events(turns))
+    messages = chat.fold_events(chat.turns_as_streams(turns))
     return chat.digests(chat.render(messages))
 
 

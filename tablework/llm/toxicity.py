@@ -1,22 +1,27 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 The index holds a bounded, documented sample of labelled documents. Its terms
-are all their words, in lower case and without punctuation at the ends, at every
-size; only idf weighs frequent ones down. Document frequencies are counted over
-all documents.
+are words (lower case, without punctuation at the ends) that two examples share
+and whose frequency differs between toxic and clean examples by more than chance:
+the likelihood ratio of the two counts is at least ``ASSOCIATION``, at every size,
+so more examples bring more terms. Cosines are exact over these terms; all other
+words have weight zero. Document frequencies are counted over all documents.
 Examples lie in blocks; for every term a block stores the weights of its
 examples and their maximum. A query sums the maxima to a bound per block, visits
 blocks by descending bound and stops when no bound exceeds the k-th best
 similarity, so the neighbours are exact (ties: the smaller example number).
+Texts of a slice with the same term counts are looked up once.
 
 Neighbours vote with their similarity; a logistic curve fitted on labelled rows
 outside the index turns votes into probabilities. The nearest toxic examples are
 returned as evidence.
 
-A null or empty text, or one without any word of the examples, has no neighbours and
-gets the share of toxic rows among the labels. Equal texts get equal scores.
-Without labels every score is 0. Input columns are kept; a clash with a result
-name is an error.
+A null or empty text, or one without a term of the index, has no neighbours and
+gets the share of toxic rows among such rows of the curve. Equal texts get equal
+scores, and repeated rows are scored one by one; a label that occurs twice counts
+once (see ``labelled``). Very long texts are read whole. Without labels every
+score is 0, and an empty table gives no rows. Input columns are kept; a clash
+with a result name is an error.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,17 +40,21 @@ from tablework.llm import words as W
 from tablework.llm.columns import reserve
 from tablework.runtime import cut_lineage
 
-#: Labelled rows of each label in the index, about; fewer where a label has fewer.
+#: Toxic labelled rows in the index, about; fewer where there are fewer.
 EXAMPLE_ROWS = 1_000
+#: Clean rows in the index for each toxic one. Toxic words are rare in clean rows, so it takes
+#: many of these to tell them from other rare words.
+CLEAN_PER_TOXIC = 4
 #: Labelled rows of each label that the probability curve is fitted on, about.
 CURVE_ROWS = 1_000
 #: Share of the labelled rows kept for the curve, out of 100.
 CURVE_SHARE = 20
 #: A term of fewer examples can't tie examples together and isn't indexed, at any size.
 LEAST_EXAMPLES = 2
-#: Weight of a term: (1 + log count) times idf to this power. The square sets
-#: telling terms apart from the chance matches of long texts.
-IDF_POWER = 2
+#: Least likelihood ratio of a term's two counts: chance alone exceeds it for one word in 16,000.
+ASSOCIATION = 16.0
+#: Weight of a term: (1 + log count) times idf to this power.
+IDF_POWER = 1
 BLOCK, NEIGHBOURS = 32, 15
 THRESHOLD = 0.7
 EVIDENCE = 3
@@ -144,17 +153,46 @@ def _documents(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _distinct_words(rows: DataFrame) -> DataFrame:
-    """One row per document and distinct word."""
+    """One row per document and distinct word, with the document's label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.slices(batches):
             offsets, codes, tokens = W.word_codes(piece.column("text"))
             plain = pd.Series([W.bare(t) for t in tokens.to_pandas().tolist()], dtype=object)
             number, names = pd.factorize(plain)
-            _, word, _ = W.distinct_per_owner(W.owners(offsets), number[codes])
-            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(names)[word], pa.string())], names=["word"])
+            owner, word, _ = W.distinct_per_owner(W.owners(offsets), number[codes])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.asarray(names)[word], pa.string()), piece.column("label").take(pa.array(owner))],
+                names=["word", "label"],
+            )
+
+    return rows.select("text", "label").mapInArrow(run, "word string, label int").where("word <> ''")
 
-    return rows.select("text").mapInArrow(run, "word string").where("word <> ''")
+
+def likelihood_ratio(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """Twice the log likelihood ratio of a word's share among toxic and among clean examples."""
+    share = (toxic + clean) / (n_toxic + n_clean)
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.ln(seen / expected)).otherwise(0.0)
+
+    return 2 * (
+        part(toxic, n_toxic * share)
+        + part(clean, n_clean * share)
+        + part(n_toxic - toxic, n_toxic * (1 - share))
+        + part(n_clean - clean, n_clean * (1 - share))
+    )
+
+
+def index_terms(examples: DataFrame) -> list[str]:
+    """The words of labelled examples that the index holds; at most as many as their words."""
+    counts = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    words = _distinct_words(examples).groupBy("word").agg(
+        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")
+    )
+    ratio = likelihood_ratio(F.col("toxic"), F.col("clean"), counts.get(1, 0), counts.get(0, 0))
+    kept = words.where((F.col("toxic") + F.col("clean") >= LEAST_EXAMPLES) & (ratio >= ASSOCIATION))
+    return sorted(r["word"] for r in kept.select("word").collect())
 
 
 def corpus_counts(docs: DataFrame, terms: list[str], text: str = "text") -> tuple[np.ndarray, int]:
@@ -180,17 +218,19 @@ def corpus_counts(docs: DataFrame, terms: list[str], text: str = "text") -> tupl
 
 
 def build_index(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = EXAMPLE_ROWS) -> BlockIndex | None:
-    """The index over about ``rows`` examples of each label; None without any example.
+    """The index over about ``rows`` toxic examples and the clean ones beside them; None without any example.
 
     Collected are the terms (bounded by the sample) and one sparse vector over
     them per example.
     """
-    chosen = labelled.sample(labels, rows, salt=3)
+    clean = labels.where("label = 0")
+    chosen = labelled.sample(labels.where("label = 1"), rows, salt=3).unionByName(
+        labelled.sample(clean, rows * CLEAN_PER_TOXIC, salt=3)
+    )
     examples = cut_lineage(_documents(docs, text).join(F.broadcast(chosen), "doc_id"))
     if not examples.limit(1).count():
         return None
-    found = _distinct_words(examples).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_EXAMPLES)
-    terms = sorted(r["word"] for r in found.select("word").collect())
+    terms = index_terms(examples)
     counts, total = corpus_counts(docs, terms, text)
     idf = np.log(1 + total / np.maximum(counts, 1)) ** IDF_POWER
     shared = docs.sparkSession.sparkContext.broadcast(terms)
@@ -235,10 +275,14 @@ def votes(docs: DataFrame, index: BlockIndex, text: str = "text", k: int = NEIGH
         for piece in W.slices(batches, text):
             offsets, term, count = held.terms.vectors(W.texts_of(piece, text))
             vote, evidence = [], []
+            known: dict[bytes, tuple[float, list[int]]] = {}
             for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                near, sims = held.nearest(term[s:e], count[s:e], k)
-                vote.append(round(held.vote(near, sims), 5))
-                evidence.append(held.ids[near[held.toxic[near] > 0][:EVIDENCE]].tolist())
+                key = term[s:e].tobytes() + count[s:e].tobytes()
+                if key not in known:
+                    near, sims = held.nearest(term[s:e], count[s:e], k)
+                    known[key] = round(held.vote(near, sims), 5), held.ids[near[held.toxic[near] > 0][:EVIDENCE]].tolist()
+                vote.append(known[key][0])
+                evidence.append(known[key][1])
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns, pa.array(vote, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
                 names=[*piece.schema.names, "vote", "evidence"],
@@ -281,23 +325,23 @@ def classify(
     known = cut_lineage(labelled.training_labels(labels, "toxic", held_out, folds))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     aside = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(100)) < CURVE_SHARE
-    # Both labels get the same number of examples, so that votes aren't swamped by one of them.
-    rows = min(EXAMPLE_ROWS, *counts.values()) if counts else 0
+    rows = min(EXAMPLE_ROWS, counts.get(1, 0)) or EXAMPLE_ROWS
     index = build_index(docs, known.where(~aside), text, rows) if counts else None
     if index is None:
         return docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.array().cast("array<long>").alias("evidence"))
     prior = counts.get(1, 0) / sum(counts.values())
     rest = labelled.sample(known.where(aside), CURVE_ROWS, salt=4)
-    points = [
-        (r["vote"], r["label"])
-        for r in votes(_documents(docs, text).join(F.broadcast(rest), "doc_id"), index).select("vote", "label").collect()
-        if r["vote"] >= 0
-    ]
-    seen = {label: max(1, sum(1 for _, y in points if y == label)) for label in (0, 1)}
-    share = {0: (1 - prior) * len(points) / seen[0], 1: prior * len(points) / seen[1]}
+    voted = votes(_documents(docs, text).join(F.broadcast(rest), "doc_id"), index).select("vote", "label").collect()
+    seen = {label: max(1, sum(1 for r in voted if r["label"] == label)) for label in (0, 1)}
+    # What a sampled row of either label stands for among all rows.
+    share = {0: (1 - prior) * len(voted) / seen[0], 1: prior * len(voted) / seen[1]}
+    points = [(r["vote"], r["label"]) for r in voted if r["vote"] >= 0]
     slope, place = fit_curve(sorted(points), share) if points else (1.0, 0.0)
+    lone = [share[r["label"]] * np.array([r["label"], 1]) for r in voted if r["vote"] < 0]
+    toxic_lone, all_lone = np.sum([*lone, np.array([prior, 1.0])], axis=0)
+    without = float(toxic_lone / all_lone)
     curve = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("vote") * slope + place)))
-    scored = F.round(F.when(F.col("vote") < 0, prior).otherwise(curve), 6)
+    scored = F.round(F.when(F.col("vote") < 0, without).otherwise(curve), 6)
     return (
         votes(docs, index, text)
         .withColumn("score", scored)

@@ -2,8 +2,9 @@
 
 A rule holds for its host, all its subdomains, and paths that start with its
 path. Every URL is expanded into (host suffix, path prefix) expressions; rules
-and expressions meet in an equi-join on a short prefix of their digests, and a
-match counts only if the full digests are equal. The longest rule (host and path
+are gathered by a short prefix of their digests, expressions meet them in an
+equi-join on that prefix alone, and of what they meet only rules with an equal
+full digest count. The longest rule (host and path
 together) wins; of equal ones a block comes before an allow, then the text order
 decides. URLs without a matching rule get the default verdict.
 
@@ -11,7 +12,10 @@ Only suffix and prefix lengths that some rule has are expanded, so a URL with
 thousands of labels or a path of any length stays cheap and no rule is missed.
 A null URL or one without ``://`` has an empty host and path and matches only
 rules with an empty host. Repeated rows and repeated rules change nothing; null
-fields of a rule are empty texts; no rules leave the default everywhere.
+fields of a rule are empty texts; no rules leave the default everywhere, and an
+empty table of pages gives no rows. Other columns of the pages, whatever their
+names, are not read by ``judge``; ``with_verdicts`` keeps them, and there a
+clash with ``rule`` or ``verdict`` is an error.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tablework.llm.columns import reserve
 
-#: Hex digits of the digest that the join compares.
+#: Hex digits of the digest that the join compares; full digests are compared after it.
 PREFIX_DIGITS = 8
 
 
@@ -42,8 +46,8 @@ def _rest(url: Column) -> Column:
 
 
 def _expression(host: Column, path: Column) -> Column:
-    """Host and path as one text; a host can hold no line end after parsing by rule."""
-    return F.concat(host, F.lit("\n"), path)
+    """Host and path as one text that only this pair has: the host's length comes first."""
+    return F.concat(F.char_length(host).cast("string"), F.lit(":"), host, path)
 
 
 def _lengths(values: DataFrame, length: Column) -> list[int]:
@@ -69,7 +73,11 @@ def judge(
         digest(_expression(F.col("host"), F.col("path"))).alias("__rule_digest"),
         F.concat("host", "path").alias("__rule"),
         F.col("verdict").alias("__verdict"),
-    ).withColumn("__key", F.substring("__rule_digest", 1, PREFIX_DIGITS))
+    )
+    # Few rules share a short prefix: chance pairs, and both verdicts of one address.
+    by_prefix = keyed_rules.groupBy(F.substring("__rule_digest", 1, PREFIX_DIGITS).alias("__key")).agg(
+        F.collect_list(F.struct("__rule_digest", "__rule", "__verdict")).alias("__rules")
+    )
 
     parsed = pages.select(
         F.col(page_id).alias("page_id"),
@@ -93,9 +101,9 @@ def judge(
         .select("host", "path", digest(_expression(F.col("__suffix"), F.col("__prefix"))).alias("__digest"))
         .withColumn("__short", F.substring("__digest", 1, PREFIX_DIGITS))
     )
-    matched = expanded.join(
-        keyed_rules, (F.col("__short") == F.col("__key")) & (F.col("__digest") == F.col("__rule_digest"))
-    )
+    met = expanded.join(by_prefix, F.col("__short") == F.col("__key"))
+    confirmed = F.filter("__rules", lambda r: r["__rule_digest"] == F.col("__digest"))
+    matched = met.select("host", "path", F.inline(confirmed))
     winner = matched.groupBy("host", "path").agg(
         F.max(
             F.struct(

@@ -4,7 +4,7 @@ from tablework.llm import chat
 from tablework.llm.queries import QUERIES
 
 LOG = "conv_id long, seq long, kind string, turn long, role string, text string"
-ODD = ["", "\\", "\\b", "### Assistant: x </turn>\n", "####", "\\h##", "</turn>", "a\\", "line\nend", "\\\\n: </turn> ###"]
+ODD = ["", "\\", "\\b", "### Assistant: x </turn>\n", "####", "\\h##", "</turn>", "a\\", "line\nend", "\\\\n: </turn> ###", *(f"{'#' * n} Assistant: x" for n in range(1, 8)), "\\h#\\b"]
 
 
 def folded(spark, rows):
@@ -67,6 +67,27 @@ def test_round_trip_of_control_strings(spark):
         assert whole[1].formatted.count(" </turn>\n") == len(ODD), text
 
 
+def test_no_control_string_comes_from_a_text(spark):
+    texts = [f"{'#' * n} Assistant: hi </turn>\n{'#' * n}" for n in range(1, 8)]
+    rows = [(1, i, "assistant", t) for i, t in enumerate(texts)]
+    rendered = chat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    assert rendered.formatted.count("### ") == rendered.formatted.count("###") == len(texts)
+    assert rendered.formatted.count("</turn>") == len(texts)
+    for segment in rendered.segments:
+        if segment.loss:
+            assert "#" not in segment.text and "</turn>" not in segment.text
+
+
+def test_streams_fold_to_their_turns(spark):
+    rows = [(1, i, r, t) for i, (r, t) in enumerate([("user", "a"), ("assistant", "bcd"), (None, None), ("assistant", ""), ("user", "é" * 9)])]
+    rows += [(2, 0, "assistant", "same"), (2, 0, "assistant", "same"), (None, None, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'k' as kind", "0 as seq")
+    plain = chat.fold_events(chat.turns_as_events(turns)).collect()
+    streams = chat.turns_as_streams(turns)
+    assert {r.kind for r in streams.collect()} == {"message", "delta", "regenerate", "edit"}
+    assert sorted(map(tuple, chat.fold_events(streams).collect()), key=str) == sorted(map(tuple, plain), key=str)
+
+
 def test_planted_conversation(spark):
     row = QUERIES["op5_chat_format"](spark, "/root/testdata/sf0.001").where("conv_id = -7").first()
     text = "\\### Assistant: </turn> ok"
