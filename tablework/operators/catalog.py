@@ -28,6 +28,9 @@ SIGNIFICANT_COUNT = 20
 # Entry-level fields of a metadata row.
 ENTRY_FIELDS = ("title", "experiment_identifier", "start_time", "end_time", "duration", "run_number")
 
+# Fields of an instrument, its sources, a sample and a user that a metadata row holds.
+LEAF_FIELDS = ("name", "type", "description", "facility_user_id")
+
 # How served files are described.
 SERVING_ADAPTER = "hdf5"
 SERVING_CONTENT_TYPE = "application/x-hdf5"
@@ -86,14 +89,18 @@ def entry_metadata(nodes: DataFrame) -> DataFrame:
     level = [F.get(path, F.lit(i)) for i in range(4)]
     dataset, group = F.col("kind") == "dataset", F.col("kind") == "group"
     relevant = F.lower("g2").contains("instrument") | F.col("g2").isin("sample", "user")
-    second = F.get(F.split("node_path", "/"), F.lit(1))
-    wanted = nodes.where(F.col("depth").between(1, 4) & F.col("kind").isin("group", "dataset")).where(
-        (F.col("depth") == 1)
-        | second.isin(*ENTRY_FIELDS, "sample", "user")
-        | F.lower(second).contains("instrument")
+    second, deep = F.get(F.split("node_path", "/"), F.lit(1)), F.col("depth")
+    below = second.isin("sample", "user") | F.lower(second).contains("instrument")
+    # Named fields only: whatever other arrays lie below an instrument, they aren't gathered.
+    leaf = F.col("name").isin(*LEAF_FIELDS)
+    wanted = nodes.where(F.col("kind").isin("group", "dataset")).where(
+        (group & ((deep == 1) | ((deep == 2) | (deep == 3)) & below))
+        | (dataset & (deep == 1))
+        | (dataset & (deep == 2) & F.col("name").isin(*ENTRY_FIELDS))
+        | (dataset & ((deep == 3) | (deep == 4)) & below & leaf)
     )
     rows = (
-        whole(wanted)
+        whole(wanted.withColumns({v: F.when(deep > 1, F.col(v)) for v in ("str_values", "int_values", "dbl_values")}))
         .select(
             "file_path",
             "depth",

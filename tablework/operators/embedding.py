@@ -22,6 +22,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from tablework.functions.text import dense_vector, hashed_words
 from tablework.operators.numbering import SINGLE_TASK_ROWS, dense_ids
 
 # Embedding width and encoder batch.
@@ -45,7 +46,8 @@ class HashedWords:
 
     A word is a run of a-z and 0-9 in the lower-cased text; its bucket is the
     first 32 bits of its md5 modulo the width, so the vectors can be reproduced
-    in SQL.
+    in SQL. Columns are encoded by the expression
+    :func:`~tablework.functions.text.hashed_words`; this class encodes lists.
     """
 
     def __init__(self, dim: int = EMBEDDING_DIM):
@@ -72,12 +74,19 @@ def embed(
 ) -> DataFrame:
     """`(keys…, embedding, text)` for every row; one encoder per task.
 
+    The default encoder is an expression and needs no Python worker. Any other
     ``encoder`` is a picklable factory, called once in each Python worker task.
     Encoding costs far more than moving its texts: ``tasks`` spreads them by key
     when the input has too few partitions to keep the cluster busy.
     Vectors return as one Arrow buffer per batch, without an object per row.
     """
     keys = [keys] if isinstance(keys, str) else keys
+    if encoder is HashedWords:
+        rows = df.select(*keys, text)
+        if tasks:
+            rows = rows.repartition(tasks, *keys)
+        vector = dense_vector(hashed_words(text, EMBEDDING_DIM), EMBEDDING_DIM)
+        return rows.select(*keys, vector.alias("embedding"), F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder()

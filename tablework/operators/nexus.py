@@ -220,43 +220,54 @@ def _arrays(name: str, prefix: str) -> list[Column]:
     return [_lined_up(name, f"{kind}_values").alias(f"{prefix}_{kind}") for kind in ("str", "int", "dbl")]
 
 
-def daslog_rows(
-    nodes: DataFrame, entry: str = "entry", points_per_slice: int = POINTS_PER_SLICE
-) -> DataFrame:
-    """One row per point of every log; a log without a series keeps one row.
+#: Series of a log, and single values that describe it.
+SERIES = ("time", "value", "veto_pulse_time")
+LOG_FACTS = ("device_name", "device_id", "average_value", "minimum_value", "maximum_value")
+_VALUES = ("str_values", "int_values", "dbl_values")
 
-    Time and value chunks of a log are cut at common positions and meet in one
-    grouping per cell, as typed arrays; they become text after that. The facts of a log are copied once per
-    ``points_per_slice`` points, so a log with a third of all points is joined
-    in many equal slices.
-    """
+
+def _below_logs(nodes: DataFrame, entry: str) -> DataFrame:
+    """Datasets of the logs of an entry, with the path of their log."""
     root = f"{entry}/DASlogs"
     under = F.col("parent_path") == F.concat(
         F.lit(f"{root}/"), F.substring_index("parent_path", "/", -1)
     )
-    series = ("time", "value", "veto_pulse_time")
-    facts = ("device_name", "device_id", "average_value", "minimum_value", "maximum_value")
+    found = nodes.where((F.col("kind") == "dataset") & F.col("parent_path").startswith(f"{root}/") & under)
+    return found.withColumnRenamed("parent_path", "log_path")
 
-    data = nodes.where(
-        (F.col("kind") == "dataset") & F.col("parent_path").startswith(f"{root}/") & under
-    ).withColumnRenamed("parent_path", "log_path")
-    groups = nodes.where((F.col("kind") == "group") & (F.col("parent_path") == root)).select(
-        "file_path", F.col("node_path").alias("log_path")
-    )
 
-    # Sizes come from scalar columns only: the arrays are pruned from this scan.
-    sizes = data.where((F.col("chunk_offset") == 0) & F.col("name").isin(*series)).select(
-        "file_path", "log_path", "name", "size", F.lit(None).cast("string").alias("text")
-    )
-    scalars = whole(data.where(F.col("name").isin(*facts))).select(
-        "file_path", "log_path", "name", F.lit(None).cast("bigint").alias("size"), field_text().alias("text")
+def _head_nodes(entry: str) -> Column:
+    """Nodes that tell what a log is: its group, its single values, and the first chunk of its series."""
+    root = f"{entry}/DASlogs"
+    under = F.col("parent_path").startswith(f"{root}/")
+    series = F.col("name").isin(*SERIES) & (F.col("chunk_offset") == 0)
+    return ((F.col("kind") == "group") & (F.col("parent_path") == root)) | (
+        (F.col("kind") == "dataset") & under & (F.col("name").isin(*LOG_FACTS) | series)
     )
-    named = groups.select(
-        "file_path",
-        "log_path",
-        F.lit(None).cast("string").alias("name"),
-        F.lit(None).cast("bigint").alias("size"),
-        F.lit(None).cast("string").alias("text"),
+
+
+def log_heads(nodes: DataFrame, entry: str = "entry") -> DataFrame:
+    """One row per log: its facts, the length of its series, and how many points it has.
+
+    One scan: groups, single values and the sizes of series are told apart after it.
+    """
+    root = f"{entry}/DASlogs"
+    is_group, is_series = F.col("kind") == "group", F.col("name").isin(*SERIES)
+    log = F.when(is_group, F.col("node_path")).otherwise(F.col("parent_path"))
+    # The arrays of series stay behind; their sizes are columns of their own.
+    found = nodes.where(_head_nodes(entry)).withColumns({v: F.when(~is_series, F.col(v)) for v in _VALUES})
+    rows = (
+        whole(found)
+        .withColumn("log_path", log)
+        .where(is_group | (F.col("log_path") == F.concat(F.lit(f"{root}/"), F.substring_index("log_path", "/", -1))))
+        .select(
+            "file_path",
+            "log_path",
+            F.when(~is_group, F.col("name")).alias("name"),
+            "size",
+            F.when(~is_group & ~is_series, field_text()).alias("text"),
+            is_group.alias("is_group"),
+        )
     )
 
     def fact(name: str) -> Column:
@@ -266,10 +277,8 @@ def daslog_rows(
         return F.max(F.when(F.col("name") == name, F.col("size")))
 
     n_time, n_value, n_veto = F.col("n_time"), F.col("n_value"), F.col("n_veto")
-    heads = (
-        named.unionByName(sizes)
-        .unionByName(scalars)
-        .groupBy("file_path", "log_path")
+    return (
+        rows.groupBy("file_path", "log_path")
         .agg(
             fact("device_name").alias("device_name"),
             fact("device_id").alias("device_id"),
@@ -288,6 +297,27 @@ def daslog_rows(
         )
         .withColumn("pulses", n_time.isNull() & n_veto.isNotNull())
     )
+
+
+def daslog_rows(
+    nodes: DataFrame,
+    entry: str = "entry",
+    points_per_slice: int = POINTS_PER_SLICE,
+    heads: DataFrame | None = None,
+    typed: bool = False,
+) -> DataFrame:
+    """One row per point of every log; a log without a series keeps one row.
+
+    Time and value chunks of a log are cut at common positions and meet in one
+    grouping per cell, as typed arrays; they become text after that. The facts of a log are copied once per
+    ``points_per_slice`` points, so a log with a third of all points is joined
+    in many equal slices. ``heads`` are the log heads if they are at hand.
+
+    With ``typed`` each point also has ``typed``, its value as a VARIANT that
+    keeps the type it was stored with.
+    """
+    heads = log_heads(nodes, entry) if heads is None else heads
+    data = _below_logs(nodes, entry)
     columns = ["device_name", "device_id", "average_value", "min_value", "max_value"]
 
     last = F.floor(F.greatest(F.col("n_points") - 1, F.lit(0)) / points_per_slice)
@@ -295,8 +325,11 @@ def daslog_rows(
         "file_path", "log_path", "pulses", *columns,
         F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("slice"),
     )
+    as_variants = lambda c: F.transform(c, lambda v: v.cast("variant"))
+    variants = F.coalesce(as_variants("value_str"), as_variants("value_int"), as_variants("value_dbl"))
+    pulse = F.when(F.col("pulse_dbl").isNotNull(), F.lit(1.0).cast("variant")).otherwise(F.lit(1).cast("bigint").cast("variant"))
     chunks = (
-        in_cells(data.where(F.col("name").isin(*series)))
+        in_cells(data.where(F.col("name").isin(*SERIES)))
         .groupBy("file_path", "log_path", "cell")
         .agg(*_arrays("time", "time"), *_arrays("value", "value"), *_arrays("veto_pulse_time", "pulse"))
         .select(
@@ -307,44 +340,52 @@ def daslog_rows(
             F.coalesce(F.col("value_str"), as_texts("value_int"), as_texts("value_dbl")).alias("v"),
             _doubles("pulse").alias("pulse_t"),
             F.when(F.col("pulse_dbl").isNotNull(), F.lit("1.0")).otherwise(F.lit("1")).alias("pulse_v"),
+            *([variants.alias("w"), pulse.alias("pulse_w")] if typed else []),
         )
         .withColumn("slice", F.floor(F.col("chunk_offset") / points_per_slice))
     )
+
+    def repeated(pulse_value: str, value: str) -> Column:
+        return F.when(F.col("pulses"), F.array_repeat(F.col(pulse_value), F.size("pulse_t"))).otherwise(F.col(value))
+
     joined = chunks.join(sliced, ["file_path", "log_path", "slice"]).select(
         "file_path",
         "log_path",
         "chunk_offset",
         *columns,
         F.when(F.col("pulses"), F.col("pulse_t")).otherwise(F.col("t")).alias("t"),
-        F.when(
-            F.col("pulses"), F.array_repeat(F.col("pulse_v"), F.size("pulse_t"))
-        ).otherwise(F.col("v")).alias("v"),
+        repeated("pulse_v", "v").alias("v"),
+        *([repeated("pulse_w", "w").alias("w")] if typed else []),
     )
-    # Both sides are cut to the shorter one first; zipping would pad with NULL.
+    # All sides are cut to the shorter one first; zipping would pad with NULL.
     shorter = F.least(F.size("t"), F.size("v"))
+    cut = [F.slice(c, F.lit(1), shorter).alias(c) for c in ("t", "v", *(["w"] if typed else []))]
     exploded = joined.where(shorter > 0).select(
         "file_path",
         F.substring_index("log_path", "/", -1).alias("log_name"),
         *columns,
         "chunk_offset",
-        F.posexplode(
-            F.arrays_zip(F.slice("t", F.lit(1), shorter).alias("t"), F.slice("v", F.lit(1), shorter).alias("v"))
-        ).alias("pos", "point"),
+        F.posexplode(F.arrays_zip(*cut)).alias("pos", "point"),
     )
     layout = ["file_path", "log_name", "point_idx", "device_name", "device_id", "time", "value"]
-    layout += ["average_value", "min_value", "max_value"]
-    with_series = exploded.select(
-        "*",
-        (F.col("chunk_offset") + F.col("pos")).alias("point_idx"),
-        F.col("point.t").alias("time"),
-        F.col("point.v").alias("value"),
+    layout += ["average_value", "min_value", "max_value", *(["typed"] if typed else [])]
+    variant = {"typed": F.col("point.w")} if typed else {}
+    with_series = exploded.withColumns(
+        {
+            "point_idx": F.col("chunk_offset") + F.col("pos"),
+            "time": F.col("point.t"),
+            "value": F.col("point.v"),
+            **variant,
+        }
     ).select(*layout)
-    bare = heads.where(F.col("n_points").isNull()).select(
-        "*",
-        F.substring_index("log_path", "/", -1).alias("log_name"),
-        F.lit(None).cast("bigint").alias("point_idx"),
-        F.lit(None).cast("double").alias("time"),
-        F.lit(None).cast("string").alias("value"),
+    bare = heads.where(F.col("n_points").isNull()).withColumns(
+        {
+            "log_name": F.substring_index("log_path", "/", -1),
+            "point_idx": F.lit(None).cast("bigint"),
+            "time": F.lit(None).cast("double"),
+            "value": F.lit(None).cast("string"),
+            **({"typed": F.lit(None).cast("variant")} if typed else {}),
+        }
     ).select(*layout)
     return with_series.unionByName(bare)
 
@@ -447,6 +488,57 @@ def bank_summary(
     )
 
 
+def small_nodes(nodes: DataFrame, entry: str = "entry") -> DataFrame:
+    """Every node that category tables need besides the points of logs and the events.
+
+    Named fields are gathered whole; series and event datasets keep their size
+    and lose their arrays. The result is a node table itself, small beside the
+    one it comes from, and takes one scan of it.
+    """
+    parent, name, depth = F.col("parent_path"), F.col("name"), F.col("depth")
+    dataset = F.col("kind") == "dataset"
+    group = F.substring_index("parent_path", "/", -1)
+    child = parent == F.concat(F.lit(f"{entry}/"), group)
+    fields = (
+        ((parent == entry) & name.isin(*RUN_FIELDS))
+        | parent.isin(f"{entry}/sample", f"{entry}/instrument", f"{entry}/instrument/instrument_xml")
+        | (child & group.startswith("user"))
+        | (parent == F.concat(F.lit(f"{entry}/Software/"), group))
+    )
+    bank = child & (group.contains("_events") | group.startswith("monitor"))
+    sizes = bank & name.isin("event_id", "event_time_offset", "event_index") & (F.col("chunk_offset") == 0)
+    counts = bank & (name == "total_counts")
+    heads = _head_nodes(entry)
+    roots = (F.col("kind") == "file") | ((F.col("kind") == "group") & (depth == 1))
+    bulky = dataset & (sizes | (heads & name.isin(*SERIES)))
+    wanted = nodes.where(roots | heads | (dataset & (fields | sizes | counts)))
+    # Only what is named is gathered, so event and log arrays never meet in one row.
+    return whole(wanted.withColumns({v: F.when(~bulky, F.col(v)) for v in _VALUES}))
+
+
+def category_fields(nodes: DataFrame, entry: str = "entry") -> DataFrame:
+    """Fields of samples, instruments, users and software in one pass, tagged with their ``category``."""
+    parent, name = F.col("parent_path"), F.col("name")
+    group = F.substring_index("parent_path", "/", -1)
+    nested = f"{entry}/instrument/instrument_xml"
+    category = (
+        F.when(parent == f"{entry}/sample", "sample")
+        .when(parent.isin(f"{entry}/instrument", nested), "instrument")
+        .when((parent == F.concat(F.lit(f"{entry}/"), group)) & group.startswith("user"), "users")
+        .when(parent == F.concat(F.lit(f"{entry}/Software/"), group), "software")
+    )
+    tagged = _datasets(nodes).withColumn("category", category).where(F.col("category").isNotNull())
+    alone = F.col("category").isin("sample", "instrument")
+    return whole(tagged).select(
+        "category",
+        "file_path",
+        F.when(alone, F.col("category")).otherwise(group).alias("group"),
+        F.when(parent == nested, F.concat(F.lit("instrument_xml_"), name)).otherwise(name).alias("field"),
+        "chunk_offset",
+        field_text().alias("value"),
+    )
+
+
 #: Datasets that are read in parallel.
 PARALLEL = ("event_id", "event_time_offset", "time", "value", "veto_pulse_time")
 

@@ -101,14 +101,19 @@ def search(
     id_col: str = "id",
     vector_col: str = "vector",
     decimals: int = 6,
+    key_col: str | None = None,
 ) -> DataFrame:
     """Exact search: `(query_id, rank, id, score)` of the ``k`` best per query.
 
     Scores are rounded before ranking and ties go to the smaller id, so results
-    do not depend on partitioning.
+    do not depend on partitioning. With ``key_col`` the hits also carry that
+    column of their rows, as text, without a second scan.
     """
     rows = vectors.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"), F.lit(0).alias("cell")
+        F.col(id_col).cast("bigint").alias("id"),
+        F.col(vector_col).alias("vector"),
+        F.lit(0).alias("cell"),
+        *_keyed(key_col),
     )
     probes = None if queries.small else queries.frame.withColumn("cell", F.lit(0))
     everywhere = np.ones((1, len(queries.ids)), dtype=bool) if queries.small else None
@@ -118,11 +123,14 @@ def search(
 def train_centroids(
     vectors: DataFrame, nlist: int = NLIST, vector_col: str = "vector", seed: int = 42
 ) -> np.ndarray:
-    """Cell centres by distributed k-means under cosine distance over all rows with a vector."""
+    """Cell centres by distributed k-means under cosine distance over all rows with a vector.
+
+    Zero vectors have no direction and take no part.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = vectors.where(F.col(vector_col).isNotNull())
+    rows = vectors.where(F.exists(vector_col, lambda x: x != 0))
     features = rows.select(
         array_to_vector(F.col(vector_col).cast("array<double>")).alias("features")
     )
@@ -176,6 +184,7 @@ def search_cells(
     id_col: str = "id",
     vector_col: str = "vector",
     decimals: int = 6,
+    key_col: str | None = None,
 ) -> DataFrame:
     """Search the ``nprobe`` nearest cells of each query.
 
@@ -185,7 +194,7 @@ def search_cells(
     centres = _unit(np.asarray(centroids, dtype=np.float64))
     nprobe = min(nprobe, len(centres))
     rows = indexed.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"), "cell"
+        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("vector"), "cell", *_keyed(key_col)
     )
     if queries.small and not len(queries.ids):
         return _best(rows, queries, None, None, k, metric, decimals)
@@ -204,6 +213,10 @@ def search_cells(
     return _best(rows, queries, None, probes, k, metric, decimals)
 
 
+def _keyed(key_col: str | None) -> list[Column]:
+    return [] if key_col is None else [F.col(key_col).cast("string").alias("key")]
+
+
 def fetch_hits(
     hits: DataFrame, rows: DataFrame, hit_key: str, row_key: str, max_hits: int | None = None
 ) -> DataFrame:
@@ -301,8 +314,9 @@ def _best(
 ) -> DataFrame:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    keyed = "key" in rows.columns
     if queries.small and not len(queries.ids):
-        partial = rows.sparkSession.createDataFrame([], _HIT)
+        partial = rows.sparkSession.createDataFrame([], _hit(keyed))
     elif queries.small:
         partial = _scan(rows, queries, probed, k, metric, decimals)
     else:
@@ -311,7 +325,28 @@ def _best(
     ranked = partial.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
     score = F.col("score") if metric != "l2" else -F.col("score")
     # Adding zero turns a negative zero into a plain one.
-    return ranked.select("query_id", "rank", "id", (score + F.lit(0.0)).alias("score"))
+    return ranked.select("query_id", "rank", "id", (score + F.lit(0.0)).alias("score"), *(["key"] if keyed else []))
+
+
+def _hit(keyed: bool) -> str:
+    return f"{_HIT}, key string" if keyed else _HIT
+
+
+class _Keys:
+    """The keys of the rows that a task holds as its best."""
+
+    def __init__(self):
+        self.of: dict[int, str | None] = {}
+
+    def see(self, ids: np.ndarray, keys: pa.Array, held: np.ndarray) -> None:
+        at = np.flatnonzero(np.isin(ids, held))
+        self.of.update(zip(ids[at].tolist(), keys.take(pa.array(at)).to_pylist(), strict=True))
+        if len(self.of) > 1_000 + 4 * len(held):
+            wanted = set(held.tolist())
+            self.of = {i: k for i, k in self.of.items() if i in wanted}
+
+    def column(self, ids: np.ndarray) -> list[str | None]:
+        return [self.of[i] for i in ids.tolist()]
 
 
 def _scan(
@@ -320,22 +355,25 @@ def _scan(
     """Stream over the vectors with the broadcast batch; no shuffle of vectors."""
     context = rows.sparkSession.sparkContext
     shared = context.broadcast((queries.ids, queries.matrix, probed))
+    keyed = "key" in rows.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix, mask = shared.value
-        best = _Best(matrix, k, metric, decimals)
+        best, keys = _Best(matrix, k, metric, decimals), _Keys()
         for batch in batches:
             if batch.num_rows == 0 or len(ids) == 0:
                 continue
             allowed = None if mask.all() else mask[np.asarray(batch.column("cell"))]
-            best.add(
-                np.asarray(batch.column("id"), dtype=np.int64),
-                _matrix(batch.column("vector"), matrix.shape[1]),
-                allowed,
-            )
-        yield pa.RecordBatch.from_pydict(best.frame(ids))
+            row_ids = np.asarray(batch.column("id"), dtype=np.int64)
+            best.add(row_ids, _matrix(batch.column("vector"), matrix.shape[1]), allowed)
+            if keyed:
+                keys.see(row_ids, batch.column("key"), best.id)
+        found = best.frame(ids)
+        if keyed:
+            found["key"] = pa.array(keys.column(best.id), pa.string())
+        yield pa.RecordBatch.from_pydict(found)
 
-    return rows.mapInArrow(scan, _HIT)
+    return rows.mapInArrow(scan, _hit(keyed))
 
 
 def _blocks(rows: DataFrame, probes: DataFrame, k: int, metric: str, decimals: int) -> DataFrame:
@@ -344,6 +382,7 @@ def _blocks(rows: DataFrame, probes: DataFrame, k: int, metric: str, decimals: i
     Both sides are hashed into blocks of about ``BLOCK_ROWS`` within a cell, so
     neither a full cell nor the whole batch reaches one task.
     """
+    keyed = "key" in rows.columns
     v_counts = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("v_blocks"))
     q_counts = probes.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("q_blocks"))
     # One row per cell, of which there are at most nlist.
@@ -358,6 +397,7 @@ def _blocks(rows: DataFrame, probes: DataFrame, k: int, metric: str, decimals: i
         numbers("q_blocks").alias("q"),
         "id",
         "vector",
+        *(["key"] if keyed else []),
     )
     right = probes.join(counts, "cell").select(
         "cell",
@@ -369,7 +409,7 @@ def _blocks(rows: DataFrame, probes: DataFrame, k: int, metric: str, decimals: i
 
     def score(vectors: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         if vectors.empty or batch.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+            return pd.DataFrame({name: [] for name in ("query_id", "id", "score", *(["key"] if keyed else []))})
         matrix = np.stack(batch["vector"].to_numpy()).astype(np.float64)
         best = _Best(matrix, k, metric, decimals)
         for start in range(0, len(vectors), 2_000):
@@ -377,7 +417,11 @@ def _blocks(rows: DataFrame, probes: DataFrame, k: int, metric: str, decimals: i
             best.add(
                 part["id"].to_numpy(np.int64), np.stack(part["vector"].to_numpy()).astype(np.float64), None
             )
-        return pd.DataFrame(best.frame(batch["query_id"].to_numpy(np.int64)))
+        found = pd.DataFrame(best.frame(batch["query_id"].to_numpy(np.int64)))
+        if keyed:
+            of = dict(zip(vectors["id"].tolist(), vectors["key"].tolist(), strict=True))
+            found["key"] = [of[i] for i in found["id"].tolist()]
+        return found
 
     keys = ["cell", "v", "q"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _HIT)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _hit(keyed))

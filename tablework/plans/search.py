@@ -49,13 +49,10 @@ def semantic_search(
 ) -> DataFrame:
     """`(query_id, rank, order_id, score)`; by cells when centroids are given."""
     if centroids is None:
-        hits = search(vectors, queries, k)
+        hits = search(vectors, queries, k, key_col="order_id")
     else:
-        hits = search_cells(vectors, queries, centroids, k, nprobe)
-    keys = vectors.select(F.col("id").alias("__id"), "order_id")
-    return fetch_hits(hits, keys, "id", "__id", _bound(queries, k)).select(
-        "query_id", "rank", "id", "order_id", "score"
-    )
+        hits = search_cells(vectors, queries, centroids, k, nprobe, key_col="order_id")
+    return hits.select("query_id", "rank", "id", F.col("key").alias("order_id"), "score")
 
 
 def search_then_fetch(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ from tablework.operators.catalog import (
     to_catalog,
 )
 from tablework.operators.align import align
-from tablework.operators.upsert import partition_key, upsert_partitions
+from tablework.operators.sketch import write_sketches
+from tablework.operators.upsert import upsert_partitions
 from tablework.plans.science import KEY, merged_catalog, newest_first
 from tablework.queries.fixtures import (
     LATER,
@@ -37,8 +40,8 @@ from tablework.queries.fixtures import (
 )
 from tablework.queries.registered import ORACLES, query
 from tablework.runtime import scratch_path
-from tablework.schemas import FILE_METADATA
-from tablework.sinks.tables import write_manifest, write_snapshot
+from tablework.schemas import FILE_METADATA, H5_CATALOG
+from tablework.sinks.tables import append, create_catalog_table, create_namespace, with_instrument, write_manifest, write_snapshot
 from tablework.sources.tables import read_drifting
 
 ALIGNED_SQL = f"""{METADATA_SQL},
@@ -49,17 +52,35 @@ aligned AS (
   FROM meta)"""
 
 
-@query(
-    f"""WITH {ALIGNED_SQL}
-    SELECT file_path, file_size_bytes, ingestion_time, group_count::VARCHAR AS group_count, duration,
-           instrument_name, NULL::VARCHAR AS sample_name, '2024-01-01 00:00:00' AS cataloged_at FROM aligned"""
-)
+_NULLS = {"bigint": "NULL::BIGINT", "double": "NULL::DOUBLE"}
+
+
+def _catalog_columns(filled: dict[str, str]) -> str:
+    """All columns of the catalog, counts as text; those that are not filled are NULL."""
+    nulls = {f.name: _NULLS.get(f.dataType.simpleString(), "NULL::VARCHAR") for f in H5_CATALOG}
+    return ", ".join(f"{filled.get(name, null)} AS {name}" for name, null in nulls.items())
+
+
+def _all_columns(catalog: DataFrame) -> DataFrame:
+    """Every catalog column, with counts (which may be NULL) as text."""
+    counts = {c: F.col(c).cast("string") for c in ("group_count", "dataset_count")}
+    return times_as_text(catalog.withColumns(counts)).select(*H5_CATALOG.fieldNames())
+
+
+_ALIGNED = {
+    name: name
+    for name in "file_path file_name file_size_bytes ingestion_time title start_time duration instrument_name tiled_uri extraction_error".split()
+} | {"group_count": "group_count::VARCHAR", "cataloged_at": "'2024-01-01 00:00:00'"}
+_SECOND = {name: name for name in "file_path file_name file_size_bytes title duration instrument_name".split()} | {
+    "ingestion_time": "replace(ingestion_time, 'T', ' ')",
+    "cataloged_at": "'2024-01-02 00:00:00'",
+}
+
+
+@query(f"WITH {ALIGNED_SQL} SELECT {_catalog_columns(_ALIGNED)} FROM aligned")
 def schema_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bad numbers become NULL, missing columns are added, order is fixed."""
-    return times_as_text(to_catalog(raw_metadata(spark, sf_dir), NOW)).select(
-        "file_path", "file_size_bytes", "ingestion_time", F.col("group_count").cast("string"),
-        "duration", "instrument_name", "sample_name", "cataloged_at",
-    )
+    return _all_columns(to_catalog(raw_metadata(spark, sf_dir), NOW))
 
 
 CATALOG_SQL = f"""{ALIGNED_SQL}, {SECOND_VINTAGE_SQL},
@@ -78,16 +99,16 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    f"""WITH {CATALOG_SQL}
-    SELECT file_path, file_size_bytes, ingestion_time, title, duration, instrument_name, cataloged_at
-    FROM catalog"""
-)
+FULL_CATALOG_SQL = f"""{ALIGNED_SQL}, {SECOND_VINTAGE_SQL},
+catalog AS (
+  SELECT {_catalog_columns(_SECOND)} FROM second
+  UNION ALL
+  SELECT {_catalog_columns(_ALIGNED)} FROM aligned a WHERE NOT EXISTS (SELECT 1 FROM second s WHERE s.file_path = a.file_path))"""
+
+
+@query(f"WITH {FULL_CATALOG_SQL} SELECT * FROM catalog")
 def catalog_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return times_as_text(_catalog(spark, sf_dir)).select(
-        "file_path", "file_size_bytes", "ingestion_time", "title", "duration",
-        "instrument_name", "cataloged_at",
-    )
+    return _all_columns(_catalog(spark, sf_dir))
 
 
 @query(
@@ -266,40 +287,29 @@ def path_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("url", file_name("url").alias("name"))
 
 
-#: Columns that neither vintage of the fixture fills.
-FILLED = (
-    "file_path file_name file_size_bytes ingestion_time group_count title start_time duration instrument_name "
-    "tiled_uri extraction_error cataloged_at instrument_key"
-).split()
-
-
 def _stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalog as a table by instrument, after merging the second vintage into it.
+    """The managed catalog table, created by DDL, filled, and merged with the second vintage.
 
-    Some instruments are missing and some empty; merged files move to another one.
+    Some instruments are missing and some empty; merged files move to another
+    one. The table is read by its location, so its name isn't needed after that.
     """
-    path = scratch_path(spark, "catalog")
-    first = to_catalog(raw_metadata(spark, sf_dir), NOW).withColumn("instrument_key", partition_key("instrument_name"))
-    first.write.partitionBy("instrument_key").parquet(path)
-    source = to_catalog(second_vintage(spark, sf_dir), LATER)
-    source = source.withColumn("instrument_key", partition_key("instrument_name"))
-    upsert_partitions(spark, path, source, KEY, "instrument_key", newest_first())
-    return spark.read.schema(first.schema).parquet(path)
-
-
-@query(
-    f"""WITH {CATALOG_SQL}
-    SELECT file_path, file_size_bytes, ingestion_time, title, duration, instrument_name, cataloged_at, start_time,
-           0 AS others FROM catalog"""
-)
+    space, path, sketch = f"catalog_{uuid.uuid4().hex[:8]}", scratch_path(spark, "catalog"), scratch_path(spark, "catalog-keys")
+    create_namespace(spark, space)
+    create_catalog_table(spark, f"{space}.h5_catalog", path)
+    append(with_instrument(to_catalog(raw_metadata(spark, sf_dir), NOW)), f"{space}.h5_catalog")
+    schema = spark.table(f"{space}.h5_catalog").schema
+    stored = spark.read.schema(schema).parquet(path)
+    write_sketches(stored, sketch, KEY, "instrument_key")
+    source = with_instrument(to_catalog(second_vintage(spark, sf_dir), LATER))
+    upsert_partitions(spark, path, source, KEY, "instrument_key", newest_first(), sketch)
+    spark.sql(f"DROP NAMESPACE {space} CASCADE")
+    return spark.read.schema(schema).parquet(path)
+
+
+@query(f"WITH {FULL_CATALOG_SQL} SELECT * FROM catalog")
 def catalog_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of the merged table; ``others`` counts values where none belong."""
-    stored = times_as_text(_stored_catalog(spark, sf_dir))
-    others = [F.col(c).isNotNull().cast("int") for c in stored.columns if c not in FILLED]
-    return stored.select(
-        "file_path", "file_size_bytes", "ingestion_time", "title", "duration", "instrument_name", "cataloged_at",
-        "start_time", sum(others, F.lit(0)).alias("others"),
-    )
+    """Every column of every row of the merged table."""
+    return _all_columns(_stored_catalog(spark, sf_dir))
 
 
 @query(

@@ -334,7 +334,7 @@ SECOND_VINTAGE_SQL = """
 second AS (
   SELECT '/bronze/hdf5/' || source || '/doc-' || doc_id || CASE lang WHEN 'en' THEN '.nxs.h5'
            WHEN 'fr' THEN '.hdf5' WHEN 'de' THEN '.H5' ELSE '.txt' END AS file_path,
-         n_chars AS file_size_bytes, '2024-01-03T08:00:00' AS ingestion_time,
+         source || '.nxs.h5' AS file_name, n_chars AS file_size_bytes, '2024-01-03T08:00:00' AS ingestion_time,
          'quality ' || quality AS title, quality::DOUBLE AS duration,
          lang AS instrument_name, toxic
   FROM documents JOIN labels USING (doc_id))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.functions.values import attribute_or, first_or
@@ -24,11 +25,12 @@ from tablework.queries.fixtures import (
     run_file_path,
     run_nodes,
     table,
+    times_as_text,
 )
 from tablework.queries.registered import query
 from tablework.runtime import scratch_path
 from tablework.sinks.tables import create_namespace, write_categories, write_node_table, write_nodes
-from tablework.sources.tables import read_nodes
+from tablework.sources.tables import read_category, read_nodes
 
 def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event file as a stored node table, scalars apart from large arrays."""
@@ -38,6 +40,13 @@ def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUN = "'/runs/run-' || s_suppkey || '.nxs.h5'"
+_RUN_VALUES = {
+    "title": "'run of ' || s_name",
+    "run_number": "s_suppkey",
+    "experiment_identifier": "CASE WHEN s_acctbal >= 1000 THEN 'IPTS-' || s_suppkey END",
+    "duration": "s_acctbal",
+    "start_time": "'2024-01-01T00:00:00'",
+}
 
 
 @query(
@@ -79,45 +88,53 @@ def file_entry_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {RUN_NODES_SQL},
-    big AS (SELECT file_path, count(*) AS n_listed FROM (
-        SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY visit_order) AS rn
+    big AS (SELECT file_path, '[' || string_agg('{{"path":"' || path || '","shape":[' || size || '],"dtype":"int","size":' || size || '}}',
+                                                ',' ORDER BY visit_order) || ']' AS listed FROM (
+        SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY visit_order) AS rn
         FROM nodes WHERE kind = 'dataset' AND size > 100) WHERE rn <= 20 GROUP BY file_path),
-    counts AS (SELECT file_path, count(*) FILTER (kind = 'group')::INTEGER AS group_count FROM nodes
-               GROUP BY file_path)
-    SELECT {RUN} AS file_path, 'run-' || s_suppkey || '.nxs.h5' AS file_name, group_count,
-           'sec2' AS hdf5_driver, 'run of ' || s_name AS title, s_acctbal AS duration,
-           coalesce(n_listed, 0) AS n_listed
+    counts AS (SELECT file_path, count(*) FILTER (kind = 'group')::INTEGER AS group_count,
+                      count(*) FILTER (kind = 'dataset')::INTEGER AS dataset_count FROM nodes GROUP BY file_path)
+    SELECT {RUN} AS file_path, 'run-' || s_suppkey || '.nxs.h5' AS file_name, s_suppkey AS file_size_bytes,
+           '2024-01-01T00:00:00' AS file_modified_time, NULL::VARCHAR AS file_created_time,
+           '2024-01-01T00:00:00' AS ingestion_time, 'file://' || {RUN} AS tiled_uri, 'hdf5' AS tiled_adapter,
+           'application/x-hdf5' AS content_type, 'sec2' AS hdf5_driver, 'v110' AS hdf5_libver,
+           group_count, dataset_count, coalesce(listed, '[]') AS significant_datasets,
+           'entry' AS entry_name, 'run of ' || s_name AS title,
+           CASE WHEN s_acctbal >= 1000 THEN 'IPTS-' || s_suppkey ELSE '' END AS experiment_identifier,
+           '2024-01-01T00:00:00' AS start_time, '' AS end_time, s_acctbal AS duration, s_suppkey::VARCHAR AS run_number,
+           'INST_' || s_nationkey AS instrument_name, 'NXinstrument' AS instrument_type,
+           'source ' || s_nationkey AS source_name, 'pulsed' AS source_type,
+           CASE WHEN s_acctbal >= 0 THEN s_name END AS sample_name,
+           CASE WHEN s_acctbal >= 0 THEN 'sample of ' || s_name END AS sample_description,
+           'user ' || s_nationkey AS user_name, 'u' || s_nationkey AS user_facility, NULL::VARCHAR AS extraction_error
     FROM supplier JOIN counts ON counts.file_path = {RUN} LEFT JOIN big ON big.file_path = {RUN}"""
 )
 def file_metadata_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full metadata row of every file, joined from its parts."""
+    """The full metadata row of every file, joined from its parts: all thirty columns."""
     files = table(spark, sf_dir, "supplier").select(
         run_file_path().alias("path"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modificationTime"),
         F.col("s_suppkey").alias("length"),
     )
-    rows = file_metadata(files, run_nodes(spark, sf_dir), NOW)
-    listed = F.size(F.from_json("significant_datasets", "array<struct<path:string>>")).cast("bigint")
-    return rows.select(
-        "file_path", "file_name", "group_count", "hdf5_driver", "title", "duration",
-        listed.alias("n_listed"),
-    )
+    return file_metadata(files, run_nodes(spark, sf_dir), NOW)
 
 
 @query(
     f"""SELECT {RUN} AS source_path, 'run-' || s_suppkey || '.nxs.h5' AS source_file,
-           'run of ' || s_name AS title, s_suppkey::VARCHAR AS run_number,
-           CASE WHEN s_acctbal >= 1000 THEN 'IPTS-' || s_suppkey END AS experiment_identifier,
-           NULL::VARCHAR AS total_counts, 'run-' || s_suppkey AS file_attr_file_name,
-           'NXentry' AS entry_attr_nx_class
+           {", ".join(f"({_RUN_VALUES.get(f, 'NULL')})::VARCHAR AS {f}" for f in nexus.RUN_FIELDS)},
+           'run-' || s_suppkey AS file_attr_file_name, 'sec2' AS file_attr_driver, 'v110' AS file_attr_libver,
+           'NXentry' AS entry_attr_nx_class, '2024-01-01 00:00:00' AS ingestion_time
     FROM supplier"""
 )
 def file_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-level metadata, all of its columns."""
     rows = nexus.run_metadata(run_nodes(spark, sf_dir), now=NOW)
-    return rows.select(
-        "source_path", "source_file", "title", "run_number", "experiment_identifier", "total_counts",
-        F.col("file_attrs")["file_name"].alias("file_attr_file_name"),
-        F.col("entry_attrs")["NX_class"].alias("entry_attr_nx_class"),
+    return times_as_text(
+        rows.select(
+            "source_path", "source_file", *nexus.RUN_FIELDS,
+            *[F.col("file_attrs")[a].alias(f"file_attr_{a}") for a in ("file_name", "driver", "libver")],
+            F.col("entry_attrs")["NX_class"].alias("entry_attr_nx_class"), "ingestion_time",
+        )
     )
 
 
@@ -304,25 +321,114 @@ def chunk_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {DASLOG_SQL}
-    SELECT 'metadata' AS category, count(*) + 1 AS n_rows FROM supplier
-    UNION ALL SELECT 'sample', 3 * count(*) FROM supplier WHERE s_acctbal >= 0
-    UNION ALL SELECT 'instrument', 3 * count(*) FROM supplier
-    UNION ALL SELECT 'users', 3 * count(*) FROM supplier
-    UNION ALL SELECT 'software', 3 * count(*) FROM supplier
-    UNION ALL SELECT 'daslogs', count(*) FROM daslog
-    UNION ALL SELECT 'events', count(*) FROM events
-    UNION ALL SELECT 'event_summary', count(DISTINCT event_type) + 2 FROM events"""
+    f"""WITH {EVENTS_SQL}
+    SELECT event_type AS log_name, idx AS point_idx,
+           CASE event_type WHEN 'click' THEN 'BIGINT' WHEN 'view' THEN 'STRING' ELSE 'DOUBLE' END AS kind,
+           CASE event_type WHEN 'click' THEN floor(value * 100)::BIGINT ELSE -1 END AS whole,
+           CASE event_type WHEN 'click' THEN -1.0 WHEN 'view' THEN -1.0 WHEN '{PULSE_LOG}' THEN 1.0 ELSE value END AS number,
+           CASE event_type WHEN 'view' THEN 'v' || floor(value * 100)::BIGINT ELSE '' END AS word
+    FROM numbered WHERE kept"""
 )
+def daslog_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log values with the type they were stored with: whole numbers, numbers and texts."""
+    nodes = _stored_events(spark, sf_dir)
+    of = lambda log: (F.col("name") == "value") & (F.col("parent_path") == f"entry/DASlogs/{log}")
+    hundredths = F.transform("dbl_values", lambda v: F.floor(v * 100))
+    kinds = {
+        "int_values": F.when(of("click"), hundredths).otherwise(F.col("int_values")),
+        "str_values": F.when(of("view"), F.transform(hundredths, lambda v: F.concat(F.lit("v"), v))).otherwise(F.col("str_values")),
+        "dbl_values": F.when(~of("click") & ~of("view"), F.col("dbl_values")),
+    }
+    points = nexus.daslog_rows(nodes.withColumns(kinds), typed=True).where("point_idx IS NOT NULL")
+    kind = F.schema_of_variant("typed")
+
+    def read(name: str, otherwise: str, variant: str) -> Column:
+        return F.when(kind == variant, F.try_variant_get("typed", "$", name)).otherwise(F.lit(otherwise).cast(name))
+
+    return points.select(
+        "log_name",
+        "point_idx",
+        kind.alias("kind"),
+        read("bigint", "-1", "BIGINT").alias("whole"),
+        read("double", "-1", "DOUBLE").alias("number"),
+        read("string", "", "STRING").alias("word"),
+    )
+
+
+CELLS_SQL = f"""{EVENT_ROWS_SQL}, {DASLOG_SQL.removeprefix(EVENTS_SQL + ',').strip()},
+runs AS (SELECT 'run-' || s_suppkey AS base_name, * FROM supplier),
+cells AS (
+  SELECT 'sample' AS category, base_name, 'sample' AS grp, f.field, -1 AS idx,
+         CASE f.field WHEN 'description' THEN 'sample of ' || s_name WHEN 'name' THEN s_name ELSE s_acctbal::VARCHAR END AS text,
+         -1.0::DOUBLE AS num, -1.0::DOUBLE AS extra
+  FROM runs, (VALUES ('description'), ('name'), ('mass')) AS f(field) WHERE s_acctbal >= 0
+  UNION ALL
+  SELECT 'instrument', base_name, 'instrument', f.field, -1,
+         CASE f.field WHEN 'beamline' THEN s_nationkey::VARCHAR WHEN 'name' THEN 'INST_' || s_nationkey ELSE '<xml/>' END, -1, -1
+  FROM runs, (VALUES ('beamline'), ('name'), ('instrument_xml_data')) AS f(field)
+  UNION ALL SELECT 'users', base_name, 'user', 'facility_user_id', -1, 'u' || s_nationkey, -1, -1 FROM runs
+  UNION ALL SELECT 'users', base_name, 'user', 'name', -1, 'user ' || s_nationkey, -1, -1 FROM runs
+  UNION ALL SELECT 'users', base_name, 'user1', 'role', -1, '[, local contact, ]', -1, -1 FROM runs
+  UNION ALL SELECT 'software', base_name, 'reducer', 'authors', -1, '[Ada, Grace]', -1, -1 FROM runs
+  UNION ALL SELECT 'software', base_name, 'reducer', 'version', -1, 'v' || s_nationkey, -1, -1 FROM runs
+  UNION ALL SELECT 'software', base_name, 'writer', 'version', -1, 'w1', -1, -1 FROM runs
+  UNION ALL
+  SELECT 'metadata', base_name, 'run', f.field, -1,
+         CASE f.field WHEN 'duration' THEN s_acctbal::VARCHAR WHEN 'experiment_identifier' THEN 'IPTS-' || s_suppkey
+              WHEN 'run_number' THEN s_suppkey::VARCHAR WHEN 'start_time' THEN '2024-01-01T00:00:00' ELSE 'run of ' || s_name END, -1, -1
+  FROM runs, (VALUES ('duration'), ('experiment_identifier'), ('run_number'), ('start_time'), ('title')) AS f(field)
+  WHERE f.field <> 'experiment_identifier' OR s_acctbal >= 1000
+  UNION ALL SELECT 'metadata', 'events', 'run', 'title', -1, 'event run', -1, -1
+  UNION ALL SELECT 'metadata', 'events', 'run', 'total_counts', -1, count(*)::VARCHAR, -1, -1 FROM events
+  UNION ALL
+  SELECT 'daslogs', 'events', log_name, 'point', coalesce(point_idx, -1), device_name || '/' || coalesce(device_id, ''),
+         coalesce(time, -1), coalesce(value, -1) FROM daslog
+  UNION ALL SELECT 'events', 'events', bank, 'event', event_idx, event_id::VARCHAR, time_offset, -1 FROM event_rows
+  UNION ALL SELECT 'event_summary', 'events', event_type || '_events', 'bank', days, n::VARCHAR, n, -1 FROM facts
+  UNION ALL SELECT 'event_summary', 'events', 'empty_events', 'bank', 0, '-1', 0, -1
+  UNION ALL SELECT 'event_summary', 'events', 'monitor1', 'bank', 0, '-1', 0, -1)"""
+
+
+def _category_cells(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A category table as cells: category, base_name, grp, field, idx, text, num and extra."""
+    rows = read_category(spark, root, name)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0))
+    none, nothing = F.lit(-1).cast("bigint"), F.lit(-1.0)
+    if name == "metadata":
+        fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in nexus.RUN_FIELDS]))
+        long = rows.select("base_name", fields.alias("c")).where("c.value IS NOT NULL")
+        chosen = [F.lit("run"), F.col("c.field"), none, F.col("c.value"), nothing, nothing]
+        rows = long
+    elif name == "daslogs":
+        device = F.concat("device_name", F.lit("/"), text("device_id"))
+        chosen = [F.col("log_name"), F.lit("point"), F.coalesce("point_idx", none), device, number("time"), number("value")]
+    elif name == "events":
+        chosen = [F.col("bank"), F.lit("event"), F.col("event_idx"), text("event_id"), number("time_offset"), nothing]
+    elif name == "event_summary":
+        total = F.coalesce("total_counts", none).cast("string")
+        chosen = [F.col("bank"), F.lit("bank"), F.col("n_pulses"), total, number("events_extracted"), nothing]
+    else:
+        chosen = [F.col("group"), F.col("field"), none, F.col("value"), nothing, nothing]
+    names = ["grp", "field", "idx", "text", "num", "extra"]
+    return rows.select(F.lit(name).alias("category"), "base_name", *[c.alias(n) for c, n in zip(chosen, names, strict=True)])
+
+
+@query(f"WITH {CELLS_SQL} SELECT * REPLACE (idx::BIGINT AS idx) FROM cells")
 def category_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Node table to category files and back, as rows per category."""
+    """Node table to category files and back, cell by cell."""
     stored = scratch_path(spark, "nodes")
     write_nodes(run_nodes(spark, sf_dir).unionByName(event_nodes(spark, sf_dir)), stored)
     root = scratch_path(spark, "categories")
-    names = write_categories(read_nodes(spark, stored), root, now=NOW)
-    result = None
-    for name in names:
-        rows = spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
-        rows = rows.select(F.lit(name).alias("category"), "n_rows")
-        result = rows if result is None else result.unionByName(rows)
-    return result
+    written = write_categories(read_nodes(spark, stored), root, now=NOW)
+    return reduce(DataFrame.unionByName, [_category_cells(spark, root, name) for name in written])
+
+
+@query(f"WITH {CELLS_SQL} SELECT category, count(*) AS n_rows FROM cells WHERE category <> 'metadata' GROUP BY 1")
+def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per category as they were counted during the write."""
+    stored = scratch_path(spark, "nodes")
+    write_nodes(run_nodes(spark, sf_dir).unionByName(event_nodes(spark, sf_dir)), stored)
+    written = write_categories(read_nodes(spark, stored), scratch_path(spark, "categories"), now=NOW)
+    counts = [(name, n) for name, n in written.items() if name != "metadata"]
+    return spark.createDataFrame(counts, "category string, n_rows bigint")

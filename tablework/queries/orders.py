@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tablework.functions.text import order_sentence
 from tablework.functions.times import floor_millis, iso_timestamp
 from tablework.operators.flatten import flatten_orders, orders_by_day, status_distribution
+from tablework.operators.intervals import create_versions, merge_commit, valid_at
 from tablework.operators.publish import stage
+from tablework.operators.sketch import write_sketches
 from tablework.operators.upsert import upsert, upsert_partitions
 from tablework.operators.versions import append_batch, as_of, history, read_changes
 from tablework.plans.orders import KEY, merged_orders, newest_first
@@ -140,7 +142,10 @@ moved AS (
     SELECT {ORDER_COLUMNS_SQL}, strftime("OrderDate", '%Y-%m-%d') AS order_day FROM moved"""
 )
 def orders_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merge into a table partitioned by day; some orders move to another day."""
+    """The merge into a table partitioned by day; some orders move to another day.
+
+    Key sketches tell which days may hold the orders of the source.
+    """
     path = scratch_path(spark, "orders")
     orders = with_day(event_orders(spark, sf_dir))
     laid_out(orders, "order_day", KEY).write.partitionBy("order_day").parquet(path)
@@ -152,7 +157,9 @@ def orders_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             "SyncedAt": ntz(LATER),
         }
     )
-    upsert_partitions(spark, path, with_day(source), KEY, "order_day", newest_first())
+    sketch = scratch_path(spark, "orders-keys")
+    write_sketches(spark.read.schema(orders.schema).parquet(path), sketch, KEY, "order_day")
+    upsert_partitions(spark, path, with_day(source), KEY, "order_day", newest_first(), sketch)
     return times_as_text(spark.read.schema(orders.schema).parquet(path))
 
 
@@ -202,6 +209,18 @@ def orders_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return times_as_text(as_of(_changes(spark, sf_dir), KEY, version=2))
 
 
+@query(f"WITH {MERGED_SQL} SELECT {ORDER_COLUMNS_SQL} FROM merged")
+def orders_as_of_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same read by validity intervals: a range filter over open and closed versions."""
+    path = scratch_path(spark, "versions")
+    orders = landing(spark, sf_dir)
+    create_versions(spark, path, orders.schema, buckets=16)
+    batches = [(orders, NOW), (changes(orders), LATER), (later_changes(orders), LATEST)]
+    for number, (batch, time) in enumerate(batches, start=1):
+        merge_commit(spark, path, batch, KEY, number, time)
+    return times_as_text(valid_at(spark, path, orders.schema, version=2))
+
+
 @query(
     f"""WITH {MERGED_SQL}
     SELECT {ORDER_COLUMNS_SQL} FROM (

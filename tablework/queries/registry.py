@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.operators.publish import audit, publish, stage
+from tablework.functions.paths import BUCKET_EXTENSIONS
+from tablework.operators.publish import audit, audit_sets, known_in, publish, rows_within, stage, unique, unlike
 from tablework.operators.registry import (
     new_only,
     registry_by_extension,
@@ -45,6 +46,10 @@ TABLES = (
 ).split()
 
 
+def _plain_path(column: str) -> Column:
+    return F.regexp_replace(column, "^file:/+", "/")
+
+
 @query(
     " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS file_name, 'parquet' AS file_extension, count(*) AS row_count FROM {t}" for t in TABLES
@@ -52,32 +57,43 @@ TABLES = (
 )
 def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listed table files with the rows that each one holds."""
-    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    listed = registry_rows(list_files(spark, sf_dir), NOW).select(plain("file_path").alias("path"), "file_name", "file_extension")
-    counts = None
-    for name in TABLES:
-        rows = table(spark, sf_dir, name).select(plain("_metadata.file_path").alias("path"))
-        rows = rows.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
-        counts = rows if counts is None else counts.unionByName(rows)
+    listed = registry_rows(list_files(spark, sf_dir), NOW).select(
+        _plain_path("file_path").alias("path"), "file_name", "file_extension"
+    )
+    counts = _rows_per_file(spark, sf_dir)
     return listed.join(counts, "path").select("file_name", "file_extension", "row_count")
 
 
-@query("SELECT r_regionkey, r_name FROM region")
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5")
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The head of one file; this one has five rows."""
-    return read_head(spark, f"{sf_dir}/region.parquet", 5).select("r_regionkey", "r_name")
+    """The head of a large file in a stated order."""
+    rows = read_head(spark, f"{sf_dir}/orders.parquet", 5, [F.desc("o_totalprice"), "o_orderkey"])
+    return rows.select("o_orderkey", "o_totalprice")
+
+
+def _rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table, by the file that holds them."""
+    counts = None
+    for name in TABLES:
+        rows = table(spark, sf_dir, name).select(_plain_path("_metadata.file_path").alias("path"))
+        rows = rows.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts
 
 
 @query(
-    " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file_name FROM (SELECT count(*) FROM {t})" for t in TABLES if t in ("nation", "region")
-    )
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)
 )
 def listing_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of chosen extensions below several roots, a missing one among them."""
-    found = list_science_files(spark, [sf_dir, f"{sf_dir}/nowhere"], ("parquet",))
-    name = F.regexp_extract("path", "[^/]+$", 0)
-    return found.select(name.alias("file_name")).where(name.isin("nation.parquet", "region.parquet"))
+    """Files of chosen extensions below several roots, a missing one among them, with the rows they hold.
+
+    A file with a science extension would be listed too, and held against no rows.
+    """
+    found = list_science_files(spark, [sf_dir, f"{sf_dir}/nowhere"], (*BUCKET_EXTENSIONS, "parquet"))
+    listed = found.select(_plain_path("path").alias("path"))
+    rows = listed.join(_rows_per_file(spark, sf_dir), "path", "left")
+    name = F.regexp_extract("path", r"/([^/]+)\.parquet", 1)
+    return rows.groupBy(name.alias("table_name")).agg(F.sum("row_count").alias("row_count"))
 
 
 @query(f"WITH {REGISTRY_SQL} SELECT * FROM reg")
@@ -162,3 +178,37 @@ def table_ddl_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     append(rows, name)
     append(rows, name, mode="new_only")
     return registry_totals(spark.table(name))
+
+
+@query(
+    f"""WITH {REGISTRY_SQL}, held AS (SELECT * FROM reg WHERE starts_with(file_path, 'http://')),
+    batch AS (SELECT * FROM reg UNION ALL SELECT * FROM reg WHERE file_extension IS NULL)
+    SELECT 'negative_size' AS rule, count(*) FILTER (size_bytes IS NULL OR size_bytes < 0)::BIGINT AS failures FROM batch
+    UNION ALL SELECT 'key_in_batch', count(*) - count(DISTINCT coalesce(file_path, '')) FROM batch
+    UNION ALL SELECT 'key_in_target', count(*) FROM batch WHERE file_path IN (SELECT file_path FROM held)
+    UNION ALL SELECT 'known_parent', count(*) FROM batch
+              WHERE regexp_extract(file_path, '^[^/]*//([^/]*)', 1) NOT IN
+                    (SELECT regexp_extract(url, '^[^/]*//([^/]*)', 1) FROM pages WHERE page_id % 2 = 0)
+    UNION ALL SELECT 'size_of_batch', CASE WHEN abs(count(*) - (SELECT count(*) FROM reg)) > 0.1 * (SELECT count(*) FROM reg)
+                                           THEN 1 ELSE 0 END FROM batch"""
+)
+def staged_audit_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over a staged batch as a whole, beside a rule over its rows.
+
+    The batch holds paths without an extension twice and paths that the registry
+    has; parents are the hosts of pages with an even id, and the last batch was
+    as large as all pages.
+    """
+    rows = registry_rows(_listing(spark, sf_dir), NOW)
+    held = stage(spark, rows.where(F.col("file_path").startswith("http://")))
+    staged = stage(spark, rows.unionByName(rows.where("file_extension IS NULL")))
+    host = lambda c: F.regexp_extract(c, "^[^/]*//([^/]*)", 1)
+    parents = table(spark, sf_dir, "pages").where("page_id % 2 = 0").select(host("url").alias("host")).distinct()
+    sets = {
+        "key_in_batch": unique("file_path"),
+        "key_in_target": unlike(held, "file_path"),
+        "known_parent": known_in(parents, "host", "host"),
+        "size_of_batch": rows_within(table(spark, sf_dir, "pages").count(), 0.1),
+    }
+    rules = {"negative_size": registry_rules()["negative_size"]}
+    return audit_sets(staged.withColumn("host", host("file_path")), rules, sets)

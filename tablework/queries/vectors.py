@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.functions.text import order_sentence
-from tablework.operators.embedding import embed, sparse_entries
+from tablework.functions.text import hashed_words, order_sentence
+from tablework.operators.collection import create_collection, entity_count, insert_batch, read_collection, stored_centres
+from tablework.operators.embedding import EMBEDDING_DIM
+from tablework.operators.nearest import nearest_join
 from tablework.operators.numbering import dense_ids
 from tablework.operators.publish import stage
 from tablework.operators.similarity import (
@@ -19,6 +23,7 @@ from tablework.operators.similarity import (
     train_centroids,
     vector_checks,
 )
+from tablework.operators.tree import assign_tree, search_tree, train_tree
 from tablework.plans.search import (
     order_vectors,
     search_then_fetch,
@@ -122,6 +127,80 @@ def cell_search_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_cells(indexed, _label_batch(spark, sf_dir), centres, nprobe=len(centres))
 
 
+def _grown_collection(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict[str, int]]]:
+    """A collection that all vectors enter in three batches, with rows that must not enter among them."""
+    path = scratch_path(spark, "collection")
+    create_collection(spark, path, _centres(spark, sf_dir))
+    stored = _stored(spark, sf_dir)
+    again = stored.where("id % 30 = 0").withColumn("order_id", F.concat(F.lit("x/"), "order_id"))
+    narrow = stored.where("id % 50 = 1").select(
+        (F.col("id") + 1_000_000_000).alias("id"), "order_id", F.slice("vector", 1, 63).alias("vector")
+    )
+    # Rows of the first batch come again in the second and, twice, in their own batch; narrow ones in the third.
+    batches = [
+        stored.where("id % 3 = 0").unionByName(again),
+        stored.where("id % 3 = 1").unionByName(again),
+        stored.where("id % 3 = 2").unionByName(narrow),
+    ]
+    return path, [
+        {"batch": n, **insert_batch(spark, path, batch, n, dim=64), "entities": entity_count(spark, path)}
+        for n, batch in enumerate(batches)
+    ]
+
+
+@query(
+    """WITH b AS (
+      SELECT vec_id % 3 AS batch, count(*) AS inserted FROM embeddings GROUP BY 1),
+    extra AS (SELECT count(*) FILTER (vec_id % 30 = 0) AS again, count(*) FILTER (vec_id % 50 = 1) AS narrow FROM embeddings)
+    SELECT batch::BIGINT AS batch,
+           (inserted + CASE WHEN batch < 2 THEN again ELSE narrow END)::BIGINT AS offered, inserted::BIGINT AS inserted,
+           (CASE WHEN batch = 1 THEN again ELSE 0 END)::BIGINT AS known,
+           (CASE WHEN batch = 0 THEN again ELSE 0 END)::BIGINT AS repeated,
+           (CASE WHEN batch = 2 THEN narrow ELSE 0 END)::BIGINT AS unfit,
+           sum(inserted) OVER (ORDER BY batch)::BIGINT AS entities
+    FROM b, extra"""
+)
+def collection_insert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three inserts into a stored collection took and refused, and its entities after each."""
+    reports = _grown_collection(spark, sf_dir)[1]
+    columns = ["batch", "offered", "inserted", "known", "repeated", "unfit", "entities"]
+    rows = [tuple(r[c] for c in columns) for r in reports]
+    return spark.createDataFrame(rows, ", ".join(f"{c} bigint" for c in columns))
+
+
+@query(COSINE_SQL)
+def collection_insert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cells of a collection that grew by batches; the result is that of exact search."""
+    path = _grown_collection(spark, sf_dir)[0]
+    centres = stored_centres(spark, path)
+    return search_cells(read_collection(spark, path), _label_batch(spark, sf_dir), centres, nprobe=len(centres))
+
+
+def _many_sql(score: str, order: str) -> str:
+    return f"""WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+    scored AS (SELECT q.id AS query_id, e.id, {score} AS score FROM e q, e)
+    SELECT query_id, rank, id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, id)::INTEGER AS rank
+      FROM scored) WHERE rank <= 5"""
+
+
+def _every_vector(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    stored = stage(spark, _stored(spark, sf_dir))
+    asked = stored.select(F.col("id").alias("query_id"), "vector")
+    return nearest_join(stored, asked, train_centroids(stored, nlist=64), metric=metric).hits
+
+
+@query(_many_sql("round(list_cosine_similarity(e.v, q.v), 6)", "DESC"))
+def cosine_topk_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as a query against all vectors."""
+    return _every_vector(spark, sf_dir, "cosine")
+
+
+@query(_many_sql("round(list_distance(e.v, q.v), 6)", "ASC"))
+def l2_topk_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _every_vector(spark, sf_dir, "l2")
+
+
 @query(
     """SELECT count(*) AS n_vectors, count(*) FILTER (len(embedding) <> 64)::BIGINT AS wrong_dim,
            count(*) - count(DISTINCT vec_id) AS duplicate_ids,
@@ -156,30 +235,38 @@ def vector_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {CELL_SQL}
-    SELECT count(*) AS n_first, count(*) AS n_second, count(*) AS n_entities,
-           (SELECT count(DISTINCT cell) FROM cells) AS n_cells FROM embeddings"""
+    f"""WITH {CELL_SQL},
+    kept AS (SELECT vec_id AS id, 'vec/' || vec_id AS order_id, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings)
+    SELECT p.place, id, order_id, total, CASE p.place WHEN 'collection' THEN cell ELSE -1 END::INTEGER AS cell
+    FROM kept JOIN cells USING (id), (VALUES ('first'), ('second'), ('collection')) AS p(place)"""
 )
 def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vector table at two places and a collection stored by cell."""
+    """Every vector as it lies at two places and in a collection stored by cell."""
     first, second = scratch_path(spark, "import"), scratch_path(spark, "vectors")
     collection = scratch_path(spark, "collection")
     write_vectors(_stored(spark, sf_dir), first, second)
     stored = read_vectors(spark, first)
-    entities = write_collection(assign_cells(stored, _centres(spark, sf_dir)), collection, dim=64)
-    parts = {
-        "n_first": stored.agg(F.count(F.lit(1)).alias("n")),
-        "n_second": read_vectors(spark, second).agg(F.count(F.lit(1)).alias("n")),
-        "n_cells": spark.read.parquet(collection).agg(F.count_distinct("cell").alias("n")),
+    write_collection(assign_cells(stored, _centres(spark, sf_dir)), collection, dim=64)
+    total = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    places = {
+        "first": stored.withColumn("cell", F.lit(-1)),
+        "second": read_vectors(spark, second).withColumn("cell", F.lit(-1)),
+        "collection": spark.read.parquet(collection),
     }
-    facts = None
-    for name, part in parts.items():
-        row = part.select(F.lit(name).alias("fact"), "n")
-        facts = row if facts is None else facts.unionByName(row)
-    return facts.agg(
-        *[F.max(F.when(F.col("fact") == name, F.col("n"))).alias(name) for name in parts],
-        F.lit(entities).cast("bigint").alias("n_entities"),
-    )
+    rows = [
+        found.select(F.lit(place).alias("place"), "id", "order_id", F.round(total, 6).alias("total"), F.col("cell").cast("int").alias("cell"))
+        for place, found in places.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(COSINE_SQL)
+def cell_search_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells below coarse cells, large ones split again; all of them probed give exact search."""
+    vectors = stage(spark, _stored(spark, sf_dir))
+    tree = train_tree(vectors, coarse=4, fine=4, max_rows=20_000)
+    indexed = assign_tree(vectors, tree)
+    return search_tree(indexed, _label_batch(spark, sf_dir), tree, nprobe=tree.leaves)
 
 
 SENTENCE_SQL = """'Order ' || "OrderId" || '. Customer: ' || "CustomerId" || '. Status: ' || "Status"
@@ -205,12 +292,9 @@ texts AS (SELECT "OrderId" AS order_id, {SENTENCE_SQL} AS sentence FROM landing)
 @query(f"WITH {ORDER_WEIGHTS_SQL} SELECT order_id, bucket, round(weight, 6) AS weight FROM weights")
 def embed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings of all orders, as their non-zero entries."""
-    texts = landing(spark, sf_dir).select(
-        F.col("OrderId").alias("order_id"), order_sentence().alias("sentence")
-    )
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = sparse_entries(embed(texts, "order_id", "sentence", tasks=tasks), "order_id")
-    return entries.withColumn("weight", F.round("weight", 6))
+    entries = hashed_words(order_sentence(), EMBEDDING_DIM)
+    rows = landing(spark, sf_dir).select(F.col("OrderId").alias("order_id"), F.inline(entries))
+    return rows.withColumn("weight", F.round(F.col("weight").cast("double"), 6))
 
 
 SEARCH_SQL = f"""{ORDER_WEIGHTS_SQL},

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -12,10 +12,15 @@ from tablework.operators import nexus
 from tablework.operators.publish import stage
 from tablework.operators.registry import new_only
 from tablework.operators.similarity import require_collection
+from tablework.operators.upsert import partition_key
 from tablework.schemas import FILE_REGISTRY, H5_CATALOG, ORDERS
 from tablework.sinks.layout import laid_out
 
 
+# Categories whose tables hold fields.
+FIELD_CATEGORIES = ("sample", "instrument", "users", "software")
+
+
 def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
 
@@ -44,7 +49,9 @@ def create_orders_table(spark: SparkSession, name: str, location: str | None = N
 
 
 def create_catalog_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    create_table(spark, name, H5_CATALOG, "instrument_name", location)
+    """The catalog by instrument; the key is a derived column, filled by `with_instrument`."""
+    schema = StructType([*H5_CATALOG, StructField("instrument_key", StringType())])
+    create_table(spark, name, schema, "instrument_key", location)
 
 
 def create_registry_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -55,6 +62,10 @@ def with_day(orders: DataFrame) -> DataFrame:
     return orders.withColumn("order_day", day_key("OrderDate"))
 
 
+def with_instrument(catalog: DataFrame) -> DataFrame:
+    return catalog.withColumn("instrument_key", partition_key("instrument_name"))
+
+
 def append(df: DataFrame, table: str, mode: str = "append") -> None:
     """Append to a table by column name; ``new_only`` skips registered paths."""
     if mode == "new_only":
@@ -150,48 +161,49 @@ def write_categories(
     max_events: int | None = None,
     include_events: bool = True,
     now: str | None = None,
-) -> list[str]:
-    """Category tables of a set of files; empty categories are not written.
+) -> dict[str, int]:
+    """Category tables of a set of files; returns the rows of each one that has any.
+
+    The nodes are scanned three times: once for everything small, which is
+    staged and serves the fields, the run metadata, the heads of logs and the
+    summary of banks, once for the points of logs and once for events. Fields
+    are tagged with their category and written by it in one pass. Rows are
+    counted while they are written.
 
     Rows lead with the base name of their file and are sorted by it, so a
     reader of one file skips the row groups of the others; a folder per file
     would not survive a million files. Events are partitioned by bank, and a
-    large bank is split by adaptive rebalancing. Returns the tables written.
+    large bank is split by adaptive rebalancing. Read a table with
+    :func:`~tablework.sources.tables.read_category`.
     """
+    spark = nodes.sparkSession
     base = output_base_name("file_path").alias("base_name")
-    run = nexus.run_metadata(nodes, entry, now).withColumn("file_path", F.col("source_path"))
-    fields = {
-        "sample": nexus.sample_fields(nodes, entry),
-        "instrument": nexus.instrument_fields(nodes, entry),
-        "users": nexus.user_rows(nodes, entry),
-        "software": nexus.software_rows(nodes, entry),
-    }
-    # Each table comes with a cheap probe for emptiness, so that no array is
-    # shuffled just to find out whether there is anything to write.
-    logs = nodes.where((F.col("kind") == "group") & (F.col("parent_path") == f"{entry}/DASlogs"))
-    tables = {
-        "metadata": (run, nodes),
-        **{name: (table, table) for name, table in fields.items()},
-        "daslogs": (nexus.daslog_rows(nodes, entry), logs),
-    }
+    small = stage(spark, nexus.small_nodes(nodes, entry))
+    counted: dict[str, int] = {}
+
+    def save(rows: DataFrame, folder: str, names: list[str], partition: str | None = None) -> None:
+        seen = Observation()
+        tag = F.col(partition) if len(names) > 1 else F.lit(names[0])
+        watched = rows.observe(seen, *[F.count_if(tag == name).alias(name) for name in names])
+        writer = watched.write.mode("errorifexists")
+        (writer.partitionBy(partition) if partition else writer).parquet(f"{root.rstrip('/')}/{folder}")
+        counted.update({name: n for name, n in seen.get.items() if n})
+
+    fields = nexus.category_fields(small, entry)
+    placed = fields.select("category", base, *[c for c in fields.columns if c != "category"])
+    save(placed.sortWithinPartitions("category", "base_name"), "fields", list(FIELD_CATEGORIES), "category")
+    run = nexus.run_metadata(small, entry, now).withColumn("file_path", F.col("source_path"))
+    metadata = run.select(base, *[c for c in run.columns if c != "file_path"])
+    save(metadata.sortWithinPartitions("base_name"), "metadata", ["metadata"])
+    logs = nexus.daslog_rows(nodes, entry, heads=nexus.log_heads(small, entry))
+    save(logs.select(base, *logs.columns).sortWithinPartitions("base_name"), "daslogs", ["daslogs"])
     if include_events:
-        banks = nexus.bank_summary(nodes, entry, max_events)
-        tables["events"] = (nexus.event_rows(nodes, entry, max_events), banks.where("events_extracted > 0"))
-        tables["event_summary"] = (banks, banks)
-
-    written = []
-    for name, (table, probe) in tables.items():
-        if probe.isEmpty():
-            continue
-        out = table.select(base, *[c for c in table.columns if name != "metadata" or c != "file_path"])
-        target = f"{root.rstrip('/')}/{name}"
-        if name == "events":
-            placed = out.hint("rebalance", "bank").sortWithinPartitions("bank", "base_name")
-            placed.write.mode("errorifexists").partitionBy("bank").parquet(target)
-        else:
-            out.sortWithinPartitions("base_name").write.mode("errorifexists").parquet(target)
-        written.append(name)
-    return written
+        events = nexus.event_rows(nodes, entry, max_events)
+        by_bank = events.select(base, *events.columns).hint("rebalance", "bank").sortWithinPartitions("bank", "base_name")
+        save(by_bank, "events", ["events"], "bank")
+        banks = nexus.bank_summary(small, entry, max_events)
+        save(banks.select(base, *banks.columns).sortWithinPartitions("base_name"), "event_summary", ["event_summary"])
+    return counted
 
 
 def write_manifest(entries: DataFrame, path: str) -> None:
