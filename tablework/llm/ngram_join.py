@@ -1,28 +1,36 @@
 """Near-duplicate join on word shingles by Jaccard similarity, with adaptive multi-match prefixes.
 
 1. Documents with the same word sequence form a class; only its smallest id goes on.
-2. Min-hash keys propose a leader for every document; exact similarity decides.
-   A leader and the documents linked to it directly form a star, others a star
-   of their own. In later steps copies of a star cost one row per token.
+2. Min-hash keys propose a leader for every document: of the classes with a key
+   the one with the most rows. Exact similarity decides. A leader and the
+   documents linked to it directly form a star, others a star of their own. In
+   later steps a star costs one row per token.
 3. Tokens are ordered from rare to frequent (counts over all documents in a
    table of fixed size; only the order depends on them). If two sets are similar,
    their prefixes of length n - ceil(t n) + m share m tokens, for any m up to
    ceil(t n). Each document lengthens its prefix by its estimated candidate cost
-   and then asks for as many shared prefix tokens.
-4. Stars sharing enough prefix tokens are compared leader with leader, exactly.
-   Jaccard distance is a metric, so the leaders' distance tells which stars can
+   and then asks for as many shared prefix tokens (``wanted``).
+4. Every star is first compared with the centre of its tokens: of the stars that
+   share a token the one in which it comes earliest. Links contract stars to
+   components, so a family of linked copies costs a comparison per member.
+5. Stars of different components that share as many prefix tokens as both ask
+   for, each early enough that what is left of both sets can still make up the
+   needed overlap, are compared leader with leader, exactly.
+6. Jaccard distance is a metric, so the leaders' distance tells which stars can
    hold a linked pair at all; what remains is compared leader with members, then
-   member with member, until the two stars are connected or no pair is left.
-5. Links are contracted to components: the smallest id reachable.
+   members that share a prefix token, while the two stars aren't connected.
+7. Links are contracted to components: the smallest id reachable.
 
-No candidate is dropped and no group is cut: hot tokens cost one row per star,
-and every linked pair of different texts ends in one component.
+A comparison ships the set of one document to its partner, not both to a third
+place. No candidate is dropped and no group is cut: hot tokens cost one row per
+star, and every linked pair of different texts ends in one component.
 
 Defined cases: null and empty texts have no shingles and are linked with
 nothing; with fewer than ``k`` words the whole sequence is the only shingle.
-Rows sharing an id are one document for the links (their smallest class wins);
-each gets a result row. A null id is kept as its own component (null). An empty
-table gives an empty result. Other columns of the input are not read.
+Very long texts are one set, whole. Rows sharing an id are one document for the
+links (their smallest class wins); each gets a result row. A null id is kept as
+its own component (null). An empty table gives an empty result. Other columns of
+the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +40,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm import words as W
@@ -46,6 +54,12 @@ SLICE_ROWS = 16
 KEYS = 3
 #: Most shared prefix tokens asked for; one more for each doubling of the estimated cost from this on.
 LEVELS, COST_UNIT = 8, 16
+#: Partners of one set that meet it in one task, and sets that one row of requests names.
+PARTNERS, ASKS = 2_000, 500
+#: Bytes of sets that a task hands on at once.
+SENT_BYTES = 8 << 20
+#: Centres that a star is compared with before all its candidates.
+CENTRES = 2
 #: Up to this many ids (16 MB as a hash relation) travel as a broadcast; beyond, they are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -154,97 +168,147 @@ def frequencies(docs: DataFrame, k: int, text: str = "text") -> np.ndarray:
     return total
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``; the ids are broadcast if they are few."""
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+def _asked(pairs: DataFrame) -> DataFrame:
+    """doc_id, the (leader, salt) places its set goes to, and in how many places it waits itself."""
+    waits = pairs.groupBy(F.col("b").alias("of")).agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("places"))
+    many = pairs.groupBy(F.col("a").alias("by")).agg(F.ceil(F.count(F.lit(1)) / ASKS).alias("chunks"))
+    salted = pairs.join(waits, F.col("b") == F.col("of")).join(many, F.col("a") == F.col("by"))
+    goes = (
+        salted.select(
+            F.col("a").alias("doc_id"),
+            F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"),
+            F.struct(F.col("b").alias("leader"), F.pmod(F.xxhash64("a"), F.col("places")).cast("int").alias("place")).alias("to"),
+        )
+        .groupBy("doc_id", "chunk")
+        .agg(F.collect_list("to").alias("goes"), F.lit(0).alias("places"))
+    )
+    none = F.array().cast("array<struct<leader: bigint, place: int>>")
+    stays = waits.select(F.col("of").alias("doc_id"), F.lit(0).cast("bigint").alias("chunk"), none.alias("goes"), "places")
+    both = goes.unionByName(stays).groupBy("doc_id", "chunk")
+    return both.agg(F.flatten(F.collect_list("goes")).alias("goes"), F.max("places").alias("places")).drop("chunk")
 
 
-def token_sets(docs: DataFrame, ids: DataFrame, k: int, text: str = "text") -> DataFrame:
-    """``doc_id`` and its sorted tokens as binary, one row per id."""
+def compare(pairs: DataFrame, docs: DataFrame, k: int, text: str = "text") -> DataFrame:
+    """Distinct ``pairs`` (a, b) of ids with the sizes of intersection and union.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The set of a goes to where the set of b waits; b should be the id with more
+    partners. A set with very many partners waits in several places.
+    """
+    asked = cut_lineage(_asked(pairs))
+    size = asked.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("goes")), F.lit(0)).alias("goes")).first()
+    few = size["rows"] + size["goes"] <= BROADCAST_IDS
+    wanted = _ids(docs, text).join(F.broadcast(asked) if few else asked, "doc_id")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.slices(batches):
             bounds, tokens, _ = shingles(W.texts_of(piece), k)
-            raw = memoryview(tokens.tobytes())
-            sets = [bytes(raw[8 * s : 8 * e]) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "tokens"])
+            raw, ids = memoryview(tokens.tobytes()), piece.column("doc_id").to_pylist()
+            goes, places = piece.column("goes").to_pylist(), piece.column("places").to_pylist()
+            rows, held = [], 0
+            for i, (s, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                own = bytes(raw[8 * s : 8 * e])
+                waits = [(ids[i], place, False) for place in range(places[i])]
+                for leader, place, comes in [*waits, *((to["leader"], to["place"], True) for to in goes[i])]:
+                    rows.append((leader, place, comes, ids[i], own))
+                    held += len(own)
+                    if held > SENT_BYTES:
+                        yield _batch(rows, _SENT)
+                        rows, held = [], 0
+            if rows:
+                yield _batch(rows, _SENT)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, waiting = None, []
+        for batch in batches:
+            found = []
+            columns = [batch.column(c).to_pylist() for c in ("leader", "place", "comes", "doc_id")]
+            for leader, place, comes, doc_id, own in zip(*columns, batch.column("tokens"), strict=True):
+                if (leader, place) != at:
+                    at, waiting = (leader, place), []
+                tokens = np.frombuffer(own.as_buffer(), _U)
+                if not comes:
+                    waiting.append(tokens)
+                    continue
+                for other in waiting:
+                    common = len(np.intersect1d(tokens, other, assume_unique=True))
+                    found.append((doc_id, leader, common, len(tokens) + len(other) - common))
+            if found:
+                yield _batch(found, _MET)
 
-    return _only(_ids(docs, text), ids).mapInArrow(run, "doc_id long, tokens binary")
+    sent = wanted.mapInArrow(send, "leader long, place int, comes boolean, doc_id long, tokens binary")
+    # The waiting set comes first.
+    placed = sent.repartition("leader", "place").sortWithinPartitions("leader", "place", "comes")
+    return placed.mapInArrow(meet, "a long, b long, shared long, union long")
 
 
-def compare(pairs: DataFrame, docs: DataFrame, k: int, text: str = "text") -> DataFrame:
-    """``pairs`` (a, b and other columns) with the sizes of intersection and union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = token_sets(docs, cut_lineage(ids), k, text)
-    one = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("__one"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("__two"))
-    both = pairs.join(one, "a").join(two, "b")
-    others = pairs.columns
+_SENT = pa.schema([("leader", pa.int64()), ("place", pa.int32()), ("comes", pa.bool_()), ("doc_id", pa.int64()), ("tokens", pa.binary())])
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("union", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shared, union = [], []
-            for x, y in zip(batch.column("__one"), batch.column("__two"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                shared.append(common)
-                union.append(len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.array(shared, pa.int64()), pa.array(union, pa.int64())],
-                names=[*others, "shared", "union"],
-            )
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
-    return both.mapInArrow(run, f"{fields}, shared long, union long")
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 # stars
 
 
-def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """doc_id, n, star, distance to its leader, whether the star has several members, and their sizes (lo, hi)."""
+def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Stars, and the links that made them (a, b).
+
+    A star row has doc_id, n, star (the id of its leader), distance to the
+    leader, whether the star has several members, how many, and the smallest and
+    greatest of their sizes (lo, hi).
+    """
     sets = classes.where("n > 0")
-    keyed = sets.select("doc_id", "n", F.posexplode("keys").alias("j", "key"))
-    leaders = keyed.groupBy("j", "key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    keyed = sets.select("doc_id", "rows", F.posexplode("keys").alias("j", "key"))
+    # The class with the most rows is the likeliest original; of equal ones the smallest id leads.
+    first = F.struct((-F.col("rows")).alias("rows"), F.col("doc_id").alias("doc_id"))
+    leaders = keyed.groupBy("j", "key").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("met")).where("met > 1")
     proposed = (
         keyed.join(leaders, ["j", "key"])
-        .where(F.col("doc_id") != F.col("leader"))
-        .select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
+        .where(F.col("doc_id") != F.col("first.doc_id"))
+        .select(F.col("doc_id").alias("a"), F.col("first.doc_id").alias("b"), F.col("first.rows").alias("rank"))
         .distinct()
     )
-    links = cut_lineage(
-        compare(cut_lineage(proposed), docs, k, text)
-        .where(F.col("shared") * den >= F.col("union") * num)
-        .select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance"))
-    )
-    # A leader leads only if it isn't linked to a smaller one itself.
+    proposed = cut_lineage(proposed)
+    linked = _linked(compare(proposed.select("a", "b"), docs, k, text), num, den)
+    links = cut_lineage(linked.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance")).join(proposed, ["a", "b"]))
+    # A leader leads only if it isn't linked to a leader of its own.
     led = links.select(F.col("a").alias("b")).distinct()
     direct = (
         links.join(led, "b", "left_anti")
         .groupBy(F.col("a").alias("doc_id"))
-        .agg(F.min(F.struct("b", "distance")).alias("to"))
+        .agg(F.min(F.struct("rank", "b", "distance")).alias("to"))
         .select("doc_id", F.col("to.b").alias("star"), F.col("to.distance").alias("distance"))
     )
     heads = sets.select(F.col("doc_id").alias("star"), F.col("n").alias("head_n"))
-    members = direct.join(sets.select("doc_id", "n"), "doc_id").groupBy("star").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    members = (
+        direct.join(sets.select("doc_id", "n"), "doc_id")
+        .groupBy("star")
+        .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), (F.count(F.lit(1)) + 1).alias("members"))
+    )
     several = members.join(heads, "star").select(
-        "star", F.least("lo", "head_n").alias("lo"), F.greatest("hi", "head_n").alias("hi"), F.lit(True).alias("several")
+        "star", F.least("lo", "head_n").alias("lo"), F.greatest("hi", "head_n").alias("hi"), "members"
     )
     placed = sets.select("doc_id", "n").join(direct, "doc_id", "left").select(
         "doc_id", "n", F.coalesce("star", "doc_id").alias("star"), F.coalesce("distance", F.lit(0.0)).alias("distance")
     )
     placed = placed.join(several, "star", "left").withColumns(
-        {"several": F.coalesce("several", F.lit(False)), "lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")}
+        {"members": F.coalesce("members", F.lit(1)), "lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")}
     )
-    return cut_lineage(placed), links.select("a", "b")
+    return cut_lineage(placed.withColumn("several", F.col("members") > 1)), links.select("a", "b")
+
+
+def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
+    return compared.where(F.col("shared") * den >= F.col("union") * num)
 
 
 # candidates
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, k: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """doc_id, prefix tokens from rare to frequent, the length of the plain prefix, and wanted matches."""
+    """doc_id, n, prefix tokens from rare to frequent, the length of the plain prefix, and wanted matches."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     usual = max(1, int(counts.mean()))
     shift = _U(64 - COUNTERS_LOG2)
@@ -270,15 +334,19 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, num: int, den: int, te
             cut = np.concatenate([[0], np.cumsum(keep)])[bounds].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(tokens[keep].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), lists, pa.array(plain), pa.array(wanted)],
-                names=["doc_id", "tokens", "plain", "wanted"],
+                [piece.column("doc_id"), pa.array(sizes), lists, pa.array(plain), pa.array(wanted)],
+                names=["doc_id", "n", "tokens", "plain", "wanted"],
             )
 
-    return _ids(docs, text).mapInArrow(run, "doc_id long, tokens array<long>, plain long, wanted long")
+    return _ids(docs, text).mapInArrow(run, "doc_id long, n long, tokens array<long>, plain long, wanted long")
 
 
 def token_rows(prefixed: DataFrame) -> DataFrame:
-    """One row per star and token of its members' prefixes, combined within each task."""
+    """One row per star and token of its members' prefixes, combined within each task.
+
+    ``level`` is the first number of matches whose prefix holds the token, and
+    ``left`` how much of a member's set comes from the token on, at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,56 +358,91 @@ def token_rows(prefixed: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(len(sizes)), sizes)
             place = np.arange(len(tokens)) - offsets[row]
             level = np.maximum(place - batch.column("plain").to_numpy()[row] + 2, 1)
+            left = batch.column("n").to_numpy()[row] - place
             star = batch.column("star").to_numpy()[row]
-            order = np.lexsort((level, tokens, star))
-            star, tokens, level, row = star[order], tokens[order], level[order], row[order]
+            order = np.lexsort((tokens, star))
+            star, tokens, level, left, row = star[order], tokens[order], level[order], left[order], row[order]
             first = np.ones(len(star), bool)
             first[1:] = (star[1:] != star[:-1]) | (tokens[1:] != tokens[:-1])
-            wanted = batch.column("wanted").to_numpy()[row]
+            at = np.flatnonzero(first)
+            if not len(at):
+                continue
+            level, left = np.minimum.reduceat(level, at), np.maximum.reduceat(left, at)
+            wanted, lo = (batch.column(c).to_numpy()[row[at]] for c in ("wanted", "lo"))
+            columns = (tokens[at], star[at], *(v.astype(np.int32) for v in (level, left, wanted, lo)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(v[first]) for v in (tokens, star, level.astype(np.int32), wanted.astype(np.int32))],
-                names=["token", "star", "level", "wanted"],
+                [pa.array(v) for v in columns], names=["token", "star", "level", "left", "wanted", "lo"]
             )
 
-    return prefixed.mapInArrow(run, "token long, star long, level int, wanted int")
-
-
-def candidate_stars(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """Pairs (a, b) of star leaders whose stars share enough prefix tokens."""
-    prefixed = prefixes(docs, frequencies(docs, k, text), k, num, den, text)
-    placed = prefixed.join(stars.select("doc_id", "star", "several", "lo"), "doc_id")
-    # A star of several asks for what its smallest member allows: the members need one number.
-    allowed = F.ceil(F.col("lo") * num / den).cast("long")
-    wanted = F.when(F.col("several"), F.least(allowed, F.lit(LEVELS).cast("long"))).otherwise(F.col("wanted"))
-    rows = token_rows(placed.select("star", "tokens", "plain", wanted.alias("wanted")))
-    # One shuffle by token serves the grouping, the count of stars and the filter.
-    tokens = rows.repartition("token").groupBy("token", "star").agg(F.min("level").alias("level"), F.min("wanted").alias("wanted"))
-    met = tokens.withColumn("stars", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("stars > 1")
-    met = cut_lineage(met.select("token", "star", "level", "wanted", "stars"))
-    # Similar stars share ``wanted`` tokens of the probe's prefix, so without its ``wanted - 1``
-    # tokens that most stars have they still share one: hot tokens needn't be joined at all.
-    hottest = Window.partitionBy("star").orderBy(F.desc("stars"), "token")
-    probes = (
-        met.where("level <= wanted")
-        .withColumn("place", F.row_number().over(hottest))
-        .where("place >= wanted")
-        .select("token", "star", "wanted")
+    return prefixed.mapInArrow(run, "token long, star long, level int, left int, wanted int, lo int")
+
+
+def shared_tokens(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
+    """The prefix tokens that several stars have: one row per star and token, with the centre of the token.
+
+    The centre is the star in which the token comes earliest, so the one with
+    the fewest rarer tokens; of equal ones the smallest id.
+    """
+    prefixed = prefixes(docs, frequencies(docs, k, text), k, num, den, text).drop("n")
+    placed = prefixed.join(stars.select("doc_id", "n", "star", "members", "lo"), "doc_id")
+    # The members of a star need one number: its size estimates the cost, its smallest member the most allowed.
+    allowed = F.greatest(F.ceil(F.col("lo") * num / den), F.lit(1))
+    several = F.least(allowed, F.lit(LEVELS), 1 + F.floor(F.log2(F.col("members").cast("double"))))
+    wanted = F.when(F.col("members") > 1, several).otherwise(F.col("wanted")).cast("long")
+    rows = token_rows(placed.select("star", "n", "tokens", "plain", wanted.alias("wanted"), "lo"))
+    # One shuffle by token serves the grouping, the count of stars and the centre.
+    tokens = rows.repartition("token").groupBy("token", "star").agg(
+        F.min("level").alias("level"), F.max("left").alias("left"), F.min("wanted").alias("wanted"), F.min("lo").alias("lo")
     )
-    index = met.select("token", F.col("star").alias("other"), "level")
-    found = (
-        probes.join(index, "token")
-        .where((F.col("star") < F.col("other")) & (F.col("level") <= F.col("wanted")))
-        .select(F.col("star").alias("a"), F.col("other").alias("b"))
-        .distinct()
+    of_token = Window.partitionBy("token")
+    earliest = F.struct((F.col("lo") - F.col("left")).alias("at"), F.col("star").alias("star"))
+    met = tokens.withColumns(
+        {"stars": F.count(F.lit(1)).over(of_token), "centre": F.min(earliest).over(of_token)["star"]}
+    ).where("stars > 1")
+    return cut_lineage(met.select("token", "star", "level", "left", "wanted", "lo", "centre"))
+
+
+def _enough_left(left: Column, wanted: Column, sizes: Column, num: int, den: int) -> Column:
+    """Whether sets with ``left`` tokens from the m-th shared one on can still be similar.
+
+    Similar sets share num / (num + den) of the sum of their sizes at least; the
+    first m shared tokens leave that much, but for those before them.
+    """
+    return (left.cast("long") + wanted - 1) * (num + den) >= sizes.cast("long") * num
+
+
+def centre_pairs(met: DataFrame) -> DataFrame:
+    """Each star with the centres of most of its tokens, ``CENTRES`` of them at most.
+
+    These comparisons come early and lose nothing: pairs that they leave out are
+    candidates later.
+    """
+    shared = met.where(F.col("star") != F.col("centre")).groupBy("star", "centre").agg(F.count(F.lit(1)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy("star").orderBy(F.desc("n"), "centre"))
+    return shared.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select(F.col("star").alias("a"), F.col("centre").alias("b"))
+
+
+def candidate_stars(met: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of stars of different components that share enough prefix tokens early enough.
+
+    ``labels`` has doc_id and label of the stars that are linked to others.
+    """
+    named = met.join(labels.select(F.col("doc_id").alias("star"), "label"), "star", "left")
+    rows = named.withColumn("label", F.coalesce("label", "star")).select("token", "star", "level", "left", "wanted", "lo", "label")
+    one, two = rows.alias("x"), rows.alias("y")
+    wanted = F.least("x.wanted", "y.wanted")
+    pairs = one.join(
+        two,
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.star") < F.col("y.star"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (F.greatest("x.level", "y.level") <= wanted)
+        & _enough_left(F.least("x.left", "y.left"), wanted, F.col("x.lo") + F.col("y.lo"), num, den),
     )
-    # Sets whose sizes are too far apart can't be similar.
-    sizes = stars.where("doc_id = star").select("star", "lo", "hi")
-    return (
-        found.join(sizes.toDF("a", "alo", "ahi"), "a")
-        .join(sizes.toDF("b", "blo", "bhi"), "b")
-        .where((F.col("ahi") * den >= F.col("blo") * num) & (F.col("bhi") * den >= F.col("alo") * num))
-        .select("a", "b")
+    found = pairs.groupBy(F.col("x.star").alias("a"), F.col("y.star").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.min(wanted).alias("wanted")
     )
+    return found.where("met >= wanted").select("a", "b")
 
 
 # links and components
@@ -387,54 +490,89 @@ def between_stars(links: DataFrame, stars: DataFrame) -> DataFrame:
     )
 
 
-def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
-    return compared.where(F.col("shared") * den >= F.col("union") * num)
+def _labels(links: list[DataFrame], stars: DataFrame) -> DataFrame:
+    """doc_id and label of the stars that links connect with others."""
+    return components(between_stars(reduce(DataFrame.unionByName, links), stars))
 
 
-def star_links(docs: DataFrame, stars: DataFrame, candidates: DataFrame, k: int, num: int, den: int, text: str = "text") -> list[DataFrame]:
-    """Links between stars: leaders first, then what the triangle inequality leaves open."""
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b, …) of stars that aren't connected yet."""
+    label = lambda c, name: labels.select(F.col("doc_id").alias(c), F.col("label").alias(name))
+    named = pairs.join(label("a", "__la"), "a", "left").join(label("b", "__lb"), "b", "left")
+    return named.where(F.coalesce("__la", "a") != F.coalesce("__lb", "b")).select(*pairs.columns)
+
+
+def member_pairs(
+    docs: DataFrame, apart: DataFrame, inside: DataFrame, k: int, num: int, den: int, text: str = "text"
+) -> DataFrame:
+    """Pairs of members (a, b) of stars that may still be linked: near enough and with a shared prefix token.
+
+    ``apart`` has the stars a and b with the gap of their leaders, ``inside`` the
+    star, member, distance and n of all members.
+    """
+    far = 1 - num / den
+    asked = apart.select(F.explode(F.array("a", "b")).alias("star")).distinct()
+    members = inside.join(asked, "star", "left_semi")
+    ids = members.select(F.col("member").alias("doc_id"))
+    kept = _ids(docs, text).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    # Any order common to all sets will do; here it is that of the hashes.
+    plain = prefixes(kept, np.zeros(1 << COUNTERS_LOG2, np.uint32), k, num, den)
+    rows = (
+        plain.select("doc_id", "n", F.posexplode(F.slice("tokens", F.lit(1), F.col("plain").cast("int"))).alias("place", "token"))
+        .join(members.select(F.col("member").alias("doc_id"), "star", "distance"), "doc_id")
+        .select("star", "token", "doc_id", "distance", "n", (F.col("n") - F.col("place")).alias("left"))
+    )
+    rows = cut_lineage(rows)
+    one, two = rows.alias("x"), rows.alias("y")
+    met = apart.join(one, F.col("a") == F.col("x.star")).join(
+        two,
+        (F.col("b") == F.col("y.star"))
+        & (F.col("x.token") == F.col("y.token"))
+        & (F.col("gap") - F.col("x.distance") - F.col("y.distance") <= far + 1e-9)
+        & _enough_left(F.least("x.left", "y.left"), F.lit(1), F.col("x.n") + F.col("y.n"), num, den),
+    )
+    return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+
+
+def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, text: str = "text") -> list[DataFrame]:
+    """Links between stars: centres first, then leaders, then what the triangle inequality leaves open."""
     far = 1 - num / den
-    measured = cut_lineage(compare(cut_lineage(candidates), docs, k, text))
-    links = [_linked(measured, num, den).select("a", "b")]
+    met = shared_tokens(docs, stars, k, num, den, text)
+    # Many stars share a centre, so it is the one that waits.
+    central = cut_lineage(compare(cut_lineage(centre_pairs(met)), docs, k, text))
+    links = [_linked(central, num, den).select("a", "b")]
+    candidates = cut_lineage(candidate_stars(met, _labels(links, stars), num, den))
+    done = central.select("a", "b").unionByName(central.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = cut_lineage(candidates.join(done, ["a", "b"], "left_anti"))
+    measured = cut_lineage(compare(others, docs, k, text))
+    links.append(_linked(measured, num, den).select("a", "b"))
+
     reach = stars.where("several").groupBy("star").agg(F.max("distance").alias("reach"))
     gap = 1 - F.col("shared") / F.col("union")
     open_pairs = (
-        measured.where(F.col("shared") * den < F.col("union") * num)
+        measured.unionByName(central.join(candidates.unionByName(candidates.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_semi"))
+        .where(F.col("shared") * den < F.col("union") * num)
         .join(reach.select(F.col("star").alias("a"), F.col("reach").alias("ra")), "a", "left")
         .join(reach.select(F.col("star").alias("b"), F.col("reach").alias("rb")), "b", "left")
         .where(gap - F.coalesce("ra", F.lit(0.0)) - F.coalesce("rb", F.lit(0.0)) <= far + 1e-9)
         .where(F.col("ra").isNotNull() | F.col("rb").isNotNull())
         .select("a", "b", gap.alias("gap"))
     )
-    open_pairs = cut_lineage(open_pairs)
+    open_pairs = cut_lineage(_apart(open_pairs, _labels(links, stars)))
     if not open_pairs.limit(1).count():
         return links
     inside = stars.where("several AND doc_id <> star").select("star", F.col("doc_id").alias("member"), "distance")
 
-    # Leader of one star with the members of the other.
+    # Leader of one star with the members of the other; the leader waits.
     to_b = open_pairs.join(inside.withColumnRenamed("star", "b"), "b").where(F.col("gap") - F.col("distance") <= far + 1e-9)
     to_a = open_pairs.join(inside.withColumnRenamed("star", "a"), "a").where(F.col("gap") - F.col("distance") <= far + 1e-9)
-    near = to_b.select("a", F.col("member").alias("b")).unionByName(to_a.select(F.col("member").alias("a"), "b"))
+    near = to_b.select(F.col("member").alias("a"), F.col("a").alias("b")).unionByName(to_a.select(F.col("member").alias("a"), "b"))
     links.append(cut_lineage(_linked(compare(cut_lineage(near.distinct()), docs, k, text), num, den).select("a", "b")))
 
     # Members with members, where the stars aren't connected by now.
-    joined = components(between_stars(reduce(DataFrame.unionByName, links), stars))
-    label = lambda c, name: joined.select(F.col("doc_id").alias(c), F.col("label").alias(name))
-    apart = (
-        open_pairs.join(label("a", "la"), "a", "left")
-        .join(label("b", "lb"), "b", "left")
-        .where(~F.coalesce("la", "a").eqNullSafe(F.coalesce("lb", "b")))
-        .select("a", "b", "gap")
-    )
-    last = (
-        apart.join(inside.select(F.col("star").alias("a"), F.col("member").alias("ma"), F.col("distance").alias("da")), "a")
-        .join(inside.select(F.col("star").alias("b"), F.col("member").alias("mb"), F.col("distance").alias("db")), "b")
-        .where(F.col("gap") - F.col("da") - F.col("db") <= far + 1e-9)
-        .select(F.col("ma").alias("a"), F.col("mb").alias("b"))
-        .distinct()
-    )
-    last = cut_lineage(last)
-    if last.limit(1).count():
+    apart = cut_lineage(_apart(open_pairs, _labels(links, stars)))
+    if apart.limit(1).count():
+        last = cut_lineage(member_pairs(docs, apart, inside, k, num, den, text))
         links.append(cut_lineage(_linked(compare(last, docs, k, text), num, den).select("a", "b")))
     return links
 
@@ -449,16 +587,18 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
     )
     groups = cut_lineage(groups)
     # Rows that share an id but not their words are tied together by that id.
-    classes = groups.groupBy(F.col("rep").alias("doc_id")).agg(F.max_by("n", "one").alias("n"), F.max_by("keys", "one").alias("keys"))
+    classes = groups.groupBy(F.col("rep").alias("doc_id")).agg(
+        F.max_by("n", "one").alias("n"), F.max_by("keys", "one").alias("keys"), F.sum("rows").alias("rows")
+    )
     stars, proposed = stars_of(classes, docs, k, num, den, text)
-    links = star_links(docs, stars, candidate_stars(docs, stars, k, num, den, text), k, num, den, text)
-    # A star's leader has its smallest id, so components of stars give the smallest id reachable.
-    merged = components(between_stars(reduce(DataFrame.unionByName, [*links, proposed]), stars))
-    labels = (
-        stars.join(merged.select(F.col("doc_id").alias("star"), "label"), "star", "left")
-        .select("doc_id", F.coalesce("label", "star").alias("label"))
-        .where("doc_id <> label")
+    links = star_links(docs, stars, k, num, den, text)
+    merged = _labels([*links, proposed], stars)
+    named = stars.join(merged.select(F.col("doc_id").alias("star"), "label"), "star", "left").select(
+        "doc_id", F.coalesce("label", "star").alias("group")
     )
+    # Components of stars are named after a leader; the documents take the smallest id in them.
+    smallest = named.groupBy("group").agg(F.min("doc_id").alias("label"))
+    labels = named.join(smallest, "group").select("doc_id", "label").where("doc_id <> label")
     # Only words that several rows have, or that are linked, need a partner here.
     final = (
         groups.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left")
