@@ -3,8 +3,10 @@
 Texts are read in stretches of ``STRETCH`` bytes, each from a zero state in both
 directions. A byte's input row already holds its product with the input weights,
 so a step is one row lookup, one product with the recurrent weights and the
-gates. Many stretches take each step together. Training is backpropagation
-through time over whole stretches with Adam updates.
+gates. With s(x) = x / (1 + |x|), a gate is (1 + s) / 2 and a candidate s, which
+costs a fifth of the hyperbolic functions. Many stretches take each step
+together. Training is backpropagation through time over whole stretches with
+Adam updates.
 """
 
 from __future__ import annotations
@@ -56,8 +58,11 @@ def letters(codes: np.ndarray) -> np.ndarray:
     return (codes >= 0x80) | ((low >= 0x61) & (low <= 0x7A))
 
 
-def _product(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return (rows.reshape(-1, ROWS, rows.shape[1]) @ weights).reshape(len(rows), weights.shape[1])
+def _bounded(x: np.ndarray, room: np.ndarray) -> None:
+    """x / (1 + |x|) in place; ``room`` is overwritten."""
+    np.abs(x, out=room)
+    room += 1
+    x /= room
 
 
 def label_sums(weights: dict[str, np.ndarray], codes: np.ndarray, valid: np.ndarray) -> np.ndarray:
@@ -70,31 +75,42 @@ def label_sums(weights: dict[str, np.ndarray], codes: np.ndarray, valid: np.ndar
     logits = np.empty((steps, many, labels), np.float32)
     logits[:] = weights["bias"]
     ragged = not valid.all()
+    blocks = many // ROWS
     for side in _DIRECTIONS:
-        recurrent, bias, out = weights[f"{side}_state"].copy(), weights[f"{side}_candidate"], weights[f"{side}_output"]
-        table = weights[f"{side}_input"].copy()
-        units = len(bias)
-        # A logistic is a hyperbolic tangent of half its argument.
-        recurrent[:, : 2 * units] /= 2
-        table[:, : 2 * units] /= 2
+        units = len(weights[f"{side}_candidate"])
+        table, recurrent, out = (weights[f"{side}_{part}"] for part in ("input", "state", "output"))
+        gate_table, new_table = (np.ascontiguousarray(table[:, c]) for c in (slice(2 * units), slice(2 * units, None)))
+        # Half of a reset gate's product is taken here, so gates stay 1 + s.
+        gate_state, new_state = np.ascontiguousarray(recurrent[:, : 2 * units]), recurrent[:, 2 * units :] / 2
+        bias = weights[f"{side}_candidate"] / 2
         state = np.zeros((many, units), np.float32)
+        gates, gate_room = np.empty((2, many, 2 * units), np.float32)
+        new, room = np.empty((2, many, units), np.float32)
+        seen = np.empty((many, labels), np.float32)
+
+        def times(matrix: np.ndarray, into: np.ndarray, state: np.ndarray = state, units: int = units) -> None:
+            np.matmul(state.reshape(blocks, ROWS, units), matrix, out=into.reshape(blocks, ROWS, -1))
+
         for t in range(steps) if side == "ahead" else range(steps - 1, -1, -1):
-            given = table[codes[t]]
-            held = _product(state, recurrent)
-            gates = np.tanh(given[:, : 2 * units] + held[:, : 2 * units])
+            np.take(gate_table, codes[t], axis=0, out=gates, mode="clip")
+            times(gate_state, gate_room)
+            gates += gate_room
+            _bounded(gates, gate_room)
             gates += 1
-            gates *= 0.5
-            inner = held[:, 2 * units :]
-            inner += bias
-            inner *= gates[:, units:]
-            inner += given[:, 2 * units :]
-            new = np.tanh(inner)
+            np.take(new_table, codes[t], axis=0, out=new, mode="clip")
+            times(new_state, room)
+            room += bias
+            room *= gates[:, units:]
+            new += room
+            _bounded(new, room)
             state -= new
             state *= gates[:, :units]
+            state *= 0.5
             state += new
             if ragged:
                 state *= valid[t][:, None]
-            logits[t] += _product(state, out)
+            times(out, seen)
+            logits[t] += seen
     logits -= logits.max(axis=2, keepdims=True)
     np.exp(logits, out=logits)
     weight = (letters(codes) & valid) / logits.sum(axis=2)
@@ -109,9 +125,11 @@ def _forward(weights, side, codes, valid):
     for t in order:
         given = weights[f"{side}_input"][codes[t]]
         held = state @ weights[f"{side}_state"]
-        gates = 1 / (1 + np.exp(-(given[:, : 2 * units] + held[:, : 2 * units])))
+        gates = given[:, : 2 * units] + held[:, : 2 * units]
+        gates = (1 + gates / (1 + np.abs(gates))) / 2
         inner = held[:, 2 * units :] + weights[f"{side}_candidate"]
-        new = np.tanh(given[:, 2 * units :] + gates[:, units:] * inner)
+        new = given[:, 2 * units :] + gates[:, units:] * inner
+        new = new / (1 + np.abs(new))
         after = (new + gates[:, :units] * (state - new)) * valid[t][:, None]
         kept.append((t, state, gates, inner, new, after))
         state = after
@@ -151,9 +169,9 @@ def loss_and_gradient(weights: dict[str, np.ndarray], codes: np.ndarray, valid:
             by_out += after.T @ error[t]
             d = (later + error[t] @ out.T) * valid[t][:, None]
             keep, reset = gates[:, :units], gates[:, units:]
-            d_new = d * (1 - keep) * (1 - new * new)
-            d_keep = d * (before - new) * keep * (1 - keep)
-            d_reset = d_new * inner * reset * (1 - reset)
+            d_new = d * (1 - keep) * (1 - np.abs(new)) ** 2
+            d_keep = d * (before - new) * (1 - np.abs(2 * keep - 1)) ** 2 / 2
+            d_reset = d_new * inner * (1 - np.abs(2 * reset - 1)) ** 2 / 2
             d_inner = d_new * reset
             by_input[t] = np.concatenate([d_keep, d_reset, d_new], 1)
             through = np.concatenate([d_keep, d_reset, d_inner], 1)

@@ -91,7 +91,8 @@ def training_rows(docs: DataFrame, text: str, lang: str, rows: int) -> DataFrame
     path = scratch_path(docs.sparkSession, "language-sample")
     found = chosen.mapInArrow(run, schema).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)))
     found.write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    # A task per shard, whatever their size.
+    return docs.sparkSession.read.parquet(path).repartition(SHARDS, "shard")
 
 
 def _shard_trainer(names: list[str], shared: Broadcast, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:

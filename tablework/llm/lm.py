@@ -19,8 +19,9 @@ the partition of that word; one of two rare words goes to both, the first one
 scoring it where it was seen, the second one where it backs off.
 
 A null or empty text has one transition, from boundary to boundary. Rows sharing
-an id are scored as one document; a null id is one document of its own. An empty
-table gives an empty result. Other columns of the input are not read.
+an id are scored as one document; a null id is one document of its own. Very long
+texts are counted and scored whole. An empty table gives an empty result. Other
+columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations

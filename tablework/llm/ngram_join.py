@@ -50,16 +50,18 @@ from tablework.runtime import cut_lineage
 COUNTERS_LOG2 = 20
 #: Rows of the frequency table, which travels in slices.
 SLICE_ROWS = 16
-#: Min-hash keys that propose leaders.
-KEYS = 3
+#: Min-hash keys that propose leaders, and how many of them a document shares with its leader.
+KEYS, KEYS_ALIKE = 3, 2
 #: Most shared prefix tokens asked for; one more for each doubling of the estimated cost from this on.
 LEVELS, COST_UNIT = 8, 16
 #: Partners of one set that meet it in one task, and sets that one row of requests names.
 PARTNERS, ASKS = 2_000, 500
+#: Bytes of text that a task works on at once; a shingle takes several arrays of eight bytes.
+SLICE_BYTES = 2 << 20
 #: Bytes of sets that a task hands on at once.
 SENT_BYTES = 8 << 20
 #: Centres that a star is compared with before all its candidates.
-CENTRES = 2
+CENTRES = 1
 #: Up to this many ids (16 MB as a hash relation) travel as a broadcast; beyond, they are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -113,7 +115,7 @@ def facts(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
     """doc_id, number of shingles, word-sequence hash and min-hash keys of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             bounds, tokens, sequence = shingles(W.texts_of(piece), k)
             sizes = np.diff(bounds)
             keys = np.zeros((len(sizes), KEYS), np.int64)
@@ -142,7 +144,7 @@ def frequencies(docs: DataFrame, k: int, text: str = "text") -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTERS_LOG2, np.uint32)
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             _, tokens, _ = shingles(W.texts_of(piece), k)
             total += np.bincount((tokens >> shift).astype(np.int64), minlength=len(total)).astype(np.uint32)
         parts = [total[i * width : (i + 1) * width].tobytes() for i in range(SLICE_ROWS)]
@@ -200,7 +202,7 @@ def compare(pairs: DataFrame, docs: DataFrame, k: int, text: str = "text") -> Da
     wanted = _ids(docs, text).join(F.broadcast(asked) if few else asked, "doc_id")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             bounds, tokens, _ = shingles(W.texts_of(piece), k)
             raw, ids = memoryview(tokens.tobytes()), piece.column("doc_id").to_pylist()
             goes, places = piece.column("goes").to_pylist(), piece.column("places").to_pylist()
@@ -265,13 +267,17 @@ def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, te
     # The class with the most rows is the likeliest original; of equal ones the smallest id leads.
     first = F.struct((-F.col("rows")).alias("rows"), F.col("doc_id").alias("doc_id"))
     leaders = keyed.groupBy("j", "key").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("met")).where("met > 1")
-    proposed = (
+    met = (
         keyed.join(leaders, ["j", "key"])
         .where(F.col("doc_id") != F.col("first.doc_id"))
-        .select(F.col("doc_id").alias("a"), F.col("first.doc_id").alias("b"), F.col("first.rows").alias("rank"))
-        .distinct()
+        .groupBy(F.col("doc_id").alias("a"), F.col("first.doc_id").alias("b"), F.col("first.rows").alias("rank"))
+        .agg(F.count(F.lit(1)).alias("shared"))
     )
-    proposed = cut_lineage(proposed)
+    # One leader each, with as many keys in common as similar sets mostly have; a document without one
+    # is a star of its own, and its links are found later.
+    nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "rank", "b"))
+    alike = met.where(F.col("shared") >= KEYS_ALIKE).withColumn("nth", nth).where("nth = 1")
+    proposed = cut_lineage(alike.select("a", "b", "rank"))
     linked = _linked(compare(proposed.select("a", "b"), docs, k, text), num, den)
     links = cut_lineage(linked.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance")).join(proposed, ["a", "b"]))
     # A leader leads only if it isn't linked to a leader of its own.
@@ -315,7 +321,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, num: int, den: int, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             bounds, tokens, _ = shingles(W.texts_of(piece), k)
             sizes = np.diff(bounds)
             owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -395,13 +401,19 @@ def shared_tokens(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int,
         F.min("level").alias("level"), F.max("left").alias("left"), F.min("wanted").alias("wanted"), F.min("lo").alias("lo")
     )
     of_token = Window.partitionBy("token")
-    earliest = F.struct((F.col("lo") - F.col("left")).alias("at"), F.col("star").alias("star"))
-    met = tokens.withColumns(
-        {"stars": F.count(F.lit(1)).over(of_token), "centre": F.min(earliest).over(of_token)["star"]}
-    ).where("stars > 1")
+    earliest = F.struct((F.col("lo") - F.col("left")).alias("at"), *[F.col(c) for c in ("star", "level", "left", "wanted", "lo")])
+    met = tokens.withColumns({"stars": F.count(F.lit(1)).over(of_token), "centre": F.min(earliest).over(of_token)}).where("stars > 1")
     return cut_lineage(met.select("token", "star", "level", "left", "wanted", "lo", "centre"))
 
 
+def _early_enough(x: str, y: str, num: int, den: int) -> Column:
+    """Whether a shared token can be one of the first ``wanted`` that similar stars share."""
+    wanted = F.least(f"{x}.wanted", f"{y}.wanted")
+    left = F.least(f"{x}.left", f"{y}.left")
+    sizes = F.col(f"{x}.lo") + F.col(f"{y}.lo")
+    return (F.greatest(f"{x}.level", f"{y}.level") <= wanted) & _enough_left(left, wanted, sizes, num, den)
+
+
 def _enough_left(left: Column, wanted: Column, sizes: Column, num: int, den: int) -> Column:
     """Whether sets with ``left`` tokens from the m-th shared one on can still be similar.
 
@@ -411,15 +423,20 @@ def _enough_left(left: Column, wanted: Column, sizes: Column, num: int, den: int
     return (left.cast("long") + wanted - 1) * (num + den) >= sizes.cast("long") * num
 
 
-def centre_pairs(met: DataFrame) -> DataFrame:
-    """Each star with the centres of most of its tokens, ``CENTRES`` of them at most.
+def centre_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
+    """Each star with the centre of most of its tokens, if they are early enough in both.
 
-    These comparisons come early and lose nothing: pairs that they leave out are
+    These comparisons come first and lose nothing: pairs that they leave out are
     candidates later.
     """
-    shared = met.where(F.col("star") != F.col("centre")).groupBy("star", "centre").agg(F.count(F.lit(1)).alias("n"))
-    nth = F.row_number().over(Window.partitionBy("star").orderBy(F.desc("n"), "centre"))
-    return shared.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select(F.col("star").alias("a"), F.col("centre").alias("b"))
+    rows = met.select(F.struct("star", "level", "left", "wanted", "lo").alias("x"), F.col("centre").alias("y"))
+    shared = (
+        rows.where((F.col("x.star") != F.col("y.star")) & _early_enough("x", "y", num, den))
+        .groupBy(F.col("x.star").alias("a"), F.col("y.star").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("n"), "b"))
+    return shared.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select("a", "b")
 
 
 def candidate_stars(met: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
@@ -429,18 +446,15 @@ def candidate_stars(met: DataFrame, labels: DataFrame, num: int, den: int) -> Da
     """
     named = met.join(labels.select(F.col("doc_id").alias("star"), "label"), "star", "left")
     rows = named.withColumn("label", F.coalesce("label", "star")).select("token", "star", "level", "left", "wanted", "lo", "label")
-    one, two = rows.alias("x"), rows.alias("y")
-    wanted = F.least("x.wanted", "y.wanted")
-    pairs = one.join(
-        two,
+    pairs = rows.alias("x").join(
+        rows.alias("y"),
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.star") < F.col("y.star"))
         & (F.col("x.label") != F.col("y.label"))
-        & (F.greatest("x.level", "y.level") <= wanted)
-        & _enough_left(F.least("x.left", "y.left"), wanted, F.col("x.lo") + F.col("y.lo"), num, den),
+        & _early_enough("x", "y", num, den),
     )
     found = pairs.groupBy(F.col("x.star").alias("a"), F.col("y.star").alias("b")).agg(
-        F.count(F.lit(1)).alias("met"), F.min(wanted).alias("wanted")
+        F.count(F.lit(1)).alias("met"), F.min(F.least("x.wanted", "y.wanted")).alias("wanted")
     )
     return found.where("met >= wanted").select("a", "b")
 
@@ -539,7 +553,7 @@ def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, te
     far = 1 - num / den
     met = shared_tokens(docs, stars, k, num, den, text)
     # Many stars share a centre, so it is the one that waits.
-    central = cut_lineage(compare(cut_lineage(centre_pairs(met)), docs, k, text))
+    central = cut_lineage(compare(cut_lineage(centre_pairs(met, num, den)), docs, k, text))
     links = [_linked(central, num, den).select("a", "b")]
     candidates = cut_lineage(candidate_stars(met, _labels(links, stars), num, den))
     done = central.select("a", "b").unionByName(central.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -558,9 +572,10 @@ def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, te
         .where(F.col("ra").isNotNull() | F.col("rb").isNotNull())
         .select("a", "b", gap.alias("gap"))
     )
-    open_pairs = cut_lineage(_apart(open_pairs, _labels(links, stars)))
+    open_pairs = cut_lineage(open_pairs)
     if not open_pairs.limit(1).count():
         return links
+    open_pairs = cut_lineage(_apart(open_pairs, _labels(links, stars)))
     inside = stars.where("several AND doc_id <> star").select("star", F.col("doc_id").alias("member"), "distance")
 
     # Leader of one star with the members of the other; the leader waits.

@@ -10,8 +10,10 @@ ranks within a length; pieces join it by their rank.
 A piece gets its rank from a salted numbering: rows of one length are spread
 over salts, so a length that a third of all pieces have is never numbered in one
 task. A null text is an empty text and holds only the closing id. Repeated
-documents are packed as often as they appear; no documents give no sequences.
-Sequences are padded to ``size`` unless their length is a power of two.
+documents are packed as often as they appear; no documents give no sequences. A
+very long text is cut into as many pieces as it needs. Other columns of the
+input, whatever their names, are not read. Sequences are padded to ``size``
+unless their length is a power of two.
 """
 
 from __future__ import annotations

@@ -10,8 +10,11 @@ shards by id; each shard runs follow-the-regularised-leader updates over its
 rows in id order, and the shards' weights are averaged.
 
 A null or empty text has no features and gets the score of the bias. Equal texts
-get equal scores. Without any label every score is 0.5. Columns of the input are
-kept; a clash with ``score`` or ``predicted`` is an error.
+get equal scores, and repeated rows are scored one by one; a label that occurs
+twice counts once (see ``labelled``), but each row of its id is an example. Very
+long texts are read whole. Without any label every score is 0.5, and an empty
+table gives no rows. Columns of the input are kept; a clash with ``score`` or
+``predicted`` is an error.
 """
 
 from __future__ import annotations

@@ -15,8 +15,10 @@ missing signatures rule it out.
 
 A null text is an empty text; texts without words have the empty fingerprint.
 Equal fingerprints have likeness 1 (two empty ones too), an empty and a non-empty
-one 0. Rows that share an id are taken in the order of their text. With a single
-row the next document is the row itself.
+one 0. Rows that share an id are taken in the order of their text, and repeated
+rows follow each other. With a single row the next document is the row itself.
+Very long texts are read whole, an empty table gives no rows, and other columns
+of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ from tablework.llm import words as W
 
 CHAIN = 3
 GAP = 8
-#: Rows that one range bucket of ids holds, about, and buckets per task.
-BUCKET_ROWS, TASK_BUCKETS = 1_000, 4
+#: Rows that one range bucket of ids holds at most, about (Spark sorts it and may spill);
+#: buckets per core while they are smaller, and rows that make a bucket worth its task.
+BUCKET_ROWS, TASKS_PER_CORE, LEAST_ROWS = 200_000, 12, 500
 
 # Common words of English, French, German and Spanish.
 ANCHORS = frozenset(
@@ -206,13 +209,16 @@ def in_id_order(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Rows in range buckets of ``doc_id``, sorted, each bucket with the first row of the next one.
 
     Columns: bucket, guest (the row belongs to the next bucket), doc_id, text.
-    Bucket borders are quantiles of the ids, so that no task sees all rows; the
-    last bucket gets the very first row. Null ids come last.
+    Bucket borders are quantiles of the ids, about one bucket per task and none
+    of much more than ``bucket_rows`` rows, so that no task sees all rows and
+    the driver holds a border and a head per task. The last bucket gets the
+    very first row. Null ids come last.
     """
     ids = docs.select(F.col("doc_id").cast("double").alias("__place"))
     rows = docs.count()
-    parts = max(1, -(-rows // bucket_rows))
-    cuts = ids.na.drop().approxQuantile("__place", [i / parts for i in range(1, parts)], 1 / (20 * parts)) if parts > 1 else []
+    tasks = TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-rows // bucket_rows), min(tasks, rows // LEAST_ROWS))
+    cuts = ids.na.drop().approxQuantile("__place", [i / parts for i in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
     placed = docs.withColumn("__place", F.col("doc_id").cast("double"))
     if cuts:
         splits = [-math.inf, *sorted(set(cuts)), math.inf]
@@ -241,7 +247,7 @@ def in_id_order(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     own = placed.select(F.col("__bucket").alias("bucket"), F.lit(False).alias("guest"), "doc_id", "text")
     return (
         own.unionByName(visiting)
-        .repartition(-(-len(heads) // TASK_BUCKETS), "bucket")
+        .repartition(len(heads), "bucket")
         .sortWithinPartitions("bucket", "guest", F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
     )
 

@@ -55,6 +55,8 @@ LEAST_EXAMPLES = 2
 ASSOCIATION = 16.0
 #: Weight of a term: (1 + log count) times idf to this power.
 IDF_POWER = 1
+#: Bytes of text that a task works on at once.
+SLICE_BYTES = 2 << 20
 BLOCK, NEIGHBOURS = 32, 15
 THRESHOLD = 0.7
 EVIDENCE = 3
@@ -156,7 +158,7 @@ def _distinct_words(rows: DataFrame) -> DataFrame:
     """One row per document and distinct word, with the document's label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             offsets, codes, tokens = W.word_codes(piece.column("text"))
             plain = pd.Series([W.bare(t) for t in tokens.to_pandas().tolist()], dtype=object)
             number, names = pd.factorize(plain)
@@ -202,7 +204,7 @@ def corpus_counts(docs: DataFrame, terms: list[str], text: str = "text") -> tupl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(shared.value)
         counts, rows = np.zeros(len(shared.value) + 1, np.int64), 0
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             _, term, _ = known.vectors(piece.column("text"))
             counts[:-1] += np.bincount(term, minlength=len(counts) - 1)
             rows += piece.num_rows
@@ -237,7 +239,7 @@ def build_index(docs: DataFrame, labels: DataFrame, text: str = "text", rows: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(shared.value)
-        for piece in W.slices(batches):
+        for piece in W.slices(batches, "text", SLICE_BYTES):
             offsets, term, count = known.vectors(piece.column("text"))
             cut = pa.array(offsets.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -272,7 +274,7 @@ def votes(docs: DataFrame, index: BlockIndex, text: str = "text", k: int = NEIGH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        for piece in W.slices(batches, text):
+        for piece in W.slices(batches, text, SLICE_BYTES):
             offsets, term, count = held.terms.vectors(W.texts_of(piece, text))
             vote, evidence = [], []
             known: dict[bytes, tuple[float, list[int]]] = {}

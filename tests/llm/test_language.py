@@ -14,8 +14,11 @@ SF = "/root/testdata/sf0.01"
 def plain_shares(weights, text):
     """One text, byte after byte, stretch after stretch."""
 
-    def logistic(x):
-        return 1 / (1 + np.exp(-x))
+    def bounded(x):
+        return x / (1 + np.abs(x))
+
+    def gate(x):
+        return (1 + bounded(x)) / 2
 
     data = text.encode()
     total, many = np.zeros(len(weights["bias"])), 0
@@ -29,9 +32,9 @@ def plain_shares(weights, text):
             order = range(len(stretch)) if side == "ahead" else reversed(range(len(stretch)))
             for t in order:
                 x = weights[f"{side}_input"][stretch[t]].astype(float)
-                keep = logistic(x[:units] + h @ u[:, :units])
-                reset = logistic(x[units : 2 * units] + h @ u[:, units : 2 * units])
-                new = np.tanh(x[2 * units :] + reset * (h @ u[:, 2 * units :] + weights[f"{side}_candidate"]))
+                keep = gate(x[:units] + h @ u[:, :units])
+                reset = gate(x[units : 2 * units] + h @ u[:, units : 2 * units])
+                new = bounded(x[2 * units :] + reset * (h @ u[:, 2 * units :] + weights[f"{side}_candidate"]))
                 h = (1 - keep) * new + keep * h
                 logits[t] = logits[t] + h @ weights[f"{side}_output"]
         for byte, row in zip(stretch, logits, strict=True):

@@ -134,3 +134,96 @@ def test_index_travels_sparse():
     assert len(sent) < index.most.nbytes + index.rows.nbytes
     for a, b in zip(index.nearest(*vectors[5], 10), pickle.loads(sent).nearest(*vectors[5], 10), strict=True):
         assert a.tolist() == b.tolist()
+
+
+def plain_ftrl(vectors, labels, epochs):
+    """One coordinate at a time, weights kept in dictionaries."""
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * quality.L1) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2)
+
+    for _ in range(epochs):
+        for (at, value), label in zip(vectors, labels, strict=True):
+            w = {i: weight(i) for i in at.tolist()}
+            dot = sum(w[i] * v for i, v in zip(at.tolist(), value.tolist(), strict=True))
+            p = 1 / (1 + np.exp(-min(30, max(-30, dot))))
+            for i, v in zip(at.tolist(), value.tolist(), strict=True):
+                g = (p - label) * v
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / quality.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_equals_a_plain_version(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").orderBy("doc_id").collect()
+    vectors = []
+    for row in rows:
+        _, found = quality.features(pa.array([row.text or ""], pa.string()))
+        index, count = np.unique(found, return_counts=True)
+        vectors.append((np.append(index, quality.DIMENSIONS), np.append(count / np.sqrt(max(1, len(found))), 1.0)))
+    labels = np.array([row.doc_id % 3 == 0 for row in rows], int)
+    weights = quality.ftrl(vectors, labels, 2)
+    plain = plain_ftrl(vectors, labels.tolist(), 2)
+    assert np.allclose([weights[i] for i in plain], list(plain.values()), atol=1e-9)
+    assert set(np.flatnonzero(weights)) <= set(plain)
+
+
+def test_scores_are_sparse_dot_products(spark):
+    rng = np.random.default_rng(3)
+    weights = rng.normal(0, 1, quality.DIMENSIONS + 1).astype(np.float32)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40").select("doc_id", "text")
+    for row in quality.score(docs, weights).collect():
+        _, found = quality.features(pa.array([row.text or ""], pa.string()))
+        dot = sum(float(weights[i]) for i in found.tolist()) / max(1, len(found)) ** 0.5 + float(weights[-1])
+        assert abs(row.score - 1 / (1 + np.exp(-dot))) < 2e-6
+
+
+def test_toxicity_equals_a_plain_version(spark):
+    """The whole query again: plain terms, dense cosines, all examples looked at."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = labelled.training_labels(labels, "toxic", 1, 3)
+    rows = known.where("label = 1").count()
+    index = toxicity.build_index(docs, known, rows=rows)
+    bags = {r.doc_id: Counter(filter(None, map(W.bare, (r.text or "").split()))) for r in docs.collect()}
+    frequency = Counter(w for bag in bags.values() for w in bag)
+    chosen = labelled.sample(known.where("label = 1"), rows, 3).unionByName(
+        labelled.sample(known.where("label = 0"), rows * toxicity.CLEAN_PER_TOXIC, 3)
+    )
+    examples = {r.doc_id: r.label for r in chosen.collect()}
+    total = {y: sum(1 for v in examples.values() if v == y) for y in (0, 1)}
+    seen = {y: Counter(w for i, v in examples.items() if v == y for w in bags[i]) for y in (0, 1)}
+
+    def ratio(word):
+        a, b = seen[1][word], seen[0][word]
+        share = (a + b) / (total[0] + total[1])
+        parts = [(a, total[1] * share), (b, total[0] * share), (total[1] - a, total[1] * (1 - share)), (total[0] - b, total[0] * (1 - share))]
+        return 2 * sum(o * np.log(o / e) for o, e in parts if o)
+
+    terms = {w for w in {*seen[0], *seen[1]} if seen[0][w] + seen[1][w] >= 2 and ratio(w) >= toxicity.ASSOCIATION}
+    assert terms == set(index.terms.number) and terms
+    idf = {w: np.log(1 + len(bags) / frequency[w]) ** toxicity.IDF_POWER for w in terms}
+
+    def vector(bag):
+        weights = {w: (1 + np.log(n)) * idf[w] for w, n in bag.items() if w in terms}
+        norm = sum(v * v for v in weights.values()) ** 0.5
+        return {w: v / norm for w, v in weights.items()}
+
+    held = {i: vector(bags[i]) for i in examples}
+    for row in toxicity.votes(docs, index).collect():
+        q = vector(bags[row.doc_id])
+        sims = sorted(((sum(v * held[i].get(w, 0) for w, v in q.items()), i) for i in examples), reverse=True)
+        best = [(s, i) for s, i in sims if s > 1e-9]
+        if not best:
+            assert row.vote == -1
+            continue
+        kth = best[min(len(best), toxicity.NEIGHBOURS) - 1][0]
+        if sum(s >= kth - 1e-5 for s, _ in best) > toxicity.NEIGHBOURS:
+            continue  # ties go by the order of the index
+        best = best[: toxicity.NEIGHBOURS]
+        assert abs(row.vote - sum(s * examples[i] for s, i in best) / sum(s for s, _ in best)) < 1e-3

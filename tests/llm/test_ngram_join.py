@@ -134,3 +134,36 @@ def test_texts_stand_alone():
         one = ngram_join.shingles(pa.array([text]), 4)
         assert tokens[bounds[i] : bounds[i + 1]].tolist() == one[1].tolist() and sequence[i].tolist() == one[2][0].tolist()
     assert len(set(tokens[bounds[0] : bounds[1]]) & set(tokens[bounds[3] : bounds[4]])) == 1
+
+
+def counted_pairs(monkeypatch):
+    """How many pairs every comparison got."""
+    seen, compare = [], ngram_join.compare
+
+    def watched(pairs, *rest):
+        seen.append(pairs.count())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "compare", watched)
+    return seen
+
+
+def edited(copies, changes, seed, words=200):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(copies):
+        text = [f"b{i}" for i in range(words)]
+        for at in rng.sample(range(words), changes):
+            text[at] = f"e{c}x{at}"
+        rows.append((c, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("changes", [6, 1])
+def test_pairs_grow_with_a_family_not_with_its_square(spark, monkeypatch, changes):
+    """Copies that aren't linked make no pair, linked ones about one each."""
+    seen, copies = counted_pairs(monkeypatch), 300
+    docs = spark.createDataFrame(edited(copies, changes, copies), "doc_id long, text string")
+    found = {r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert len(found) == (copies if changes == 6 else 1)
+    assert sum(seen) <= 3 * copies

@@ -74,8 +74,9 @@ def test_packing_holds_every_document(stages):
 
 
 def test_run_and_odd_rows(spark, tmp_path):
-    kind = "doc_id long, text string, lang string, source string, n_chars long"
-    odd = [(1, None, "en", None, None), (1, None, "en", None, None), (2, "", None, "s", 0), (3, "plain words " * 30, "en", "s", 9)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, id long, score string, star int, `a.b` int"
+    more = (5, "x", 1, 2)
+    odd = [(1, None, "en", None, None, *more), (1, None, "en", None, None, *more), (2, "", None, "s", 0, *more), (3, "plain words " * 30, "en", "s", 9, *more)]
     labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
     for name, rows in (("odd", odd), ("empty", [])):
         root = str(tmp_path / name)
