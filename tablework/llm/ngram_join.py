@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm import words as W
-from tablework.runtime import cut_lineage
+from tablework.runtime import scratch_path
 
 #: Counters of the token frequency table, 4 MB, whatever the input.
 COUNTERS_LOG2 = 20
@@ -68,6 +68,17 @@ BROADCAST_IDS = 500_000
 _U = np.uint64
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read back.
+
+    A checkpoint would compute them twice and keep the constraints of the plan,
+    which pile up over the rounds of ``components``.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "ngrams")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # sets of one slice of texts
 
 
@@ -196,7 +207,7 @@ def compare(pairs: DataFrame, docs: DataFrame, k: int, text: str = "text") -> Da
     The set of a goes to where the set of b waits; b should be the id with more
     partners. A set with very many partners waits in several places.
     """
-    asked = cut_lineage(_asked(pairs))
+    asked = _stored(_asked(pairs))
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("goes")), F.lit(0)).alias("goes")).first()
     few = size["rows"] + size["goes"] <= BROADCAST_IDS
     wanted = _ids(docs, text).join(F.broadcast(asked) if few else asked, "doc_id")
@@ -277,9 +288,9 @@ def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, te
     # is a star of its own, and its links are found later.
     nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "rank", "b"))
     alike = met.where(F.col("shared") >= KEYS_ALIKE).withColumn("nth", nth).where("nth = 1")
-    proposed = cut_lineage(alike.select("a", "b", "rank"))
+    proposed = _stored(alike.select("a", "b", "rank"))
     linked = _linked(compare(proposed.select("a", "b"), docs, k, text), num, den)
-    links = cut_lineage(linked.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance")).join(proposed, ["a", "b"]))
+    links = _stored(linked.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance")).join(proposed, ["a", "b"]))
     # A leader leads only if it isn't linked to a leader of its own.
     led = links.select(F.col("a").alias("b")).distinct()
     direct = (
@@ -303,7 +314,7 @@ def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, te
     placed = placed.join(several, "star", "left").withColumns(
         {"members": F.coalesce("members", F.lit(1)), "lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")}
     )
-    return cut_lineage(placed.withColumn("several", F.col("members") > 1)), links.select("a", "b")
+    return _stored(placed.withColumn("several", F.col("members") > 1)), links.select("a", "b")
 
 
 def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
@@ -403,7 +414,7 @@ def shared_tokens(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int,
     of_token = Window.partitionBy("token")
     earliest = F.struct((F.col("lo") - F.col("left")).alias("at"), *[F.col(c) for c in ("star", "level", "left", "wanted", "lo")])
     met = tokens.withColumns({"stars": F.count(F.lit(1)).over(of_token), "centre": F.min(earliest).over(of_token)}).where("stars > 1")
-    return cut_lineage(met.select("token", "star", "level", "left", "wanted", "lo", "centre"))
+    return _stored(met.select("token", "star", "level", "left", "wanted", "lo", "centre"))
 
 
 def _early_enough(x: str, y: str, num: int, den: int) -> Column:
@@ -468,10 +479,10 @@ def components(links: DataFrame) -> DataFrame:
     Every round gives each id the smallest label around it and then the label of
     its label; rounds grow with the logarithm of the longest chain.
     """
-    edges = cut_lineage(
+    edges = _stored(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
     )
-    labels = cut_lineage(edges.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.col("doc_id")).alias("label")))
+    labels = _stored(edges.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.col("doc_id")).alias("label")))
     while True:
         around = (
             edges.join(labels.select(F.col("doc_id").alias("b"), "label"), "b")
@@ -485,7 +496,7 @@ def components(links: DataFrame) -> DataFrame:
         jumped = step.alias("s").join(
             step.select(F.col("doc_id").alias("of"), F.col("next").alias("far")).alias("t"), F.col("s.next") == F.col("t.of"), "left"
         )
-        moved = cut_lineage(jumped.select("doc_id", F.col("label").alias("old"), F.least("next", "far").alias("label")))
+        moved = _stored(jumped.select("doc_id", F.col("label").alias("old"), F.least("next", "far").alias("label")))
         changed = moved.where("old <> label").limit(1).count()
         labels = moved.select("doc_id", "label")
         if not changed:
@@ -536,7 +547,7 @@ def member_pairs(
         .join(members.select(F.col("member").alias("doc_id"), "star", "distance"), "doc_id")
         .select("star", "token", "doc_id", "distance", "n", (F.col("n") - F.col("place")).alias("left"))
     )
-    rows = cut_lineage(rows)
+    rows = _stored(rows)
     one, two = rows.alias("x"), rows.alias("y")
     met = apart.join(one, F.col("a") == F.col("x.star")).join(
         two,
@@ -553,12 +564,12 @@ def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, te
     far = 1 - num / den
     met = shared_tokens(docs, stars, k, num, den, text)
     # Many stars share a centre, so it is the one that waits.
-    central = cut_lineage(compare(cut_lineage(centre_pairs(met, num, den)), docs, k, text))
+    central = _stored(compare(_stored(centre_pairs(met, num, den)), docs, k, text))
     links = [_linked(central, num, den).select("a", "b")]
-    candidates = cut_lineage(candidate_stars(met, _labels(links, stars), num, den))
+    candidates = _stored(candidate_stars(met, _labels(links, stars), num, den))
     done = central.select("a", "b").unionByName(central.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = cut_lineage(candidates.join(done, ["a", "b"], "left_anti"))
-    measured = cut_lineage(compare(others, docs, k, text))
+    others = _stored(candidates.join(done, ["a", "b"], "left_anti"))
+    measured = _stored(compare(others, docs, k, text))
     links.append(_linked(measured, num, den).select("a", "b"))
 
     reach = stars.where("several").groupBy("star").agg(F.max("distance").alias("reach"))
@@ -572,35 +583,35 @@ def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, te
         .where(F.col("ra").isNotNull() | F.col("rb").isNotNull())
         .select("a", "b", gap.alias("gap"))
     )
-    open_pairs = cut_lineage(open_pairs)
+    open_pairs = _stored(open_pairs)
     if not open_pairs.limit(1).count():
         return links
-    open_pairs = cut_lineage(_apart(open_pairs, _labels(links, stars)))
+    open_pairs = _stored(_apart(open_pairs, _labels(links, stars)))
     inside = stars.where("several AND doc_id <> star").select("star", F.col("doc_id").alias("member"), "distance")
 
     # Leader of one star with the members of the other; the leader waits.
     to_b = open_pairs.join(inside.withColumnRenamed("star", "b"), "b").where(F.col("gap") - F.col("distance") <= far + 1e-9)
     to_a = open_pairs.join(inside.withColumnRenamed("star", "a"), "a").where(F.col("gap") - F.col("distance") <= far + 1e-9)
     near = to_b.select(F.col("member").alias("a"), F.col("a").alias("b")).unionByName(to_a.select(F.col("member").alias("a"), "b"))
-    links.append(cut_lineage(_linked(compare(cut_lineage(near.distinct()), docs, k, text), num, den).select("a", "b")))
+    links.append(_stored(_linked(compare(_stored(near.distinct()), docs, k, text), num, den).select("a", "b")))
 
     # Members with members, where the stars aren't connected by now.
-    apart = cut_lineage(_apart(open_pairs, _labels(links, stars)))
+    apart = _stored(_apart(open_pairs, _labels(links, stars)))
     if apart.limit(1).count():
-        last = cut_lineage(member_pairs(docs, apart, inside, k, num, den, text))
-        links.append(cut_lineage(_linked(compare(last, docs, k, text), num, den).select("a", "b")))
+        last = _stored(member_pairs(docs, apart, inside, k, num, den, text))
+        links.append(_stored(_linked(compare(last, docs, k, text), num, den).select("a", "b")))
     return links
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row: links have num/den similarity at least."""
-    known = cut_lineage(facts(docs, k, text))
+    known = _stored(facts(docs, k, text))
     groups = (
         known.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("one", "two")
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     )
-    groups = cut_lineage(groups)
+    groups = _stored(groups)
     # Rows that share an id but not their words are tied together by that id.
     classes = groups.groupBy(F.col("rep").alias("doc_id")).agg(
         F.max_by("n", "one").alias("n"), F.max_by("keys", "one").alias("keys"), F.sum("rows").alias("rows")
