@@ -27,13 +27,17 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+#: Before names of columns that only pass through; no operator adds or reads such a name.
+KEPT = "__kept_"
+
+
 def _plain(docs: DataFrame) -> DataFrame:
     """The document columns under names that no operator adds."""
-    return docs.select(*[F.col(c).alias(c if c in ("doc_id", "text") else f"doc_{c}") for c in docs.columns])
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else KEPT + c) for c in docs.columns])
 
 
 def _named(found: DataFrame, docs: DataFrame) -> DataFrame:
-    return found.select(*[F.col(c if c in ("doc_id", "text") else f"doc_{c}").alias(c) for c in docs.columns])
+    return found.select(*[F.col(f"`{c if c in ('doc_id', 'text') else KEPT + c}`").alias(c) for c in docs.columns])
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
