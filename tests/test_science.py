@@ -37,13 +37,14 @@ from tablework.sinks.tables import (
     create_namespace,
     create_orders_table,
     create_registry_table,
+    write_categories,
     write_manifest,
     write_node_table,
     write_nodes,
     write_snapshot,
 )
 from tablework.sources.files import LISTING, list_files, list_prefix, list_science_files
-from tablework.sources.tables import read_drifting
+from tablework.sources.tables import read_category, read_drifting, read_nodes
 
 NOW = "2024-05-01 12:00:00"
 
@@ -446,3 +447,65 @@ def test_manifest_file(spark):
     entry = json.loads(spark.read.text(path).first()[0])
     assert entry["path"] == "x_1_h5" and entry["args"] == {"filepath": "file:///a/x-1.h5"}
     assert entry["metadata"] == {"title": "", "instrument": "", "sample": "", "start_time": ""}
+
+
+def test_entry_metadata_gathers_named_fields_only(spark, monkeypatch):
+    """A large array below the instrument is never gathered to one row."""
+    from tablework.operators import catalog
+
+    rows = [g("entry"), g("entry/instrument", "NXinstrument"), d("entry/instrument/name", ["SNAP"]), g("entry/instrument/bank1")]
+    rows += [d("entry/instrument/bank1/counts", list(range(1_000)), 3_000, at) for at in (0, 1_000, 2_000)]
+    rows += [d("entry/instrument/bank1/name", ["bank"]), g("entry/sample"), d("entry/sample/field", list(range(500)))]
+    table = nodes(spark, rows)
+    gathered = []
+
+    def whole(found):
+        gathered.append(found)
+        return nexus.whole(found)
+
+    monkeypatch.setattr(catalog, "whole", whole)
+    row = entry_metadata(table).first()
+    assert (row["instrument_name"], row["instrument_type"], row["sample_name"]) == ("SNAP", "NXinstrument", "")
+    assert {r["name"] for r in gathered[0].collect()} == {"entry", "instrument", "name", "bank1", "sample"}
+
+
+def test_category_tables_scan_the_nodes_three_times(spark, plan):
+    path = scratch_path(spark, "nodes")
+    rows = [g("entry"), g("entry/sample"), d("entry/sample/name", ["s"]), g("entry/user1"), d("entry/user1/role", ["r", "q"])]
+    rows += [g("entry/DASlogs"), g("entry/DASlogs/temp"), d("entry/DASlogs/temp/time", [0.0, 1.0]), d("entry/DASlogs/temp/value", [5, 6])]
+    rows += [g("entry/bank1_events"), d("entry/bank1_events/event_id", [1, 2, 3]), d("entry/bank1_events/event_time_offset", [0.5, 1.5, 2.5])]
+    rows += [d("entry/title", ["t"]), g("entry/empty_events"), d("entry/empty_events/event_id", [])]
+    write_nodes(nodes(spark, rows), path)
+    stored = read_nodes(spark, path)
+    small = nexus.small_nodes(stored)
+    assert plan(small, "simple").count("FileScan parquet") == 1
+    kept = {r["node_path"]: r for r in small.collect()}
+    assert kept["entry/bank1_events/event_id"]["int_values"] is None and kept["entry/bank1_events/event_id"]["size"] == 3
+    assert plan(nexus.log_heads(stored), "simple").count("FileScan parquet") == 1
+    held = scratch_path(spark, "small")
+    small.write.parquet(held)
+    heads = nexus.log_heads(spark.read.schema(small.schema).parquet(held))
+    assert plan(nexus.daslog_rows(stored, heads=heads), "formatted").count(f"[file:{path}]") == 1
+    root = scratch_path(spark, "categories")
+    counts = write_categories(stored, root, now=NOW)
+    assert counts == {"sample": 1, "users": 1, "metadata": 1, "daslogs": 2, "events": 3, "event_summary": 2}
+    for name, n in counts.items():
+        assert read_category(spark, root, name).count() == n
+    users = read_category(spark, root, "users").first()
+    assert (users["base_name"], users["group"], users["field"], users["value"]) == ("f", "user1", "role", "[r, q]")
+
+
+def test_typed_log_values_keep_their_type(spark):
+    rows = [g("entry"), g("entry/DASlogs")]
+    for log, values in (("whole", [1, 2**60]), ("number", [0.5, 1e16]), ("word", ["on", "7"])):
+        rows += [g(f"entry/DASlogs/{log}"), d(f"entry/DASlogs/{log}/time", [0.0, 1.0]), d(f"entry/DASlogs/{log}/value", values)]
+    rows += [g("entry/DASlogs/pulse"), d("entry/DASlogs/pulse/veto_pulse_time", [3.0]), g("entry/DASlogs/bare")]
+    found = nexus.daslog_rows(nodes(spark, rows), typed=True)
+    read = lambda kind: F.try_variant_get("typed", "$", kind)
+    seen = found.select("log_name", "point_idx", F.schema_of_variant("typed").alias("kind"), read("bigint").alias("i"), read("double").alias("x"), read("string").alias("s"))
+    by_log = {(r.log_name, r.point_idx): r for r in seen.collect()}
+    assert [by_log["whole", 1].kind, by_log["whole", 1].i] == ["BIGINT", 2**60]
+    assert [by_log["number", 1].kind, by_log["number", 1].x] == ["DOUBLE", 1e16]
+    assert [by_log["word", 1].kind, by_log["word", 1].s] == ["STRING", "7"]
+    assert by_log["pulse", 0].x == 1.0 and by_log["bare", None].kind is None
+    assert "typed" not in nexus.daslog_rows(nodes(spark, rows)).columns
