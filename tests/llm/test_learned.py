@@ -115,15 +115,21 @@ def test_corpus_counts_cover_all_rows(spark):
     assert counts.tolist() == [plain["idiot"], plain["the"], 0] and total == 1000
 
 
-def test_index_holds_every_shared_term_at_any_size(spark):
-    # A term of two examples stays however many examples there are, and so does one of all documents.
-    for n in (20, 600):
-        rows = [(i, "the " + ("Pair! " if i < 2 else "once " if i == 2 else "") + f"w{i // 2}") for i in range(n)]
+def test_index_holds_telling_terms_at_any_size(spark):
+    # A word that toxic examples have and clean ones lack stays however many examples there are, and so
+    # does its opposite; words of all documents, of a single one, or of both labels alike tell nothing.
+    for n in (80, 600):
+        rows = []
+        for i in range(n):
+            toxic = i % 2
+            words = ["the", f"w{i}", f"pair{i // 2}"]
+            words += ["Bad!"] if toxic and i % 5 < 3 else []
+            words += ["calm"] if not toxic and i % 5 < 3 else []
+            rows.append((i, " ".join(words)))
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, label int")
         index = toxicity.build_index(docs, labels)
-        assert set(index.terms.number) == {"the", "pair", *(f"w{i}" for i in range(n // 2))}
-        assert index.idf[index.terms.number["the"]] == index.idf.min()
+        assert set(index.terms.number) == {"bad", "calm"}
 
 
 def test_index_travels_sparse():
