@@ -13,9 +13,10 @@
 4. Every star is first compared with the centre of its tokens: of the stars that
    share a token the one in which it comes earliest. Links contract stars to
    components, so a family of linked copies costs a comparison per member.
-5. Stars of different components that share as many prefix tokens as both ask
-   for, each early enough that what is left of both sets can still make up the
-   needed overlap, are compared leader with leader, exactly.
+5. Stars of different components meet at tokens that can be the first one they
+   share: what is left of both sets from there can still make up the needed
+   overlap. Those that share as many prefix tokens as both ask for are compared
+   leader with leader, exactly.
 6. Jaccard distance is a metric, so the leaders' distance tells which stars can
    hold a linked pair at all; what remains is compared leader with members, then
    members that share a prefix token, while the two stars aren't connected.
@@ -417,21 +418,15 @@ def shared_tokens(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int,
     return _stored(met.select("token", "star", "level", "left", "wanted", "lo", "centre"))
 
 
-def _early_enough(x: str, y: str, num: int, den: int) -> Column:
-    """Whether a shared token can be one of the first ``wanted`` that similar stars share."""
-    wanted = F.least(f"{x}.wanted", f"{y}.wanted")
-    left = F.least(f"{x}.left", f"{y}.left")
-    sizes = F.col(f"{x}.lo") + F.col(f"{y}.lo")
-    return (F.greatest(f"{x}.level", f"{y}.level") <= wanted) & _enough_left(left, wanted, sizes, num, den)
+def _first_shared(x: str, y: str, num: int, den: int) -> Column:
+    """Whether a token can be the first one that two similar stars share.
 
-
-def _enough_left(left: Column, wanted: Column, sizes: Column, num: int, den: int) -> Column:
-    """Whether sets with ``left`` tokens from the m-th shared one on can still be similar.
-
-    Similar sets share num / (num + den) of the sum of their sizes at least; the
-    first m shared tokens leave that much, but for those before them.
+    It lies in the plain prefixes, and what is left of both sets from it on
+    makes up the overlap: num / (num + den) of the sum of their sizes at least.
     """
-    return (left.cast("long") + wanted - 1) * (num + den) >= sizes.cast("long") * num
+    left = F.least(f"{x}.left", f"{y}.left").cast("long")
+    sizes = (F.col(f"{x}.lo") + F.col(f"{y}.lo")).cast("long")
+    return (F.greatest(f"{x}.level", f"{y}.level") == 1) & (left * (num + den) >= sizes * num)
 
 
 def centre_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
@@ -442,7 +437,7 @@ def centre_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
     """
     rows = met.select(F.struct("star", "level", "left", "wanted", "lo").alias("x"), F.col("centre").alias("y"))
     shared = (
-        rows.where((F.col("x.star") != F.col("y.star")) & _early_enough("x", "y", num, den))
+        rows.where((F.col("x.star") != F.col("y.star")) & _first_shared("x", "y", num, den))
         .groupBy(F.col("x.star").alias("a"), F.col("y.star").alias("b"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -453,21 +448,32 @@ def centre_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
 def candidate_stars(met: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of stars of different components that share enough prefix tokens early enough.
 
-    ``labels`` has doc_id and label of the stars that are linked to others.
+    Stars meet at a token that can be the first one they share; then the tokens
+    that their lengthened prefixes share are counted. ``labels`` has doc_id and
+    label of the stars that are linked to others.
     """
     named = met.join(labels.select(F.col("doc_id").alias("star"), "label"), "star", "left")
-    rows = named.withColumn("label", F.coalesce("label", "star")).select("token", "star", "level", "left", "wanted", "lo", "label")
-    pairs = rows.alias("x").join(
-        rows.alias("y"),
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.star") < F.col("y.star"))
-        & (F.col("x.label") != F.col("y.label"))
-        & _early_enough("x", "y", num, den),
-    )
-    found = pairs.groupBy(F.col("x.star").alias("a"), F.col("y.star").alias("b")).agg(
-        F.count(F.lit(1)).alias("met"), F.min(F.least("x.wanted", "y.wanted")).alias("wanted")
+    early = named.where("level = 1").select("token", "star", "level", "left", "lo", F.coalesce("label", "star").alias("label"))
+    found = (
+        early.alias("x")
+        .join(
+            early.alias("y"),
+            (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.star") < F.col("y.star"))
+            & (F.col("x.label") != F.col("y.label"))
+            & _first_shared("x", "y", num, den),
+        )
+        .select(F.col("x.star").alias("a"), F.col("y.star").alias("b"))
+        .distinct()
     )
-    return found.where("met >= wanted").select("a", "b")
+    # As many rows as a prefix has tokens meet here.
+    lists = met.groupBy("star").agg(F.collect_list(F.struct("token", "level")).alias("tokens"), F.min("wanted").alias("wanted"))
+    one, two = (lists.select(*[F.col(c).alias(f"{c}_{side}") for c in lists.columns]) for side in ("a", "b"))
+    both = found.join(one, F.col("a") == F.col("star_a")).join(two, F.col("b") == F.col("star_b"))
+    wanted = F.least("wanted_a", "wanted_b")
+    within = lambda c: F.transform(F.filter(c, lambda t: t["level"] <= wanted), lambda t: t["token"])
+    shared = F.size(F.array_intersect(within("tokens_a"), within("tokens_b")))
+    return both.where(shared >= wanted).select("a", "b")
 
 
 # links and components
@@ -554,7 +560,7 @@ def member_pairs(
         (F.col("b") == F.col("y.star"))
         & (F.col("x.token") == F.col("y.token"))
         & (F.col("gap") - F.col("x.distance") - F.col("y.distance") <= far + 1e-9)
-        & _enough_left(F.least("x.left", "y.left"), F.lit(1), F.col("x.n") + F.col("y.n"), num, den),
+        & (F.least("x.left", "y.left") * (num + den) >= (F.col("x.n") + F.col("y.n")) * num),
     )
     return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
 
