@@ -30,6 +30,8 @@ METRICS = ("cosine", "l2", "ip")
 SMALL_FLOATS = 8_000_000
 #: Vectors and queries that meet in one task when the batch is larger.
 BLOCK_ROWS = 20_000
+#: Hits that a task holds before it cuts them to the best of each query; ties can be many.
+HELD_HITS = 2_000_000
 
 _HIT = "query_id bigint, id bigint, score double"
 
@@ -255,31 +257,59 @@ def _closeness(vectors: np.ndarray, queries: np.ndarray, metric: str, decimals:
     return np.round(score, decimals)
 
 
+def _within(vectors: np.ndarray, queries: np.ndarray, floor: np.ndarray, decimals: int) -> tuple[np.ndarray, ...]:
+    """Rows, queries and rounded negative distances of the pairs with a score of at least ``floor``.
+
+    Expanded squares with their rounding error taken off drop pairs that are too
+    far; the distance of the others comes from differences.
+    """
+    of_rows, of_queries = (np.einsum("ij,ij->i", m, m) for m in (vectors, queries))
+    reach = np.maximum(-floor, 0) + 10.0**-decimals
+    error = 1e-15 * (8 + vectors.shape[1]) * (of_rows.max(initial=0) + of_queries)
+    least = of_rows[:, None] + of_queries - 2 * (vectors @ queries.T)
+    row, query = np.nonzero(least <= reach * reach * (1 + 1e-12) + 4 * error)
+    parts = [
+        np.linalg.norm(vectors[row[at : at + 100_000]] - queries[query[at : at + 100_000]], axis=1)
+        for at in range(0, len(row), 100_000)
+    ]
+    score = -np.round(np.concatenate([np.empty(0), *parts]), decimals)
+    good = score >= floor[query]
+    return row[good], query[good], score[good]
+
+
 class _Best:
     """The best k rows per query seen so far in one task."""
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str, decimals: int):
+    def __init__(self, queries: np.ndarray, k: int, metric: str, decimals: int, floor: np.ndarray | None = None):
+        """``floor`` has scores that hits must reach, NaN where there is no such score."""
         self.queries, self.k, self.metric, self.decimals = queries, k, metric, decimals
-        self.floor = np.full(len(queries), -np.inf)
+        self.floor = np.full(len(queries), -np.inf) if floor is None else np.where(np.isnan(floor), -np.inf, floor)
         self.query = np.empty(0, np.int64)
         self.id = np.empty(0, np.int64)
         self.score = np.empty(0)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray, allowed: np.ndarray | None) -> None:
-        """Score a batch; ``allowed`` masks the (vector, query) pairs to consider."""
+    def add(self, ids: np.ndarray, vectors: np.ndarray, allowed: np.ndarray | None, only: np.ndarray | None = None) -> None:
+        """Score a batch; ``allowed`` masks the (vector, query) pairs, ``only`` has the numbers of the queries to consider."""
         step = max(1, 4_000_000 // max(1, len(ids)))
-        for start in range(0, len(self.queries), step):
-            part = slice(start, start + step)
-            score = _closeness(vectors, self.queries[part], self.metric, self.decimals)
-            if allowed is not None:
-                score[~allowed[:, part]] = -np.inf
-            if len(ids) > self.k:
-                kth = np.partition(score, len(ids) - self.k, axis=0)[len(ids) - self.k]
-                self.floor[part] = np.maximum(self.floor[part], kth)
-            row, query = np.nonzero((score >= self.floor[part]) & np.isfinite(score))
-            self.query = np.concatenate([self.query, query + start])
+        for start in range(0, len(self.queries) if only is None else len(only), step):
+            part = slice(start, start + step) if only is None else only[start : start + step]
+            bounded = np.isfinite(self.floor[part]).all()
+            if bounded and allowed is None and self.metric == "l2":
+                row, query, score = _within(vectors, self.queries[part], self.floor[part], self.decimals)
+            else:
+                scores = _closeness(vectors, self.queries[part], self.metric, self.decimals)
+                if allowed is not None:
+                    scores[~allowed[:, part]] = -np.inf
+                if len(ids) > self.k and not bounded:
+                    kth = np.partition(scores, len(ids) - self.k, axis=0)[len(ids) - self.k]
+                    self.floor[part] = np.maximum(self.floor[part], kth)
+                row, query = np.nonzero((scores >= self.floor[part]) & np.isfinite(scores))
+                score = scores[row, query]
+            self.query = np.concatenate([self.query, query + start if only is None else part[query]])
             self.id = np.concatenate([self.id, ids[row]])
-            self.score = np.concatenate([self.score, score[row, query]])
+            self.score = np.concatenate([self.score, score])
+            if len(self.query) > HELD_HITS + self.k * len(self.queries):
+                self._cut()
         self._cut()
 
     def _cut(self) -> None:

@@ -75,6 +75,43 @@ def test_search_after_inserts(spark):
 # --- nearest join
 
 
+def test_queries_that_keep_all_rings_travel_once_per_block(spark):
+    # In 64 dimensions the triangle inequality drops nothing; a query row per ring would be 8 * 6 of them.
+    random = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, "k", random.normal(size=64).tolist()) for i in range(400)], VECTOR)
+    asked = rows.select(F.col("id").alias("query_id"), "vector")
+    pivots = random.normal(size=(6, 64))
+    placed, rings = nearest.in_rings(rows, pivots, "l2", "id", "vector")
+    bounded = asked.withColumn("kth", F.lit(None).cast("double"))
+    for block_rows in (100, 15, 1_000):
+        first, split = rings.blocks(block_rows)
+        blocks = int((first + split).max())
+        probes = nearest._other_rings(bounded, pivots, rings, 5, "l2", 6, block_rows)
+        assert probes.groupBy("query_id").count().agg(F.max("count")).first()[0] <= blocks
+        assert blocks <= 400 / block_rows * 2 + 1
+    for metric in ("cosine", "l2"):
+        plain = ordered(search(rows, Queries.of(asked, "query_id", "vector"), 5, metric))
+        for block_rows in (15, 100, 8_000):
+            found = nearest.nearest_join(rows, asked, pivots, 5, metric, block_rows=block_rows)
+            assert ordered(found.hits) == plain
+            assert found.pairs_visited() <= 400 * 400
+
+
+def test_ties_are_cut_while_they_are_found(monkeypatch):
+    from tablework.operators import similarity
+
+    monkeypatch.setattr(similarity, "HELD_HITS", 100)
+    most = []
+    cut = similarity._Best._cut
+    monkeypatch.setattr(similarity._Best, "_cut", lambda self: (most.append(len(self.query)), cut(self)))
+    for metric in ("cosine", "l2"):
+        best = similarity._Best(np.ones((2_500, 2)), 5, metric, 6)
+        for start in range(0, 4_000, 2_000):
+            best.add(np.arange(start, start + 2_000), np.ones((2_000, 2)), None)
+        assert sorted(set(best.id.tolist())) == [0, 1, 2, 3, 4]
+    assert max(most) <= 4_000_000 + 100 + 5 * 2_500
+
+
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
 def test_nearest_join_is_exact_and_skips_pairs(spark, metric):
     rows = vectors(spark, 600, groups=20)
