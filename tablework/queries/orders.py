@@ -213,7 +213,8 @@ def orders_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_as_of_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same read by validity intervals: a range filter over open and closed versions."""
     path = scratch_path(spark, "versions")
-    orders = landing(spark, sf_dir)
+    # Three batches are taken from it, so it is joined once.
+    orders = stage(spark, landing(spark, sf_dir))
     create_versions(spark, path, orders.schema, buckets=16)
     batches = [(orders, NOW), (changes(orders), LATER), (later_changes(orders), LATEST)]
     for number, (batch, time) in enumerate(batches, start=1):
