@@ -31,13 +31,18 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 KEPT = "__kept_"
 
 
+def _kept(docs: DataFrame) -> list[tuple[str, str]]:
+    """Each column with the name that it passes through under: no operator adds it, and a dot in the column's own doesn't matter."""
+    return [(c, c if c in ("doc_id", "text") else f"{KEPT}{i}") for i, c in enumerate(docs.columns)]
+
+
 def _plain(docs: DataFrame) -> DataFrame:
     """The document columns under names that no operator adds."""
-    return docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else KEPT + c) for c in docs.columns])
+    return docs.select(*[F.col(f"`{c}`").alias(kept) for c, kept in _kept(docs)])
 
 
 def _named(found: DataFrame, docs: DataFrame) -> DataFrame:
-    return found.select(*[F.col(f"`{c if c in ('doc_id', 'text') else KEPT + c}`").alias(c) for c in docs.columns])
+    return found.select(*[F.col(kept).alias(c) for c, kept in _kept(docs)])
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +60,11 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_first(docs, SHINGLE_WORDS, *SIMILARITY)
+    return _named(ngram_join.keep_first(_plain(docs), SHINGLE_WORDS, *SIMILARITY), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_documents(_plain(docs))
 
 
 STAGES = [
