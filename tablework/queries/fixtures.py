@@ -384,6 +384,8 @@ RUN_FILE = [
 ]
 #: Count arrays below the second entry; their sizes straddle the limit of 100.
 COUNT_ARRAYS = 40
+#: Run files that one task unfolds.
+RUNS_PER_TASK = 1_000
 
 
 def _count_array_size(number: str) -> str:
@@ -433,7 +435,10 @@ def run_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"array_repeat(s_suppkey, {size})", None, size, "int",
             )
         )
-    exploded = table(spark, sf_dir, "supplier").select(
+    # A small file is one task's, whatever its rows unfold to.
+    suppliers = table(spark, sf_dir, "supplier")
+    suppliers = suppliers.repartition(suppliers.count() // RUNS_PER_TASK + 1)
+    exploded = suppliers.select(
         run_file_path().alias("file_path"), F.explode(F.expr(f"array({', '.join(rows)})")).alias("n")
     )
     return _complete(exploded.where("n IS NOT NULL").select("file_path", "n.*", F.lit(0).alias("chunk_offset")))

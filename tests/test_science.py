@@ -145,6 +145,18 @@ def test_tables(spark):
     assert files_of_instrument(found, "x").count() == 1
 
 
+def test_run_files_unfold_in_tasks_of_bounded_size(spark, tmp_path):
+    from tablework.queries.fixtures import RUNS_PER_TASK, run_nodes
+
+    rows = spark.range(3 * RUNS_PER_TASK).selectExpr(
+        "id AS s_suppkey", "'name ' || id AS s_name", "CAST(id % 25 AS int) AS s_nationkey", "CAST(id AS double) AS s_acctbal"
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    files = run_nodes(spark, str(tmp_path)).where("kind = 'file'").groupBy(F.spark_partition_id()).count()
+    held = [r["count"] for r in files.collect()]
+    assert sum(held) == 3 * RUNS_PER_TASK and max(held) <= RUNS_PER_TASK
+
+
 def test_instrument_groups_keep_blank_and_missing_apart(spark):
     rows = [("/a", "", 1 << 20), ("/b", None, 2 << 20), ("/c", "x", 0), ("/d", "x", None)]
     df = spark.createDataFrame(rows, "file_path string, instrument_name string, file_size_bytes bigint")
