@@ -15,13 +15,18 @@
    components, so a family of linked copies costs a comparison per member.
 5. Stars of different components meet at tokens that can be the first one they
    share: what is left of both sets from there can still make up the needed
-   overlap. Those that share as many prefix tokens as both ask for are compared
-   leader with leader, exactly.
+   overlap, and their parity sketches don't differ too much. Those that share as
+   many prefix tokens as both ask for are compared leader with leader, exactly.
 6. Jaccard distance is a metric, so the leaders' distance tells which stars can
-   hold a linked pair at all; what remains is compared leader with members, then
-   members that share a prefix token, while the two stars aren't connected.
+   hold a linked pair at all; what remains and whose sketches allow it is compared
+   leader with members, then members that share a prefix token, while the two
+   stars aren't connected.
 7. Links are contracted to components: the smallest id reachable.
 
+A parity sketch has a bit per hash value of a token, flipped by every token with
+it. Two sets differ in at least as many tokens as their sketches in bits, so a
+sketch rules out pairs and never one that is linked, at any size of the table.
+
 A comparison ships the set of one document to its partner, not both to a third
 place. No candidate is dropped and no group is cut: hot tokens cost one row per
 star, and every linked pair of different texts ends in one component.
@@ -41,6 +46,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +59,8 @@ COUNTERS_LOG2 = 20
 SLICE_ROWS = 16
 #: Min-hash keys that propose leaders, and how many of them a document shares with its leader.
 KEYS, KEYS_ALIKE = 3, 2
+#: Numbers of 64 bits in a parity sketch, and the logarithm of how many.
+SKETCH, SKETCH_LOG2 = 8, 3
 #: Most shared prefix tokens asked for; one more for each doubling of the estimated cost from this on.
 LEVELS, COST_UNIT = 8, 16
 #: Partners of one set that meet it in one task, and sets that one row of requests names.
@@ -83,10 +91,21 @@ def _stored(df: DataFrame) -> DataFrame:
 # sets of one slice of texts
 
 
+def _sorted_sets(bounds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each run of ``values`` sorted and without repeats, and the new bounds."""
+    # Many short sorts of plain numbers are far cheaper than one of (owner, value).
+    for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        values[start:stop].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    return np.concatenate([[0], np.cumsum(new)])[bounds], values[new]
+
+
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Offsets per text into its sorted distinct shingle hashes, and a 128-bit hash of its words."""
     offsets, codes, tokens = W.word_codes(texts)
-    hashed = W.hashes(np.array([W.lower_ascii(t) for t in tokens.to_pandas().tolist()], dtype=object))
+    hashed = W.hashes(pc.ascii_lower(tokens).to_numpy(zero_copy_only=False))
     seq = hashed[codes] if len(codes) else np.empty(0, _U)
     owner = W.owners(offsets)
     place = np.arange(len(seq)) - offsets[owner]
@@ -101,14 +120,38 @@ def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     rolled = np.zeros(len(seq), _U)
     for step in range(k):
         rolled[: len(seq) - step] = rolled[: len(seq) - step] * W.MIX + seq[step:] if step < len(seq) else 0
-    full = place + k <= words[owner]
-    at, value = owner[full], W.scramble(rolled[full])
+    # A text of fewer than k words has one value, that of its whole sequence.
+    count = np.where(words >= k, words - k + 1, np.minimum(words, 1))
+    bounds = np.concatenate([[0], np.cumsum(count)])
+    value = W.scramble(rolled[W.spread(offsets[:-1], count)])
     short = np.flatnonzero((words > 0) & (words < k))
-    if len(short):
-        at = np.concatenate([at, short])
-        value = np.concatenate([value, W.scramble(sequence[short, 0] ^ W.MIX)])
-    at, value, _ = W.distinct_per_owner(at, value)
-    return np.searchsorted(at, np.arange(len(words) + 1)), value, sequence
+    value[bounds[short]] = W.scramble(sequence[short, 0] ^ W.MIX)
+    return *_sorted_sets(bounds, value), sequence
+
+
+def sketches(bounds: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """One row of ``SKETCH`` numbers per set: the parity of its tokens at every bit."""
+    sizes = np.diff(bounds)
+    found = np.zeros((len(sizes), SKETCH), _U)
+    if len(tokens):
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        place = (tokens >> _U(64 - SKETCH_LOG2)).astype(np.int64)
+        # The tokens of a set ascend, so those of one number lie together.
+        at = np.flatnonzero(np.diff(owner * SKETCH + place, prepend=-1))
+        flips = _U(1) << ((tokens >> _U(58 - SKETCH_LOG2)) & _U(63))
+        found[owner[at], place[at]] = np.bitwise_xor.reduceat(flips, at)
+    return found
+
+
+def _differ(x: Column, y: Column) -> Column:
+    """Tokens that two sets don't share, at least."""
+    bits = [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH)]
+    return reduce(Column.__add__, bits).cast("long")
+
+
+def _may_link(differ: Column, sizes: Column, num: int, den: int) -> Column:
+    """Whether sets of these sizes together can be linked if so many tokens are in one of them only."""
+    return differ * (num + den) <= sizes * (den - num)
 
 
 def least(n, num: int, den: int):
@@ -124,7 +167,7 @@ def _ids(docs: DataFrame, text: str) -> DataFrame:
 
 
 def facts(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
-    """doc_id, number of shingles, word-sequence hash and min-hash keys of every row."""
+    """doc_id, number of shingles, word-sequence hash, min-hash keys and sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.slices(batches, "text", SLICE_BYTES):
@@ -143,11 +186,14 @@ def facts(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
                     pa.array(sequence[:, 0].view(np.int64)),
                     pa.array(sequence[:, 1].view(np.int64)),
                     pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), KEYS).cast(pa.list_(pa.int64())),
+                    pa.FixedSizeListArray.from_arrays(pa.array(sketches(bounds, tokens).view(np.int64).ravel()), SKETCH).cast(
+                        pa.list_(pa.int64())
+                    ),
                 ],
-                names=["doc_id", "n", "one", "two", "keys"],
+                names=["doc_id", "n", "one", "two", "keys", "sketch"],
             )
 
-    return _ids(docs, text).mapInArrow(run, "doc_id long, n long, one long, two long, keys array<long>")
+    return _ids(docs, text).mapInArrow(run, "doc_id long, n long, one long, two long, keys array<long>, sketch array<long>")
 
 
 def frequencies(docs: DataFrame, k: int, text: str = "text") -> np.ndarray:
@@ -270,9 +316,10 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Stars, and the links that made them (a, b).
 
-    A star row has doc_id, n, star (the id of its leader), distance to the
-    leader, whether the star has several members, how many, and the smallest and
-    greatest of their sizes (lo, hi).
+    A star row has doc_id, n, sketch, star (the id of its leader), distance to the
+    leader, whether the star has several members, how many, the smallest and
+    greatest of their sizes (lo, hi) and the most tokens that one of them and the
+    leader don't share (spread).
     """
     sets = classes.where("n > 0")
     keyed = sets.select("doc_id", "rows", F.posexplode("keys").alias("j", "key"))
@@ -291,29 +338,35 @@ def stars_of(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int, te
     alike = met.where(F.col("shared") >= KEYS_ALIKE).withColumn("nth", nth).where("nth = 1")
     proposed = _stored(alike.select("a", "b", "rank"))
     linked = _linked(compare(proposed.select("a", "b"), docs, k, text), num, den)
-    links = _stored(linked.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance")).join(proposed, ["a", "b"]))
+    distance = (1 - F.col("shared") / F.col("union")).alias("distance")
+    links = _stored(linked.select("a", "b", distance, (F.col("union") - F.col("shared")).alias("differ")).join(proposed, ["a", "b"]))
     # A leader leads only if it isn't linked to a leader of its own.
     led = links.select(F.col("a").alias("b")).distinct()
     direct = (
         links.join(led, "b", "left_anti")
         .groupBy(F.col("a").alias("doc_id"))
-        .agg(F.min(F.struct("rank", "b", "distance")).alias("to"))
-        .select("doc_id", F.col("to.b").alias("star"), F.col("to.distance").alias("distance"))
+        .agg(F.min(F.struct("rank", "b", "distance", "differ")).alias("to"))
+        .select("doc_id", F.col("to.b").alias("star"), "to.distance", "to.differ")
     )
     heads = sets.select(F.col("doc_id").alias("star"), F.col("n").alias("head_n"))
     members = (
         direct.join(sets.select("doc_id", "n"), "doc_id")
         .groupBy("star")
-        .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), (F.count(F.lit(1)) + 1).alias("members"))
+        .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), (F.count(F.lit(1)) + 1).alias("members"), F.max("differ").alias("spread"))
     )
     several = members.join(heads, "star").select(
-        "star", F.least("lo", "head_n").alias("lo"), F.greatest("hi", "head_n").alias("hi"), "members"
+        "star", F.least("lo", "head_n").alias("lo"), F.greatest("hi", "head_n").alias("hi"), "members", "spread"
     )
-    placed = sets.select("doc_id", "n").join(direct, "doc_id", "left").select(
-        "doc_id", "n", F.coalesce("star", "doc_id").alias("star"), F.coalesce("distance", F.lit(0.0)).alias("distance")
+    placed = sets.select("doc_id", "n", "sketch").join(direct, "doc_id", "left").select(
+        "doc_id", "n", "sketch", F.coalesce("star", "doc_id").alias("star"), F.coalesce("distance", F.lit(0.0)).alias("distance")
     )
     placed = placed.join(several, "star", "left").withColumns(
-        {"members": F.coalesce("members", F.lit(1)), "lo": F.coalesce("lo", "n"), "hi": F.coalesce("hi", "n")}
+        {
+            "members": F.coalesce("members", F.lit(1)),
+            "lo": F.coalesce("lo", "n"),
+            "hi": F.coalesce("hi", "n"),
+            "spread": F.coalesce("spread", F.lit(0)),
+        }
     )
     return _stored(placed.withColumn("several", F.col("members") > 1)), links.select("a", "b")
 
@@ -339,8 +392,12 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, num: int, den: int, te
             owner = np.repeat(np.arange(len(sizes)), sizes)
             often = table[(tokens >> shift).astype(np.int64)]
             # Counters hold chance neighbours too: counts up to the usual one are alike.
-            rank = np.log2(np.maximum(often / usual, 1) + 0.5).astype(np.int64)
-            order = np.lexsort((tokens, rank, owner))
+            rank = np.log2(np.maximum(often / usual, 1) + 0.5).astype(np.uint8)
+            # The tokens of a set ascend already, and small numbers are sorted by counting.
+            order = np.concatenate(
+                [np.empty(0, np.int64)]
+                + [s + rank[s:e].argsort(kind="stable") for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            )
             tokens, often = tokens[order], often[order].astype(np.int64)
             plain = sizes - least(sizes, num, den) + 1
             place = np.arange(len(tokens)) - bounds[owner]
@@ -395,13 +452,15 @@ def token_rows(prefixed: DataFrame) -> DataFrame:
     return prefixed.mapInArrow(run, "token long, star long, level int, left int, wanted int, lo int")
 
 
-def shared_tokens(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
+def shared_tokens(
+    docs: DataFrame, stars: DataFrame, counts: np.ndarray, k: int, num: int, den: int, text: str = "text"
+) -> DataFrame:
     """The prefix tokens that several stars have: one row per star and token, with the centre of the token.
 
     The centre is the star in which the token comes earliest, so the one with
     the fewest rarer tokens; of equal ones the smallest id.
     """
-    prefixed = prefixes(docs, frequencies(docs, k, text), k, num, den, text).drop("n")
+    prefixed = prefixes(docs, counts, k, num, den, text).drop("n")
     placed = prefixed.join(stars.select("doc_id", "n", "star", "members", "lo"), "doc_id")
     # The members of a star need one number: its size estimates the cost, its smallest member the most allowed.
     allowed = F.greatest(F.ceil(F.col("lo") * num / den), F.lit(1))
@@ -445,15 +504,25 @@ def centre_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
     return shared.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select("a", "b")
 
 
-def candidate_stars(met: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+def shapes(stars: DataFrame) -> DataFrame:
+    """What the leader of each star (star, n, sketch) and its members (hi, spread, members) look like."""
+    return stars.where("doc_id = star").select("star", "n", "sketch", "hi", "spread", "members")
+
+
+def candidate_stars(met: DataFrame, labels: DataFrame, shape: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of stars of different components that share enough prefix tokens early enough.
 
-    Stars meet at a token that can be the first one they share; then the tokens
-    that their lengthened prefixes share are counted. ``labels`` has doc_id and
+    Stars meet at a token that can be the first one they share, if their sketches
+    allow a link; then the tokens that their lengthened prefixes share are counted. ``labels`` has doc_id and
     label of the stars that are linked to others.
     """
     named = met.join(labels.select(F.col("doc_id").alias("star"), "label"), "star", "left")
-    early = named.where("level = 1").select("token", "star", "level", "left", "lo", F.coalesce("label", "star").alias("label"))
+    early = (
+        named.where("level = 1")
+        .join(shape.select("star", "sketch", "hi", "spread"), "star")
+        .select("token", "star", "level", "left", "lo", F.coalesce("label", "star").alias("label"), "sketch", "hi", "spread")
+    )
+    differ = _differ(F.col("x.sketch"), F.col("y.sketch")) - F.col("x.spread") - F.col("y.spread")
     found = (
         early.alias("x")
         .join(
@@ -461,7 +530,8 @@ def candidate_stars(met: DataFrame, labels: DataFrame, num: int, den: int) -> Da
             (F.col("x.token") == F.col("y.token"))
             & (F.col("x.star") < F.col("y.star"))
             & (F.col("x.label") != F.col("y.label"))
-            & _first_shared("x", "y", num, den),
+            & _first_shared("x", "y", num, den)
+            & _may_link(differ, F.col("x.hi") + F.col("y.hi"), num, den),
         )
         .select(F.col("x.star").alias("a"), F.col("y.star").alias("b"))
         .distinct()
@@ -534,33 +604,56 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def member_pairs(
-    docs: DataFrame, apart: DataFrame, inside: DataFrame, k: int, num: int, den: int, text: str = "text"
+    docs: DataFrame,
+    apart: DataFrame,
+    inside: DataFrame,
+    shape: DataFrame,
+    counts: np.ndarray,
+    k: int,
+    num: int,
+    den: int,
+    text: str = "text",
 ) -> DataFrame:
     """Pairs of members (a, b) of stars that may still be linked: near enough and with a shared prefix token.
 
     ``apart`` has the stars a and b with the gap of their leaders, ``inside`` the
-    star, member, distance and n of all members.
+    star, member, distance, n and sketch of all members.
     """
     far = 1 - num / den
     asked = apart.select(F.explode(F.array("a", "b")).alias("star")).distinct()
     members = inside.join(asked, "star", "left_semi")
     ids = members.select(F.col("member").alias("doc_id"))
     kept = _ids(docs, text).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    # Any order common to all sets will do; here it is that of the hashes.
-    plain = prefixes(kept, np.zeros(1 << COUNTERS_LOG2, np.uint32), k, num, den)
+    plain = prefixes(kept, counts, k, num, den)
     rows = (
-        plain.select("doc_id", "n", F.posexplode(F.slice("tokens", F.lit(1), F.col("plain").cast("int"))).alias("place", "token"))
-        .join(members.select(F.col("member").alias("doc_id"), "star", "distance"), "doc_id")
-        .select("star", "token", "doc_id", "distance", "n", (F.col("n") - F.col("place")).alias("left"))
+        plain.select("doc_id", F.posexplode(F.slice("tokens", F.lit(1), F.col("plain").cast("int"))).alias("place", "token"))
+        .join(members.withColumnRenamed("member", "doc_id"), "doc_id")
+        .select("star", "token", "doc_id", "distance", "n", "sketch", (F.col("n") - F.col("place")).alias("left"))
     )
     rows = _stored(rows)
     one, two = rows.alias("x"), rows.alias("y")
-    met = apart.join(one, F.col("a") == F.col("x.star")).join(
+    # The star with fewer members goes to the other one, so a large star doesn't go to all around it.
+    members_of = lambda c: shape.select(F.col("star").alias(c), F.col("members").alias(f"members_{c}"))
+    sized = apart.join(members_of("a"), "a").join(members_of("b"), "b")
+    turned = F.col("members_a") > F.col("members_b")
+    ways = sized.select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("small"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("large"), "gap"
+    )
+    ways = ways.join(
+        shape.select(F.col("star").alias("large"), F.col("sketch").alias("led"), F.col("hi").alias("most"), "spread"), "large"
+    )
+    goes = ways.join(
+        one,
+        (F.col("small") == F.col("x.star"))
+        & _may_link(_differ(F.col("led"), F.col("x.sketch")) - F.col("spread"), F.col("most") + F.col("x.n"), num, den),
+    )
+    met = goes.join(
         two,
-        (F.col("b") == F.col("y.star"))
+        (F.col("large") == F.col("y.star"))
         & (F.col("x.token") == F.col("y.token"))
         & (F.col("gap") - F.col("x.distance") - F.col("y.distance") <= far + 1e-9)
-        & (F.least("x.left", "y.left") * (num + den) >= (F.col("x.n") + F.col("y.n")) * num),
+        & (F.least("x.left", "y.left") * (num + den) >= (F.col("x.n") + F.col("y.n")) * num)
+        & _may_link(_differ(F.col("x.sketch"), F.col("y.sketch")), F.col("x.n") + F.col("y.n"), num, den),
     )
     return met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
 
@@ -568,11 +661,12 @@ def member_pairs(
 def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, text: str = "text") -> list[DataFrame]:
     """Links between stars: centres first, then leaders, then what the triangle inequality leaves open."""
     far = 1 - num / den
-    met = shared_tokens(docs, stars, k, num, den, text)
+    counts, shape = frequencies(docs, k, text), shapes(stars)
+    met = shared_tokens(docs, stars, counts, k, num, den, text)
     # Many stars share a centre, so it is the one that waits.
     central = _stored(compare(_stored(centre_pairs(met, num, den)), docs, k, text))
     links = [_linked(central, num, den).select("a", "b")]
-    candidates = _stored(candidate_stars(met, _labels(links, stars), num, den))
+    candidates = _stored(candidate_stars(met, _labels(links, stars), shape, num, den))
     done = central.select("a", "b").unionByName(central.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = _stored(candidates.join(done, ["a", "b"], "left_anti"))
     measured = _stored(compare(others, docs, k, text))
@@ -593,18 +687,29 @@ def star_links(docs: DataFrame, stars: DataFrame, k: int, num: int, den: int, te
     if not open_pairs.limit(1).count():
         return links
     open_pairs = _stored(_apart(open_pairs, _labels(links, stars)))
-    inside = stars.where("several AND doc_id <> star").select("star", F.col("doc_id").alias("member"), "distance")
+    inside = stars.where("several AND doc_id <> star").select("star", F.col("doc_id").alias("member"), "distance", "n", "sketch")
 
     # Leader of one star with the members of the other; the leader waits.
-    to_b = open_pairs.join(inside.withColumnRenamed("star", "b"), "b").where(F.col("gap") - F.col("distance") <= far + 1e-9)
-    to_a = open_pairs.join(inside.withColumnRenamed("star", "a"), "a").where(F.col("gap") - F.col("distance") <= far + 1e-9)
-    near = to_b.select(F.col("member").alias("a"), F.col("a").alias("b")).unionByName(to_a.select(F.col("member").alias("a"), "b"))
+    def beside(leader: str, other: str) -> DataFrame:
+        led = shape.select(F.col("star").alias(leader), F.col("sketch").alias("led"), F.col("n").alias("led_n"))
+        return (
+            open_pairs.join(led, leader)
+            .join(
+                inside,
+                (F.col(other) == F.col("star"))
+                & (F.col("gap") - F.col("distance") <= far + 1e-9)
+                & _may_link(_differ(F.col("led"), F.col("sketch")), F.col("led_n") + F.col("n"), num, den),
+            )
+            .select(F.col("member").alias("a"), F.col(leader).alias("b"))
+        )
+
+    near = beside("a", "b").unionByName(beside("b", "a"))
     links.append(_stored(_linked(compare(_stored(near.distinct()), docs, k, text), num, den).select("a", "b")))
 
     # Members with members, where the stars aren't connected by now.
     apart = _stored(_apart(open_pairs, _labels(links, stars)))
     if apart.limit(1).count():
-        last = _stored(member_pairs(docs, apart, inside, k, num, den, text))
+        last = _stored(member_pairs(docs, apart, inside, shape, counts, k, num, den, text))
         links.append(_stored(_linked(compare(last, docs, k, text), num, den).select("a", "b")))
     return links
 
@@ -615,12 +720,12 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
     groups = (
         known.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("one", "two")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     )
     groups = _stored(groups)
     # Rows that share an id but not their words are tied together by that id.
     classes = groups.groupBy(F.col("rep").alias("doc_id")).agg(
-        F.max_by("n", "one").alias("n"), F.max_by("keys", "one").alias("keys"), F.sum("rows").alias("rows")
+        F.max_by("n", "one").alias("n"), F.max_by("keys", "one").alias("keys"), F.max_by("sketch", "one").alias("sketch"), F.sum("rows").alias("rows")
     )
     stars, proposed = stars_of(classes, docs, k, num, den, text)
     links = star_links(docs, stars, k, num, den, text)

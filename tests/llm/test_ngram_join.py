@@ -167,3 +167,39 @@ def test_pairs_grow_with_a_family_not_with_its_square(spark, monkeypatch, change
     found = {r.component_id for r in ngram_join.near_duplicates(docs).collect()}
     assert len(found) == (copies if changes == 6 else 1)
     assert sum(seen) <= 3 * copies
+
+
+def test_a_large_star_does_not_meet_every_star_around_it(spark, monkeypatch):
+    """Texts just too far from the leader of a star of many members; the members' distances alone would leave all pairs open."""
+    monkeypatch.setattr(ngram_join, "frequencies", lambda *_: np.full(1 << ngram_join.COUNTERS_LOG2, 100, np.uint32))
+    seen, members, around = counted_pairs(monkeypatch), 150, 40
+    base = " ".join(f"b{i}" for i in range(200))
+    texts = [base, base, base, *[t for _, t in edited(members, 2, 1)], *[t.replace("e", "f") for _, t in edited(around, 5, 2)]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()}
+    assert found == plain(rows, 4, 85, 100)
+    assert sum(seen) <= 3 * (members + around)
+
+
+def test_pairs_do_not_depend_on_the_counts_of_tokens(spark, monkeypatch):
+    """Full counters leave the order of the tokens to their hashes, as a large table does."""
+    monkeypatch.setattr(ngram_join, "frequencies", lambda *_: np.full(1 << ngram_join.COUNTERS_LOG2, 100, np.uint32))
+    seen, rows = counted_pairs(monkeypatch), edited(150, 9, 4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()}
+    assert found == plain(rows, 4, 85, 100)
+    assert sum(seen) <= 3 * len(rows)
+
+
+def test_sketches_never_differ_in_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(3)
+    sizes = [0, 1, 3, 40, 40, 300, 300, 5000]
+    common = rng.integers(0, 2**64 - 1, 5000, np.uint64)
+    sets = [np.unique(np.concatenate([common[: n // 2], rng.integers(0, 2**64 - 1, n - n // 2, np.uint64)])) for n in sizes]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    found = ngram_join.sketches(bounds, np.concatenate(sets))
+    for x, a in zip(sets, found, strict=True):
+        for y, b in zip(sets, found, strict=True):
+            bits, differ = int(np.bitwise_count(a ^ b).sum()), len(np.setxor1d(x, y))
+            assert bits <= differ and (bits - differ) % 2 == 0
