@@ -32,10 +32,10 @@ from pyspark.sql import types as T
 from tablework.llm import words as W
 from tablework.llm.columns import reserve
 
-#: Bytes of text in one pair index.
-INDEX_BYTES = 12 << 20
+#: Bytes of text in one pair index. A worker needs some thirty times as much memory while it lasts.
+INDEX_BYTES = 2 << 20
 #: Words that a worker remembers; beyond it, it starts anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 300_000
 
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -363,29 +363,33 @@ def pieces(
     path = path or vocabulary_path()
     closing = int(end_id).to_bytes(4, "little")
 
+    def cut(coder: Encoder, group: pa.RecordBatch) -> pa.RecordBatch:
+        raw = coder.encode(W.texts_of(group)).raw()
+        total = np.array([len(r) // 4 + 1 for r in raw], np.int64)
+        many = -(-total // size)
+        row = np.repeat(np.arange(len(total)), many)
+        start = W.spread(np.zeros(len(many), np.int64), many) * size
+        length = np.minimum(total[row] - start, size)
+        crc = [
+            zlib.crc32((raw[r] + closing)[4 * s : 4 * (s + n)])
+            for r, s, n in zip(row.tolist(), start.tolist(), length.tolist(), strict=True)
+        ]
+        return pa.RecordBatch.from_arrays(
+            [
+                group.column("doc_id").take(pa.array(row)),
+                pa.array(start),
+                pa.array(length),
+                pa.array(crc, pa.int64()),
+                pa.array(total[row]),
+            ],
+            names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for group in W.gathered(batches, "text", INDEX_BYTES):
-            raw = coder.encode(W.texts_of(group)).raw()
-            total = np.array([len(r) // 4 + 1 for r in raw], np.int64)
-            many = -(-total // size)
-            row = np.repeat(np.arange(len(total)), many)
-            start = W.spread(np.zeros(len(many), np.int64), many) * size
-            length = np.minimum(total[row] - start, size)
-            crc = [
-                zlib.crc32((raw[r] + closing)[4 * s : 4 * (s + n)])
-                for r, s, n in zip(row.tolist(), start.tolist(), length.tolist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    group.column("doc_id").take(pa.array(row)),
-                    pa.array(start),
-                    pa.array(length),
-                    pa.array(crc, pa.int64()),
-                    pa.array(total[row]),
-                ],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-            )
+            # In a function of its own: nothing of one group is held while the next is encoded.
+            yield cut(coder, group)
 
     return df.select("doc_id", F.col(text).alias("text")).mapInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"

@@ -24,7 +24,11 @@ _A_TO_Z = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces of about ``limit`` bytes of text, one row at least."""
+    """The rows of ``batches`` in pieces of about ``limit`` bytes of text, one row at least.
+
+    What Arrow freed meanwhile goes back to the system after every batch: its
+    pool would keep it, and Spark's workers outlive their tasks.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -36,6 +40,7 @@ def slices(
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def gathered(

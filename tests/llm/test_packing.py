@@ -1,11 +1,14 @@
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tablework.llm import bpe, packing
+from tablework.llm import bpe, packing, words
 from tablework.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +107,29 @@ def test_many_salts_number_every_rank(spark):
     for length, n in ((1, 1667), (2, 1667), (3, 1666)):
         ranks = sorted(r.rank for r in packing.ranked(pieces, 50).where(f"length = {length}").collect())
         assert ranks == list(range(n))
+
+
+def test_a_worker_holds_little_text_and_gives_memory_back():
+    batch = pa.RecordBatch.from_pydict({"text": ["".join(f" w{i}x{n}" for n in range(400)) for i in range(8_000)]})
+    assert batch.nbytes > 16 << 20
+    groups = list(words.gathered([batch], "text", bpe.INDEX_BYTES))
+    assert max(g.column("text").nbytes for g in groups) < 3 << 20
+    assert sum(g.num_rows for g in groups) == batch.num_rows
+    code = """
+import re
+import pyarrow as pa
+from tablework.llm import words
+def mb():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read()).group(1)) / 1024
+texts = ["".join(f" w{i}x{n}" for n in range(400)) for i in range(5_000)]
+words.word_codes(pa.array(["a"]))
+before = mb()
+def batches():
+    for _ in range(2):
+        yield pa.RecordBatch.from_pydict({"text": texts})
+for piece in words.slices(batches(), "text", 16 << 20):
+    words.word_codes(words.texts_of(piece))
+print(mb() - before)
+"""
+    kept = float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert kept < 60
