@@ -37,17 +37,25 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def hashed_words(text: Column | str, dim: int) -> Column:
-    """Unit-length word counts over hashed buckets: array of (bucket, weight), by bucket.
+def word_buckets(text: Column | str, dim: int) -> Column:
+    """The bucket of every word, in the order of the text: array of bigint.
 
     A word is a run of a-z and 0-9 in the lower-cased text; its bucket is the
-    first 32 bits of its md5 modulo ``dim``. Counting sorts the buckets and takes
-    the distances between the places where they change, so the cost grows with
-    the words and not with their square. A text without words has no entries.
+    first 32 bits of its md5 modulo ``dim``.
     """
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
     words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
-    buckets = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim)
+    return F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim)
+
+
+def hashed_words(text: Column | str, dim: int) -> Column:
+    """Unit-length word counts over hashed buckets: array of (bucket, weight), by bucket.
+
+    Counting sorts the buckets and takes the distances between the places where
+    they change, so the cost grows with the words and not with their square. A
+    text without words has no entries.
+    """
+    buckets = word_buckets(text, dim)
 
     def starts(ordered: Column) -> Column:
         placed = F.transform(ordered, lambda b, i: F.struct(b.alias("bucket"), i.alias("at")))

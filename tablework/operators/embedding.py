@@ -22,7 +22,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tablework.functions.text import dense_vector, hashed_words
+from tablework.functions.text import word_buckets
 from tablework.operators.numbering import SINGLE_TASK_ROWS, dense_ids
 
 # Embedding width and encoder batch.
@@ -46,8 +46,7 @@ class HashedWords:
 
     A word is a run of a-z and 0-9 in the lower-cased text; its bucket is the
     first 32 bits of its md5 modulo the width, so the vectors can be reproduced
-    in SQL. Columns are encoded by the expression
-    :func:`~tablework.functions.text.hashed_words`; this class encodes lists.
+    in SQL. Columns are encoded by :func:`hashed_vectors`; this class encodes lists.
     """
 
     def __init__(self, dim: int = EMBEDDING_DIM):
@@ -64,6 +63,23 @@ class HashedWords:
         return (out / np.where(norms == 0, 1, norms)).astype(np.float32)
 
 
+def hashed_vectors(rows: DataFrame, text: str, vector: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """``rows`` with the :class:`HashedWords` vector of a text.
+
+    Spark ML counts the buckets and spreads them over the vector, which costs
+    several times less than expressions on arrays that long.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
+    from pyspark.ml.functions import vector_to_array
+
+    counter = CountVectorizerModel.from_vocabulary([str(b) for b in range(dim)], inputCol="__buckets", outputCol="__counts")
+    unit = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit")
+    found = rows.withColumn("__buckets", word_buckets(text, dim).cast("array<string>"))
+    return unit.transform(counter.transform(found)).select(
+        *rows.columns, vector_to_array("__unit", "float32").cast("array<float>").alias(vector)
+    )
+
+
 def embed(
     df: DataFrame,
     keys: str | list[str],
@@ -74,7 +90,7 @@ def embed(
 ) -> DataFrame:
     """`(keys…, embedding, text)` for every row; one encoder per task.
 
-    The default encoder is an expression and needs no Python worker. Any other
+    The default encoder runs in the JVM and needs no Python worker. Any other
     ``encoder`` is a picklable factory, called once in each Python worker task.
     Encoding costs far more than moving its texts: ``tasks`` spreads them by key
     when the input has too few partitions to keep the cluster busy.
@@ -85,8 +101,8 @@ def embed(
         rows = df.select(*keys, text)
         if tasks:
             rows = rows.repartition(tasks, *keys)
-        vector = dense_vector(hashed_words(text, EMBEDDING_DIM), EMBEDDING_DIM)
-        return rows.select(*keys, vector.alias("embedding"), F.col(text).alias("text"))
+        vectors = hashed_vectors(rows, text, "embedding")
+        return vectors.select(*keys, "embedding", F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder()

@@ -191,6 +191,15 @@ def test_hashed_words_equal_the_list_encoder(spark, plan):
     assert "EvalPython" not in text and "Arrow" not in text and embedded.columns == ["id", "embedding", "text"]
 
 
+def test_hashed_vectors_need_no_long_array_expressions(spark, plan):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string").repartition(2)
+    text = plan(embed(rows, "id", "text"))
+    assert "flatten(" not in text and "array_repeat(" not in text
+    wanted = HashedWords().encode([t or "" for t in TEXTS])
+    for row in embed(rows, "id", "text").collect():
+        assert row.embedding == [float(x) for x in wanted[row.id]]
+
+
 def test_hits_carry_their_key_in_one_scan(spark, plan):
     rows = vectors(spark, 60)
     path = scratch_path(spark, "vectors")
