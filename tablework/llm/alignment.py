@@ -14,6 +14,10 @@ one per document. Slices are written to the shared folder; the counts of their
 pairs come back to them by slice, and per-id vectors (at most one number per
 vocabulary entry) are broadcast.
 
+A worker remembers chunks in Arrow and numpy arrays of bounded bytes, and a
+slice travels compressed in rows of ``PART_BYTES``, so memory depends neither on
+the corpus nor on the length of chunks, but on the largest slice.
+
 Neither tokenizer joins a space to what stands before it, so texts are cut
 before single spaces that a visible ASCII character or letter follows, and each
 distinct chunk of a slice is tokenized and aligned once. Vocabularies for which
@@ -36,7 +40,6 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -50,12 +53,16 @@ from tablework.llm.bpe import _byte_symbols
 from tablework.llm.columns import reserve
 from tablework.runtime import scratch_path
 
-#: Chunks that a worker remembers; beyond it, it starts anew.
-KNOWN_CHUNKS = 400_000
+#: Bytes of what a worker remembers of chunks; beyond it, it starts anew.
+KNOWN_BYTES = 40 << 20
 #: Chunks handed to the tokenizers at once.
 TOGETHER = 4_000
 #: A pair of ids as one number: A's id times this plus B's.
 PAIR = 1 << 24
+#: Bytes of a slice in a row. Rows of megabytes are objects that the JVM can't move, and its heap grows to the limit.
+PART_BYTES = 256 << 10
+#: Bytes of a row group of the written slices.
+GROUP_BYTES = 4 << 20
 
 _SAFE = regex.compile(r"^[!-~\p{L}]")
 #: Signs that both libraries for A's vocabulary class alike.
@@ -73,24 +80,32 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _joined(parts: pa.Array, ends: np.ndarray, sign: str) -> pa.Array:
+    """The parts between neighbouring ends as one text each."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), parts), pa.scalar(sign, pa.large_string()))
+
+
 class Store:
     """What is known of each chunk, as growing arrays; the row of a chunk is its place in them."""
 
     def __init__(self):
-        self.rows: dict[str, int] = {}
-        self.spelled: list[str | None] = []
+        self.chunks = [pa.array([], pa.large_string())]
+        self.spelled = [pa.array([], pa.large_string())]
         self.numbers = [np.empty((0, 4), np.int64)]
         self.pairs = [np.empty(0, np.int64)]
         self.same = [np.empty(0, np.int64)]
         self.pair_ends = [np.zeros(1, np.int64)]
         self.same_ends = [np.zeros(1, np.int64)]
 
-    def whole(self, name: str) -> np.ndarray:
+    def whole(self, name: str) -> np.ndarray | pa.Array:
         parts = getattr(self, name)
         if len(parts) > 1:
-            parts[:] = [np.concatenate(parts)]
+            parts[:] = [pa.concat_arrays(parts) if isinstance(parts[0], pa.Array) else np.concatenate(parts)]
         return parts[0]
 
+    def size(self) -> int:
+        return sum(part.nbytes for parts in vars(self).values() for part in parts)
+
 
 class Aligner:
     """Both tokenizers, the bytes of their ids, the identity map and the chunks seen so far."""
@@ -127,7 +142,7 @@ class Aligner:
         self.same_id = np.array([of_bytes.get(t, -1) for t in self.a_bytes])
         self.cuts = self._may_cut(spec)
         self.ranks = self._by_rank(spec)
-        self.spelling = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.spelling = pa.array(map(str, range(max(len(self.a_bytes), len(self.b_bytes)))), pa.large_string())
         self.store = Store()
 
     def _may_cut(self, spec: dict) -> bool:
@@ -152,59 +167,75 @@ class Aligner:
         ranks = {raw: i for i, raw in enumerate(self.a_bytes) if i not in special}
         return tiktoken.Encoding("ranks", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
 
-    def chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    def chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Offsets per text, the code of each chunk, and the chunk of each code; no empty text has any."""
         if not self.cuts:
             flat = texts.dictionary_encode()
-            codes, named = flat.indices.to_numpy(), flat.dictionary.to_pylist()
-            keep = np.array([bool(t) for t in named], bool)[codes] if len(codes) else np.zeros(0, bool)
+            codes, named = flat.indices.to_numpy(), flat.dictionary.cast(pa.large_string())
+            filled = pc.greater(pc.binary_length(named), 0).to_numpy(zero_copy_only=False)
+            keep = filled[codes] if len(codes) else np.zeros(0, bool)
             return np.concatenate([[0], np.cumsum(keep)]), codes[keep], named
         lists = pc.split_pattern(texts, " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
-        codes, named = flat.indices.to_numpy().astype(np.int64), flat.dictionary.to_pylist()
-        starts_safe = pc.match_substring_regex(flat.dictionary, _SAFE.pattern).to_numpy(zero_copy_only=False)
+        codes, named = flat.indices.to_numpy().astype(np.int64), flat.dictionary.cast(pa.large_string())
+        starts_safe = pc.match_substring_regex(named, _SAFE.pattern).to_numpy(zero_copy_only=False)
         safe = starts_safe[codes] if len(codes) else np.zeros(0, bool)
         unsafe = np.concatenate([[0], np.cumsum(~safe)])
         odd = np.flatnonzero(unsafe[offsets[1:]] > unsafe[offsets[:-1]])
         if not len(odd):
             return offsets, codes, named
         # Texts with other spaces or signs: join what may not be cut.
-        number = {p: i for i, p in enumerate(named)}
         lists_of = np.split(codes, offsets[1:-1]) if len(offsets) > 1 else []
+        fresh: list[pa.Array] = []
         for i in odd.tolist():
-            own = lists_of[i].tolist()
+            parts = named.take(pa.array(lists_of[i])).to_pylist()
             fine = safe[offsets[i] : offsets[i + 1]].tolist()
             joined: list[str] = []
-            for at, part in enumerate(named[c] for c in own):
-                if at == 0 or (fine[at] and named[own[at - 1]]):
+            for at, part in enumerate(parts):
+                if at == 0 or (fine[at] and parts[at - 1]):
                     joined.append(part)
                 else:
                     joined[-1] += " " + part
             if joined == [""]:
                 joined = []
-            fresh = [number.setdefault(p, len(number)) for p in joined]
-            lists_of[i] = np.array(fresh, np.int64)
+            fresh.append(pa.array(joined, pa.large_string()))
+        every = pa.concat_arrays(fresh)
+        found = pc.index_in(every, value_set=named)
+        others = every.filter(pc.is_null(found)).dictionary_encode()
+        number = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        number[number < 0] = others.indices.to_numpy() + len(named)
+        ends = np.cumsum([len(f) for f in fresh])
+        for i, own in zip(odd.tolist(), np.split(number, ends[:-1]), strict=True):
+            lists_of[i] = own
         sizes = [len(c) for c in lists_of]
-        return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.concatenate(lists_of), list(number)
-
-    def known(self, chunks: list[str]) -> np.ndarray:
-        """The store's row of each chunk; new ones are tokenized and aligned."""
-        store = self.store
-        if len(store.rows) > KNOWN_CHUNKS:
-            store = self.store = Store()
-        new = [c for c in chunks if c not in store.rows]
-        # Chunks that may stand behind each other are tokenized as one text.
-        joined = [c for c in new if self.cuts and _SAFE.match(c) and not c.endswith(" ")]
-        plain = [c for c in joined if _LATIN.fullmatch(c)]
-        others = set(new) - set(plain) if len(plain) < len(new) else set()
-        wide, alone = [c for c in joined if c in others], sorted(others - set(joined))
-        for part, together in ((plain, self._together), (wide, self._together), (alone, self._alone)):
-            for at in range(0, len(part), TOGETHER):
-                some = part[at : at + TOGETHER]
-                self._add(some, *(together(some, part is plain) or self._alone(some)))
-        return np.array([store.rows[c] for c in chunks], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        return offsets, np.concatenate(lists_of), pa.concat_arrays([named, others.dictionary])
+
+    def known(self, chunks: pa.Array) -> np.ndarray:
+        """The store's row of each of these different chunks; new ones are tokenized and aligned."""
+        if self.store.size() > KNOWN_BYTES:
+            self.store = Store()
+        found = pc.index_in(chunks, value_set=self.store.whole("chunks"))
+        rows = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        fresh = np.flatnonzero(rows < 0)
+        last = len(self.store.whole("chunks"))
+        for at in range(0, len(fresh), TOGETHER):
+            of = fresh[at : at + TOGETHER]
+            some = chunks.take(pa.array(of)).to_pylist()
+            # Chunks that may stand behind each other are tokenized as one text.
+            kind = np.array(
+                [(1 if _LATIN.fullmatch(c) else 2) if self.cuts and _SAFE.match(c) and not c.endswith(" ") else 3 for c in some]
+            )
+            for k in (1, 2, 3):
+                own = np.flatnonzero(kind == k)
+                if len(own):
+                    part = [some[i] for i in own.tolist()]
+                    self._add(part, *((self._together(part, k == 1) if k < 3 else None) or self._alone(part)))
+                    rows[of[own]] = np.arange(last, last + len(own))
+                    last += len(own)
+        return rows
 
     def _together(self, chunks: list[str], plain: bool) -> tuple | None:
         """Tokens of all chunks from one text, and their bytes; None if they don't spell it."""
@@ -220,7 +251,7 @@ class Aligner:
         sizes = np.array([len(c.encode()) + 1 for c in chunks])
         return np.array(a, np.int64), np.array(b, np.int64), sizes, [True] * len(chunks)
 
-    def _alone(self, chunks: list[str], plain: bool = False) -> tuple:
+    def _alone(self, chunks: list[str]) -> tuple:
         """The same chunk by chunk; one whose tokens don't spell it has none."""
         a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
@@ -254,17 +285,14 @@ class Aligner:
         link_ends = np.searchsorted(every, bytes_at, "right")
         group_ends = np.searchsorted(both, bytes_at, "right")
         numbers = np.stack([np.diff(a_ends), np.diff(b_ends), np.diff(group_ends), np.diff(link_ends)], 1)
-        a_text, b_text = [self.spelling[i] for i in a_id.tolist()], [self.spelling[i] for i in b_id.tolist()]
-        groups = [
-            f"{a_text[s]}|{b_text[t]}" if e - s == 1 and f - t == 1 else f"{','.join(a_text[s:e])}|{','.join(b_text[t:f])}"
-            for s, e, t, f in zip(first_a.tolist(), group_a.tolist(), first_b.tolist(), group_b.tolist(), strict=True)
-        ]
-        bounds = group_ends.tolist()
-        store.spelled += [
-            ";".join(groups[s:e]) if good else None
-            for s, e, good in zip(bounds[:-1], bounds[1:], fine, strict=True)
-        ]
-        store.rows.update(zip(chunks, range(len(store.rows), len(store.rows) + len(chunks)), strict=True))
+        groups = pc.binary_join_element_wise(
+            _joined(self.spelling.take(pa.array(a_id)), np.concatenate([[0], group_a]), ","),
+            _joined(self.spelling.take(pa.array(b_id)), np.concatenate([[0], group_b]), ","),
+            pa.scalar("|", pa.large_string()),
+        )
+        spelled = _joined(groups, group_ends, ";")
+        store.chunks.append(pa.array(chunks, pa.large_string()))
+        store.spelled.append(pc.if_else(pa.array(fine), spelled, pa.scalar(None, pa.large_string())))
         store.numbers.append(numbers)
         same_before = np.concatenate([[0], np.cumsum(same)])[link_ends]
         last_pair, last_same = store.pair_ends[-1][-1], store.same_ends[-1][-1]
@@ -289,13 +317,13 @@ class Slice:
 
     def __init__(self, tool: Aligner, texts: pa.Array):
         offsets, codes, chunks = tool.chunks(texts)
-        used, codes = np.unique(codes, return_inverse=True)
-        self.rows = tool.known([chunks[c] for c in used.tolist()])
+        held = np.zeros(len(chunks), bool)
+        held[codes] = True
+        codes = (np.cumsum(held) - 1)[codes]
+        self.rows = tool.known(chunks.filter(pa.array(held)))
         self.store = tool.store
-        spelled = self.store.spelled
-        names = np.empty(len(used), object)
-        names[:] = [spelled[r] for r in self.rows.tolist()]
-        wrong = np.array([n is None for n in names], bool)
+        names = self.store.whole("spelled").take(pa.array(self.rows))
+        wrong = pc.is_null(names).to_numpy(zero_copy_only=False)
         owner = W.owners(offsets)
         good = np.ones(len(texts), bool)
         good[owner[wrong[codes]]] = False
@@ -305,9 +333,8 @@ class Slice:
         self.numbers = np.stack(
             [np.bincount(self.owner, numbers[self.codes, k], len(texts)).astype(np.int64) for k in range(4)], 1
         )
-        bounds = np.searchsorted(self.owner, np.arange(len(texts) + 1)).tolist()
-        listed = names[self.codes].tolist()
-        self.groups = [";".join(listed[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+        bounds = np.searchsorted(self.owner, np.arange(len(texts) + 1))
+        self.groups = _joined(names.take(pa.array(self.codes)), bounds, ";")
 
     def flat(self, what: str, ends: str) -> tuple[np.ndarray, np.ndarray]:
         """How many values of the store each chunk has, and the values."""
@@ -328,83 +355,93 @@ def align(df: DataFrame, text: str = "text", paths: tuple[str, str] | None = Non
         for piece in W.slices(batches, text):
             found = Slice(aligner(paths), W.texts_of(piece, text))
             yield pa.RecordBatch.from_arrays(
-                [*piece.columns, *(pa.array(found.numbers[:, k]) for k in range(4)), pa.array(found.groups, pa.string())],
+                [*piece.columns, *(pa.array(found.numbers[:, k]) for k in range(4)), found.groups.cast(pa.string())],
                 names=[*piece.schema.names, *names, "groups"],
             )
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *added]))
 
 
-_SLICES = (
-    "slice long, docs binary, codes binary, pair_many binary, pair_at binary, same_many binary, same_at binary, "
-    "pairs array<long>, pair_times array<long>, same array<long>, same_times array<long>"
-)
-_DOCS = pa.schema(
-    [("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")), ("sha", pa.string()), ("chunks", pa.int64())]
-)
+_SLICES = "slice long, part int, body binary, pairs array<long>, pair_times array<long>, same array<long>, same_times array<long>"
+_NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return values.astype("<u4").tobytes()
+def _packed(lists: dict[str, pa.Array | np.ndarray]) -> memoryview:
+    """Arrays of any lengths as compressed bytes; ids and numbers of a slice have 32 bits."""
+    values = {k: v if isinstance(v, pa.Array) else pa.array(v.astype(np.uint32)) for k, v in lists.items()}
+    row = pa.RecordBatch.from_pydict({k: pa.LargeListArray.from_arrays(pa.array([0, len(v)], pa.int64()), v) for k, v in values.items()})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(row)
+    return memoryview(sink.getvalue())
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u4").astype(np.int64)
+def _unpacked(body: bytes) -> dict[str, pa.Array]:
+    row = pa.ipc.open_stream(body).read_next_batch()
+    return {name: row.column(name).flatten() for name in row.schema.names}
 
 
-def _ipc(table: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_batch(table)
-    return sink.getvalue().to_pybytes()
+def _sha256(groups: pa.Array) -> list[str]:
+    """The digest of each text, nothing for an empty one; the bytes aren't copied."""
+    _, ends, raw = groups.buffers()
+    ends = np.frombuffer(ends, np.int64)[groups.offset : groups.offset + len(groups) + 1].tolist()
+    raw = memoryview(raw or b"")
+    return [hashlib.sha256(raw[s:e]).hexdigest() if e > s else "" for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def slices_of(df: DataFrame, text: str, paths: tuple[str, str]) -> DataFrame:
-    """One row per slice of texts: its documents, chunks, links and summed pairs."""
+    """Rows with parts of slices of texts: documents, chunks and links in ``body``; the first part also has the summed pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, piece in enumerate(W.gathered(batches, "text")):
-            found = Slice(aligner(paths), W.texts_of(piece))
-            sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups]
-            owner, code, times = W.distinct_per_owner(found.owner, found.codes)
-            chunks = np.bincount(owner, minlength=piece.num_rows)
-            docs = pa.RecordBatch.from_arrays(
-                [
-                    piece.column("doc_id").cast(pa.int64()),
-                    *(pa.array(found.numbers[:, k]) for k in range(4)),
-                    pa.array(sha, pa.string()),
-                    pa.array(chunks),
-                ],
-                schema=_DOCS,
-            )
-            weight = np.bincount(code, times, len(found.rows)).astype(np.int64)
-            columns = []
-            for what, ends in (("pairs", "pair_ends"), ("same", "same_ends")):
-                many, values = found.flat(what, ends)
-                known, at = np.unique(values, return_inverse=True)
-                total = np.bincount(at, np.repeat(weight, many), len(known)).astype(np.int64)
-                columns.append((many, at, known, total))
-            (pair_many, pair_at, pairs, pair_times), (same_many, same_at, same, same_times) = columns
-            # A chunk that only texts without tokens hold weighs nothing.
-            used, used_same = pair_times > 0, same_times > 0
-            step = np.diff(code, prepend=0)
-            step[np.concatenate([[0], np.cumsum(chunks)[:-1]])[chunks > 0]] = code[np.concatenate([[0], np.cumsum(chunks)[:-1]])[chunks > 0]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "slice": pa.array([first + number], pa.int64()),
-                    "docs": pa.array([_ipc(docs)], pa.binary()),
-                    "codes": pa.array([_packed(step) + _packed(times)], pa.binary()),
-                    "pair_many": pa.array([_packed(pair_many)], pa.binary()),
-                    "pair_at": pa.array([_packed(pairs[pair_at] // PAIR) + _packed(pairs[pair_at] % PAIR)], pa.binary()),
-                    "same_many": pa.array([_packed(same_many)], pa.binary()),
-                    "same_at": pa.array([_packed(same[same_at])], pa.binary()),
-                    "pairs": pa.array([pairs[used]], pa.list_(pa.int64())),
-                    "pair_times": pa.array([pair_times[used]], pa.list_(pa.int64())),
-                    "same": pa.array([same[used_same]], pa.list_(pa.int64())),
-                    "same_times": pa.array([same_times[used_same]], pa.list_(pa.int64())),
-                }
-            )
+            body, sums = sliced(piece)
+            for part, at in enumerate(range(0, len(body), PART_BYTES)):
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "slice": pa.array([first + number], pa.int64()),
+                        "part": pa.array([part], pa.int32()),
+                        "body": pa.array([bytes(body[at : at + PART_BYTES])], pa.binary()),
+                        **{name: pa.array([[] if part else values], pa.list_(pa.int64())) for name, values in sums.items()},
+                    }
+                )
+            pa.default_memory_pool().release_unused()
+
+    def sliced(piece: pa.RecordBatch) -> tuple[memoryview, dict[str, np.ndarray]]:
+        found = Slice(aligner(paths), W.texts_of(piece))
+        owner, code, times = W.distinct_per_owner(found.owner, found.codes)
+        chunks = np.bincount(owner, minlength=piece.num_rows)
+        weight = np.bincount(code, times, len(found.rows)).astype(np.int64)
+        columns = []
+        for what, ends in (("pairs", "pair_ends"), ("same", "same_ends")):
+            many, values = found.flat(what, ends)
+            known, at = np.unique(values, return_inverse=True)
+            total = np.bincount(at, np.repeat(weight, many), len(known)).astype(np.int64)
+            columns.append((many, at, known, total))
+        (pair_many, pair_at, pairs, pair_times), (same_many, same_at, same, same_times) = columns
+        # A chunk that only texts without tokens hold weighs nothing.
+        used, used_same = pair_times > 0, same_times > 0
+        step = np.diff(code, prepend=0)
+        begins = (np.cumsum(chunks) - chunks)[chunks > 0]
+        step[begins] = code[begins]
+        body = _packed(
+            {
+                "doc_id": piece.column("doc_id").cast(pa.int64()),
+                **{name: pa.array(found.numbers[:, k]) for k, name in enumerate(_NUMBERS)},
+                "groups_sha256": pa.array(_sha256(found.groups), pa.string()),
+                "chunks": chunks,
+                "step": step,
+                "times": times,
+                "pair_many": pair_many,
+                "pair_a": pairs[pair_at] // PAIR,
+                "pair_b": pairs[pair_at] % PAIR,
+                "same_many": same_many,
+                "same_at": same[same_at],
+            }
+        )
+        sums = {"pairs": pairs[used], "pair_times": pair_times[used], "same": same[used_same], "same_times": same_times[used_same]}
+        return body, sums
 
     return df.select("doc_id", F.col(text).alias("text")).mapInArrow(run, _SLICES)
 
@@ -425,8 +462,10 @@ def counted(slices: DataFrame, same_id: np.ndarray) -> DataFrame:
 
 
 def written_slices(df: DataFrame, text: str, paths: tuple[str, str]) -> DataFrame:
+    """The slices as a table whose row groups are small, since writers and readers hold a whole one."""
     path = scratch_path(df.sparkSession, "alignment-slices")
-    slices_of(df, text, paths).write.option("compression", "zstd").parquet(path)
+    sizes = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1}
+    slices_of(df, text, paths).write.options(compression="zstd", **sizes).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -465,43 +504,36 @@ def digests(df: DataFrame, text: str = "text", paths: tuple[str, str] | None = N
         same[row["a"]] = row["n"]
     vectors = spark.sparkContext.broadcast((best, same, tool.same_id))
 
-    def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
         best, same, same_id = vectors.value
-        right = right.sort_values("key")
+        right = right.sort_by("key")
         keys, n = right["key"].to_numpy(), right["n"].to_numpy()
-        done = []
-        for row in left.itertuples(index=False):
-            docs = pa.ipc.open_stream(row.docs).read_pandas()
-            raw = _unpacked(row.codes)
-            step, times = raw[: len(raw) // 2], raw[len(raw) // 2 :]
-            many = docs.pop("chunks").to_numpy()
-            sums = np.concatenate([[0], np.cumsum(step)])
-            begin = np.concatenate([[0], np.cumsum(many)[:-1]])
-            code = sums[1:] - np.repeat(sums[begin], many)
-            ids = _unpacked(row.pair_at)
-            pair, b = ids[: len(ids) // 2] * PAIR + ids[len(ids) // 2 :], ids[len(ids) // 2 :]
-            at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
-            # Pairs that weigh nothing have no row and no text that asks for them.
-            count = np.where(keys[at] == pair, n[at], 0) if len(keys) else np.zeros(len(pair), np.int64)
-            same_at = _unpacked(row.same_at)
-            links = [
-                (_unpacked(row.pair_many), count, count == best[b]),
-                (_unpacked(row.same_many), same[same_at], same[same_at] == best[same_id[same_at]]),
-            ]
-            total, top = 0, 0
-            for each, counts_of, is_best in links:
-                ends = np.concatenate([[0], np.cumsum(each)])
-                total = total + np.diff(np.concatenate([[0], np.cumsum(counts_of)])[ends])
-                top = top + np.diff(np.concatenate([[0], np.cumsum(is_best)])[ends])
-            for name, per_chunk in (("n_best", top), ("count_sum", total)):
-                ends = np.concatenate([[0], np.cumsum(per_chunk[code] * times)])
-                docs[name] = ends[begin + many] - ends[begin]
-            done.append(docs.rename(columns={"sha": "groups_sha256"}))
-        names = [f.split()[0] for f in _RESULT.split(", ")]
-        if not done:
-            return pd.DataFrame(columns=names)
-        return pd.concat(done)[names]
+        slice_of = _unpacked(b"".join(left.sort_by("part")["body"].to_pylist()))
+        many, step, times, pair_a, pair_b, same_at, pair_many, same_many = (
+            slice_of.pop(name).to_numpy().astype(np.int64)
+            for name in ("chunks", "step", "times", "pair_a", "pair_b", "same_at", "pair_many", "same_many")
+        )
+        sums = np.concatenate([[0], np.cumsum(step)])
+        begin = np.cumsum(many) - many
+        code = sums[1:] - np.repeat(sums[begin], many)
+        pair = pair_a * PAIR + pair_b
+        at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
+        # Pairs that weigh nothing have no row and no text that asks for them.
+        count = np.where(keys[at] == pair, n[at], 0) if len(keys) else np.zeros(len(pair), np.int64)
+        links = [
+            (pair_many, count, count == best[pair_b]),
+            (same_many, same[same_at], same[same_at] == best[same_id[same_at]]),
+        ]
+        total, top = 0, 0
+        for each, counts_of, is_best in links:
+            ends = np.concatenate([[0], np.cumsum(each)])
+            total = total + np.diff(np.concatenate([[0], np.cumsum(counts_of)])[ends])
+            top = top + np.diff(np.concatenate([[0], np.cumsum(is_best)])[ends])
+        for name, per_chunk in (("n_best", top), ("count_sum", total)):
+            ends = np.concatenate([[0], np.cumsum(per_chunk[code] * times)])
+            slice_of[name] = pa.array(ends[begin + many] - ends[begin])
+        return pa.table({name: slice_of[name] for name in (f.split()[0] for f in _RESULT.split(", "))})
 
     asked = slices.select(F.col("slice").alias("asking"), F.explode("pairs").alias("key")).join(counts, "key").groupBy("asking")
-    given = slices.drop("pairs", "pair_times", "same", "same_times").groupBy("slice")
-    return given.cogroup(asked).applyInPandas(join, _RESULT)
+    given = slices.select("slice", "part", "body").groupBy("slice")
+    return given.cogroup(asked).applyInArrow(join, _RESULT)

@@ -1,6 +1,10 @@
+import gc
 import hashlib
+import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -156,3 +160,49 @@ def test_align_keeps_columns(spark, libraries):
     assert alignment.digests(only).count() == 2
     with pytest.raises(ValueError):
         alignment.align(docs.withColumnRenamed("slice", "n_a"))
+
+
+def invented(n, letters, seed):
+    """Different words, nearly all of them."""
+    pick = random.Random(seed)
+    return ["".join(pick.choices("abcdefghiklmnoprstuvwz", k=letters)) for _ in range(n)]
+
+
+def held(work):
+    """Bytes that are still held after ``work``."""
+    gc.collect()
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    work()
+    gc.collect()
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    return kept
+
+
+def test_what_a_worker_remembers_is_small():
+    tool = alignment.Aligner(*alignment.tokenizer_paths())
+    words = invented(40_000, 7, 1)
+    texts = pa.array([" ".join(words[i : i + 200]) for i in range(0, len(words), 200)])
+    assert held(lambda: alignment.Slice(tool, texts)) < 220 * len(set(words))
+
+
+def test_long_chunks_are_forgotten_by_their_bytes(libraries, monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN_BYTES", 1 << 20, raising=False)
+    tool = alignment.Aligner(*alignment.tokenizer_paths())
+    slices = [["-".join(invented(200, 7, 100 * i + k)) for k in range(100)] for i in range(12)]
+    groups = []
+    kept = held(lambda: groups.extend(alignment.Slice(tool, pa.array(texts)).groups[0] for texts in slices))
+    assert kept < 6 << 20
+    assert [str(g) for g in groups] == [spelled(plain(libraries, texts[0])[0]) for texts in slices]
+
+
+def test_slices_travel_in_small_rows(spark, libraries):
+    words = invented(120_000, 6, 2)
+    rows = [(i, " ".join(words[i : i + 300])) for i in range(0, len(words), 300)]
+    docs = spark.createDataFrame([*rows, (None, None), ((1 << 62) + 1, "one more")], "doc_id long, text string").coalesce(1)
+    slices = alignment.slices_of(docs, "text", alignment.tokenizer_paths()).collect()
+    assert len({r["slice"] for r in slices}) == 1
+    assert max(sum(8 * len(v) if isinstance(v, list) else len(v) for v in r if hasattr(v, "__len__")) for r in slices) < 1 << 20
+    found = sorted((tuple(r) for r in alignment.digests(docs).collect()), key=str)
+    assert found == expected(libraries, [tuple(r) for r in docs.collect()])[0]
