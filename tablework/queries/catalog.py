@@ -41,7 +41,7 @@ from tablework.queries.fixtures import (
 from tablework.queries.registered import ORACLES, query
 from tablework.runtime import scratch_path
 from tablework.schemas import FILE_METADATA, H5_CATALOG
-from tablework.sinks.tables import append, create_catalog_table, create_namespace, with_instrument, write_manifest, write_snapshot
+from tablework.sinks.tables import append, create_keyed_catalog_table, create_namespace, with_instrument, write_manifest, write_snapshot
 from tablework.sources.tables import read_drifting
 
 ALIGNED_SQL = f"""{METADATA_SQL},
@@ -295,7 +295,7 @@ def _stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     space, path, sketch = f"catalog_{uuid.uuid4().hex[:8]}", scratch_path(spark, "catalog"), scratch_path(spark, "catalog-keys")
     create_namespace(spark, space)
-    create_catalog_table(spark, f"{space}.h5_catalog", path)
+    create_keyed_catalog_table(spark, f"{space}.h5_catalog", path)
     append(with_instrument(to_catalog(raw_metadata(spark, sf_dir), NOW)), f"{space}.h5_catalog")
     schema = spark.table(f"{space}.h5_catalog").schema
     stored = spark.read.schema(schema).parquet(path)

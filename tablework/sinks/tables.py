@@ -49,7 +49,12 @@ def create_orders_table(spark: SparkSession, name: str, location: str | None = N
 
 
 def create_catalog_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """The catalog by instrument; the key is a derived column, filled by `with_instrument`."""
+    """The catalog by instrument; an empty instrument is read as NULL from its partition."""
+    create_table(spark, name, H5_CATALOG, "instrument_name", location)
+
+
+def create_keyed_catalog_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """The catalog by instrument key, a derived column that `with_instrument` fills; keeps NULL and empty apart."""
     schema = StructType([*H5_CATALOG, StructField("instrument_key", StringType())])
     create_table(spark, name, schema, "instrument_key", location)
 
